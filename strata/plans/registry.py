@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.operators import reports
+from strata.operators import dedupe, keys, reconcile, reports
 from strata.plans import adapters as ad
+from strata.rules import RETAIL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -200,3 +202,279 @@ def q_customer_retention(spark, sf):
 @register("customer_retention_calendar", _retention_sql(True))
 def q_customer_retention_calendar(spark, sf):
     return reports.customer_retention(ad.core_orders(spark, sf), calendar=True)
+
+
+# ----------------------------------------------------------------------------
+# D1 deduplication
+# ----------------------------------------------------------------------------
+# The driver's lineitem repeats (l_orderkey, l_linenumber); the latest ship
+# date wins, remaining columns break ties (all descending, nulls last).
+ITEM_KEY = ["order_id", "order_item_id"]
+ITEM_TIEBREAKER = "shipping_limit_date"
+
+
+@register(
+    "dedup_items",
+    with_entities(
+        """
+SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
+FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY order_id, order_item_id
+        ORDER BY shipping_limit_date DESC NULLS LAST, product_id DESC NULLS LAST,
+                 seller_id DESC NULLS LAST, price DESC NULLS LAST,
+                 freight_value DESC NULLS LAST) AS rn
+      FROM items)
+WHERE rn = 1
+""",
+        "items",
+    ),
+)
+def q_dedup_items(spark, sf):
+    return dedupe.keep_latest(ad.core_order_items(spark, sf), ITEM_KEY, ITEM_TIEBREAKER)
+
+
+# ----------------------------------------------------------------------------
+# F1-F3 foreign keys with cascade
+# ----------------------------------------------------------------------------
+# Parent customers are the accounts in good standing (positive balance), so
+# orders of the others are orphans and the cascade has work to do.
+
+
+def fk_entities(spark, sf):
+    ents = ad.core_entities(spark, sf)
+    ents["customers"] = ents["customers"].join(
+        ad.table(spark, sf, "customer")
+        .filter("c_acctbal > 0")
+        .select(F.col("c_custkey").alias("customer_id")),
+        "customer_id",
+        "left_semi",
+    )
+    return ents
+
+
+SQL_FK = """
+WITH c AS (SELECT cust.* FROM cust JOIN customer ON c_custkey = customer_id WHERE c_acctbal > 0),
+o2 AS (SELECT * FROM o WHERE EXISTS (SELECT 1 FROM c WHERE c.customer_id = o.customer_id)),
+items2 AS (SELECT * FROM items i
+           WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = i.order_id)
+             AND EXISTS (SELECT 1 FROM prod WHERE prod.product_id = i.product_id)
+             AND EXISTS (SELECT 1 FROM sell WHERE sell.seller_id = i.seller_id)),
+pay2 AS (SELECT * FROM pay p WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = p.order_id)),
+rev2 AS (SELECT * FROM rev r WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = r.order_id))
+"""
+FK_VIEWS = ("o", "items", "pay", "rev", "cust", "prod", "sell")
+
+
+@register(
+    "fk_orphans",
+    with_entities(
+        SQL_FK
+        + """
+SELECT DISTINCT 'orders' AS entity, 'customer_id' AS "column",
+       CAST(customer_id AS VARCHAR) AS missing_value
+FROM o WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM c)
+UNION ALL
+SELECT DISTINCT 'order_items', 'order_id', CAST(order_id AS VARCHAR)
+FROM items WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM o2)
+UNION ALL
+SELECT DISTINCT 'order_items', 'product_id', CAST(product_id AS VARCHAR)
+FROM items WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM prod)
+UNION ALL
+SELECT DISTINCT 'order_items', 'seller_id', CAST(seller_id AS VARCHAR)
+FROM items WHERE seller_id IS NOT NULL AND seller_id NOT IN (SELECT seller_id FROM sell)
+UNION ALL
+SELECT DISTINCT 'payments', 'order_id', CAST(order_id AS VARCHAR)
+FROM pay WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM o2)
+UNION ALL
+SELECT DISTINCT 'reviews', 'order_id', CAST(order_id AS VARCHAR)
+FROM rev WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM o2)
+""",
+        *FK_VIEWS,
+    ),
+)
+def q_fk_orphans(spark, sf):
+    return keys.clean_relationships(fk_entities(spark, sf), RETAIL_RULES)[2]
+
+
+@register(
+    "fk_report",
+    with_entities(
+        SQL_FK
+        + """
+SELECT 'orders' AS entity, 'customer_id' AS "column", 'customers' AS parent,
+       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.customer_id = o.customer_id))
+         AS removed_count FROM o
+UNION ALL
+SELECT 'order_items', 'order_id', 'orders',
+       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = items.order_id))
+FROM items
+UNION ALL
+SELECT 'order_items', 'product_id', 'products',
+       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM prod WHERE prod.product_id = items.product_id))
+FROM items
+UNION ALL
+SELECT 'order_items', 'seller_id', 'sellers',
+       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM sell WHERE sell.seller_id = items.seller_id))
+FROM items
+UNION ALL
+SELECT 'payments', 'order_id', 'orders',
+       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = pay.order_id))
+FROM pay
+UNION ALL
+SELECT 'reviews', 'order_id', 'orders',
+       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = rev.order_id))
+FROM rev
+""",
+        *FK_VIEWS,
+    ),
+)
+def q_fk_report(spark, sf):
+    return keys.clean_relationships(fk_entities(spark, sf), RETAIL_RULES)[1]
+
+
+@register("fk_cascade", with_entities(SQL_FK + "SELECT * FROM items2", *FK_VIEWS))
+def q_fk_cascade(spark, sf):
+    return keys.clean_relationships(fk_entities(spark, sf), RETAIL_RULES)[0]["order_items"]
+
+
+@register("fk_orders_clean", with_entities(SQL_FK + "SELECT * FROM o2", *FK_VIEWS))
+def q_fk_orders_clean(spark, sf):
+    return keys.clean_relationships(fk_entities(spark, sf), RETAIL_RULES)[0]["orders"]
+
+
+# ----------------------------------------------------------------------------
+# R1-R7 reconciliation and quarantine
+# ----------------------------------------------------------------------------
+# The driver's order totals are not derived from its line items, so the
+# registry uses a wide tolerance (currency units) that splits orders into
+# both outcomes; the library default stays the reference's 0.01.
+RECON_TOLERANCE = 50000.0
+
+SQL_RECON = f"""
+WITH e AS (SELECT order_id,
+                  COALESCE(SUM(CAST(price AS {MONEY}) + CAST(freight_value AS {MONEY})), 0) AS e
+           FROM items GROUP BY order_id),
+a AS (SELECT order_id, COALESCE(SUM(CAST(payment_value AS {MONEY})), 0) AS a
+      FROM pay GROUP BY order_id),
+cmp AS (SELECT order_id, CAST(e AS DOUBLE) AS expected_total,
+               CAST(COALESCE(a, 0) AS DOUBLE) AS actual_total,
+               CAST(abs(e - COALESCE(a, 0)) AS DOUBLE) AS difference,
+               abs(e - COALESCE(a, 0)) <= CAST({RECON_TOLERANCE} AS {MONEY}) AS passed
+        FROM e LEFT JOIN a USING (order_id)),
+exc AS (SELECT order_id, CAST(a AS DOUBLE) AS actual_total FROM a
+        WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM e)),
+q AS (SELECT x.*, o.order_status FROM (
+        SELECT order_id, expected_total, actual_total, difference,
+               'exceeded_tolerance' AS reason FROM cmp WHERE NOT passed
+        UNION ALL
+        SELECT order_id, CAST(NULL AS DOUBLE), actual_total, CAST(NULL AS DOUBLE),
+               'no_order_items' FROM exc) x
+      LEFT JOIN o USING (order_id))
+"""
+RECON_VIEWS = ("items", "pay", "o")
+
+
+def recon_inputs(spark, sf):
+    orders = ad.core_orders(spark, sf)
+    items = ad.core_order_items(spark, sf)
+    payments = ad.core_payments(spark, sf)
+    comparison, excluded = reconcile.reconcile_payments(items, payments, RECON_TOLERANCE)
+    return orders, items, payments, comparison, excluded
+
+
+@register("reconcile_orders", with_entities(SQL_RECON + "SELECT * FROM cmp", *RECON_VIEWS))
+def q_reconcile_orders(spark, sf):
+    return recon_inputs(spark, sf)[3]
+
+
+@register("reconcile_excluded", with_entities(SQL_RECON + "SELECT * FROM exc", *RECON_VIEWS))
+def q_reconcile_excluded(spark, sf):
+    return recon_inputs(spark, sf)[4]
+
+
+@register("quarantine_orders", with_entities(SQL_RECON + "SELECT * FROM q", *RECON_VIEWS))
+def q_quarantine_orders(spark, sf):
+    orders, _, _, comparison, excluded = recon_inputs(spark, sf)
+    return reconcile.build_quarantine_records(comparison, excluded, orders)
+
+
+def _after_quarantine(spark, sf, which: int):
+    orders, items, payments, comparison, excluded = recon_inputs(spark, sf)
+    q = reconcile.build_quarantine_records(comparison, excluded, orders)
+    return reconcile.remove_quarantined((orders, items, payments)[which], q)
+
+
+_NOT_Q = "WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM q)"
+
+
+@register(
+    "orders_after_quarantine",
+    with_entities(SQL_RECON + f"SELECT * FROM o {_NOT_Q}", *RECON_VIEWS),
+)
+def q_orders_after_quarantine(spark, sf):
+    return _after_quarantine(spark, sf, 0)
+
+
+@register(
+    "items_after_quarantine",
+    with_entities(SQL_RECON + f"SELECT * FROM items {_NOT_Q}", *RECON_VIEWS),
+)
+def q_items_after_quarantine(spark, sf):
+    return _after_quarantine(spark, sf, 1)
+
+
+@register(
+    "payments_after_quarantine",
+    with_entities(SQL_RECON + f"SELECT * FROM pay {_NOT_Q}", *RECON_VIEWS),
+)
+def q_payments_after_quarantine(spark, sf):
+    return _after_quarantine(spark, sf, 2)
+
+
+@register(
+    "reconciliation_summary",
+    with_entities(
+        SQL_RECON
+        + f"""
+SELECT (SELECT COUNT(*) FROM cmp) AS total_orders_checked,
+       (SELECT COUNT(*) FROM cmp WHERE passed) AS orders_passed,
+       (SELECT COUNT(*) FROM cmp WHERE NOT passed) AS orders_failed,
+       (SELECT MAX(difference) FROM cmp) AS max_difference,
+       CAST({RECON_TOLERANCE} AS DOUBLE) AS tolerance_used,
+       (SELECT COUNT(*) FROM exc) AS excluded_order_count
+""",
+        *RECON_VIEWS,
+    ),
+)
+def q_reconciliation_summary(spark, sf):
+    _, _, _, comparison, excluded = recon_inputs(spark, sf)
+    return reconcile.reconciliation_summary(comparison, excluded, RECON_TOLERANCE)
+
+
+@register(
+    "excluded_by_status",
+    with_entities(
+        SQL_RECON
+        + """
+SELECT o.order_status, COUNT(*) AS count FROM exc LEFT JOIN o USING (order_id)
+GROUP BY o.order_status
+""",
+        *RECON_VIEWS,
+    ),
+)
+def q_excluded_by_status(spark, sf):
+    orders, _, _, _, excluded = recon_inputs(spark, sf)
+    return reconcile.excluded_by_status(excluded, orders)
+
+
+@register(
+    "worst_order",
+    with_entities(
+        SQL_RECON
+        + "SELECT order_id, difference FROM cmp WHERE NOT passed "
+        "ORDER BY difference DESC, order_id LIMIT 1",
+        *RECON_VIEWS,
+    ),
+)
+def q_worst_order(spark, sf):
+    return reconcile.worst_order(recon_inputs(spark, sf)[3])
