@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import dedupe, keys, reconcile, reports
+from strata.operators import checks, clean, dedupe, keys, reconcile, reports
 from strata.plans import adapters as ad
 from strata.rules import RETAIL_RULES
 
@@ -478,3 +478,341 @@ def q_excluded_by_status(spark, sf):
 )
 def q_worst_order(spark, sf):
     return reconcile.worst_order(recon_inputs(spark, sf)[3])
+
+
+# ----------------------------------------------------------------------------
+# E1-E7 cleansers over the raw (CSV-shaped) entities
+# ----------------------------------------------------------------------------
+TS_TEXT = "'%Y-%m-%d %H:%M:%S'"
+NULL_TEXT = "CAST(NULL AS VARCHAR)"
+RAW_SQL = {
+    "customers": """
+  SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
+         CAST(c_nationkey AS BIGINT) AS customer_zip_code_prefix,
+         lower(c_mktsegment) AS customer_city, lower(CAST(c_nationkey AS VARCHAR)) AS customer_state
+  FROM customer""",
+    "orders": f"""
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+         o_orderstatus AS order_status,
+         strftime(o_orderdate, {TS_TEXT}) AS order_purchase_timestamp,
+         {NULL_TEXT} AS order_approved_at, {NULL_TEXT} AS order_delivered_carrier_date,
+         {NULL_TEXT} AS order_delivered_customer_date, {NULL_TEXT} AS order_estimated_delivery_date
+  FROM orders""",
+    "order_items": f"""
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS BIGINT) AS order_item_id,
+         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+         strftime(l_shipdate, {TS_TEXT}) AS shipping_limit_date, l_extendedprice AS price,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE)
+           AS freight_value
+  FROM lineitem""",
+    "products": """
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category_name,
+         CAST(length(p_name) AS BIGINT) AS product_name_lenght,
+         CAST(length(p_brand) AS BIGINT) AS product_description_lenght,
+         CAST(1 AS BIGINT) AS product_photos_qty, CAST(p_size AS BIGINT) AS product_weight_g,
+         CAST(p_size AS BIGINT) AS product_length_cm, CAST(p_size AS BIGINT) AS product_height_cm,
+         CAST(p_size AS BIGINT) AS product_width_cm
+  FROM part""",
+    "sellers": """
+  SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, CAST(s_nationkey AS BIGINT) AS seller_zip_code_prefix,
+         lower(s_name) AS seller_city, CAST(s_nationkey AS VARCHAR) AS seller_state
+  FROM supplier""",
+    "payments": """
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(1 AS BIGINT) AS payment_sequential,
+         'credit_card' AS payment_type, CAST(1 AS BIGINT) AS payment_installments,
+         o_totalprice AS payment_value
+  FROM orders""",
+    "reviews": f"""
+  SELECT CAST(o_orderkey AS VARCHAR) AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+         CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS review_score,
+         {NULL_TEXT} AS review_comment_title, {NULL_TEXT} AS review_comment_message,
+         strftime(o_orderdate, {TS_TEXT}) AS review_creation_date,
+         {NULL_TEXT} AS review_answer_timestamp
+  FROM orders WHERE o_orderstatus = 'F'""",
+}
+
+
+def _ts(col: str) -> str:
+    return f"strptime({col}, {TS_TEXT}) AS {col}"
+
+
+# Cleansed (staging) entities restated in SQL over the raw views.
+STG_SQL = {
+    "customers": """SELECT customer_id, customer_unique_id, customer_zip_code_prefix,
+       upper(customer_city) AS customer_city, upper(customer_state) AS customer_state
+  FROM raw_customers""",
+    "orders": "SELECT order_id, customer_id, order_status, "
+    + ", ".join(_ts(c) for c in clean.ORDER_DATES)
+    + " FROM raw_orders",
+    "order_items": "SELECT order_id, order_item_id, product_id, seller_id, "
+    + _ts("shipping_limit_date")
+    + ", price, freight_value FROM raw_order_items",
+    "products": """SELECT product_id, COALESCE(product_category_name, 'unknown') AS product_category_name,
+       product_name_lenght AS product_name_length,
+       product_description_lenght AS product_description_length,
+       product_photos_qty, product_weight_g, product_length_cm, product_height_cm, product_width_cm
+  FROM raw_products""",
+    "sellers": """SELECT seller_id, seller_zip_code_prefix, upper(seller_city) AS seller_city,
+       upper(seller_state) AS seller_state FROM raw_sellers""",
+    "payments": "SELECT * FROM raw_payments",
+    "reviews": "SELECT review_id, order_id, review_score, review_comment_title, "
+    "review_comment_message, "
+    + ", ".join(_ts(c) for c in clean.REVIEW_DATES)
+    + " FROM raw_reviews",
+}
+
+
+def with_raw(body: str, *entities: str, staged: bool = False) -> str:
+    ctes = [f"raw_{e} AS ({RAW_SQL[e]})" for e in entities]
+    if staged:
+        ctes += [f"stg_{e} AS ({STG_SQL[e]})" for e in entities]
+    body = body.strip()
+    if body.upper().startswith("WITH "):
+        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
+    return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def staged_entities(spark, sf):
+    return {e: clean.clean_entity(e, df) for e, df in ad.raw_entities(spark, sf).items()}
+
+
+def _register_cleaner(entity: str):
+    @register(f"clean_{entity}", with_raw(f"SELECT * FROM stg_{entity}", entity, staged=True))
+    def q(spark, sf):
+        return clean.clean_entity(entity, ad.RAW[entity](spark, sf))
+
+    q.__name__ = f"q_clean_{entity}"
+    return q
+
+
+for _entity in RETAIL_RULES.entity_order:
+    _register_cleaner(_entity)
+
+
+@register(
+    "unparsable_dates",
+    with_raw(
+        "SELECT "
+        + ", ".join(
+            f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND try_strptime({c}, {TS_TEXT}) IS NULL) AS {c}"
+            for c in clean.ORDER_DATES
+        )
+        + " FROM raw_orders",
+        "orders",
+    ),
+)
+def q_unparsable_dates(spark, sf):
+    from strata.functions.columns import unparsable_dates
+
+    return unparsable_dates(ad.raw_orders(spark, sf), clean.ORDER_DATES)
+
+
+# ----------------------------------------------------------------------------
+# G1-G7 gates as findings tables
+# ----------------------------------------------------------------------------
+
+
+@register(
+    "payment_value_checks",
+    with_entities(
+        """
+WITH c AS (SELECT COUNT(*) FILTER (WHERE payment_value < 0) AS negative_count,
+                  COUNT(*) FILTER (WHERE payment_value = 0) AS zero_count,
+                  COUNT(*) FILTER (WHERE payment_value IS NULL) AS null_count,
+                  COUNT(*) FILTER (WHERE isnan(payment_value)) AS nan_count FROM pay)
+SELECT 'payment_value' AS "check", 'payments' AS entity, 'payment_value' AS "column",
+       'negative_count' AS metric, CAST(negative_count AS DOUBLE) AS value,
+       CAST(0 AS DOUBLE) AS "limit", negative_count = 0 AS passed FROM c
+UNION ALL SELECT 'payment_value', 'payments', 'payment_value', 'zero_count',
+       CAST(zero_count AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM c
+UNION ALL SELECT 'payment_value', 'payments', 'payment_value', 'null_count',
+       CAST(null_count AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM c
+UNION ALL SELECT 'payment_value', 'payments', 'payment_value', 'nan_count',
+       CAST(nan_count AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM c
+""",
+        "pay",
+    ),
+)
+def q_payment_value_checks(spark, sf):
+    return checks.payment_value_checks(ad.core_payments(spark, sf))
+
+
+def _schema_oracle() -> str:
+    parts = []
+    for e, cols in RETAIL_RULES.schemas.items():
+        values = ", ".join(f"('{c}', '{t}', {i})" for i, (c, t) in enumerate(cols.items()))
+        parts.append(
+            f"""SELECT '{e}' AS entity, x.column_name AS "column", x.expected_type,
+       CASE d.column_type WHEN 'VARCHAR' THEN 'String' WHEN 'BIGINT' THEN 'Int64'
+            WHEN 'DOUBLE' THEN 'Float64' ELSE lower(d.column_type) END AS actual_type
+FROM (VALUES {values}) AS x(column_name, expected_type, pos)
+LEFT JOIN (DESCRIBE raw_{e}) d USING (column_name)"""
+        )
+    body = "\nUNION ALL\n".join(parts)
+    return with_raw(
+        f"""
+SELECT entity, "column", expected_type, actual_type,
+       CASE WHEN actual_type IS NULL THEN 'missing_column'
+            WHEN actual_type = expected_type THEN 'ok' ELSE 'type_mismatch' END AS status,
+       COALESCE(actual_type = expected_type, FALSE) AS passed
+FROM ({body}) s
+""",
+        *RETAIL_RULES.schemas,
+    )
+
+
+@register("schema_findings", _schema_oracle())
+def q_schema_findings(spark, sf):
+    raw = ad.raw_entities(spark, sf)
+    frames = [
+        checks.schema_findings(spark, e, raw[e].schema, cols)
+        for e, cols in RETAIL_RULES.schemas.items()
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.drop("_order")
+
+
+def _pk_oracle() -> str:
+    views = {
+        "customers": "cust",
+        "orders": "o",
+        "products": "prod",
+        "sellers": "sell",
+        "reviews": "rev",
+        "payments": "pay",
+        "order_items": "items",
+    }
+    parts = []
+    for e, key in RETAIL_RULES.primary_keys.items():
+        k = ", ".join(key)
+        parts.append(
+            f"""SELECT '{e}' AS entity, '{",".join(key)}' AS "key",
+       CAST(COALESCE(SUM(n), 0) AS BIGINT) AS "rows", COUNT(*) AS distinct_keys,
+       COUNT(*) FILTER (WHERE n > 1) AS duplicated_keys,
+       CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS surplus_rows,
+       COALESCE(SUM(n - 1), 0) = 0 AS passed
+FROM (SELECT {k}, COUNT(*) AS n FROM {views[e]} GROUP BY {k}) g"""
+        )
+    return with_entities("\nUNION ALL\n".join(parts), *views.values())
+
+
+@register("pk_uniqueness", _pk_oracle())
+def q_pk_uniqueness(spark, sf):
+    ents = ad.core_entities(spark, sf)
+    frames = [
+        checks.primary_key_findings(ents[e], e, key)
+        for e, key in RETAIL_RULES.primary_keys.items()
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _null_rate_sql(e: str, c: str, t: float) -> str:
+    return f"""SELECT '{e}' AS entity, '{c}' AS "column",
+       CASE WHEN COUNT(*) > 0 THEN CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / COUNT(*)
+            ELSE 0.0 END AS null_rate,
+       CAST({t} AS DOUBLE) AS threshold FROM stg_{e}"""
+
+
+def _null_oracle() -> str:
+    parts = [
+        _null_rate_sql(e, c, t)
+        for e, cols in RETAIL_RULES.null_thresholds.items()
+        for c, t in cols.items()
+    ]
+    return with_raw(
+        "SELECT *, null_rate <= threshold AS passed FROM ("
+        + "\nUNION ALL\n".join(parts)
+        + ") s",
+        *RETAIL_RULES.null_thresholds,
+        staged=True,
+    )
+
+
+@register("null_rates", _null_oracle())
+def q_null_rates(spark, sf):
+    ents = staged_entities(spark, sf)
+    frames = [
+        checks.null_rate_findings(ents[e], e, cols)
+        for e, cols in RETAIL_RULES.null_thresholds.items()
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _quality_oracle() -> str:
+    parts = []
+    for e, key in RETAIL_RULES.primary_keys.items():
+        k = ", ".join(key)
+        parts.append(
+            f"""SELECT 'primary_key' AS "check", '{e}' AS entity, '{",".join(key)}' AS "column",
+       'duplicate_count' AS metric, CAST(COALESCE(SUM(n - 1), 0) AS DOUBLE) AS value,
+       CAST(0 AS DOUBLE) AS "limit", COALESCE(SUM(n - 1), 0) = 0 AS passed
+FROM (SELECT {k}, COUNT(*) AS n FROM stg_{e} GROUP BY {k}) g"""
+        )
+        for c, t in RETAIL_RULES.null_thresholds.get(e, {}).items():
+            parts.append(
+                f"""SELECT 'null_rate', entity, "column", 'null_rate', null_rate, threshold,
+       null_rate <= threshold FROM ({_null_rate_sql(e, c, t)}) r"""
+            )
+    return with_raw("\nUNION ALL\n".join(parts), *RETAIL_RULES.primary_keys, staged=True)
+
+
+@register("quality_gate", _quality_oracle())
+def q_quality_gate(spark, sf):
+    return checks.quality_findings(staged_entities(spark, sf), RETAIL_RULES).drop("_order")
+
+
+SQL_SALES = (
+    ORACLE["sales_performance"]
+    .replace("\nSELECT month, gmv, order_count", ",\nsales AS (SELECT month, gmv, order_count")
+    .replace("FROM gmv JOIN cnt USING (month)", "FROM gmv JOIN cnt USING (month))")
+)
+
+
+@register(
+    "gmv_reconciliation",
+    SQL_SALES
+    + f"""
+, t AS (SELECT (SELECT COALESCE(SUM(CAST(gmv AS {MONEY})), 0) FROM sales) AS a,
+               (SELECT COALESCE(SUM(CAST(payment_value AS {MONEY})), 0) FROM pay) AS c)
+SELECT CAST(a AS DOUBLE) AS analytics_gmv, CAST(c AS DOUBLE) AS core_payments_total,
+       CAST(abs(a - c) AS DOUBLE) AS difference,
+       abs(a - c) <= CAST({checks.GMV_TOLERANCE} AS {MONEY}) AS passed
+FROM t
+""",
+)
+def q_gmv_reconciliation(spark, sf):
+    sales = q_sales_performance(spark, sf)
+    return checks.gmv_reconciliation(sales, ad.core_payments(spark, sf))
+
+
+SQL_SALES_CLV = (
+    SQL_SALES.replace("cnt AS", "scnt AS").replace("JOIN cnt USING (month)", "JOIN scnt USING (month)")
+    + """,
+clvs AS (SELECT o.customer_id, CAST(SUM(CAST(pay.payment_value AS DECIMAL(20,4))) AS DOUBLE) AS clv
+         FROM pay JOIN o USING (order_id) GROUP BY o.customer_id)
+"""
+)
+
+
+@register(
+    "key_nulls",
+    SQL_SALES_CLV
+    + """
+SELECT *, null_count = 0 AS passed FROM (
+  SELECT 'gmv' AS "column", COUNT(*) FILTER (WHERE gmv IS NULL) AS null_count FROM sales
+  UNION ALL SELECT 'aov', COUNT(*) FILTER (WHERE aov IS NULL) FROM sales
+  UNION ALL SELECT 'clv', COUNT(*) FILTER (WHERE clv IS NULL) FROM clvs) k
+""",
+)
+def q_key_nulls(spark, sf):
+    sales = q_sales_performance(spark, sf)
+    clv = q_customer_lifetime_value(spark, sf)
+    return checks.key_null_findings(sales, clv)
