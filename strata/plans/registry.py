@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import checks, clean, dedupe, keys, reconcile, reports
+from strata import sources
+from strata.operators import audit, checks, clean, dedupe, keys, reconcile, reports
 from strata.plans import adapters as ad
 from strata.rules import RETAIL_RULES
 
@@ -816,3 +817,142 @@ def q_key_nulls(spark, sf):
     sales = q_sales_performance(spark, sf)
     clv = q_customer_lifetime_value(spark, sf)
     return checks.key_null_findings(sales, clv)
+
+
+# ----------------------------------------------------------------------------
+# S1-S10 sources and sinks (scratch data goes under the shared checkpoint dir)
+# ----------------------------------------------------------------------------
+
+
+@register("csv_roundtrip", with_raw("SELECT * FROM raw_order_items", "order_items"))
+def q_csv_roundtrip(spark, sf):
+    path = sources.scratch_path(spark, "csv-order-items")
+    sources.write_csv(ad.raw_order_items(spark, sf), path)
+    return sources.read_csv(spark, path, RETAIL_RULES.struct_type("order_items"))
+
+
+@register("csv_ingest_payments", with_raw("SELECT * FROM raw_payments", "payments"))
+def q_csv_ingest_payments(spark, sf):
+    base = sources.scratch_path(spark, "ingest")
+    src = f"{base}/source/payments.csv"
+    sources.write_csv(ad.raw_payments(spark, sf), src)
+    info = sources.ingest_file(spark, src, f"{base}/raw", RETAIL_RULES.struct_type("payments"))
+    return sources.read_parquet(spark, info["output_file_path"])
+
+
+@register("parquet_roundtrip", with_entities("SELECT * FROM items", "items"))
+def q_parquet_roundtrip(spark, sf):
+    path = sources.scratch_path(spark, "parquet-order-items")
+    sources.write_parquet(ad.core_order_items(spark, sf), path)
+    return sources.read_parquet(spark, path)
+
+
+@register("source_manifest")
+def q_source_manifest(spark, sf):
+    return sources.source_manifest(spark, sf, [f"{t}.parquet" for t in ad.TABLES])
+
+
+@register(
+    "raw_completeness",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}.parquet' AS dataset, "
+        f"CASE WHEN EXISTS (SELECT 1 FROM {t}) THEN 'ok' ELSE 'empty' END AS status"
+        for t in ad.TABLES
+    ),
+)
+def q_raw_completeness(spark, sf):
+    return sources.raw_completeness(spark, sf, [f"{t}.parquet" for t in ad.TABLES])
+
+
+# ----------------------------------------------------------------------------
+# A1-A3 audit tables
+# ----------------------------------------------------------------------------
+_ENTITY_VIEWS = {
+    "customers": "cust",
+    "orders": "o",
+    "order_items": "items",
+    "products": "prod",
+    "sellers": "sell",
+    "payments": "pay",
+    "reviews": "rev",
+}
+
+
+@register(
+    "layer_metrics",
+    with_entities(
+        "\nUNION ALL\n".join(
+            f"SELECT '{e}' AS entity, COUNT(*) AS row_count FROM {v}"
+            for e, v in _ENTITY_VIEWS.items()
+        ),
+        *_ENTITY_VIEWS.values(),
+    ),
+)
+def q_layer_metrics(spark, sf):
+    return audit.entity_row_counts(ad.core_entities(spark, sf))
+
+
+_RECON_METRICS = [
+    "total_orders_checked",
+    "orders_passed",
+    "orders_failed",
+    "max_difference",
+    "tolerance_used",
+    "excluded_order_count",
+]
+
+
+def _core_quality_oracle() -> str:
+    dedup = (
+        "SELECT 'deduplication' AS card, entity, CAST(NULL AS VARCHAR) AS \"column\", "
+        "'removed_count' AS metric, CAST(surplus_rows AS DOUBLE) AS value "
+        f"FROM ({ORACLE['pk_uniqueness']}) d"
+    )
+    fk = (
+        "SELECT 'foreign_key_validation', entity, \"column\", 'removed_count', "
+        f"CAST(removed_count AS DOUBLE) FROM ({ORACLE['fk_report']}) f"
+    )
+    recon = "\nUNION ALL\n".join(
+        f"SELECT 'financial_reconciliation', 'orders', CAST(NULL AS VARCHAR), '{m}', "
+        f"CAST({m} AS DOUBLE) FROM ({ORACLE['reconciliation_summary']}) r"
+        for m in _RECON_METRICS
+    )
+    return f"{dedup}\nUNION ALL\n{fk}\nUNION ALL\n{recon}"
+
+
+@register("core_quality", _core_quality_oracle())
+def q_core_quality(spark, sf):
+    ents = ad.core_entities(spark, sf)
+    dedup = audit._union(
+        [
+            dedupe.duplicate_summary(ents[e], key).select(
+                F.lit(e).alias("entity"), F.col("surplus_rows").alias("removed_count")
+            )
+            for e, key in RETAIL_RULES.primary_keys.items()
+        ]
+    )
+    fk_report = q_fk_report(spark, sf)
+    summary = q_reconciliation_summary(spark, sf)
+    return audit.core_quality_report(dedup, fk_report, summary)
+
+
+def _report_ranges_oracle() -> str:
+    parts = []
+    for name, cols in audit.REPORT_VALUE_COLUMNS.items():
+        for c in cols:
+            parts.append(
+                f"SELECT '{name}' AS report, '{c}' AS \"column\", COUNT(*) AS row_count, "
+                f"CAST(MIN({c}) AS DOUBLE) AS min_value, CAST(MAX({c}) AS DOUBLE) AS max_value "
+                f"FROM ({ORACLE[name]}) t"
+            )
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("report_ranges", _report_ranges_oracle())
+def q_report_ranges(spark, sf):
+    return audit.report_ranges(
+        {
+            name: (QUERIES[name](spark, sf), cols)
+            for name, cols in audit.REPORT_VALUE_COLUMNS.items()
+        }
+    )
