@@ -210,36 +210,60 @@ def null_rate_findings(df: DataFrame, entity: str, thresholds: dict[str, float])
     ).select("f.*")
 
 
+def entity_profile(df: DataFrame, key: list[str], null_columns: list[str]) -> DataFrame:
+    """One pass over ``df`` for G3 and G4 together: rows, distinct_keys,
+    duplicated_keys, surplus_rows and a null count per named column.
+
+    Rows are grouped by the key (partial aggregation on the map side), so the
+    null counts ride along the key shuffle instead of costing a second scan.
+    """
+    missing = [c for c in [*key, *null_columns] if c not in df.columns]
+    if missing:
+        raise ValueError(f"column(s) not found: {missing}")
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(null_columns)],
+    )
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.count_if(F.col("_n") > 1).alias("duplicated_keys"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("surplus_rows"),
+        *[
+            F.coalesce(F.sum(f"_z{i}"), F.lit(0)).cast("long").alias(f"_z{i}")
+            for i in range(len(null_columns))
+        ],
+    )
+
+
 def quality_findings(entities: dict[str, DataFrame], rules: Rules) -> DataFrame:
     """Primary-key then null-rate findings for each entity in rule order,
-    in the common findings shape (plus ``_order``)."""
+    in the common findings shape (plus ``_order``).  One aggregate per
+    entity covers both checks."""
     parts = []
     for i, (entity, key) in enumerate(rules.primary_keys.items()):
-        df = entities[entity]
-        pk = primary_key_findings(df, entity, key).select(
-            F.lit("primary_key").alias("check"),
-            "entity",
-            F.col("key").alias("column"),
-            F.lit("duplicate_count").alias("metric"),
-            F.col("surplus_rows").cast("double").alias("value"),
-            F.lit(0.0).alias("limit"),
-            "passed",
-            F.lit(2 * i).alias("_order"),
-        )
-        parts.append(pk)
         thresholds = rules.null_thresholds.get(entity, {})
-        if thresholds:
-            nr = null_rate_findings(df, entity, thresholds).select(
-                F.lit("null_rate").alias("check"),
-                "entity",
-                "column",
-                F.lit("null_rate").alias("metric"),
-                F.col("null_rate").alias("value"),
-                F.col("threshold").alias("limit"),
-                "passed",
-                F.lit(2 * i + 1).alias("_order"),
+        cols = list(thresholds)
+        prof = entity_profile(entities[entity], key, cols)
+        rows = [
+            f"'primary_key', '{','.join(key)}', 'duplicate_count', "
+            f"CAST(surplus_rows AS DOUBLE), CAST(0.0 AS DOUBLE), surplus_rows = 0, {2 * i}"
+        ]
+        for j, (c, t) in enumerate(thresholds.items()):
+            rate = f"(CASE WHEN rows > 0 THEN CAST(_z{j} AS DOUBLE) / rows ELSE 0.0 END)"
+            rows.append(
+                f"'null_rate', '{c}', 'null_rate', {rate}, CAST({float(t)!r} AS DOUBLE), "
+                f"{rate} <= CAST({float(t)!r} AS DOUBLE), {2 * i + 1}"
+            )
+        parts.append(
+            prof.selectExpr(
+                f"stack({len(rows)}, {', '.join(rows)}) "
+                "AS (check, column, metric, value, limit, passed, _order)"
+            ).select(
+                "check", F.lit(entity).alias("entity"), "column", "metric", "value", "limit",
+                "passed", "_order",
             )
-            parts.append(nr)
+        )
     return _union(parts)
 
 

@@ -35,8 +35,20 @@ TABLES = [
 ]
 
 
+# The driver tables are read-only: the DataFrame of each (session, path) is
+# made once, so file listing and footer reading are not repeated by every
+# adapter that projects the same table.  Only the lazy plan is kept, no data.
+_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _TABLES.get(path)
+    if hit is not None and hit[0] is spark and spark._sc._jsc is not None:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _TABLES[path] = (spark, df)
+    return df
 
 
 def _text_ts(col: str):
