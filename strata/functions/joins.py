@@ -21,18 +21,52 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+# Null child keys never match a parent, yet hash to one shuffle partition:
+# a third of all rows with a null key would land in one task.  They are
+# spread over this many partitions by a salt taken from the row's own values.
+NULL_KEY_SALTS = 64
+
+
 def flag_membership(
-    child: DataFrame, column: str, keys: DataFrame, key_column: str, flag: str
+    child: DataFrame,
+    column: str,
+    keys: DataFrame,
+    key_column: str,
+    flag: str,
+    broadcast_keys: bool = False,
 ) -> DataFrame:
     """Add boolean ``flag``: True where ``child[column]`` is among the keys.
 
     A left join against the *distinct* keys with a literal marker keeps the
     child's row count (no fan-out) and makes per-rule counts a single pass.
-    A null child value never matches, so its flag is False.
+    A null child value never matches, so its flag is False; those rows get a
+    deterministic salt in the join key so they do not pile into one task.
+    ``broadcast_keys`` ships the key set to every executor; set it only after
+    bounding its size (see ``bounded_broadcast``).
     """
     marker = f"__{flag}_hit"
-    k = keys.select(F.col(key_column).alias(column)).distinct().withColumn(marker, F.lit(True))
-    return (
-        child.join(k, on=column, how="left")
-        .select(*child.columns, F.coalesce(F.col(marker), F.lit(False)).alias(flag))
+    salt = f"__{flag}_salt"
+    k = (
+        keys.select(F.col(key_column).alias(column))
+        .filter(F.col(column).isNotNull())
+        .distinct()
+        # The parent salt is always 0, written as an expression of the key
+        # so Catalyst keeps it a join key (a literal 0 is folded into a join
+        # filter, and the null rows would again share one partition).
+        .select(
+            column,
+            F.pmod(F.xxhash64(column), F.lit(1)).cast("int").alias(salt),
+            F.lit(True).alias(marker),
+        )
+    )
+    if broadcast_keys:
+        k = F.broadcast(k)
+    salted = child.withColumn(
+        salt,
+        F.when(F.col(column).isNull(), F.pmod(F.xxhash64(*child.columns), F.lit(NULL_KEY_SALTS)))
+        .otherwise(F.lit(0))
+        .cast("int"),
+    )
+    return salted.join(k, on=[column, salt], how="left").select(
+        *child.columns, F.coalesce(F.col(marker), F.lit(False)).alias(flag)
     )

@@ -40,11 +40,21 @@ def check_foreign_key(
     return flagged, missing
 
 
-def _flag_all(df: DataFrame, fks: list[ForeignKey], parents: dict[str, DataFrame]) -> DataFrame:
+def _flag_all(
+    df: DataFrame,
+    fks: list[ForeignKey],
+    parents: dict[str, DataFrame],
+    broadcast_parents: frozenset[str] = frozenset(),
+) -> DataFrame:
     flagged = df
     for i, fk in enumerate(fks):
         flagged = flag_membership(
-            flagged, fk.column, parents[fk.parent], fk.parent_column, f"_fk_ok_{i}"
+            flagged,
+            fk.column,
+            parents[fk.parent],
+            fk.parent_column,
+            f"_fk_ok_{i}",
+            broadcast_keys=fk.parent in broadcast_parents,
         )
     return flagged
 

@@ -136,8 +136,12 @@ def run_staging(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RU
 
 
 def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES,
-             run_id: str | None = None) -> dict:
-    """L3: D1 per entity -> F3 cascade -> R4 reconciliation -> A1, A2."""
+             run_id: str | None = None, broadcast_max_rows: int = 1_000_000) -> dict:
+    """L3: D1 per entity -> F3 cascade -> R4 reconciliation -> A1, A2.
+
+    ``broadcast_max_rows``: a parent whose stage holds at most this many rows
+    (checked with a bounded ``limit(n + 1).count()``) is broadcast to the FK
+    joins; larger parents use shuffle joins."""
     ensure_defaults(spark)
     run_id = run_id or uuid.uuid4().hex
 
@@ -162,7 +166,13 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     for e in rules.fk_order():
         fks = rules.foreign_keys[e]
         parents = {fk.parent: spark.read.parquet(stage[fk.parent]) for fk in fks}
-        flagged = keys._flag_all(spark.read.parquet(stage[e]), fks, parents)
+        # Parents with a proven small key set are broadcast; the rest stay
+        # shuffle joins (AQE may still convert them from measured sizes).
+        small = frozenset(
+            name for name, df in parents.items()
+            if df.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+        )
+        flagged = keys._flag_all(spark.read.parquet(stage[e]), fks, parents, small)
         sources.write_parquet(flagged, paths.core("2_keys_flagged", e))
         flagged = spark.read.parquet(paths.core("2_keys_flagged", e))
         flags = [f"_fk_ok_{i}" for i in range(len(fks))]

@@ -125,3 +125,33 @@ def test_quarantine_removal_drops_null_order_ids(spark):
     df = spark.createDataFrame([("o1",), (None,)], "order_id string")
     q = spark.createDataFrame([("o2",)], "order_id string")
     assert [r["order_id"] for r in reconcile.remove_quarantined(df, q).collect()] == ["o1"]
+
+
+def test_fk_many_null_keys_are_spread_and_counted(spark):
+    rows = [(None, i) for i in range(3000)] + [(f"o{i % 5}", i) for i in range(6000)]
+    child = spark.createDataFrame(rows, "order_id string, n int")
+    parent = spark.createDataFrame([("o0",), ("o1",)], "order_id string")
+    flagged, missing = keys.check_foreign_key(child, "order_id", parent, "order_id")
+    counts = {r["_fk_ok"]: r["count"] for r in flagged.groupBy("_fk_ok").count().collect()}
+    assert counts == {True: 2400, False: 6600}
+    assert sorted(r["order_id"] for r in missing.collect()) == ["o2", "o3", "o4"]
+    # with a shuffle join, the null rows go to many partitions, not one
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        flagged, _ = keys.check_foreign_key(child, "order_id", parent, "order_id")
+        nulls = flagged.filter("order_id IS NULL")
+        per_part = nulls.rdd.glom().map(len).filter(lambda n: n > 0).count()
+        assert per_part > 1
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
