@@ -956,3 +956,25 @@ def q_report_ranges(spark, sf):
             for name, cols in audit.REPORT_VALUE_COLUMNS.items()
         }
     )
+
+
+# ----------------------------------------------------------------------------
+# Incremental ingest (Structured Streaming file source, availableNow)
+# ----------------------------------------------------------------------------
+
+
+@register("stream_ingest_payments", with_raw("SELECT * FROM raw_payments", "payments"))
+def q_stream_ingest_payments(spark, sf):
+    from strata.streaming import ingest_stream
+
+    base = sources.scratch_path(spark, "stream-ingest")
+    sources.write_csv(ad.raw_payments(spark, sf).repartition(4), f"{base}/source")
+    ingest_stream(
+        spark,
+        f"{base}/source",
+        f"{base}/raw",
+        "payments",
+        RETAIL_RULES.struct_type("payments"),
+        checkpoint=f"{base}/checkpoint",
+    )
+    return sources.read_parquet(spark, f"{base}/raw/payments").drop("batch_id")
