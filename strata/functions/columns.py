@@ -102,6 +102,22 @@ def month_label(col: str | Column) -> Column:
     return F.date_format(c, "yyyy-MM")
 
 
+def month_index(col: str | Column) -> Column:
+    """Months since year 0 (``year * 12 + month - 1``) as an int.
+
+    Grouping, min/max and month ranges run on this fixed-width value (hash
+    aggregation, cheap shuffles); ``month_label_of`` turns it into the
+    ``yyyy-MM`` text only on the few output rows."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.year(c) * 12 + F.month(c) - 1
+
+
+def month_label_of(index: str | Column) -> Column:
+    """``yyyy-MM`` text of a ``month_index`` value (same text as ``month_label``)."""
+    i = F.col(index) if isinstance(index, str) else index
+    return F.format_string("%04d-%02d", F.floor(i / 12).cast("int"), (F.pmod(i, F.lit(12)) + 1))
+
+
 def money(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return c.cast(MONEY_TYPE)

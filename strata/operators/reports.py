@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import MONEY_TYPE, money, month_label
+from strata.functions.columns import MONEY_TYPE, money, month_index, month_label_of
 
 
 def _zero():
@@ -51,14 +51,14 @@ def sales_performance(
     is left out (the reference's inner join).
     """
     per_order = (
-        orders.select("order_id", month_label("order_purchase_timestamp").alias("month"))
+        orders.select("order_id", month_index("order_purchase_timestamp").alias("_mi"))
         .join(_paid_per_order(payments), "order_id", "left")
         # one row per (month, order): the distinct count below becomes a count
-        .groupBy("month", "order_id")
+        .groupBy("_mi", "order_id")
         .agg(F.sum("_paid").alias("_paid"), F.sum("_n_pay").alias("_n_pay"))
     )
     monthly = (
-        per_order.groupBy("month")
+        per_order.groupBy("_mi")
         .agg(
             F.coalesce(F.sum("_paid"), _zero()).cast("double").alias("gmv"),
             _distinct_count("order_id", null_aware).alias("order_count"),
@@ -66,9 +66,12 @@ def sales_performance(
         )
         .filter(F.col("_n_pay") > 0)
     )
-    return monthly.select(
-        "month", "gmv", "order_count", (F.col("gmv") / F.col("order_count")).alias("aov")
-    ).orderBy("month")
+    return monthly.orderBy("_mi").select(
+        month_label_of("_mi").alias("month"),
+        "gmv",
+        "order_count",
+        (F.col("gmv") / F.col("order_count")).alias("aov"),
+    )
 
 
 # ------------------------------------------------------------------ B2
@@ -179,46 +182,34 @@ def customer_retention(
     """
     dated = orders.filter(F.col("order_purchase_timestamp").isNotNull()).select(
         F.col(customer_key).alias("_cust"),
-        month_label("order_purchase_timestamp").alias("_month"),
+        month_index("order_purchase_timestamp").alias("_mi"),
     )
     per_customer = dated.groupBy("_cust").agg(
-        F.min("_month").alias("cohort_month"),
-        F.collect_set("_month").alias("_months"),
+        F.min("_mi").alias("_cohort"),
+        F.collect_set("_mi").alias("_months"),
     )
     activity = (
-        per_customer.select("cohort_month", F.explode("_months").alias("activity_month"))
-        .groupBy("cohort_month", "activity_month")
+        per_customer.select("_cohort", F.explode("_months").alias("_active"))
+        .groupBy("_cohort", "_active")
         .agg(F.count(F.lit(1)).alias("active_customers"))
     )
-    cohorts = per_customer.groupBy("cohort_month").agg(
-        F.count(F.lit(1)).alias("cohort_size")
-    )
+    cohorts = per_customer.groupBy("_cohort").agg(F.count(F.lit(1)).alias("cohort_size"))
 
-    observed = dated.select(F.col("_month").alias("activity_month")).distinct()
-    last_month = observed.agg(F.max("activity_month")).scalar()
-
-    def first_day(c):
-        return F.to_date(F.concat(c, F.lit("-01")))
+    observed = dated.select(F.col("_mi").alias("_active")).distinct()
+    last_month = observed.agg(F.max("_active")).scalar()
 
     grid = cohorts.select(
-        "cohort_month",
-        "cohort_size",
-        F.explode(
-            F.sequence(
-                first_day(F.col("cohort_month")),
-                first_day(last_month),
-                F.expr("INTERVAL 1 MONTH"),
-            )
-        ).alias("_d"),
-    ).select("cohort_month", "cohort_size", month_label(F.col("_d")).alias("activity_month"))
+        "_cohort", "cohort_size", F.explode(F.sequence("_cohort", last_month)).alias("_active")
+    )
     if not calendar:
-        grid = grid.join(observed, "activity_month", "left_semi")
+        grid = grid.join(observed, "_active", "left_semi")
 
     return (
-        grid.join(activity, ["cohort_month", "activity_month"], "left")
+        grid.join(activity, ["_cohort", "_active"], "left")
+        .orderBy("_cohort", "_active")
         .select(
-            "cohort_month",
-            "activity_month",
+            month_label_of("_cohort").alias("cohort_month"),
+            month_label_of("_active").alias("activity_month"),
             F.coalesce(F.col("active_customers"), F.lit(0).cast("long")).alias(
                 "active_customers"
             ),
@@ -228,5 +219,4 @@ def customer_retention(
             "retention_rate",
             F.col("active_customers").cast("double") / F.col("cohort_size"),
         )
-        .orderBy("cohort_month", "activity_month")
     )
