@@ -978,3 +978,63 @@ def q_stream_ingest_payments(spark, sf):
         checkpoint=f"{base}/checkpoint",
     )
     return sources.read_parquet(spark, f"{base}/raw/payments").drop("batch_id")
+
+
+# ----------------------------------------------------------------------------
+# P1-P4 single column functions on whole tables
+# ----------------------------------------------------------------------------
+
+
+@register("snake_case", "SELECT * FROM customer")
+def q_snake_case(spark, sf):
+    from strata.functions.columns import to_snake_case
+
+    # Display-style names (spaces, hyphens, case, padding) back to snake_case.
+    display = ["C CustKey", "C Name", "C-NationKey", " C AcctBal ", "C MktSegment"]
+    return to_snake_case(ad.table(spark, sf, "customer").toDF(*display))
+
+
+@register(
+    "uppercase_named",
+    "SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, "
+    "upper(lower(c_mktsegment)) AS c_mktsegment FROM customer",
+)
+def q_uppercase_named(spark, sf):
+    from strata.functions.columns import uppercase_columns
+
+    df = ad.table(spark, sf, "customer").withColumn("c_mktsegment", F.lower("c_mktsegment"))
+    return uppercase_columns(df, ["c_name", "c_mktsegment"])
+
+
+@register(
+    "parse_dates",
+    f"SELECT o_orderkey, strptime(strftime(o_orderdate, {TS_TEXT}), {TS_TEXT}) AS o_orderdate "
+    "FROM orders",
+)
+def q_parse_dates(spark, sf):
+    from strata.functions.columns import TIMESTAMP_PATTERN, parse_dates
+
+    text = ad.table(spark, sf, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", TIMESTAMP_PATTERN).alias("o_orderdate")
+    )
+    return parse_dates(text, ["o_orderdate"])
+
+
+@register(
+    "fill_null",
+    with_entities(
+        """
+SELECT o.order_id, COALESCE(CAST(rev.review_score AS VARCHAR), 'unreviewed') AS review_label
+FROM o LEFT JOIN rev USING (order_id)
+""",
+        "o",
+        "rev",
+    ),
+)
+def q_fill_null(spark, sf):
+    from strata.functions.columns import fill_null_with
+
+    labels = ad.core_orders(spark, sf).join(ad.core_reviews(spark, sf), "order_id", "left").select(
+        "order_id", F.col("review_score").cast("string").alias("review_label")
+    )
+    return fill_null_with(labels, "review_label", "unreviewed")
