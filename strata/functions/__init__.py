@@ -4,7 +4,9 @@ from strata.functions.columns import (  # noqa: F401
     fill_null_with,
     money,
     money_sum,
+    month_index,
     month_label,
+    month_label_of,
     null_aware_count_distinct,
     parse_dates,
     parse_timestamp,
@@ -15,4 +17,8 @@ from strata.functions.columns import (  # noqa: F401
     unparsable_dates,
     uppercase_columns,
 )
-from strata.functions.joins import bounded_broadcast, flag_membership  # noqa: F401
+from strata.functions.joins import (  # noqa: F401
+    bounded_broadcast,
+    fits_broadcast,
+    flag_membership,
+)

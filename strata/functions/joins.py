@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` provably holds at most ``max_rows`` rows.
 
     The check is ``limit(max_rows + 1).count()``: it stops reading once the
     bound is passed, so it costs at most ``max_rows`` rows even on a huge
-    input.  Above the bound the frame is returned unhinted and the join stays a
+    input."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when ``fits_broadcast`` proves its size bound.
+
+    Above the bound the frame is returned unhinted and the join stays a
     shuffle join (AQE may still convert it at run time from measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 # Null child keys never match a parent, yet hash to one shuffle partition:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import sources
+from strata.functions.joins import fits_broadcast
 from strata.operators import audit, checks, clean, dedupe, keys, reconcile, reports
 from strata.rules import RETAIL_RULES, Rules
 from strata.session import ensure_defaults
@@ -169,8 +170,7 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
         # Parents with a proven small key set are broadcast; the rest stay
         # shuffle joins (AQE may still convert them from measured sizes).
         small = frozenset(
-            name for name, df in parents.items()
-            if df.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+            name for name, df in parents.items() if fits_broadcast(df, broadcast_max_rows)
         )
         flagged = keys._flag_all(spark.read.parquet(stage[e]), fks, parents, small)
         sources.write_parquet(flagged, paths.core("2_keys_flagged", e))

@@ -175,17 +175,19 @@ def ingest_file(
     schema: T.StructType,
     entity: str | None = None,
     sep: str = ",",
+    multiline: bool = True,
 ) -> dict:
     """CSV source -> Raw Parquet, verified.
 
     The source row count is taken *during* the write with an ``Observation``
     (no separate count, which would skip parsing pruned columns); the written
     dataset is then counted from its footers and both must agree.  Payments
-    pass the G1 gate before anything is written.
+    pass the G1 gate before anything is written.  ``multiline=False`` makes
+    large files splittable when the source has no quoted line breaks.
     """
     name = entity or source_path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
     out = f"{raw_dir.rstrip('/')}/{name}"
-    df = read_csv(spark, source_path, schema, sep=sep)
+    df = read_csv(spark, source_path, schema, sep=sep, multiline=multiline)
     if name == "payments":
         validate_payments(df)
     obs = Observation(f"ingest_{name}_{uuid.uuid4().hex[:8]}")

@@ -111,3 +111,14 @@ def test_clean_reviews_keeps_null_comments(spark):
     )
     out = clean.clean_reviews(df)
     assert out.count() == 1 and out.first()["review_comment_message"] is None
+
+
+def test_month_index_label_matches_date_format(spark):
+    df = spark.createDataFrame(
+        [(datetime(1995, 1, 1),), (datetime(2001, 12, 31, 23, 59),), (datetime(987, 7, 4),)],
+        "ts timestamp_ntz",
+    )
+    out = df.select(
+        C.month_label("ts").alias("a"), C.month_label_of(C.month_index("ts")).alias("b")
+    ).collect()
+    assert all(r["a"] == r["b"] for r in out)
