@@ -56,6 +56,37 @@ def build_session(
     return spark
 
 
+def cluster_settings(
+    input_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    shuffle_fraction: float = 0.25,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    The shuffled volume is taken as ``shuffle_fraction`` of the input (scans
+    read only the needed columns and aggregates combine on the map side).
+    Shuffle partitions start at one per ``target_partition_bytes`` of it, at
+    least two waves of the cores and at most ``max_partitions`` (map-status
+    memory on the driver grows with the count); AQE then coalesces them to
+    the advisory size, so one setting serves a small and a 100 TB run.  A
+    partition above 5x the median and twice the target counts as skewed and
+    is split by AQE.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    wanted = -(-shuffle_bytes // target_partition_bytes)
+    shuffle = min(max(2 * total_cores, wanted), max(max_partitions, 2 * total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def ensure_defaults(spark: SparkSession) -> None:
     """Apply the runtime SQL settings the operators rely on."""
     for key, value in REQUIRED_CONF.items():

@@ -44,3 +44,12 @@ def test_size_checked_broadcast(spark):
     assert fits_broadcast(small, 10) and not fits_broadcast(small, 9)
     plan = small.join(bounded_broadcast(spark.range(5), 5), "id")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
+
+
+def test_cluster_settings_bounds():
+    from strata.session import cluster_settings
+
+    assert cluster_settings(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_settings(2**30, 64)["spark.sql.shuffle.partitions"] == "128"
+    assert cluster_settings(40 * 2**30, 64)["spark.sql.shuffle.partitions"] == "128"
+    assert cluster_settings(400 * 2**30, 64)["spark.sql.shuffle.partitions"] == "400"
