@@ -115,11 +115,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cut with reliable ``checkpoint()`` or a written stage table.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = sc._jsc.sc().getCheckpointDir()
-        current = current.get() if current.isDefined() else None
-    if not current:
-        current = _scratch_dir("strata-ckpt-")
+    active = sc._jsc.sc().getCheckpointDir()
+    if active.isDefined():
+        # Already set (setCheckpointDir adds a fresh sub-folder per call, so
+        # it is called once only).
+        return active.get()
+    current = sc.getConf().get("spark.checkpoint.dir", None) or _scratch_dir("strata-ckpt-")
     sc.setCheckpointDir(current)
-    return current
+    return sc._jsc.sc().getCheckpointDir().get()
