@@ -108,24 +108,30 @@ def validate_entity_relationships(
 
 
 def clean_relationships(
-    entities: dict[str, DataFrame], rules: Rules
+    entities: dict[str, DataFrame], rules: Rules, checkpoint_parents: bool = False
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """clean every child entity in dependency order, so rows dropped from
     a parent (an order of an unknown customer) also drop the rows that point
     at them (its items, payments and reviews): the cascade.
 
     Returns (entities after cleaning, report of all rules, missing values).
-    The cleaned frames are lazy; the layer runner writes each one to its own
-    stage path before children read it, which cuts the lineage.
+    The cleaned frames are lazy.  With ``checkpoint_parents`` a cleaned
+    entity that later rules read as a parent is written once with a reliable
+    ``checkpoint()`` (under ``spark.checkpoint.dir``), so its children do not
+    each recompute its joins and a lost executor restarts from there.  The
+    layer runner instead writes every step to its own stage path.
     """
     current = dict(entities)
     reports, missings = [], []
+    later_parents = {fk.parent for fks in rules.foreign_keys.values() for fk in fks}
     for entity in rules.fk_order():
         fks = rules.foreign_keys[entity]
         parents = {fk.parent: current[fk.parent] for fk in fks}
         clean, report, missing = validate_entity_relationships(
             current[entity], entity, fks, parents
         )
+        if checkpoint_parents and entity in later_parents:
+            clean = clean.checkpoint(eager=True)
         current[entity] = clean
         reports.append(report)
         missings.append(missing)

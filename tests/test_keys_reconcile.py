@@ -155,3 +155,21 @@ def test_fk_many_null_keys_are_spread_and_counted(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_cascade_with_checkpointed_parents(spark):
+    ents = {
+        "customers": spark.createDataFrame([("c1",)], "customer_id string"),
+        "orders": spark.createDataFrame([("o1", "c1"), ("o2", "cX")], "order_id string, customer_id string"),
+        "order_items": spark.createDataFrame(
+            [("o1", "p1", "s1"), ("o2", "p1", "s1")], "order_id string, product_id string, seller_id string"
+        ),
+        "products": spark.createDataFrame([("p1",)], "product_id string"),
+        "sellers": spark.createDataFrame([("s1",)], "seller_id string"),
+        "payments": spark.createDataFrame([("o1",), ("o2",)], "order_id string"),
+        "reviews": spark.createDataFrame([("o2",)], "order_id string"),
+    }
+    out, _, _ = keys.clean_relationships(ents, RETAIL_RULES, checkpoint_parents=True)
+    assert [r["order_id"] for r in out["order_items"].collect()] == ["o1"]
+    assert "ExistingRDD" in out["orders"]._jdf.queryExecution().executedPlan().toString() or \
+        "LogicalRDD" in out["orders"]._jdf.queryExecution().optimizedPlan().toString()
