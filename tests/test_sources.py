@@ -96,3 +96,15 @@ def test_parquet_snappy_roundtrip(spark):
     files = [f for f in os.listdir(f"{d}/t") if f.endswith(".parquet")]
     assert files and all(".snappy." in f for f in files)
     assert sorted(sources.read_parquet(spark, f"{d}/t").collect()) == sorted(df.collect())
+
+
+def test_csv_bom_and_crlf_header(spark):
+    d = scratch("bom")
+    with open(os.path.join(d, "t.csv"), "wb") as f:
+        f.write("﻿product_category_name,product_category_name_english\r\nbeleza,beauty\r\n".encode("utf-8"))
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("product_category_name", T.StringType()),
+                           T.StructField("product_category_name_english", T.StringType())])
+    rows = sources.read_csv(spark, f"{d}/t.csv", schema).collect()
+    assert [(r[0], r[1]) for r in rows] == [("beleza", "beauty")]
