@@ -24,6 +24,27 @@ from strata.rules import ForeignKey, Rules
 
 REPORT_COLUMNS = ["entity", "column", "parent", "removed_count"]
 
+# Partition column of a flagged child written by the layer runner: bit i is
+# set where rule i failed, so the folder ``_fk_fail_mask=0`` holds exactly the
+# clean rows (a partition value lives in the folder name, not in the files).
+FAIL_MASK = "_fk_fail_mask"
+MAX_RULES = 30
+
+
+def fail_mask(flags: list[str]):
+    """Integer column: bit i set where boolean column ``flags[i]`` is False."""
+    if len(flags) > MAX_RULES:
+        raise ValueError(f"at most {MAX_RULES} foreign keys per entity, got {len(flags)}")
+    mask = F.lit(0)
+    for i, f in enumerate(flags):
+        mask = mask + F.when(~F.col(f), F.lit(1 << i)).otherwise(F.lit(0))
+    return mask.cast("int")
+
+
+def failed_rule(mask_column: str, i: int):
+    """True where rule ``i`` is marked failed in ``mask_column``."""
+    return F.col(mask_column).bitwiseAND(F.lit(1 << i)) != 0
+
 
 def check_foreign_key(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str, flag: str = "_fk_ok"

@@ -7,8 +7,9 @@ cuts the lineage (a lost executor recomputes from the last stage, not from
 the sources):
 
     raw/{e}  staging/{e}
-    core/1_dedup/{e}  core/2_keys_flagged/{e}  core/2_keys/{e}
-    core/3_reconciled/{e}  core/quarantine
+    core/1_dedup/{e}
+    core/2_keys/{e}/_fk_fail_mask={m}   (m = 0: clean rows; bit i: rule i failed)
+    core/order_totals  core/quarantine  core/3_reconciled/{e}
     analytics/{report}
     audit/layer_metrics (append, by layer)  audit/fk_report  audit/fk_missing
     audit/core_quality  audit/report_ranges
@@ -22,11 +23,11 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import sources
-from strata.functions.joins import fits_broadcast
+from strata.functions.joins import bounded_broadcast, fits_broadcast
 from strata.operators import audit, checks, clean, dedupe, keys, reconcile, reports
 from strata.rules import RETAIL_RULES, Rules
 from strata.session import ensure_defaults
@@ -56,6 +57,15 @@ class LayerPaths:
     def core(self, stage: str, e: str) -> str:
         return self._p("core", stage, e)
 
+    def fk_clean(self, e: str) -> str:
+        """Rows of ``e`` that pass every foreign key: the ``mask=0`` folder
+        of the flagged stage."""
+        return self._p("core", "2_keys", e, f"{keys.FAIL_MASK}=0")
+
+    @property
+    def order_totals(self) -> str:
+        return self._p("core", "order_totals")
+
     @property
     def quarantine(self) -> str:
         return self._p("core", "quarantine")
@@ -67,13 +77,18 @@ class LayerPaths:
         return self._p("audit", name)
 
 
-CORE_STAGES = ("3_reconciled", "2_keys", "1_dedup")
+def core_stage_paths(paths: LayerPaths, entity: str) -> list[str]:
+    """Core stage paths of ``entity``, latest first."""
+    return [
+        paths.core("3_reconciled", entity),
+        paths.fk_clean(entity),
+        paths.core("1_dedup", entity),
+    ]
 
 
 def current_core(spark: SparkSession, paths: LayerPaths, entity: str) -> DataFrame:
     """The latest Core stage written for ``entity``."""
-    for stage in CORE_STAGES:
-        p = paths.core(stage, entity)
+    for p in core_stage_paths(paths, entity):
         if sources.files.path_exists(spark, p):
             return spark.read.parquet(p)
     raise FileNotFoundError(f"no core stage for {entity} under {paths.root}")
@@ -150,19 +165,32 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     # stage a previous run may have left behind.
     stage: dict[str, str] = {}
 
-    # One aggregate per entity for the duplicate count, then the write.
+    # D1.  Without a tiebreaker, one key-only aggregate finds duplicates
+    # (and raises) before the copy.  With one, the winner per key is written
+    # directly and the rows in and out are observed during that same write.
     dedup_rows = []
     for e in rules.entity_order:
         df = spark.read.parquet(paths.staging(e))
-        deduped, removed = dedupe.dedup_entity(
-            df, e, rules.primary_keys[e], rules.tiebreakers.get(e)
-        )
-        sources.write_parquet(deduped, paths.core("1_dedup", e))
+        key, tiebreaker = rules.primary_keys[e], rules.tiebreakers.get(e)
+        if tiebreaker is None:
+            deduped, removed = dedupe.dedup_entity(df, e, key, None)
+            sources.write_parquet(deduped, paths.core("1_dedup", e))
+        else:
+            rows_in = Observation(f"dedup_in_{e}_{uuid.uuid4().hex[:8]}")
+            rows_out = Observation(f"dedup_out_{e}_{uuid.uuid4().hex[:8]}")
+            deduped = dedupe.keep_latest(
+                df.observe(rows_in, F.count(F.lit(1)).alias("n")), key, tiebreaker
+            ).observe(rows_out, F.count(F.lit(1)).alias("n"))
+            sources.write_parquet(deduped, paths.core("1_dedup", e))
+            removed = int(rows_in.get["n"]) - int(rows_out.get["n"])
         stage[e] = paths.core("1_dedup", e)
         dedup_rows.append((e, removed))
 
-    # children in dependency order; each child's flagged rows are written
-    # once and the clean rows, the counts and the orphan list derive from it.
+    # children in dependency order.  Each child is flagged and written
+    # once, partitioned by its failure mask; the per-rule counts are observed
+    # during that write, the clean rows are the ``mask=0`` folder (the next
+    # stage, no second copy) and the orphan lists read only the failing
+    # folders, which partition pruning keeps small.
     fk_reports, fk_missing = [], []
     for e in rules.fk_order():
         fks = rules.foreign_keys[e]
@@ -172,21 +200,32 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
         small = frozenset(
             name for name, df in parents.items() if fits_broadcast(df, broadcast_max_rows)
         )
-        flagged = keys._flag_all(spark.read.parquet(stage[e]), fks, parents, small)
-        sources.write_parquet(flagged, paths.core("2_keys_flagged", e))
-        flagged = spark.read.parquet(paths.core("2_keys_flagged", e))
+        child = spark.read.parquet(stage[e])
+        flagged = keys._flag_all(child, fks, parents, small)
         flags = [f"_fk_ok_{i}" for i in range(len(fks))]
-        base_cols = [c for c in flagged.columns if c not in flags]
-        sources.write_parquet(
-            flagged.filter(F.expr(" AND ".join(flags))).select(*base_cols),
-            paths.core("2_keys", e),
+        masked = flagged.select(*child.columns, keys.fail_mask(flags).alias(keys.FAIL_MASK))
+        obs = Observation(f"fk_{e}_{uuid.uuid4().hex[:8]}")
+        observed = masked.observe(
+            obs,
+            *[
+                F.count_if(keys.failed_rule(keys.FAIL_MASK, i)).alias(f"rule_{i}")
+                for i in range(len(fks))
+            ],
+        )
+        sources.write_parquet(observed, paths.core("2_keys", e), partition_by=[keys.FAIL_MASK])
+        counts = obs.get
+        clean_path = paths.fk_clean(e)
+        if not sources.files.path_exists(spark, clean_path):
+            # Every row failed a rule: the clean stage is empty but typed.
+            sources.write_parquet(spark.createDataFrame([], child.schema), clean_path)
+        stage[e] = clean_path
+        failing = spark.read.parquet(paths.core("2_keys", e)).filter(
+            F.col(keys.FAIL_MASK) != 0
         )
-        stage[e] = paths.core("2_keys", e)
-        counts = flagged.agg(*[F.count_if(~F.col(f)).alias(f) for f in flags]).first()
-        for fk, f in zip(fks, flags):
-            fk_reports.append((e, fk.column, fk.parent, int(counts[f])))
+        for i, fk in enumerate(fks):
+            fk_reports.append((e, fk.column, fk.parent, int(counts[f"rule_{i}"])))
             fk_missing.append(
-                flagged.filter(~F.col(f) & F.col(fk.column).isNotNull())
+                failing.filter(keys.failed_rule(keys.FAIL_MASK, i) & F.col(fk.column).isNotNull())
                 .select(
                     F.lit(e).alias("entity"),
                     F.lit(fk.column).alias("column"),
@@ -201,12 +240,20 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     if fk_missing:
         sources.write_parquet(audit._union(fk_missing), paths.audit("fk_missing"))
 
-    # Reconcile the current orders/items/payments.
+    # Reconcile the current orders/items/payments.  The per-order totals
+    # are written once and every output (summary, breakdown, quarantine)
+    # reads them; the three tables then lose the quarantined orders by an
+    # anti join against the *written* quarantine, not a recomputed one.
     orders = spark.read.parquet(stage["orders"])
     items = spark.read.parquet(stage["order_items"])
     payments = spark.read.parquet(stage["payments"])
+
+    def materialize(totals: DataFrame) -> DataFrame:
+        sources.write_parquet(totals, paths.order_totals)
+        return spark.read.parquet(paths.order_totals)
+
     outcome = reconcile.run_reconciliation(
-        orders, items, payments, rules.tolerance, rules.on_failure
+        orders, items, payments, rules.tolerance, rules.on_failure, materialize=materialize
     )
     # The stage is always written (unchanged tables in raise mode, an empty
     # quarantine when nothing failed) so a rerun never reads a stale one.
@@ -216,8 +263,18 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
             *reconcile.reconcile_payments(items, payments, rules.tolerance), orders
         ).limit(0)
     sources.write_parquet(quarantine, paths.quarantine)
-    for e, df in (("orders", outcome.orders), ("order_items", outcome.order_items),
-                  ("payments", outcome.payments)):
+    if outcome.quarantine is None:
+        kept = {"orders": orders, "order_items": items, "payments": payments}
+    else:
+        q = bounded_broadcast(
+            spark.read.parquet(paths.quarantine).select("order_id"), broadcast_max_rows
+        )
+        kept = {
+            "orders": reconcile.remove_quarantined(orders, q),
+            "order_items": reconcile.remove_quarantined(items, q),
+            "payments": reconcile.remove_quarantined(payments, q),
+        }
+    for e, df in kept.items():
         sources.write_parquet(df, paths.core("3_reconciled", e))
         stage[e] = paths.core("3_reconciled", e)
 

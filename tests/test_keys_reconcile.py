@@ -173,3 +173,34 @@ def test_cascade_with_checkpointed_parents(spark):
     assert [r["order_id"] for r in out["order_items"].collect()] == ["o1"]
     assert "ExistingRDD" in out["orders"]._jdf.queryExecution().executedPlan().toString() or \
         "LogicalRDD" in out["orders"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_materialized_totals_give_the_same_outcome(spark):
+    from conftest import scratch
+
+    orders = spark.createDataFrame(
+        [("o1", "delivered"), ("o2", "delivered"), ("o3", "canceled")],
+        "order_id string, order_status string",
+    )
+    items = _items(spark, [("o1", 100.0, 10.0), ("o2", 50.0, 5.0), (None, 1.0, 0.0)])
+    pay = _pay(spark, [("o1", 110.0), ("o2", 99.0), ("o3", 20.0), (None, 5.0)])
+    path = scratch("totals")
+
+    def materialize(df):
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    lazy = reconcile.run_reconciliation(orders, items, pay, 0.01, "warn")
+    written = reconcile.run_reconciliation(orders, items, pay, 0.01, "warn", materialize=materialize)
+    for key in ("total_orders_checked", "orders_passed", "orders_failed", "excluded_order_count"):
+        assert lazy.summary[key] == written.summary[key]
+    # the null-id item group is checked (unpaid); the null-id payment is never excluded
+    assert lazy.summary["total_orders_checked"] == 3
+    assert lazy.summary["excluded_order_count"] == 1
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert rows(lazy.quarantine) == rows(written.quarantine)
+    assert {r["order_id"]: r["reason"] for r in written.quarantine.collect()} == {
+        "o2": "exceeded_tolerance",
+        None: "exceeded_tolerance",
+        "o3": "no_order_items",
+    }

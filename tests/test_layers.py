@@ -102,3 +102,50 @@ def test_full_run_on_driver_tables(spark):
     assert n_items == key_count
     total = spark.read.parquet(paths.analytics("sales_performance")).agg(F.sum("order_count")).first()[0]
     assert total == spark.read.parquet(paths.core("3_reconciled", "orders")).count()
+
+
+def test_fk_stage_is_one_write_partitioned_by_failure_mask(spark):
+    """The flagged child is written once; its mask=0 folder is the clean stage
+    with exactly the entity's columns, and the orphan table lists the unknown
+    customer."""
+    root = scratch("layers-mask")
+    _fixture(root)
+    out = run_layers(spark, root)
+    paths = LayerPaths(root)
+    clean_orders = spark.read.parquet(paths.fk_clean("orders"))
+    staged = spark.read.parquet(paths.core("1_dedup", "orders"))
+    assert clean_orders.columns == staged.columns
+    assert sorted(r["order_id"] for r in clean_orders.collect()) == ["o1", "o2", "o4"]
+    flagged = spark.read.parquet(paths.core("2_keys", "orders"))
+    masks = {r["order_id"]: r["_fk_fail_mask"] for r in flagged.collect()}
+    assert masks == {"o1": 0, "o2": 0, "o3": 1, "o4": 0}
+    missing = {
+        (r["entity"], r["column"], r["missing_value"])
+        for r in spark.read.parquet(paths.audit("fk_missing")).collect()
+    }
+    # o3's items, payment and review cascade as orphans of the dropped order
+    assert missing == {
+        ("orders", "customer_id", "cX"),
+        ("order_items", "order_id", "o3"),
+        ("payments", "order_id", "o3"),
+        ("reviews", "order_id", "o3"),
+    }
+    assert out["core"]["stages"]["reviews"] == paths.fk_clean("reviews")
+
+
+def test_every_order_orphaned_leaves_typed_empty_stages(spark):
+    root = scratch("layers-orphans")
+    _fixture(root)
+    # No known customer: every order, and by cascade every child row, fails.
+    _csv(os.path.join(root, "source"), "customers", [("c9", "u9", 1009, "x", "y")])
+    out = run_layers(spark, root)
+    paths = LayerPaths(root)
+    for e in ("orders", "order_items", "payments", "reviews"):
+        df = spark.read.parquet(out["core"]["stages"][e])
+        assert df.count() == 0
+        assert df.columns == spark.read.parquet(paths.core("1_dedup", e)).columns
+    fk = {(r["entity"], r["column"]): r["removed_count"] for r in out["core"]["foreign_key_validation"]}
+    assert fk[("orders", "customer_id")] == 4
+    assert fk[("order_items", "order_id")] == 3
+    assert out["core"]["financial_reconciliation"]["total_orders_checked"] == 0
+    assert spark.read.parquet(paths.analytics("sales_performance")).count() == 0
