@@ -11,7 +11,7 @@ returned as double, the reference's type.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import MONEY_TYPE, money, month_index, month_label_of
@@ -172,13 +172,19 @@ def customer_retention(
     data.  ``calendar=True``: every calendar month up to the last one.
     Orders without a purchase time are left out.
 
-    Plan: one shuffle of the orders by customer, partially aggregated to the
-    customer's first month and set of active months.  That set is bounded by
-    the months the data spans (not by the row count), so a customer holding
-    a third of all orders still yields one small row.  The cohort x month
-    grid is generated per cohort with ``sequence`` up to the last month (a
-    scalar subquery) and matched to observed months by an equi-join: it has
-    months^2/2 rows whatever the number of orders.
+    Plan: one linear chain, so the orders are read and shuffled once.
+      1. by customer: first month and set of active months (partial
+         aggregation; the set is bounded by the months the data spans, not
+         by the row count, so a customer holding a third of all orders is
+         still one small row);
+      2. by (cohort, month): active customers;
+      3. by cohort: a map month -> active customers.  From here on there is
+         one row per cohort, so at most one row per month of the data;
+      4. a window over those few rows gives the last month and the observed
+         months (every observed month has an active customer);
+      5. each cohort row expands to its months with ``sequence`` and reads
+         its counts from its own map: no grid join, no cross join, and the
+         cohort size is the count of the cohort's own first month.
     """
     dated = orders.filter(F.col("order_purchase_timestamp").isNotNull()).select(
         F.col(customer_key).alias("_cust"),
@@ -191,28 +197,40 @@ def customer_retention(
     activity = (
         per_customer.select("_cohort", F.explode("_months").alias("_active"))
         .groupBy("_cohort", "_active")
-        .agg(F.count(F.lit(1)).alias("active_customers"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    cohorts = per_customer.groupBy("_cohort").agg(F.count(F.lit(1)).alias("cohort_size"))
-
-    observed = dated.select(F.col("_mi").alias("_active")).distinct()
-    last_month = observed.agg(F.max("_active")).scalar()
-
-    grid = cohorts.select(
-        "_cohort", "cohort_size", F.explode(F.sequence("_cohort", last_month)).alias("_active")
+    per_cohort = activity.groupBy("_cohort").agg(
+        F.map_from_entries(F.collect_list(F.struct("_active", "_n"))).alias("_counts"),
+        F.max("_active").alias("_cohort_last"),
+        F.collect_list("_active").alias("_seen"),
+    )
+    # One partition for this window is fine: it holds one row per cohort.
+    everything = Window.partitionBy()
+    grid = per_cohort.select(
+        "_cohort",
+        "_counts",
+        F.max("_cohort_last").over(everything).alias("_last"),
+        F.array_distinct(F.flatten(F.collect_list("_seen").over(everything))).alias("_observed"),
+    ).select(
+        "_cohort", "_counts", "_observed", F.explode(F.sequence("_cohort", "_last")).alias("_active")
     )
     if not calendar:
-        grid = grid.join(observed, "_active", "left_semi")
+        grid = grid.filter(F.array_contains("_observed", F.col("_active")))
 
     return (
-        grid.join(activity, ["_cohort", "_active"], "left")
+        grid.select(
+            "_cohort",
+            "_active",
+            F.coalesce(F.element_at("_counts", F.col("_active")), F.lit(0).cast("long")).alias(
+                "active_customers"
+            ),
+            F.element_at("_counts", F.col("_cohort")).alias("cohort_size"),
+        )
         .orderBy("_cohort", "_active")
         .select(
             month_label_of("_cohort").alias("cohort_month"),
             month_label_of("_active").alias("activity_month"),
-            F.coalesce(F.col("active_customers"), F.lit(0).cast("long")).alias(
-                "active_customers"
-            ),
+            "active_customers",
             "cohort_size",
         )
         .withColumn(
