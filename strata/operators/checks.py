@@ -318,6 +318,33 @@ def key_null_findings(sales: DataFrame, clv: DataFrame) -> DataFrame:
     return s.unionByName(c).withColumn("passed", F.col("null_count") == 0)
 
 
+def analytics_validation_findings(
+    sales: DataFrame, clv: DataFrame, payments: DataFrame, tolerance: float = GMV_TOLERANCE
+) -> DataFrame:
+    """G8 as a table: check, column, metric, value, limit, passed; the G6 row
+    first, then the three G7 rows (the order the gate raises in)."""
+    gmv = gmv_reconciliation(sales, payments, tolerance).select(
+        F.lit("gmv_reconciliation").alias("check"),
+        F.lit(None).cast("string").alias("column"),
+        F.lit("difference").alias("metric"),
+        F.col("difference").alias("value"),
+        F.lit(float(tolerance)).alias("limit"),
+        "passed",
+        F.lit(0).alias("_order"),
+    )
+    nulls = key_null_findings(sales, clv).select(
+        F.lit("null_check").alias("check"),
+        "column",
+        F.lit("null_count").alias("metric"),
+        F.col("null_count").cast("double").alias("value"),
+        F.lit(0.0).alias("limit"),
+        "passed",
+        F.when(F.col("column") == "gmv", 1).when(F.col("column") == "aov", 2).otherwise(3)
+        .alias("_order"),
+    )
+    return gmv.unionByName(nulls).orderBy("_order").drop("_order")
+
+
 def run_analytics_validation(sales: DataFrame, clv: DataFrame, payments: DataFrame) -> dict:
     """G6 then G7; raises ``AnalyticsValidationError`` on a failure."""
     gmv = gmv_reconciliation(sales, payments).first().asDict()

@@ -819,6 +819,27 @@ def q_key_nulls(spark, sf):
     return checks.key_null_findings(sales, clv)
 
 
+def _analytics_validation_oracle() -> str:
+    return f"""
+SELECT 'gmv_reconciliation' AS "check", CAST(NULL AS VARCHAR) AS "column",
+       'difference' AS metric, difference AS value,
+       CAST({float(checks.GMV_TOLERANCE)!r} AS DOUBLE) AS "limit", passed
+FROM ({ORACLE['gmv_reconciliation']}) g
+UNION ALL
+SELECT 'null_check', "column", 'null_count', CAST(null_count AS DOUBLE), 0.0, passed
+FROM ({ORACLE['key_nulls']}) k
+"""
+
+
+@register("analytics_validation", _analytics_validation_oracle())
+def q_analytics_validation(spark, sf):
+    return checks.analytics_validation_findings(
+        q_sales_performance(spark, sf),
+        q_customer_lifetime_value(spark, sf),
+        ad.core_payments(spark, sf),
+    )
+
+
 # ----------------------------------------------------------------------------
 # S1-S10 sources and sinks (scratch data goes under the shared checkpoint dir)
 # ----------------------------------------------------------------------------

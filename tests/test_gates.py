@@ -154,3 +154,16 @@ def test_rules_fk_order_parents_first():
     order = RETAIL_RULES.fk_order()
     assert order.index("orders") < order.index("order_items")
     assert order.index("orders") < order.index("payments")
+
+
+def test_analytics_validation_findings_table(spark):
+    sales = spark.createDataFrame([(100.0, None), (50.0, 25.0)], "gmv double, aov double")
+    clv = spark.createDataFrame([(150.0,)], "clv double")
+    payments = spark.createDataFrame([(100.0,), (49.0,)], "payment_value double")
+    rows = [tuple(r) for r in checks.analytics_validation_findings(sales, clv, payments).collect()]
+    assert rows == [
+        ("gmv_reconciliation", None, "difference", 1.0, checks.GMV_TOLERANCE, False),
+        ("null_check", "gmv", "null_count", 0.0, 0.0, True),
+        ("null_check", "aov", "null_count", 1.0, 0.0, False),
+        ("null_check", "clv", "null_count", 0.0, 0.0, True),
+    ]
