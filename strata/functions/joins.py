@@ -40,6 +40,7 @@ def flag_membership(
     key_column: str,
     flag: str,
     broadcast_keys: bool = False,
+    salt_columns: list[str] | None = None,
 ) -> DataFrame:
     """Add boolean ``flag``: True where ``child[column]`` is among the keys.
 
@@ -48,7 +49,10 @@ def flag_membership(
     A null child value never matches, so its flag is False; those rows get a
     deterministic salt in the join key so they do not pile into one task.
     ``broadcast_keys`` ships the key set to every executor; set it only after
-    bounding its size (see ``bounded_broadcast``).
+    bounding its size (see ``bounded_broadcast``).  ``salt_columns`` are the
+    columns the salt hashes (default: all of them).  Pass the entity's key
+    columns: they tell its rows apart just as well, and a plan that needs
+    only the flags then reads only those columns.
     """
     marker = f"__{flag}_hit"
     salt = f"__{flag}_salt"
@@ -69,7 +73,10 @@ def flag_membership(
         k = F.broadcast(k)
     salted = child.withColumn(
         salt,
-        F.when(F.col(column).isNull(), F.pmod(F.xxhash64(*child.columns), F.lit(NULL_KEY_SALTS)))
+        F.when(
+            F.col(column).isNull(),
+            F.pmod(F.xxhash64(*(salt_columns or child.columns)), F.lit(NULL_KEY_SALTS)),
+        )
         .otherwise(F.lit(0))
         .cast("int"),
     )

@@ -61,11 +61,18 @@ def check_foreign_key(
     return flagged, missing
 
 
+def salt_columns(key: list[str], fks: list[ForeignKey]) -> list[str]:
+    """Columns that tell an entity's rows apart for the null-key salt: its
+    primary key and foreign-key columns."""
+    return list(dict.fromkeys([*key, *[fk.column for fk in fks]]))
+
+
 def _flag_all(
     df: DataFrame,
     fks: list[ForeignKey],
     parents: dict[str, DataFrame],
     broadcast_parents: frozenset[str] = frozenset(),
+    salt: list[str] | None = None,
 ) -> DataFrame:
     flagged = df
     for i, fk in enumerate(fks):
@@ -76,6 +83,7 @@ def _flag_all(
             fk.parent_column,
             f"_fk_ok_{i}",
             broadcast_keys=fk.parent in broadcast_parents,
+            salt_columns=salt,
         )
     return flagged
 
@@ -85,6 +93,7 @@ def validate_entity_relationships(
     entity: str,
     fks: list[ForeignKey],
     parents: dict[str, DataFrame],
+    key: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(clean rows, per-rule report, missing values).
 
@@ -92,8 +101,11 @@ def validate_entity_relationships(
     missing: entity, column, missing_value (text), distinct per rule.
     The three frames share the flagged plan; materialise it once (a stage
     write or ``checkpoint``) when more than one of them is consumed at scale.
+    ``key`` (the entity's primary key) narrows the null-key salt to the key
+    and FK columns, so a plan that needs only the counts reads only those.
     """
-    flagged = _flag_all(df, fks, parents)
+    salt = salt_columns(key, fks) if key else None
+    flagged = _flag_all(df, fks, parents, salt=salt)
     flags = [f"_fk_ok_{i}" for i in range(len(fks))]
     clean = flagged.filter(F.expr(" AND ".join(flags)) if flags else F.lit(True)).select(
         *df.columns
@@ -149,7 +161,7 @@ def clean_relationships(
         fks = rules.foreign_keys[entity]
         parents = {fk.parent: current[fk.parent] for fk in fks}
         clean, report, missing = validate_entity_relationships(
-            current[entity], entity, fks, parents
+            current[entity], entity, fks, parents, rules.primary_keys.get(entity)
         )
         if checkpoint_parents and entity in later_parents:
             clean = clean.checkpoint(eager=True)

@@ -201,7 +201,9 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
             name for name, df in parents.items() if fits_broadcast(df, broadcast_max_rows)
         )
         child = spark.read.parquet(stage[e])
-        flagged = keys._flag_all(child, fks, parents, small)
+        flagged = keys._flag_all(
+            child, fks, parents, small, keys.salt_columns(rules.primary_keys[e], fks)
+        )
         flags = [f"_fk_ok_{i}" for i in range(len(fks))]
         masked = flagged.select(*child.columns, keys.fail_mask(flags).alias(keys.FAIL_MASK))
         obs = Observation(f"fk_{e}_{uuid.uuid4().hex[:8]}")
