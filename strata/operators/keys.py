@@ -104,7 +104,8 @@ def validate_entity_relationships(
     ``key`` (the entity's primary key) narrows the null-key salt to the key
     and FK columns, so a plan that needs only the counts reads only those.
     """
-    salt = salt_columns(key, fks) if key else None
+    # Narrow the salt only when the frame carries the whole key.
+    salt = salt_columns(key, fks) if key and all(k in df.columns for k in key) else None
     flagged = _flag_all(df, fks, parents, salt=salt)
     flags = [f"_fk_ok_{i}" for i in range(len(fks))]
     clean = flagged.filter(F.expr(" AND ".join(flags)) if flags else F.lit(True)).select(
