@@ -122,3 +122,19 @@ def test_month_index_label_matches_date_format(spark):
         C.month_label("ts").alias("a"), C.month_label_of(C.month_index("ts")).alias("b")
     ).collect()
     assert all(r["a"] == r["b"] for r in out)
+
+
+def test_money_bounds(spark):
+    """Amounts up to 10^14 are exact; a sum of many such amounts widens and
+    does not overflow; an amount beyond the bound raises (ANSI) instead of
+    wrapping."""
+    from pyspark.errors import ArithmeticException
+
+    from strata.functions.columns import money_sum
+
+    near = 99_999_999_999_999.99
+    df = spark.createDataFrame([(near,)] * 1000, "v double")
+    total = df.agg(money_sum("v").alias("t")).first()["t"]
+    assert total == float(near) * 1000
+    with pytest.raises(ArithmeticException):
+        spark.createDataFrame([(1e15,)], "v double").agg(money_sum("v")).collect()
