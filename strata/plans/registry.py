@@ -1059,3 +1059,101 @@ def q_fill_null(spark, sf):
         "order_id", F.col("review_score").cast("string").alias("review_label")
     )
     return fill_null_with(labels, "review_label", "unreviewed")
+
+
+# ----------------------------------------------------------------------------
+# L1-L4 layer runners end to end over the driver tables
+# ----------------------------------------------------------------------------
+# The driver tables are written as the seven source CSVs (one folder of part
+# files each) and run through Raw, Staging, Core and Analytics.  Two rule
+# parameters differ from the library defaults, as in the other registry
+# queries: order items (whose keys repeat in the driver tables) keep the
+# latest shipping date, and reconciliation uses the registry's tolerance.
+LAYER_RULES = RETAIL_RULES.__class__(
+    **{
+        **RETAIL_RULES.__dict__,
+        "tiebreakers": {**RETAIL_RULES.tiebreakers, "order_items": ITEM_TIEBREAKER},
+        "tolerance": RECON_TOLERANCE,
+    }
+)
+
+
+def _layered_core_quality_oracle() -> str:
+    keys_of = LAYER_RULES.primary_keys
+    dedup = "\nUNION ALL\n".join(
+        f"""SELECT 'deduplication' AS card, '{e}' AS entity, CAST(NULL AS VARCHAR) AS "column",
+       'removed_count' AS metric,
+       CAST((SELECT COUNT(*) FROM stg_{e})
+            - (SELECT COUNT(*) FROM (SELECT DISTINCT {", ".join(k)} FROM stg_{e}) d) AS DOUBLE)
+         AS value"""
+        for e, k in keys_of.items()
+    )
+    children = {"orders": "stg_orders", "order_items": "d_items", "payments": "stg_payments",
+                "reviews": "stg_reviews"}
+    parents = {"customers": "stg_customers", "orders": "o2", "products": "stg_products",
+               "sellers": "stg_sellers"}
+    fk = "\nUNION ALL\n".join(
+        f"""SELECT 'foreign_key_validation', '{e}', '{fk.column}', 'removed_count',
+       CAST(COUNT(*) FILTER (WHERE NOT EXISTS (
+         SELECT 1 FROM {parents[fk.parent]} p WHERE p.{fk.parent_column} = c.{fk.column})) AS DOUBLE)
+FROM {children[e]} c"""
+        for e in LAYER_RULES.fk_order()
+        for fk in LAYER_RULES.foreign_keys[e]
+    )
+    metrics = {
+        "total_orders_checked": "(SELECT COUNT(*) FROM cmp)",
+        "orders_passed": "(SELECT COUNT(*) FROM cmp WHERE d <= CAST(" + repr(RECON_TOLERANCE)
+        + f" AS {MONEY}))",
+        "orders_failed": "(SELECT COUNT(*) FROM cmp WHERE d > CAST(" + repr(RECON_TOLERANCE)
+        + f" AS {MONEY}))",
+        "max_difference": "(SELECT MAX(d) FROM cmp)",
+        "tolerance_used": repr(RECON_TOLERANCE),
+        "excluded_order_count": "(SELECT COUNT(*) FROM exc)",
+    }
+    recon = "\nUNION ALL\n".join(
+        f"SELECT 'financial_reconciliation', 'orders', CAST(NULL AS VARCHAR), '{m}', "
+        f"CAST({v} AS DOUBLE)"
+        for m, v in metrics.items()
+    )
+    body = f"""
+WITH d_items AS (
+  SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
+  FROM (SELECT *, ROW_NUMBER() OVER (
+          PARTITION BY order_id, order_item_id
+          ORDER BY shipping_limit_date DESC NULLS LAST, product_id DESC NULLS LAST,
+                   seller_id DESC NULLS LAST, price DESC NULLS LAST,
+                   freight_value DESC NULLS LAST) AS rn
+        FROM stg_order_items) r
+  WHERE rn = 1),
+o2 AS (SELECT * FROM stg_orders o
+       WHERE EXISTS (SELECT 1 FROM stg_customers c WHERE c.customer_id = o.customer_id)),
+items2 AS (SELECT * FROM d_items i
+           WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = i.order_id)
+             AND EXISTS (SELECT 1 FROM stg_products p WHERE p.product_id = i.product_id)
+             AND EXISTS (SELECT 1 FROM stg_sellers s WHERE s.seller_id = i.seller_id)),
+pay2 AS (SELECT * FROM stg_payments p WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = p.order_id)),
+e AS (SELECT order_id, SUM(CAST(price AS {MONEY}) + CAST(freight_value AS {MONEY})) AS e
+      FROM items2 GROUP BY order_id),
+a AS (SELECT order_id, SUM(CAST(payment_value AS {MONEY})) AS a FROM pay2 GROUP BY order_id),
+cmp AS (SELECT order_id, abs(COALESCE(e, 0) - COALESCE(a, 0)) AS d
+        FROM e LEFT JOIN a USING (order_id)),
+exc AS (SELECT order_id FROM a
+        WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM e WHERE order_id IS NOT NULL))
+{dedup}
+UNION ALL
+{fk}
+UNION ALL
+{recon}
+"""
+    return with_raw(body, *LAYER_RULES.entity_order, staged=True)
+
+
+@register("layered_core_quality", _layered_core_quality_oracle())
+def q_layered_core_quality(spark, sf):
+    from strata.plans.layers import LayerPaths, run_layers
+
+    root = sources.scratch_path(spark, "layers")
+    for e, fn in ad.RAW.items():
+        sources.write_csv(fn(spark, sf), f"{root}/source/{e}.csv")
+    run_layers(spark, root, LAYER_RULES, on_quality_failure="warn")
+    return sources.read_parquet(spark, LayerPaths(root).audit("core_quality"))
