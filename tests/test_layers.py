@@ -149,3 +149,33 @@ def test_every_order_orphaned_leaves_typed_empty_stages(spark):
     assert fk[("order_items", "order_id")] == 3
     assert out["core"]["financial_reconciliation"]["total_orders_checked"] == 0
     assert spark.read.parquet(paths.analytics("sales_performance")).count() == 0
+
+
+def test_run_in_order_keeps_order_and_raises_the_first_failure():
+    import time
+
+    import pytest
+
+    from strata.plans.layers import run_in_order
+
+    def slow(v, delay):
+        def f():
+            time.sleep(delay)
+            return v
+        return f
+
+    assert run_in_order([slow(1, 0.2), slow(2, 0.0), slow(3, 0.1)]) == [1, 2, 3]
+
+    done = []
+
+    def fail(msg, delay):
+        def f():
+            time.sleep(delay)
+            done.append(msg)
+            raise ValueError(msg)
+        return f
+
+    # the later task fails first in time; the first failure in task order wins
+    with pytest.raises(ValueError, match="first"):
+        run_in_order([slow(0, 0.0), fail("first", 0.2), fail("second", 0.0)])
+    assert sorted(done) == ["first", "second"]
