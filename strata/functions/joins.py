@@ -12,10 +12,18 @@ BROADCAST_MAX_ROWS = 2_000_000
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` provably holds at most ``max_rows`` rows.
 
-    The check is ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is passed, so it costs at most ``max_rows`` rows even on a huge
-    input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    The check asks for the row after the first ``max_rows``
+    (``offset(max_rows).limit(1)``), which Spark runs as an incremental
+    take: one partition first, then four times more per round, each task
+    reading only the rows still needed, so it stops once the bound is passed
+    and never scans a large input whole.  It projects a literal, so a file
+    scan reads no column data, and the counted rows stay in the JVM: at most
+    one reaches Python.  (``limit(n).count()`` would instead read up to n
+    rows from *every* partition and shuffle them to one task.)  A frame
+    behind a shuffle is computed up to that shuffle first; pass the
+    smallest upstream frame that bounds it, e.g. a written stage."""
+    probe = df.select(F.lit(1).alias("_row")).offset(max_rows).limit(1)
+    return len(probe.collect()) == 0
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

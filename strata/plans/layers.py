@@ -205,7 +205,7 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     """L3: D1 per entity -> F3 cascade -> R4 reconciliation -> A1, A2.
 
     ``broadcast_max_rows``: a parent whose stage holds at most this many rows
-    (checked with a bounded ``limit(n + 1).count()``) is broadcast to the FK
+    (checked with an incremental take that stops past n rows) is broadcast to the FK
     joins; larger parents use shuffle joins."""
     ensure_defaults(spark)
     run_id = run_id or uuid.uuid4().hex

@@ -53,3 +53,24 @@ def test_cluster_settings_bounds():
     assert cluster_settings(2**30, 64)["spark.sql.shuffle.partitions"] == "128"
     assert cluster_settings(40 * 2**30, 64)["spark.sql.shuffle.partitions"] == "128"
     assert cluster_settings(400 * 2**30, 64)["spark.sql.shuffle.partitions"] == "400"
+
+
+def test_size_check_stops_early_on_a_large_input(spark):
+    """The bound is checked by an incremental take: with 100 partitions of
+    10,000 rows, proving ``more than 10 rows`` must not touch them all."""
+    big = spark.range(0, 1_000_000, numPartitions=100)
+    sc = spark.sparkContext
+    st = sc.statusTracker()
+    sc.setJobGroup("size-check", "size-check")
+    try:
+        assert not fits_broadcast(big, 10)
+    finally:
+        sc.setJobGroup("after", "after")
+    tasks = sum(
+        st.getStageInfo(s).numTasks
+        for j in st.getJobIdsForGroup("size-check")
+        for s in st.getJobInfo(j).stageIds
+        if st.getStageInfo(s) is not None
+    )
+    assert 0 < tasks <= 5
+    assert fits_broadcast(big, 1_000_000)
