@@ -210,29 +210,22 @@ def ingest_file(
 def raw_completeness(spark: SparkSession, raw_dir: str, datasets: list[str]) -> DataFrame:
     """S9 as a table: dataset, status (ok / missing / empty).
 
-    Emptiness is ``limit(1)`` on each dataset: at most one row is read, so a
-    zero-row file with a footer is caught without scanning a full one."""
+    Emptiness is an incremental ``take(1)`` of a literal per dataset: Spark
+    scans one partition first and stops at the first row, reading no column
+    data, so a zero-row file with a footer is caught without a task per
+    partition (``limit(1)`` under an aggregate would launch one on every
+    partition).  One row per dataset is built from the statuses."""
     base = raw_dir.rstrip("/")
-    parts = []
-    for i, name in enumerate(datasets):
+    rows = []
+    for name in datasets:
         path = f"{base}/{name}"
         if not path_exists(spark, path):
-            parts.append(
-                spark.createDataFrame([(i, name, "missing")], "_pos int, dataset string, status string")
-            )
-            continue
-        one = spark.read.parquet(path).limit(1).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(
-            one.select(
-                F.lit(i).alias("_pos"),
-                F.lit(name).alias("dataset"),
-                F.when(F.col("_n") > 0, "ok").otherwise("empty").alias("status"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("_pos").drop("_pos")
+            status = "missing"
+        else:
+            first = spark.read.parquet(path).select(F.lit(1).alias("_row")).take(1)
+            status = "ok" if first else "empty"
+        rows.append((name, status))
+    return spark.createDataFrame(rows, "dataset string, status string")
 
 
 def validate_raw_layer(spark: SparkSession, raw_dir: str, datasets: list[str]) -> None:
