@@ -30,15 +30,21 @@ def entity_row_counts(entities: dict[str, DataFrame]) -> DataFrame:
 
 
 def layer_metrics(
-    run_id: str, layer: str, entities: dict[str, DataFrame], status: str = "success"
+    run_id: str,
+    layer: str,
+    entities: dict[str, DataFrame],
+    status: str = "success",
+    validation_passed: bool = True,
 ) -> DataFrame:
-    """A1: run_id, layer, entity, row_count, status, completed_at."""
+    """A1: run_id, layer, entity, row_count, status, validation_passed,
+    completed_at."""
     return entity_row_counts(entities).select(
         F.lit(run_id).alias("run_id"),
         F.lit(layer).alias("layer"),
         "entity",
         "row_count",
         F.lit(status).alias("status"),
+        F.lit(bool(validation_passed)).alias("validation_passed"),
         F.current_timestamp().alias("completed_at"),
     )
 

@@ -281,15 +281,20 @@ def quality_findings(entities: dict[str, DataFrame], rules: Rules) -> DataFrame:
     return _union(parts)
 
 
-def run_quality_check(entities: dict[str, DataFrame], rules: Rules) -> DataFrame:
-    """G5 as a gate: raise ``QualityCheckError`` on the first failing check."""
-    findings = quality_findings(entities, rules)
+def raise_on_quality_failure(findings: DataFrame) -> None:
+    """Raise ``QualityCheckError`` naming the first failing G5 finding."""
     raise_on_failure(
         findings,
         QualityCheckError,
         lambda r: f"[{r['entity']}] {r['check']} on '{r['column']}': "
         f"{r['metric']}={r['value']} exceeds limit {r['limit']}",
     )
+
+
+def run_quality_check(entities: dict[str, DataFrame], rules: Rules) -> DataFrame:
+    """G5 as a gate: raise ``QualityCheckError`` on the first failing check."""
+    findings = quality_findings(entities, rules)
+    raise_on_quality_failure(findings)
     return findings
 
 

@@ -16,7 +16,7 @@ missing value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.joins import flag_membership
@@ -169,6 +169,15 @@ def clean_relationships(
         current[entity] = clean
         reports.append(report)
         missings.append(missing)
+    if not reports:
+        # No foreign-key rules: nothing is cleaned and both tables are empty.
+        spark = SparkSession.getActiveSession()
+        return (
+            current,
+            spark.createDataFrame([], "entity string, column string, parent string, "
+                                      "removed_count bigint"),
+            spark.createDataFrame([], "entity string, column string, missing_value string"),
+        )
     report_all = reports[0]
     for r in reports[1:]:
         report_all = report_all.unionByName(r)

@@ -117,10 +117,12 @@ def run_in_order(tasks: list[Callable[[], object]], threads: int = JOB_THREADS)
     return [f.result() for f in futures]
 
 
-def _metrics(spark, paths: LayerPaths, run_id: str, layer: str, written: dict[str, str]):
+def _metrics(spark, paths: LayerPaths, run_id: str, layer: str, written: dict[str, str],
+             validation_passed: bool = True):
     frames = {e: spark.read.parquet(p) for e, p in written.items()}
     audit.append_layer_metrics(
-        audit.layer_metrics(run_id, layer, frames), paths.audit("layer_metrics")
+        audit.layer_metrics(run_id, layer, frames, validation_passed=validation_passed),
+        paths.audit("layer_metrics"),
     )
 
 
@@ -166,12 +168,16 @@ def run_staging(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RU
         sources.write_parquet(cleaned, paths.staging(e))
 
     run_in_order([partial(stage_one, e) for e in rules.entity_order])
+    # G5 findings are computed once and written (a few rows per entity); the
+    # gate and the metrics flag read that table, never the entities again.
     staged = {e: spark.read.parquet(paths.staging(e)) for e in rules.entity_order}
+    sources.write_parquet(checks.quality_findings(staged, rules), paths.audit("quality_findings"))
+    findings = spark.read.parquet(paths.audit("quality_findings"))
     if on_quality_failure == "raise":
-        findings = checks.run_quality_check(staged, rules)
-    else:
-        findings = checks.quality_findings(staged, rules)
-    _metrics(spark, paths, run_id, "staging", {e: paths.staging(e) for e in rules.entity_order})
+        checks.raise_on_quality_failure(findings)
+    passed = not findings.filter(~F.col("passed")).take(1)
+    _metrics(spark, paths, run_id, "staging", {e: paths.staging(e) for e in rules.entity_order},
+             validation_passed=passed)
     return findings
 
 

@@ -204,3 +204,13 @@ def test_materialized_totals_give_the_same_outcome(spark):
         None: "exceeded_tolerance",
         "o3": "no_order_items",
     }
+
+
+def test_no_foreign_key_rules_cleans_nothing(spark):
+    from dataclasses import replace
+
+    ents = {"orders": spark.createDataFrame([("o1", "cX")], "order_id string, customer_id string")}
+    out, report, missing = keys.clean_relationships(ents, replace(RETAIL_RULES, foreign_keys={}))
+    assert out["orders"] is ents["orders"]
+    assert report.count() == 0 and missing.count() == 0
+    assert report.columns == keys.REPORT_COLUMNS

@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -179,3 +180,27 @@ def test_run_in_order_keeps_order_and_raises_the_first_failure():
     with pytest.raises(ValueError, match="first"):
         run_in_order([slow(0, 0.0), fail("first", 0.2), fail("second", 0.0)])
     assert sorted(done) == ["first", "second"]
+
+
+def test_staging_quality_findings_written_and_flagged(spark):
+    from strata.errors import QualityCheckError
+    from strata.plans.layers import run_raw, run_staging
+
+    root = scratch("layers-quality")
+    _fixture(root)
+    # a duplicated customer key fails the staging primary-key check
+    _csv(os.path.join(root, "source"), "customers",
+         [("c1", "u1", 1001, "sao paulo", "sp"), ("c1", "u1b", 1001, "sao paulo", "sp"),
+          ("c2", "u2", 1002, "rio", "rj")])
+    paths = LayerPaths(root)
+    run_raw(spark, paths, run_id="r1")
+    findings = run_staging(spark, paths, run_id="r1", on_quality_failure="warn")
+    failing = [(r["entity"], r["check"]) for r in findings.filter("NOT passed").collect()]
+    assert failing == [("customers", "primary_key")]
+    flags = {
+        r["layer"]: r["validation_passed"]
+        for r in spark.read.parquet(paths.audit("layer_metrics")).collect()
+    }
+    assert flags == {"raw": True, "staging": False}
+    with pytest.raises(QualityCheckError, match=r"\[customers\] primary_key"):
+        run_staging(spark, paths, run_id="r2", on_quality_failure="raise")
