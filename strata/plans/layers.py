@@ -138,7 +138,10 @@ def run_raw(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES,
     found = sources.discover_sources(spark, paths.source, required)
     results = run_in_order(
         [
-            partial(sources.ingest_file, spark, path, paths.raw_dir, rules.struct_type(e), e)
+            partial(
+                sources.ingest_file, spark, path, paths.raw_dir, rules.struct_type(e), e,
+                multiline=e in rules.multiline_entities,
+            )
             for path, e in zip(found, rules.entity_order)
         ]
     )

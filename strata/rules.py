@@ -43,6 +43,11 @@ class Rules:
     tolerance: float = 0.01
     on_failure: str = "raise"
     entity_order: list[str] = field(default_factory=list)
+    # Sources whose text may hold quoted line breaks.  Such a CSV file must be
+    # parsed whole by one task; every other source is read line by line, so a
+    # large file splits across many tasks (a stray quoted line break there
+    # fails the read instead of being misparsed).
+    multiline_entities: tuple[str, ...] = ("reviews",)
 
     def struct_type(self, entity: str) -> T.StructType:
         """Rule schema of one entity as a Spark ``StructType``."""

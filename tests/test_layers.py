@@ -204,3 +204,16 @@ def test_staging_quality_findings_written_and_flagged(spark):
     assert flags == {"raw": True, "staging": False}
     with pytest.raises(QualityCheckError, match=r"\[customers\] primary_key"):
         run_staging(spark, paths, run_id="r2", on_quality_failure="raise")
+
+
+def test_review_comment_with_line_break_survives_raw(spark):
+    from strata.plans.layers import run_raw
+
+    root = scratch("layers-multiline")
+    _fixture(root)
+    with open(os.path.join(root, "source", "reviews.csv"), "w", encoding="utf-8") as f:
+        f.write(HEADERS["reviews"] + "\n")
+        f.write(f'r1,o1,5,,"good\nthen bad",{TS},{TS}\n')
+    run_raw(spark, LayerPaths(root))
+    rows = spark.read.parquet(LayerPaths(root).raw("reviews")).collect()
+    assert [r["review_comment_message"] for r in rows] == ["good\nthen bad"]

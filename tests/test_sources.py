@@ -108,3 +108,27 @@ def test_csv_bom_and_crlf_header(spark):
                            T.StructField("product_category_name_english", T.StringType())])
     rows = sources.read_csv(spark, f"{d}/t.csv", schema).collect()
     assert [(r[0], r[1]) for r in rows] == [("beleza", "beauty")]
+
+
+def test_line_by_line_csv_splits_but_multiline_stays_whole(spark):
+    from pyspark.sql import types as T
+
+    from strata.sources import read_csv
+
+    d = scratch("split")
+    path = os.path.join(d, "orders.csv")
+    with open(path, "w") as f:
+        f.write("order_id,payment_value\n")
+        for i in range(20000):
+            f.write(f"o{i},{i}.5\n")
+    schema = "order_id string, payment_value double"
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        split = read_csv(spark, path, T.StructType.fromDDL(schema), multiline=False)
+        whole = read_csv(spark, path, T.StructType.fromDDL(schema), multiline=True)
+        assert split.rdd.getNumPartitions() > 1
+        assert whole.rdd.getNumPartitions() == 1
+        assert split.count() == whole.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
