@@ -997,6 +997,7 @@ def q_stream_ingest_payments(spark, sf):
         "payments",
         RETAIL_RULES.struct_type("payments"),
         checkpoint=f"{base}/checkpoint",
+        multiline="payments" in RETAIL_RULES.multiline_entities,
     )
     return sources.read_parquet(spark, f"{base}/raw/payments").drop("batch_id")
 

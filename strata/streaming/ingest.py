@@ -22,14 +22,14 @@ from strata.operators.checks import validate_payments
 from strata.session import ensure_checkpoint_dir
 
 
-def _reader(spark: SparkSession, schema: T.StructType, sep: str):
+def _reader(spark: SparkSession, schema: T.StructType, sep: str, multiline: bool):
     return (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("sep", sep)
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("escape", '"')
         .option("pathGlobFilter", "*.csv")
     )
@@ -43,12 +43,15 @@ def ingest_stream(
     schema: T.StructType,
     checkpoint: str | None = None,
     sep: str = ",",
+    multiline: bool = True,
 ) -> list[dict]:
     """Ingest every CSV file in ``source_dir`` not ingested before.
 
     Returns one record per micro-batch run now: batch_id and row count (the
     count is observed during the write, not by a second pass).  Raw output:
-    ``{raw_dir}/{entity}/batch_id=N``.
+    ``{raw_dir}/{entity}/batch_id=N``.  ``multiline=False`` (sources without
+    quoted line breaks, see ``Rules.multiline_entities``) lets a large file
+    split across tasks.
     """
     cp = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/ingest-{entity}"
     out = f"{raw_dir.rstrip('/')}/{entity}"
@@ -66,7 +69,7 @@ def ingest_stream(
         log.append({"batch_id": batch_id, "rows": int(obs.get["rows"])})
 
     query = (
-        _reader(spark, schema, sep)
+        _reader(spark, schema, sep, multiline)
         .csv(source_dir)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", cp)
