@@ -238,3 +238,14 @@ def customer_retention(
             F.col("active_customers").cast("double") / F.col("cohort_size"),
         )
     )
+
+
+def undated_orders(orders: DataFrame) -> DataFrame:
+    """One row, ``orders_without_purchase_time``: the orders B5 leaves out
+    (the reference cannot place them in a month either).  One aggregate over
+    the timestamp column."""
+    return orders.agg(
+        F.count_if(F.col("order_purchase_timestamp").isNull()).alias(
+            "orders_without_purchase_time"
+        )
+    )

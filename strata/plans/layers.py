@@ -411,8 +411,14 @@ def run_analytics(spark: SparkSession, paths: LayerPaths, run_id: str | None = N
     )
     sources.write_parquet(ranges, paths.audit("report_ranges"))
     _metrics(spark, paths, run_id, "analytics", {n: paths.analytics(n) for n in built})
-    return audit.analytics_quality_report(spark.read.parquet(paths.audit("report_ranges")),
-                                          validation)
+    report = audit.analytics_quality_report(
+        spark.read.parquet(paths.audit("report_ranges")), validation
+    )
+    # Orders without a purchase time cannot join a cohort; say how many.
+    report["reports"]["customer_retention"]["orders_without_purchase_time"] = int(
+        reports.undated_orders(orders).first()[0]
+    )
+    return report
 
 
 def run_layers(spark: SparkSession, root: str, rules: Rules = RETAIL_RULES,

@@ -153,3 +153,19 @@ def test_null_aware_distinct_count(spark, null_aware, expected):
     payments = spark.createDataFrame([("o1", 5.0)], "order_id string, payment_value double")
     out = reports.sales_performance(orders, payments, null_aware=null_aware)
     assert rows(out, "order_count") == [(expected,)]
+
+
+def test_undated_orders_are_left_out_and_counted(spark):
+    from datetime import datetime
+
+    from strata.operators import reports as R
+
+    orders = spark.createDataFrame(
+        [("o1", "c1", "delivered", datetime(2024, 1, 5)), ("o2", "c1", "delivered", None),
+         ("o3", "c2", "delivered", None)],
+        "order_id string, customer_id string, order_status string, "
+        "order_purchase_timestamp timestamp_ntz",
+    )
+    rows = R.customer_retention(orders).collect()
+    assert [(r["cohort_month"], r["cohort_size"]) for r in rows] == [("2024-01", 1)]
+    assert R.undated_orders(orders).first()["orders_without_purchase_time"] == 2
