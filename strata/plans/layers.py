@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import sources
+from strata.functions.columns import to_snake_case
 from strata.functions.joins import bounded_broadcast, fits_broadcast
 from strata.operators import audit, checks, clean, dedupe, keys, reconcile, reports
+from strata.errors import QualityCheckError
 from strata.rules import RETAIL_RULES, Rules
 from strata.session import ensure_defaults
 
@@ -154,9 +156,16 @@ def run_raw(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES,
 
 
 def run_staging(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES,
-                run_id: str | None = None, on_quality_failure: str = "raise") -> DataFrame:
+                run_id: str | None = None, on_quality_failure: str = "raise",
+                raw_null_check: bool = False) -> DataFrame:
     """L2: G2 schema gate (footers only) -> E1-E7 cleanse and write -> G5
-    quality gate on the written stage -> A1.  Returns the quality findings."""
+    quality gate on the written stage -> A1.  Returns the quality findings.
+
+    The null-rate limits run on the cleaned stage, as in the reference, where
+    a filled column (the product category) can no longer fail.
+    ``raw_null_check`` also measures them on Raw, before cleaning, and
+    writes ``audit/raw_null_rates``; in ``raise`` mode a failure there stops
+    the layer too."""
     ensure_defaults(spark)
     run_id = run_id or uuid.uuid4().hex
     schemas = {
@@ -165,6 +174,25 @@ def run_staging(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RU
         for e in rules.schemas
     }
     checks.validate_all_schemas(spark, schemas, rules)
+    if raw_null_check:
+        raw_rates = audit._union(
+            [
+                checks.null_rate_findings(
+                    to_snake_case(spark.read.parquet(paths.raw(e))), e, limits
+                )
+                for e, limits in rules.null_thresholds.items()
+                if limits
+            ]
+        )
+        sources.write_parquet(raw_rates, paths.audit("raw_null_rates"))
+        failing = spark.read.parquet(paths.audit("raw_null_rates")).filter(~F.col("passed"))
+        first = failing.take(1)
+        if first and on_quality_failure == "raise":
+            r = first[0]
+            raise QualityCheckError(
+                f"[{r['entity']}] null_rate on '{r['column']}' in Raw: "
+                f"{r['null_rate']} exceeds limit {r['threshold']}"
+            )
 
     def stage_one(e: str) -> None:
         cleaned = clean.clean_entity(e, spark.read.parquet(paths.raw(e)))

@@ -217,3 +217,22 @@ def test_review_comment_with_line_break_survives_raw(spark):
     run_raw(spark, LayerPaths(root))
     rows = spark.read.parquet(LayerPaths(root).raw("reviews")).collect()
     assert [r["review_comment_message"] for r in rows] == ["good\nthen bad"]
+
+
+def test_raw_null_check_sees_what_cleaning_fills(spark):
+    from strata.errors import QualityCheckError
+    from strata.plans.layers import run_raw, run_staging
+
+    root = scratch("layers-rawnull")
+    _fixture(root)  # the only product has no category: filled with 'unknown' in staging
+    paths = LayerPaths(root)
+    run_raw(spark, paths)
+    findings = run_staging(spark, paths, on_quality_failure="warn", raw_null_check=True)
+    staged = {(r["entity"], r["column"]): r["passed"] for r in findings.collect()
+              if r["check"] == "null_rate"}
+    assert staged[("products", "product_category_name")] is True
+    raw = {(r["entity"], r["column"]): (r["null_rate"], r["passed"])
+           for r in spark.read.parquet(paths.audit("raw_null_rates")).collect()}
+    assert raw[("products", "product_category_name")] == (1.0, False)
+    with pytest.raises(QualityCheckError, match=r"\[products\] null_rate on 'product_category_name' in Raw"):
+        run_staging(spark, paths, on_quality_failure="raise", raw_null_check=True)
