@@ -712,11 +712,11 @@ def q_pk_uniqueness(spark, sf):
     return out
 
 
-def _null_rate_sql(e: str, c: str, t: float) -> str:
+def _null_rate_sql(e: str, c: str, t: float, layer: str = "stg") -> str:
     return f"""SELECT '{e}' AS entity, '{c}' AS "column",
        CASE WHEN COUNT(*) > 0 THEN CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / COUNT(*)
             ELSE 0.0 END AS null_rate,
-       CAST({t} AS DOUBLE) AS threshold FROM stg_{e}"""
+       CAST({t} AS DOUBLE) AS threshold FROM {layer}_{e}"""
 
 
 def _null_oracle() -> str:
@@ -747,6 +747,35 @@ def q_null_rates(spark, sf):
     return out
 
 
+def _raw_null_oracle() -> str:
+    parts = [
+        _null_rate_sql(e, c, t, layer="raw")
+        for e, cols in RETAIL_RULES.null_thresholds.items()
+        for c, t in cols.items()
+    ]
+    return with_raw(
+        "SELECT *, null_rate <= threshold AS passed FROM ("
+        + "\nUNION ALL\n".join(parts)
+        + ") s",
+        *RETAIL_RULES.null_thresholds,
+    )
+
+
+@register("raw_null_rates", _raw_null_oracle())
+def q_raw_null_rates(spark, sf):
+    """G4 measured on Raw, before cleaning (``run_staging(raw_null_check=True)``)."""
+    from strata.functions.columns import to_snake_case
+
+    frames = [
+        checks.null_rate_findings(to_snake_case(ad.RAW[e](spark, sf)), e, cols)
+        for e, cols in RETAIL_RULES.null_thresholds.items()
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def _quality_oracle() -> str:
     parts = []
     for e, key in RETAIL_RULES.primary_keys.items():
