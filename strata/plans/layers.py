@@ -185,10 +185,16 @@ def run_staging(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RU
             ]
         )
         sources.write_parquet(raw_rates, paths.audit("raw_null_rates"))
-        failing = spark.read.parquet(paths.audit("raw_null_rates")).filter(~F.col("passed"))
-        first = failing.take(1)
-        if first and on_quality_failure == "raise":
-            r = first[0]
+        # One row per configured limit: the failing ones are few, and the
+        # first in rule order is reported.
+        rank = {(e, c): i for i, (e, c) in enumerate(
+            (e, c) for e, limits in rules.null_thresholds.items() for c in limits)}
+        failing = sorted(
+            spark.read.parquet(paths.audit("raw_null_rates")).filter(~F.col("passed")).collect(),
+            key=lambda r: rank[(r["entity"], r["column"])],
+        )
+        if failing and on_quality_failure == "raise":
+            r = failing[0]
             raise QualityCheckError(
                 f"[{r['entity']}] null_rate on '{r['column']}' in Raw: "
                 f"{r['null_rate']} exceeds limit {r['threshold']}"
