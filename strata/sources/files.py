@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.errors import SourceError
-from strata.operators.checks import validate_payments
+from strata.errors import PaymentValidationError, SourceError
+from strata.operators.checks import check_payment_counts, payment_count_columns
 from strata.session import ensure_checkpoint_dir
 
 # ------------------------------------------------------------------ listing
@@ -30,6 +30,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str, prune_empty_parent: bool = False) -> None:
+    """Remove a dataset folder (used to withdraw output that failed a gate).
+    ``prune_empty_parent`` also removes the parent folder when nothing else
+    is left in it, restoring the state before the write."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+    parent = p.getParent()
+    if prune_empty_parent and parent is not None and fs.exists(parent):
+        if len(fs.listStatus(parent)) == 0:
+            fs.delete(parent, True)
+
+
 def path_size(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` (a file, or a dataset directory of part files)."""
     fs, p = _fs_path(spark, path)
@@ -181,17 +193,30 @@ def ingest_file(
 
     The source row count is taken *during* the write with an ``Observation``
     (no separate count, which would skip parsing pruned columns); the written
-    dataset is then counted from its footers and both must agree.  Payments
-    pass the G1 gate before anything is written.  ``multiline=False`` makes
-    large files splittable when the source has no quoted line breaks.
+    dataset is then counted from its footers and both must agree.  For
+    payments the G1 counts ride on the same ``Observation`` (the source is
+    parsed once); a negative payment removes the written dataset and raises,
+    so Raw never keeps it.  The metrics sit in the writing (result) stage,
+    where Spark applies each task's update once even under retries.
+    ``multiline=False`` makes large files splittable when the source has no
+    quoted line breaks.
     """
     name = entity or source_path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
     out = f"{raw_dir.rstrip('/')}/{name}"
     df = read_csv(spark, source_path, schema, sep=sep, multiline=multiline)
+    metrics = [F.count(F.lit(1)).alias("rows")]
     if name == "payments":
-        validate_payments(df)
+        metrics += payment_count_columns()
     obs = Observation(f"ingest_{name}_{uuid.uuid4().hex[:8]}")
-    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), out)
+    write_parquet(df.observe(obs, *metrics), out)
+    if name == "payments":
+        # G1 counted during the same write (one pass over the source); on a
+        # negative payment the written dataset is removed before raising.
+        try:
+            check_payment_counts(obs.get)
+        except PaymentValidationError:
+            delete_path(spark, out)
+            raise
     source_rows = int(obs.get["rows"])
     written_rows = spark.read.parquet(out).count()
     if source_rows != written_rows:

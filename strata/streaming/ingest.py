@@ -4,7 +4,8 @@ The batch ingest (S8) reads a whole source file at once.  When source files
 keep arriving in a folder, the same work runs as a file-source stream with an
 ``availableNow`` trigger: every new CSV file is read exactly once (the offset
 log under the checkpoint says which files were done), parsed with the same
-strict reader options, passed through the payments gate, and appended to Raw.
+strict reader options, checked by the payments gate (counted during the
+batch's write), and appended to Raw.
 
 Each micro-batch is written to its own ``batch_id=N`` folder with overwrite,
 so a batch replayed after a failure replaces its own output instead of
@@ -18,7 +19,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.checks import validate_payments
+from strata.errors import PaymentValidationError
+from strata.operators.checks import check_payment_counts, payment_count_columns
+from strata.sources.files import delete_path
 from strata.session import ensure_checkpoint_dir
 
 
@@ -58,14 +61,21 @@ def ingest_stream(
     log: list[dict] = []
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
+        target = f"{out}/batch_id={batch_id}"
+        metrics = [F.count(F.lit(1)).alias("rows")]
         if entity == "payments":
-            validate_payments(df)
+            metrics += payment_count_columns()
         obs = Observation(f"stream_{entity}_{batch_id}")
-        (
-            df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .parquet(f"{out}/batch_id={batch_id}")
-        )
+        df.observe(obs, *metrics).write.mode("overwrite").parquet(target)
+        if entity == "payments":
+            # G1 counted during the batch's write; a failing batch is removed
+            # and the stream stops before its offsets are committed, so a
+            # restart replays it and fails the same way.
+            try:
+                check_payment_counts(obs.get)
+            except PaymentValidationError:
+                delete_path(spark, target, prune_empty_parent=True)
+                raise
         log.append({"batch_id": batch_id, "rows": int(obs.get["rows"])})
 
     query = (

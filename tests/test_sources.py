@@ -132,3 +132,21 @@ def test_line_by_line_csv_splits_but_multiline_stays_whole(spark):
         assert split.count() == whole.count() == 20000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_payments_gate_counted_in_the_write_leaves_nothing_on_failure(spark, caplog):
+    import logging
+
+    d = scratch("ing-gate")
+    header = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+    _write(os.path.join(d, "neg.csv"), header + "o1,1,card,1,10\no2,1,card,1,-1\no3,1,card,1,-2\n")
+    with pytest.raises(PaymentValidationError, match="Found 2 payment"):
+        sources.ingest_file(spark, f"{d}/neg.csv", f"{d}/raw", RETAIL_RULES.struct_type("payments"),
+                            "payments")
+    assert not os.path.exists(f"{d}/raw/payments")
+    _write(os.path.join(d, "zero.csv"), header + "o1,1,card,1,0\no2,1,card,1,5\n")
+    with caplog.at_level(logging.WARNING, logger="strata.operators.checks"):
+        info = sources.ingest_file(spark, f"{d}/zero.csv", f"{d}/raw",
+                                   RETAIL_RULES.struct_type("payments"), "payments")
+    assert info["output_row_count"] == 2
+    assert "1 payment(s) with payment_value == 0" in caplog.text
