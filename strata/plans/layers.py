@@ -106,6 +106,11 @@ def current_core(spark: SparkSession, paths: LayerPaths, entity: str) -> DataFra
 JOB_THREADS = 4
 
 
+# Open Parquet writers per task for the FK stage write (each buffers up to a
+# row group; values beyond this many in one task are sorted instead).
+MAX_MASK_WRITERS = 16
+
+
 def run_in_order(tasks: list[Callable[[], object]], threads: int = JOB_THREADS) -> list:
     """Run independent Spark jobs from driver threads; results in task order.
 
@@ -332,14 +337,25 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
 
     # Children whose parents are all done run together (items, payments and
     # reviews all wait for orders only); reports keep dependency order.
+    # A partitioned write normally sorts every task's rows by the partition
+    # column.  A child has at most 2^rules mask values, so for this phase each
+    # task keeps one open writer per value instead and the largest child is
+    # never sorted just to be split (beyond the cap Spark sorts the rest).
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    previous_writers = spark.conf.get(writers)
+    most_rules = max((len(fks) for fks in rules.foreign_keys.values()), default=0)
+    spark.conf.set(writers, str(min(2 ** most_rules, MAX_MASK_WRITERS)))
     fk_reports, fk_missing = [], []
-    for level in fk_levels(rules):
-        for e, (clean_path, report, missing) in zip(
-            level, run_in_order([partial(fk_one, e) for e in level])
-        ):
-            stage[e] = clean_path
-            fk_reports.extend(report)
-            fk_missing.extend(missing)
+    try:
+        for level in fk_levels(rules):
+            for e, (clean_path, report, missing) in zip(
+                level, run_in_order([partial(fk_one, e) for e in level])
+            ):
+                stage[e] = clean_path
+                fk_reports.extend(report)
+                fk_missing.extend(missing)
+    finally:
+        spark.conf.set(writers, previous_writers)
     fk_report = spark.createDataFrame(
         fk_reports, "entity string, column string, parent string, removed_count bigint"
     )

@@ -236,3 +236,18 @@ def test_raw_null_check_sees_what_cleaning_fills(spark):
     assert raw[("products", "product_category_name")] == (1.0, False)
     with pytest.raises(QualityCheckError, match=r"\[products\] null_rate on 'product_category_name' in Raw"):
         run_staging(spark, paths, on_quality_failure="raise", raw_null_check=True)
+
+
+def test_core_restores_the_writer_setting(spark):
+    from strata.plans.layers import run_core, run_raw, run_staging
+
+    root = scratch("layers-writers")
+    _fixture(root)
+    paths = LayerPaths(root)
+    run_raw(spark, paths)
+    run_staging(spark, paths)
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.set(key, "0")
+    out = run_core(spark, paths)
+    assert spark.conf.get(key) == "0"
+    assert out["foreign_key_validation"][0]["removed_count"] == 1
