@@ -262,24 +262,31 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     # stage a previous run may have left behind.
     stage: dict[str, str] = {}
 
-    # D1.  Without a tiebreaker, one key-only aggregate finds duplicates
-    # (and raises) before the copy.  With one, the winner per key is written
-    # directly (no separate duplicate count pass).
+    # D1.  The duplicate count per entity (rows minus distinct keys) is the
+    # G3 finding the staging gate computed on this same staged data and wrote
+    # with it, so it is read from there (one row per entity) instead of
+    # shuffling every key again; without that table it is computed.  No
+    # duplicates: a copy.  Duplicates: the winner per key with a tiebreaker,
+    # ``DeduplicationError`` without one.
+    surplus_of: dict[str, int] = {}
+    findings_path = paths.audit("quality_findings")
+    if sources.files.path_exists(spark, findings_path):
+        for r in (
+            spark.read.parquet(findings_path)
+            .filter(F.col("check") == "primary_key")
+            .select("entity", "column", "value")
+            .collect()
+        ):
+            # only a count for the key these rules dedup on
+            if r["column"] == ",".join(rules.primary_keys.get(r["entity"], [])):
+                surplus_of[r["entity"]] = int(r["value"])
+
     def dedup_one(e: str) -> tuple[str, int]:
         df = spark.read.parquet(paths.staging(e))
-        key, tiebreaker = rules.primary_keys[e], rules.tiebreakers.get(e)
-        if tiebreaker is None:
-            deduped, removed = dedupe.dedup_entity(df, e, key, None)
-            sources.write_parquet(deduped, paths.core("1_dedup", e))
-        else:
-            # Rows in and out are counted from the Parquet footers of the
-            # staged input and the written output: exact, no row is read, and
-            # unlike a metric observed before the aggregate (a map stage,
-            # which a fetch failure can re-run) never counted twice.
-            sources.write_parquet(
-                dedupe.keep_latest(df, key, tiebreaker), paths.core("1_dedup", e)
-            )
-            removed = df.count() - spark.read.parquet(paths.core("1_dedup", e)).count()
+        deduped, removed = dedupe.dedup_entity(
+            df, e, rules.primary_keys[e], rules.tiebreakers.get(e), surplus_of.get(e)
+        )
+        sources.write_parquet(deduped, paths.core("1_dedup", e))
         return e, removed
 
     dedup_rows = run_in_order([partial(dedup_one, e) for e in rules.entity_order])

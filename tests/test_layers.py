@@ -251,3 +251,33 @@ def test_core_restores_the_writer_setting(spark):
     out = run_core(spark, paths)
     assert spark.conf.get(key) == "0"
     assert out["foreign_key_validation"][0]["removed_count"] == 1
+
+
+def test_core_dedup_reuses_the_staging_count_for_the_same_key_only(spark):
+    from dataclasses import replace
+
+    from strata.plans.layers import run_core, run_raw, run_staging
+    from strata.rules import RETAIL_RULES
+
+    root = scratch("layers-dedup-count")
+    _fixture(root)
+    _csv(os.path.join(root, "source"), "customers",
+         [("c1", "u1", 1001, "sao paulo", "sp"), ("c1", "u1b", 1001, "sao paulo", "sp"),
+          ("c2", "u2", 1002, "rio", "rj")])
+    paths = LayerPaths(root)
+    run_raw(spark, paths)
+    run_staging(spark, paths, on_quality_failure="warn")
+    rules = replace(RETAIL_RULES, tiebreakers={**RETAIL_RULES.tiebreakers,
+                                               "customers": "customer_unique_id"})
+    out = run_core(spark, paths, rules)
+    removed = {r["entity"]: r["removed_count"] for r in out["deduplication"]}
+    assert removed["customers"] == 1 and removed["orders"] == 0
+    kept = spark.read.parquet(paths.core("1_dedup", "customers")).collect()
+    assert sorted((r["customer_id"], r["customer_unique_id"]) for r in kept) == [
+        ("c1", "u1b"), ("c2", "u2")]
+    # another key than the one staging checked: counted afresh, not reused
+    by_unique = replace(rules, primary_keys={**rules.primary_keys,
+                                             "customers": ["customer_unique_id"]})
+    out = run_core(spark, paths, by_unique)
+    removed = {r["entity"]: r["removed_count"] for r in out["deduplication"]}
+    assert removed["customers"] == 0
