@@ -41,3 +41,22 @@ def test_negative_payment_stops_the_stream(spark):
         ingest_stream(spark, src, f"{d}/raw", "payments", RETAIL_RULES.struct_type("payments"),
                       checkpoint=f"{d}/cp")
     assert not os.path.exists(f"{d}/raw/payments")
+
+
+def test_failing_batch_is_withdrawn_and_earlier_batches_stay(spark):
+    d = scratch("stream-partial")
+    src, raw, cp = f"{d}/src", f"{d}/raw", f"{d}/cp"
+    os.makedirs(src)
+    schema = RETAIL_RULES.struct_type("payments")
+    _write(f"{src}/a.csv", ["o1,1,card,1,10.0"])
+    assert sum(b["rows"] for b in ingest_stream(spark, src, raw, "payments", schema, checkpoint=cp)) == 1
+    _write(f"{src}/b.csv", ["o2,1,card,1,-3.0"])
+    with pytest.raises(Exception, match="payment_value < 0"):
+        ingest_stream(spark, src, raw, "payments", schema, checkpoint=cp)
+    # the good batch is still there, the failing one left nothing behind
+    assert sorted(os.listdir(f"{raw}/payments")) == ["batch_id=0"]
+    ids = [r["order_id"] for r in spark.read.parquet(f"{raw}/payments").collect()]
+    assert ids == ["o1"]
+    # a restart replays the failing batch (its offsets were never committed)
+    with pytest.raises(Exception, match="payment_value < 0"):
+        ingest_stream(spark, src, raw, "payments", schema, checkpoint=cp)
