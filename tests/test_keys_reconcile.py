@@ -214,3 +214,15 @@ def test_no_foreign_key_rules_cleans_nothing(spark):
     assert out["orders"] is ents["orders"]
     assert report.count() == 0 and missing.count() == 0
     assert report.columns == keys.REPORT_COLUMNS
+
+
+def test_checkpointed_totals_give_the_same_summary(spark):
+    orders = spark.createDataFrame([("o1", "delivered"), ("o2", "canceled")],
+                                   "order_id string, order_status string")
+    items = _items(spark, [("o1", 100.0, 10.0)])
+    pay = _pay(spark, [("o1", 110.0), ("o2", 5.0)])
+    lazy = reconcile.run_reconciliation(orders, items, pay, 0.01, "warn")
+    ckpt = reconcile.run_reconciliation(orders, items, pay, 0.01, "warn", materialize="checkpoint")
+    for key in ("total_orders_checked", "orders_passed", "orders_failed", "excluded_order_count"):
+        assert lazy.summary[key] == ckpt.summary[key]
+    assert [r["order_id"] for r in ckpt.quarantine.collect()] == ["o2"]
