@@ -249,9 +249,14 @@ def fk_levels(rules: Rules) -> list[list[str]]:
 
 
 def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES,
-             run_id: str | None = None, broadcast_max_rows: int = 1_000_000) -> dict:
+             run_id: str | None = None, broadcast_max_rows: int = 1_000_000,
+             known_duplicates: dict[str, int] | None = None) -> dict:
     """L3: D1 per entity -> F3 cascade -> R4 reconciliation -> A1, A2.
 
+    ``known_duplicates``: entity -> duplicate count of the staged data for
+    the rules' key, when the caller has just computed it (see
+    ``duplicate_counts``); entities without one are counted here.
+
     ``broadcast_max_rows``: a parent whose stage holds at most this many rows
     (checked with an incremental take that stops past n rows) is broadcast to the FK
     joins; larger parents use shuffle joins."""
@@ -262,24 +267,13 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     # stage a previous run may have left behind.
     stage: dict[str, str] = {}
 
-    # D1.  The duplicate count per entity (rows minus distinct keys) is the
-    # G3 finding the staging gate computed on this same staged data and wrote
-    # with it, so it is read from there (one row per entity) instead of
-    # shuffling every key again; without that table it is computed.  No
-    # duplicates: a copy.  Duplicates: the winner per key with a tiebreaker,
-    # ``DeduplicationError`` without one.
-    surplus_of: dict[str, int] = {}
-    findings_path = paths.audit("quality_findings")
-    if sources.files.path_exists(spark, findings_path):
-        for r in (
-            spark.read.parquet(findings_path)
-            .filter(F.col("check") == "primary_key")
-            .select("entity", "column", "value")
-            .collect()
-        ):
-            # only a count for the key these rules dedup on
-            if r["column"] == ",".join(rules.primary_keys.get(r["entity"], [])):
-                surplus_of[r["entity"]] = int(r["value"])
+    # D1.  ``known_duplicates`` (from ``run_layers``) carries the duplicate
+    # count per entity (rows minus distinct keys) that the staging gate just
+    # computed on this same staged data, so the keys are not shuffled again;
+    # called on its own, the count is computed here.  No duplicates: a copy.
+    # Duplicates: the winner per key with a tiebreaker, ``DeduplicationError``
+    # without one.
+    surplus_of = dict(known_duplicates or {})
 
     def dedup_one(e: str) -> tuple[str, int]:
         df = spark.read.parquet(paths.staging(e))
@@ -478,13 +472,29 @@ def run_analytics(spark: SparkSession, paths: LayerPaths, run_id: str | None = N
     return report
 
 
+def duplicate_counts(findings: DataFrame, rules: Rules) -> dict[str, int]:
+    """entity -> duplicate count from G5 findings (one row per entity), for
+    the findings whose key is the one ``rules`` dedup on."""
+    out = {}
+    for r in (
+        findings.filter(F.col("check") == "primary_key")
+        .select("entity", "column", "value")
+        .collect()
+    ):
+        if r["column"] == ",".join(rules.primary_keys.get(r["entity"], [])):
+            out[r["entity"]] = int(r["value"])
+    return out
+
+
 def run_layers(spark: SparkSession, root: str, rules: Rules = RETAIL_RULES,
                on_quality_failure: str = "raise") -> dict:
-    """All four layers over ``root``/source/*.csv, one run id."""
+    """All four layers over ``root``/source/*.csv, one run id.  The staging
+    gate's duplicate counts go straight to Core's dedup."""
     paths = LayerPaths(root)
     run_id = uuid.uuid4().hex
     raw = run_raw(spark, paths, rules, run_id)
-    run_staging(spark, paths, rules, run_id, on_quality_failure)
-    core = run_core(spark, paths, rules, run_id)
+    findings = run_staging(spark, paths, rules, run_id, on_quality_failure)
+    core = run_core(spark, paths, rules, run_id,
+                    known_duplicates=duplicate_counts(findings, rules))
     analytics = run_analytics(spark, paths, run_id, core["stages"])
     return {"run_id": run_id, "raw": raw, "core": core, "analytics": analytics}

@@ -281,3 +281,24 @@ def test_core_dedup_reuses_the_staging_count_for_the_same_key_only(spark):
     out = run_core(spark, paths, by_unique)
     removed = {r["entity"]: r["removed_count"] for r in out["deduplication"]}
     assert removed["customers"] == 0
+
+
+def test_standalone_core_counts_duplicates_itself(spark):
+    from strata.errors import DeduplicationError
+    from strata.plans.layers import duplicate_counts, run_core, run_raw, run_staging
+    from strata.rules import RETAIL_RULES
+
+    root = scratch("layers-stale")
+    _fixture(root)
+    paths = LayerPaths(root)
+    run_raw(spark, paths)
+    findings = run_staging(spark, paths)
+    assert duplicate_counts(findings, RETAIL_RULES)["customers"] == 0
+    # staged customers replaced after the gate ran: Core must not trust it
+    staged = spark.read.parquet(paths.staging("customers"))
+    dup = staged.unionByName(staged.limit(1))
+    dup.write.mode("overwrite").parquet(paths.staging("customers") + "_new")
+    spark.read.parquet(paths.staging("customers") + "_new").write.mode("overwrite").parquet(
+        paths.staging("customers"))
+    with pytest.raises(DeduplicationError, match="customers"):
+        run_core(spark, paths)
