@@ -302,3 +302,16 @@ def test_standalone_core_counts_duplicates_itself(spark):
         paths.staging("customers"))
     with pytest.raises(DeduplicationError, match="customers"):
         run_core(spark, paths)
+
+
+def test_duplicate_counts_only_for_the_dedup_key(spark):
+    from strata.plans.layers import duplicate_counts
+    from strata.rules import RETAIL_RULES
+
+    findings = spark.createDataFrame(
+        [("primary_key", "customers", "customer_id", "duplicate_count", 2.0),
+         ("primary_key", "orders", "order_id,customer_id", "duplicate_count", 5.0),
+         ("null_rate", "orders", "order_id", "null_rate", 0.0)],
+        "check string, entity string, column string, metric string, value double",
+    )
+    assert duplicate_counts(findings, RETAIL_RULES) == {"customers": 2}
