@@ -1,4 +1,5 @@
 from strata.sources.files import (  # noqa: F401
+    delete_path,
     discover_sources,
     ingest_file,
     list_files,
