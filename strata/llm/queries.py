@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import packing, tokenfile
+from strata.llm import decontaminate, fingerprint, packing, tokenfile
 from strata.llm.common import scratch, table
 
 #: Folder of the public vocabulary files; unset: where the package has them.
@@ -25,9 +25,34 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_files(spark, path)
 
 
+def op3_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op4_best_fit_packing)}
+def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return both.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op6_bottom_k)}
 ORACLE: dict[str, str] = {}
