@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, fingerprint, packing, tokenfile
+from strata.llm import decontaminate, fingerprint, packing, tokencount, tokenfile
 from strata.llm.common import scratch, table
 
 #: Folder of the public vocabulary files; unset: where the package has them.
@@ -54,5 +54,9 @@ def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op6_bottom_k)}
+def op7_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op6_bottom_k, op7_transducer_counts)}
 ORACLE: dict[str, str] = {}

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 # Everything that any of the libraries' \s may match.
 BLANK = "\t-\r\x1c-\x20\x85\xa0  -     　"
 _NEXT_TO_SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_RUN = f" {_NEXT_TO_SPACE}|{_NEXT_TO_SPACE} "
+SPACE_RUN = f" {_NEXT_TO_SPACE}|{_NEXT_TO_SPACE} "
 _CUT = re.compile(f"(?<=[^{BLANK}])(?=[ \\n\\t\\r])")
 
 
@@ -88,7 +88,7 @@ class WordEncoder:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not len(texts):
             return np.empty(0, "<u4"), np.zeros(1, "i8")
-        odd = np.asarray(pc.match_substring_regex(texts, _RUN).to_numpy(zero_copy_only=False), bool) if self.byte_level else np.zeros(len(texts), bool)
+        odd = np.asarray(pc.match_substring_regex(texts, SPACE_RUN).to_numpy(zero_copy_only=False), bool) if self.byte_level else np.zeros(len(texts), bool)
         if not odd.any():
             return self._words(texts)
         plain, upto = self._words(texts.filter(pa.array(~odd)))
