@@ -137,3 +137,49 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> tuple[DataFrame, dict[int, int]]:
+    """A bounded sample to learn from, and all learnable labels' counts by class.
+
+    Only rows whose ``crc_fold`` is not 0 are used.  Of each class, the
+    ``per_class`` documents least by a hash of doc_id; those longer than
+    ``max_chars`` are not learned from.  A doc_id with several labels counts
+    once, with the larger.  Columns: doc_id, text, lang, y.
+    """
+    usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (crc_fold(F.col("doc_id")) != 0))
+    usable = usable.groupBy("doc_id").agg(F.max(F.col(label)).cast("int").alias("y"))
+    counts = {r["y"]: r["count"] for r in usable.groupBy("y").count().collect()}
+    picked = None
+    for y in (0, 1):
+        part = usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        picked = part if picked is None else picked.unionAll(part)
+    rows = [(r["doc_id"], r["y"]) for r in picked.collect()]  # at most 2 * per_class ids
+    ids = F.broadcast(docs.sparkSession.createDataFrame(rows, "doc_id long, y int"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.col("lang").cast("string")).join(ids, "doc_id")
+    return found.where(F.char_length("text") <= max_chars), counts
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
+
+
+def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 200) -> tuple[float, float]:
+    """(a, b) so that sigmoid(a z + b) fits y, by weighted Newton steps with a
+    little smoothing of the targets."""
+    n1, n0 = weight[y == 1].sum(), weight[y == 0].sum()
+    if not n1 or not n0:
+        return 1.0, 0.0
+    target = np.where(y == 1, 1 - 1 / (len(y) + 2), 1 / (len(y) + 2))
+    x = np.stack((z, np.ones_like(z)), 1)
+    v = np.array([1.0, 0.0])
+    for _ in range(steps):
+        p = sigmoid(x @ v)
+        g = x.T @ (weight * (p - target)) + np.array([1e-3 * (v[0] - 1), 0])
+        h = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag([1e-3, 1e-9])
+        move = np.linalg.solve(h, g)
+        v -= np.clip(move, -2, 2)
+        if np.abs(move).max() < 1e-6:
+            break
+    return float(max(v[0], 1e-3)), float(v[1])

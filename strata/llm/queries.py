@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, fingerprint, packing, tokencount, tokenfile
-from strata.llm.common import scratch, table
+from strata.llm import decontaminate, fingerprint, packing, tokencount, tokenfile, toxicity
+from strata.llm.common import crc_fold, scratch, table
 
 #: Folder of the public vocabulary files; unset: where the package has them.
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS")
@@ -19,6 +19,16 @@ def vocabulary(name: str) -> str:
     return f"{TOKENIZERS}/{name}" if TOKENIZERS else public_tokenizers.path(name)
 
 
+def _scored(scored: DataFrame, limit: float) -> DataFrame:
+    held = (crc_fold(F.col("doc_id")) == 0).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= limit).cast("int").alias("predicted"))
+
+
+def op1_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _scored(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), 0.5)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-files")
     tokenfile.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
@@ -58,5 +68,5 @@ def op7_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op6_bottom_k, op7_transducer_counts)}
+QUERIES = {f.__name__: f for f in (op1_convolution, op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op6_bottom_k, op7_transducer_counts)}
 ORACLE: dict[str, str] = {}
