@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, fingerprint, packing, quality_crf, tokencount, tokenfile, toxicity
+from strata.llm import decontaminate, fingerprint, ngram_join, packing, quality_crf, tokencount, tokenfile, toxicity
 from strata.llm.common import crc_fold, scratch, table
 
 #: Folder of the public vocabulary files; unset: where the package has them.
@@ -68,10 +68,14 @@ def op7_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
 def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return _scored(quality_crf.score(docs, quality_crf.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
 
 
-QUERIES = {f.__name__: f for f in (op1_convolution, op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op6_bottom_k, op7_transducer_counts, op10_line_crf)}
+QUERIES = {f.__name__: f for f in (op1_convolution, op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op6_bottom_k, op7_transducer_counts, op9_ngram_jaccard, op10_line_crf)}
 ORACLE: dict[str, str] = {}
