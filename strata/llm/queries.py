@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, fingerprint, ngram_join, packing, quality_crf, tokencount, tokenfile, toxicity
+from strata.llm import decontaminate, fingerprint, line_dedup, ngram_join, packing, quality_crf, tokencount, tokenfile, toxicity
 from strata.llm.common import crc_fold, scratch, table
 
 #: Folder of the public vocabulary files; unset: where the package has them.
@@ -51,6 +51,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_deletion_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
     return both.select(
@@ -77,5 +82,5 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality_crf.score(docs, quality_crf.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
 
 
-QUERIES = {f.__name__: f for f in (op1_convolution, op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op6_bottom_k, op7_transducer_counts, op9_ngram_jaccard, op10_line_crf)}
+QUERIES = {f.__name__: f for f in (op1_convolution, op2_token_files, op3_suffix_automaton, op4_best_fit_packing, op5_deletion_neighbourhood, op6_bottom_k, op7_transducer_counts, op9_ngram_jaccard, op10_line_crf)}
 ORACLE: dict[str, str] = {}
