@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
 
+#: Text of this many bytes is worked on at a time.
+SLICE_BYTES = 4 << 20
+
 #: The columns of ``documents`` and their types, in order.
 DOCUMENT = (("doc_id", "long"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "long"))
 
@@ -88,13 +92,30 @@ def range_bucket(key: Column, bounds: list[int]) -> Column:
     return F.coalesce(block * step + F.when(inner < 0, 0).otherwise(inner), F.lit(0))
 
 
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Stretches of a batch's rows with at most ``limit`` bytes of text and
+    binaries each (a longer row is a stretch of its own): working arrays are a
+    multiple of that, however long the texts of a batch are."""
+    size = np.zeros(batch.num_rows, "i8")
+    for c in batch.columns:
+        if pa.types.is_string(c.type) or pa.types.is_large_string(c.type) or pa.types.is_binary(c.type):
+            size += np.asarray(pc.fill_null(pc.binary_length(c), 0)).astype("i8")
+    upto, lo = np.cumsum(size), 0
+    while lo < batch.num_rows:
+        hi = int(np.searchsorted(upto, upto[lo] - size[lo] + limit, "right"))
+        hi = max(lo + 1, hi)
+        # Copied, not sliced: some Arrow text kernels misread arrays with an offset.
+        yield batch if hi - lo == batch.num_rows else batch.take(pa.array(np.arange(lo, hi)))
+        lo = hi
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function of one batch."""
+    """``mapInArrow`` for a function of one bounded stretch of rows."""
 
     def run(batches):
         for b in batches:
-            if b.num_rows:
-                yield fn(b)
+            for part in slices(b):
+                yield fn(part)
 
     return df.mapInArrow(run, schema)
 

@@ -16,11 +16,12 @@ reaches a threshold.  Equal sets are one vertex.  Two ways find the others:
 The boundary is the size where enumeration begins to cost more rows than the
 scan and the verification it needs (``boundary``).
 
-A group of many alike documents must not become all its pairs: a scan emits
-only a spanning forest of what passes; after verification a second scan looks at
-the pairs that passed but still lie in different components.  So every link
-either lies within a component or is verified itself.  Long lists are split
-into blocks, and every two blocks are compared by a task of their own.
+A group of many alike documents must not become all its pairs: where more than
+``DENSE`` pairs a row pass, a scan emits only a spanning forest of them.  Of the
+pairs found, one a document is verified first.  Then those pairs, and all that
+pass in the dense lists, that still lie in different components are verified.
+So every link either lies within a component or is verified itself.  Long lists
+are split into blocks, and every two blocks are compared by a task of their own.
 """
 
 from __future__ import annotations
@@ -35,10 +36,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import connected_components, documents, map_arrow, partitions, small_batches, written
+from strata.llm.common import connected_components, documents, map_arrow, partitions, slices, small_batches, written
 
 FREQUENT = 500_000  # shingles whose order is by frequency; bounds the broadcast (16 bytes each)
 LOCAL_USES = 4
+DENSE = 4
 SMALLER, LARGER, EQUAL = 0, 1, 2
 BLOCK = 1024  # rows of a list compared together
 SEND_IDS = 500_000  # ids sent to all executors at most; more are joined by a shuffle
@@ -56,6 +58,8 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     Words are runs of anything but ASCII blanks, A-Z lower-cased; a text with
     fewer words than a shingle has one, of all its words; without words, none.
     """
+    if texts.offset:  # ascii_lower misreads arrays with an offset
+        texts = texts.take(pa.array(np.arange(len(texts))))
     texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     pieces = pc.ascii_split_whitespace(texts)
     at = np.asarray(pieces.offsets).astype("i8")
@@ -118,9 +122,10 @@ def boundary(percent: int) -> int:
         n = m
 
 
-def sketch(u: np.ndarray) -> bytes:
-    """One parity bit for each of 2^b bins, 2^b about the set's size."""
-    bits = 1 << max(8, (max(1, len(u)) - 1).bit_length())
+def sketch(u: np.ndarray, percent: int, fine: int = 1) -> bytes:
+    """One parity bit for each of 2^b bins: half the set's size or more at 90
+    hundredths, all of it at 80 (where more may differ), times ``fine``."""
+    bits = 1 << max(8, (max(1, fine * len(u) * (100 - percent) // 20) - 1).bit_length())
     return np.packbits((np.bincount((u >> np.uint64(20)) & np.uint64(bits - 1), minlength=bits) & 1).astype("u1"), bitorder="little").tobytes()
 
 
@@ -138,7 +143,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
     """(hashes ascending, their places from rare to frequent) of the shingles
     that repeat most.  Only an order is made of them, so any choice is right;
     counts are of all documents, except what a task saw fewer than
-    ``LOCAL_USES`` times in a stretch of about four million shingles."""
+    ``LOCAL_USES`` times in a stretch of about two million shingles."""
 
     def count(batches):
         held, size = [], 0
@@ -149,12 +154,13 @@ def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
             return pa.RecordBatch.from_arrays([pa.array(u[often].view("i8")), pa.array(n[often].astype("i8"))], names=["h", "n"])
 
         for b in batches:
-            sets = shingle_sets(b.column(0), words)
-            held += sets
-            size += sum(map(len, sets))
-            if size >= 4_000_000:
-                yield flush()
-                held, size = [], 0
+            for part in slices(b):
+                sets = shingle_sets(part.column(0), words)
+                held += sets
+                size += sum(map(len, sets))
+                if size >= 2_000_000:
+                    yield flush()
+                    held, size = [], 0
         if held:
             yield flush()
 
@@ -201,7 +207,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
             n = len(u)
             keys, sides = enumerated(u) if 0 < n <= reach else ([], [])
             entries = prefix(u, hot, place).view("i8") if n > limit else []
-            out.append((n, int(u.sum(dtype="u8").astype("i8")), int(mix(u * _M3).sum(dtype="u8").astype("i8")), sketch(u) if n > limit else b"", entries, keys, sides))
+            out.append((n, int(u.sum(dtype="u8").astype("i8")), int(mix(u * _M3).sum(dtype="u8").astype("i8")), sketch(u, percent) if n > limit else b"", entries, keys, sides))
         cols = list(zip(*out))
         types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int8()))
         return pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], names=["doc_id", "n", "h1", "h2", "sketch", "entries", "keys", "sides"])
@@ -209,9 +215,10 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return map_arrow(docs, run, "doc_id long, n long, h1 long, h2 long, sketch binary, entries array<long>, keys array<long>, sides array<tinyint>")
 
 
-def _blocks(ids: np.ndarray, n: np.ndarray, raw: list[bytes], percent: int, component: np.ndarray | None) -> list[tuple[int, int]]:
-    """Pairs of one block of a list that pass the sketch test: a spanning forest
-    of them, or (given components) all that lie in different ones."""
+def _blocks(ids: np.ndarray, n: np.ndarray, raw: list[bytes], percent: int, component: np.ndarray | None) -> tuple[list[tuple[int, int]], bool]:
+    """(pairs of one block of a list that pass the sketch test, whether that is
+    all).  Given components, all that lie in different ones; otherwise all if
+    they are few, and else a spanning forest."""
     rows, out = folded(raw), []
     slack, whole = 100 - percent, 100 + percent
 
@@ -220,13 +227,16 @@ def _blocks(ids: np.ndarray, n: np.ndarray, raw: list[bytes], percent: int, comp
         fits = (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])) & (whole * apart <= slack * (n[others] + n[i]))
         return others[fits & (ids[others] != ids[i])]
 
-    if component is not None:
-        for i in range(len(ids) - 1):
-            others = np.arange(i + 1, len(ids))
-            for j in passing(i, others[component[others] != component[i]]).tolist():
-                out.append((int(ids[i]), int(ids[j])))
-        return out
-    left = np.arange(len(ids))
+    for i in range(len(ids) - 1):
+        others = np.arange(i + 1, len(ids))
+        if component is not None:
+            others = others[component[others] != component[i]]
+        out += [(int(ids[i]), int(ids[j])) for j in passing(i, others).tolist()]
+        if component is None and len(out) > DENSE * len(ids):
+            break
+    else:
+        return out, True
+    out, left = [], np.arange(len(ids))
     while len(left):
         found, left = [int(left[0])], left[1:]
         while found and len(left):
@@ -236,11 +246,12 @@ def _blocks(ids: np.ndarray, n: np.ndarray, raw: list[bytes], percent: int, comp
                 out += [(int(ids[i]), int(ids[j])) for j in near.tolist()]
                 found += near.tolist()
                 left = np.setdiff1d(left, near, assume_unique=True)
-    return out
+    return out, False
 
 
 def _compare(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) from blocks of lists (key, s, t, id, n, sketch[, component])."""
+    """Pairs (a, b) from blocks of lists (key, s, t, id, n, sketch[, component]);
+    a dense list's key comes back as ``a`` with a null ``b``."""
     wide = "component" in lists.columns
     keys = ["key", "s", "t"]
 
@@ -252,12 +263,17 @@ def _compare(lists: DataFrame, percent: int) -> DataFrame:
             edge = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(1), [True])))
             ids, n = (np.asarray(t[c].combine_chunks()) for c in ("id", "n"))
             comp = np.asarray(t["component"].combine_chunks()) if wide else None
-            raw, out = t["sketch"].to_pylist(), []
+            raw, out, dense = t["sketch"].to_pylist(), [], []
             for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
                 if hi - lo > 1:
-                    out += _blocks(ids[lo:hi], n[lo:hi], raw[lo:hi], percent, comp[lo:hi] if wide else None)
+                    own, every = _blocks(ids[lo:hi], n[lo:hi], raw[lo:hi], percent, comp[lo:hi] if wide else None)
+                    out += own
+                    if not every:
+                        dense.append(int(k[lo, 0]))
             a, b = np.array(sorted(set(out)), "i8").reshape(-1, 2).T if out else (np.empty(0, "i8"),) * 2
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            low = np.concatenate((np.minimum(a, b), np.array(dense, "i8")))
+            high = np.concatenate((np.maximum(a, b), np.zeros(len(dense), "i8")))
+            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high, mask=np.arange(len(high)) >= len(a))], names=["a", "b"])
 
         for b in batches:
             t = pa.Table.from_batches([b])
@@ -284,20 +300,59 @@ def _with_blocks(members: DataFrame) -> DataFrame:
     return members.withColumn("pair", F.explode(others)).select("*", "pair.s", "pair.t").drop("pair", "size")
 
 
+def _sent(df: DataFrame) -> DataFrame:
+    """Marked to be sent to all executors if it has at most ``SEND_IDS`` rows of ids."""
+    return F.broadcast(df) if df.count() <= SEND_IDS else df
+
+
+def _checked(pairs: DataFrame, docs: DataFrame, words: int, payload, passes) -> DataFrame:
+    """The pairs (a, b) whose sets' payloads pass.  That of each a goes to a's
+    place once, that of b once a pair."""
+
+    def made(to: DataFrame, names: list[str]) -> DataFrame:
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            out = [payload(u) for u in shingle_sets(b.column(len(names)), words)]
+            return pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(out, pa.binary())], names=[*names, "u"])
+
+        near = docs.select(F.col("doc_id").alias(names[-1]), "text").join(_sent(to), names[-1])
+        return map_arrow(near.select(*names, "text"), run, ", ".join(f"{c} long" for c in names) + ", u binary")
+
+    left = made(written(pairs.select("a").distinct(), "ids"), ["a"]).withColumnRenamed("u", "ua")
+
+    def check(b: pa.RecordBatch) -> pa.RecordBatch:
+        keep = [passes(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return map_arrow(made(pairs, ["a", "b"]).join(left, "a").select("a", "b", "ua", "u"), check, "a long, b long").distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets link."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    send = ids.count() <= SEND_IDS
-    picked = docs.join(F.broadcast(ids) if send else ids, "doc_id")
+    """The pairs whose whole sets link.  Of each hash 48 bits are sent, still far
+    more than two sets need to tell their shingles apart."""
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array([u.view("i8") for u in shingle_sets(b.column(1), words)], pa.list_(pa.int64()))], names=["id", "u"])
+    def hashes(raw: bytes) -> np.ndarray:
+        out = np.zeros((len(raw) // 6, 8), "u1")
+        out[:, :6] = np.frombuffer(raw, "u1").reshape(-1, 6)
+        return out.view("u8").ravel()
+
+    def passes(x: bytes, y: bytes) -> bool:
+        u, v = hashes(x), hashes(y)
+        common = len(np.intersect1d(u, v, assume_unique=True))
+        return 100 * common >= percent * (len(u) + len(v) - common)
+
+    return _checked(pairs, docs, words, lambda u: u.view("u1").reshape(-1, 8)[:, :6].tobytes(), passes)
 
-    sets = written(map_arrow(picked, run, "id long, u array<long>"), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("u").alias("ua")), "a").join(sets.select(F.col("id").alias("b"), F.col("u").alias("ub")), "b")
-    common = F.size(F.array_intersect("ua", "ub")).cast("long")
-    both = both.withColumn("i", common).where(F.expr(f"100 * i >= {percent} * (size(ua) + size(ub) - i)"))
-    return both.select("a", "b").distinct()
+
+def _sifted(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that pass with sketches of four bits a shingle, an eighth of the
+    sets' own size, which few pairs below the threshold do."""
+
+    def passes(x: bytes, y: bytes) -> bool:
+        n = int.from_bytes(x[:4], "little") + int.from_bytes(y[:4], "little")
+        rows = folded([x[4:], y[4:]])
+        return (100 + percent) * int(np.bitwise_count(rows[0] ^ rows[1]).sum()) <= (100 - percent) * n
+
+    return _checked(pairs, docs, words, lambda u: len(u).to_bytes(4, "little") + sketch(u, 80, 4), passes)
 
 
 def link(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
@@ -314,10 +369,12 @@ def link(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = written(signatures(docs, words, percent), "signatures")
     named = signed.where("doc_id is not null and n > 0")
-    same = named.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
-    same = written(same, "equal")
-    # One row for each distinct set.
-    reps = written(named.join(same.select(F.col("rep").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"]), "distinct")
+    same = written(named.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "equal")
+    # One row for each distinct set: not those of a larger doc_id than the set's least.
+    extra = named.join(same, ["h1", "h2", "n"]).where("doc_id <> rep").select("doc_id", "h1", "h2").distinct()
+    reps = named.join(_sent(written(extra, "extra")), ["doc_id", "h1", "h2"], "left_anti")
+    if named.groupBy("doc_id", "h1", "h2").count().where("count > 1").limit(1).count():  # repeated rows
+        reps = written(reps.dropDuplicates(["doc_id", "h1", "h2"]), "distinct")
 
     # Small sets: of a key of two sizes, each side links with all of the other;
     # of a key of one size, all link with one another.
@@ -331,18 +388,29 @@ def link(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     lists = entry.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("a"), F.max("id").alias("b")).where("size > 1")
     lists = written(lists, "lists")
     traits = reps.select(F.col("doc_id").alias("id"), "n", "sketch")
-    members = entry.join(lists.where("size > 2").select("key", "size"), "key")
-    members = written(members.join(traits, "id"), "members")
+    members = written(entry.join(lists.where("size > 2").select("key", "size"), "key"), "members")
     twos = lists.where("size = 2 and a <> b").select("a", "b").distinct()
-    pairs = written(_compare(_with_blocks(members), percent).unionAll(_near(twos, traits, percent)).distinct(), "pairs")
-    edges = written(_verified(pairs, docs, words, percent).unionAll(equal), "edges")
-    first = written(connected_components(edges), "components")
-
-    # Pairs that pass but still lie apart.
-    placed = members.join(first.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    found = written(_compare(_with_blocks(members).join(traits, "id"), percent), "found")
+    pairs = written(found.where("b is not null").unionAll(_near(twos, traits, percent)).distinct(), "pairs")
+
+    # One pair a document first.
+    first = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+    edges = written(_verified(first, docs, words, percent).unionAll(equal), "edges")
+    groups = written(connected_components(edges), "components")
+
+    # Then all that pass and still lie apart.
+    def apart(df: DataFrame) -> DataFrame:
+        for c in ("a", "b"):
+            df = df.join(groups.select(F.col("id").alias(c), F.col("component").alias(f"in_{c}")), c, "left")
+        return df.where("coalesce(in_a, a) <> coalesce(in_b, b)").select("a", "b")
+
+    dense = members.join(found.where("b is null").select(F.col("a").alias("key")).distinct(), "key", "left_semi")
+    placed = dense.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    apart = _compare(_with_blocks(placed.join(mixed, "key", "left_semi")), percent).join(pairs, ["a", "b"], "left_anti")
-    more = _verified(written(apart, "apart"), docs, words, percent)
+    others = _compare(_with_blocks(placed.join(mixed, "key", "left_semi")).join(traits, "id"), percent)
+    more = apart(pairs.join(first, ["a", "b"], "left_anti")).unionAll(others.join(first, ["a", "b"], "left_anti")).distinct()
+    more = written(_sifted(written(more, "apart"), docs, words, percent), "sifted")
+    more = _verified(more, docs, words, percent)
     groups = connected_components(edges.unionAll(more))
 
     found = signed.join(same, ["h1", "h2", "n"], "left").join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")

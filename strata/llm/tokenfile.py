@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import partitions, range_bounds, range_bucket, small_batches
+from strata.llm.common import partitions, range_bounds, range_bucket, slices, small_batches
 from strata.llm.vocab import encoder
 
 MAGIC = b"RPG1"
@@ -179,7 +179,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             raw = Shard.build(names, np.concatenate([h[1] for h in held]), ids).to_bytes()
             return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(names)]), pa.array([len(ids)]), pa.array([raw], pa.binary())], names=["bucket", "seq", "n_docs", "n_ids", "payload"])
 
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             ids, at = encoder(tokenizer, False).encode(b.column(1))
             counts = np.diff(at) + 1
             ids = np.insert(ids, at[1:], end_id)
