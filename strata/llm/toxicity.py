@@ -217,15 +217,16 @@ def _best_threshold(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> flo
     f1[:-1][s[:-1] == s[1:]] = -1  # equal scores fall on the same side
     top = np.flatnonzero(f1 >= f1.max() - 1e-9)
     i = int(top[len(top) // 2])
-    return float(np.clip((s[i] + (s[i + 1] if i + 1 < len(s) else 0.0)) / 2, 0.05, 0.95))
+    return float(np.clip((s[i] + (s[i + 1] if i + 1 < len(s) else 0.0)) / 2, 0.3, 0.95))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, least_lang: int = 40) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, least: int = 10, least_lang: int = 40) -> Model:
     """Learn from ``labels`` (doc_id, toxic) and ``docs`` (doc_id, text, lang).
 
     Of the bounded sample, fold 4 of 5 calibrates the scores and thresholds and
     folds 1 to 3 train.  A language with fewer than ``least_lang`` calibration
-    rows of either class takes the common threshold.  Without labels of both
+    rows of either class takes the common threshold, which is 0.5 where there are
+    fewer than ``least``.  Without labels of both
     classes every score is the labels' mean (0 without labels).
     """
     sample, counts = labelled_sample(docs, labels, "toxic", per_class, max_chars)
@@ -247,7 +248,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_char
     z = model.logits(Words.of(texts.filter(pa.array(held)))).astype("f8")
     model.scale = platt(z, y[held], weight[held].astype("f8"))
     score = sigmoid(model.scale[0] * z + model.scale[1])
-    model.threshold = _best_threshold(score, y[held], weight[held])
+    if min((y[held] == 1).sum(), (y[held] == 0).sum()) >= least:
+        model.threshold = _best_threshold(score, y[held], weight[held])
     langs = np.array(["" if x is None else x for x in got["lang"].to_pylist()])[held]
     for lang in sorted({*langs.tolist()}):
         own = langs == lang
