@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from strata.session import ensure_checkpoint_dir
 
 #: Text of this many bytes is worked on at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: The columns of ``documents`` and their types, in order.
 DOCUMENT = (("doc_id", "long"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "long"))

@@ -206,11 +206,11 @@ class StateMap:
 class TokenCounter:
     """Tokens of whole texts as the ``tokenizers`` library counts them."""
 
-    def __init__(self, path: str, memo: int = 300_000):
+    def __init__(self, path: str, memo: int = 150_000):
         self.transducer = Transducer(path)
         self.split = regex.compile(PATTERN)
         self.special = re.compile("|".join(map(re.escape, self.transducer.specials))) if self.transducer.specials else None
-        self.limit, self.memo = memo, {}
+        self.limit, self.memo, self.older = memo, {}, {}
 
     def _piece(self, text: str) -> int:
         """Tokens of a stretch between resets."""
@@ -221,9 +221,10 @@ class TokenCounter:
     def stretch(self, text: str) -> int:
         n = self.memo.get(text)
         if n is None:
-            if len(self.memo) > self.limit:
-                self.memo.clear()
-            n = self.memo[text] = self._piece(text)
+            if len(self.memo) > self.limit:  # the words met lately stay, as the older generation
+                self.memo, self.older = {}, self.memo
+            n = self.older.get(text)
+            n = self.memo[text] = self._piece(text) if n is None else n
         return n
 
     def settled(self, text: str) -> int:
