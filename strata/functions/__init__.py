@@ -7,7 +7,6 @@ from strata.functions.columns import (  # noqa: F401
     month_index,
     month_label,
     month_label_of,
-    null_aware_count_distinct,
     parse_dates,
     parse_timestamp,
     rename_strict,

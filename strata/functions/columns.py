@@ -117,9 +117,11 @@ def month_index(col: str | Column) -> Column:
 
 
 def month_label_of(index: str | Column) -> Column:
-    """``yyyy-MM`` text of a ``month_index`` value (same text as ``month_label``)."""
+    """``yyyy-MM`` text of a ``month_index`` value (same text as ``month_label``);
+    null for a null month."""
     i = F.col(index) if isinstance(index, str) else index
-    return F.format_string("%04d-%02d", F.floor(i / 12).cast("int"), (F.pmod(i, F.lit(12)) + 1))
+    text = F.format_string("%04d-%02d", F.floor(i / 12).cast("int"), (F.pmod(i, F.lit(12)) + 1))
+    return F.when(i.isNotNull(), text)
 
 
 def money(col: str | Column) -> Column:
@@ -131,14 +133,3 @@ def money_sum(col: str | Column) -> Column:
     """A-sum: exact decimal sum, 0.0 for an all-null or empty group (the
     reference's frame library sums nulls to zero), returned as double."""
     return F.coalesce(F.sum(money(col)), F.lit(0).cast(MONEY_TYPE)).cast("double")
-
-
-def null_aware_count_distinct(col: str) -> Column:
-    """A-nuniq with null counted as one value (Spark's count_distinct skips it)."""
-    return F.count_distinct(F.col(col)) + F.max(F.col(col).isNull()).cast("long")
-
-
-def mean_of(col: str | Column) -> Column:
-    """A-mean as an explicit double sum over the non-null count."""
-    c = F.col(col) if isinstance(col, str) else col
-    return (F.sum(c).cast("double") / F.count(c)).alias("mean")

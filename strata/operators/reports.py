@@ -48,10 +48,12 @@ def sales_performance(
 
     gmv sums the payments of the month's orders; order_count counts the
     month's distinct orders, paid or not; a month with no payment row at all
-    is left out (the reference's inner join).
+    is left out (the reference's inner join), and so are orders without a
+    purchase time, which have no month (``undated_orders`` counts them).
     """
     per_order = (
-        orders.select("order_id", month_index("order_purchase_timestamp").alias("_mi"))
+        orders.filter(F.col("order_purchase_timestamp").isNotNull())
+        .select("order_id", month_index("order_purchase_timestamp").alias("_mi"))
         .join(_paid_per_order(payments), "order_id", "left")
         # one row per (month, order): the distinct count below becomes a count
         .groupBy("_mi", "order_id")
@@ -84,9 +86,11 @@ def customer_lifetime_value(
 
     Payments of unknown orders are dropped; a customer with orders but no
     payment row is left out; order_count counts all the customer's orders.
+    Orders without a customer belong to no row.
     """
     per_order = (
-        orders.select("order_id", "customer_id")
+        orders.filter(F.col("customer_id").isNotNull())
+        .select("order_id", "customer_id")
         .join(_paid_per_order(payments), "order_id", "left")
         .groupBy("customer_id", "order_id")
         .agg(F.sum("_paid").alias("_paid"), F.sum("_n_pay").alias("_n_pay"))
@@ -141,9 +145,11 @@ def item_performance(
         key,
         "revenue",
         "order_count",
-        F.try_divide(F.col("_score_sum").cast("double"), F.col("_score_n")).alias(
-            "avg_review_score"
-        ),
+        # A null key matches no review in the reference's join by key.
+        F.when(
+            F.col(key).isNotNull(),
+            F.try_divide(F.col("_score_sum").cast("double"), F.col("_score_n")),
+        ).alias("avg_review_score"),
     ).orderBy(F.desc("revenue"), key)
 
 

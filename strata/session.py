@@ -120,6 +120,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         # Already set (setCheckpointDir adds a fresh sub-folder per call, so
         # it is called once only).
         return active.get()
-    current = sc.getConf().get("spark.checkpoint.dir", None) or _scratch_dir("strata-ckpt-")
+    current = sc.getConf().get("spark.checkpoint.dir", None)
+    if current is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        current = _scratch_dir("strata-ckpt-")
     sc.setCheckpointDir(current)
     return sc._jsc.sc().getCheckpointDir().get()

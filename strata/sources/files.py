@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.errors import PaymentValidationError, SourceError
+from strata.errors import SourceError
 from strata.operators.checks import check_payment_counts, payment_count_columns
 from strata.session import ensure_checkpoint_dir
 
@@ -42,6 +42,14 @@ def delete_path(spark: SparkSession, path: str, prune_empty_parent: bool = False
             fs.delete(parent, True)
 
 
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a dataset folder over another one."""
+    fs, to = _fs_path(spark, target)
+    fs.delete(to, True)
+    if not fs.rename(_fs_path(spark, source)[1], to):
+        raise SourceError(f"could not move {source} to {target}")
+
+
 def path_size(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` (a file, or a dataset directory of part files)."""
     fs, p = _fs_path(spark, path)
@@ -100,9 +108,9 @@ def discover_sources(spark: SparkSession, source_dir: str, required: list[str])
     for name in required:
         path = f"{base}/{name}"
         if not path_exists(spark, path):
-            raise FileNotFoundError(f"Required source file missing: {name}")
+            raise FileNotFoundError(f"No {name} among the source files in {base}")
         if path_size(spark, path) == 0:
-            raise ValueError(f"Required source file is empty: {name}")
+            raise ValueError(f"Source file {name} has no bytes (empty)")
         paths.append(path)
     return paths
 
@@ -160,16 +168,23 @@ def write_parquet(
     """Parquet sink, Snappy by default.  Never point ``path`` at a
     dataset the same plan reads (the stage paths of the layer runner keep
     every input immutable)."""
+    # Static: an overwrite replaces the dataset whatever the session's mode is,
+    # so a rerun never finds partitions of an earlier run.
     w = df.write.mode(mode).option("compression", compression)
+    w = w.option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
+    """CSV sink; blanks around a text stay.  An empty text and a null are both
+    written as nothing and read back as null, as the source files have them."""
     df.write.mode(mode).option("header", True).option("sep", sep).option(
         "escape", '"'
-    ).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"
+    ).csv(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -208,22 +223,22 @@ def ingest_file(
     if name == "payments":
         metrics += payment_count_columns()
     obs = Observation(f"ingest_{name}_{uuid.uuid4().hex[:8]}")
-    write_parquet(df.observe(obs, *metrics), out)
-    if name == "payments":
-        # G1 counted during the same write (one pass over the source); on a
-        # negative payment the written dataset is removed before raising.
-        try:
-            check_payment_counts(obs.get)
-        except PaymentValidationError:
-            delete_path(spark, out)
-            raise
-    source_rows = int(obs.get["rows"])
-    written_rows = spark.read.parquet(out).count()
-    if source_rows != written_rows:
-        raise SourceError(
-            f"Row count mismatch for '{name}'. CSV rows: {source_rows}, "
-            f"Parquet rows: {written_rows}."
-        )
+    # Written beside Raw, checked, then moved: a file that fails leaves the
+    # dataset of an earlier ingest as it was.
+    pending = f"{raw_dir.rstrip('/')}/_pending-{name}-{uuid.uuid4().hex}"
+    try:
+        write_parquet(df.observe(obs, *metrics), pending)
+        if name == "payments":
+            check_payment_counts(obs.get)  # G1, counted during the same write
+        source_rows = int(obs.get["rows"])
+        written_rows = spark.read.parquet(pending).count()
+        if source_rows != written_rows:
+            raise SourceError(
+                f"'{name}': {source_rows} rows were read, {written_rows} are in the dataset."
+            )
+        replace_path(spark, pending, out)
+    finally:
+        delete_path(spark, pending)
     return {
         "source_file_path": source_path,
         "output_file_path": out,
@@ -257,6 +272,6 @@ def validate_raw_layer(spark: SparkSession, raw_dir: str, datasets: list[str]) -
     """S9 as a gate: missing -> ``FileNotFoundError``, no rows -> ``ValueError``."""
     for row in raw_completeness(spark, raw_dir, datasets).collect():
         if row["status"] == "missing":
-            raise FileNotFoundError(f"Missing raw dataset: {row['dataset']}")
+            raise FileNotFoundError(f"Raw has no dataset {row['dataset']}")
         if row["status"] == "empty":
-            raise ValueError(f"Raw dataset is empty: {row['dataset']}")
+            raise ValueError(f"Raw dataset {row['dataset']} has no rows (empty)")

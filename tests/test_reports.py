@@ -169,3 +169,21 @@ def test_undated_orders_are_left_out_and_counted(spark):
     rows = R.customer_retention(orders).collect()
     assert [(r["cohort_month"], r["cohort_size"]) for r in rows] == [("2024-01", 1)]
     assert R.undated_orders(orders).first()["orders_without_purchase_time"] == 2
+
+
+def test_orders_without_month_customer_or_key_make_no_rows(spark):
+    from datetime import datetime
+
+    from strata.operators import reports
+
+    orders = spark.createDataFrame(
+        [("o1", "c1", datetime(2024, 1, 5)), ("o2", None, None)],
+        "order_id string, customer_id string, order_purchase_timestamp timestamp_ntz",
+    )
+    paid = spark.createDataFrame([("o1", 10.0), ("o2", 55.0)], "order_id string, payment_value double")
+    assert [r["month"] for r in reports.sales_performance(orders, paid).collect()] == ["2024-01"]
+    assert [r["customer_id"] for r in reports.customer_lifetime_value(orders, paid).collect()] == ["c1"]
+    items = spark.createDataFrame([("o1", None, 3.0)], "order_id string, seller_id string, price double")
+    reviews = spark.createDataFrame([("o1", 5)], "order_id string, review_score int")
+    row = reports.item_performance(items, reviews, "seller_id").first()
+    assert row["revenue"] == 3.0 and row["avg_review_score"] is None

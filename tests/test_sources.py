@@ -140,7 +140,7 @@ def test_payments_gate_counted_in_the_write_leaves_nothing_on_failure(spark, cap
     d = scratch("ing-gate")
     header = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
     _write(os.path.join(d, "neg.csv"), header + "o1,1,card,1,10\no2,1,card,1,-1\no3,1,card,1,-2\n")
-    with pytest.raises(PaymentValidationError, match="Found 2 payment"):
+    with pytest.raises(PaymentValidationError, match="Negative payments: 2"):
         sources.ingest_file(spark, f"{d}/neg.csv", f"{d}/raw", RETAIL_RULES.struct_type("payments"),
                             "payments")
     assert not os.path.exists(f"{d}/raw/payments")
@@ -149,4 +149,35 @@ def test_payments_gate_counted_in_the_write_leaves_nothing_on_failure(spark, cap
         info = sources.ingest_file(spark, f"{d}/zero.csv", f"{d}/raw",
                                    RETAIL_RULES.struct_type("payments"), "payments")
     assert info["output_row_count"] == 2
-    assert "1 payment(s) with payment_value == 0" in caplog.text
+    assert "1 payments of exactly zero" in caplog.text
+
+
+def test_rejected_file_keeps_the_earlier_dataset(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from strata.errors import PaymentValidationError
+    from strata.sources.files import ingest_file
+
+    schema = T.StructType([T.StructField("order_id", T.StringType()), T.StructField("payment_value", T.DoubleType())])
+    raw = str(tmp_path / "raw")
+    for text, good in (("o1,5.0\n", True), ("o2,NaN\n", False), ("o3,-1.0\n", False)):
+        source = tmp_path / "payments.csv"
+        source.write_text("order_id,payment_value\n" + text)
+        if good:
+            ingest_file(spark, str(source), raw, schema)
+        else:
+            with pytest.raises(PaymentValidationError):
+                ingest_file(spark, str(source), raw, schema)
+    assert [r["order_id"] for r in spark.read.parquet(f"{raw}/payments").collect()] == ["o1"]
+
+
+def test_overwrite_replaces_all_partitions_in_dynamic_mode(spark, tmp_path):
+    from strata.sources.files import write_parquet
+
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for part in (0, 1):
+            write_parquet(spark.createDataFrame([(part, "x")], "p int, v string"), str(tmp_path / "d"), partition_by=["p"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r["p"] for r in spark.read.parquet(str(tmp_path / "d")).collect()] == [1]
