@@ -53,7 +53,7 @@ def byte_alphabet() -> dict[str, int]:
 class Transducer:
     """Counts the tokens of byte strings that the splitting pattern leaves whole."""
 
-    def __init__(self, path: str, max_states: int = 100_000):
+    def __init__(self, path: str, max_states: int = 250_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         of = byte_alphabet()
@@ -206,7 +206,7 @@ class StateMap:
 class TokenCounter:
     """Tokens of whole texts as the ``tokenizers`` library counts them."""
 
-    def __init__(self, path: str, memo: int = 150_000):
+    def __init__(self, path: str, memo: int = 300_000):
         self.transducer = Transducer(path)
         self.split = regex.compile(PATTERN)
         self.special = re.compile("|".join(map(re.escape, self.transducer.specials))) if self.transducer.specials else None
