@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 # Exact money arithmetic: values are summed as decimals, so a sum does not
-# depend on shuffle order, and cast back to double on output.  Eighteen
-# digits keep a value on Spark's compact (long-backed) decimal path, which
-# aggregates clearly faster than wider decimals; a single amount may reach
-# 10^14 (an amount beyond raises under ANSI rather than wrapping) and sums
-# widen to 28 digits, so a total over a hot key at any scale still fits.
-MONEY_TYPE = "decimal(18,4)"
+# depend on shuffle order, and cast back to double on output.  Eight decimals
+# and twenty digits before them: no amount that prices or fees have is rounded,
+# a tolerance is compared at the same scale, and sums widen to 38 digits, so a
+# total over a hot key at any scale still fits.  A larger amount raises under
+# ANSI rather than wrapping.  NaN has no decimal: it becomes null here, the
+# payments gate (G1) fails on it and reconciliation (R1) fails its order.
+MONEY_TYPE = "decimal(28,8)"
 
 
 def _require(df: DataFrame, columns: list[str], caller: str) -> None:

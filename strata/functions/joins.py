@@ -67,15 +67,13 @@ def flag_membership(
     k = (
         keys.select(F.col(key_column).alias(column))
         .filter(F.col(column).isNotNull())
-        .distinct()
         # The parent salt is always 0, written as an expression of the key
         # so Catalyst keeps it a join key (a literal 0 is folded into a join
-        # filter, and the null rows would again share one partition).
-        .select(
-            column,
-            F.pmod(F.xxhash64(column), F.lit(1)).cast("int").alias(salt),
-            F.lit(True).alias(marker),
-        )
+        # filter, and the null rows would again share one partition).  It is
+        # there before the distinct, whose partitioning the join then reuses.
+        .select(column, F.pmod(F.xxhash64(column), F.lit(1)).cast("int").alias(salt))
+        .distinct()
+        .withColumn(marker, F.lit(True))
     )
     if broadcast_keys:
         k = F.broadcast(k)

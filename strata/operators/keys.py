@@ -28,17 +28,17 @@ REPORT_COLUMNS = ["entity", "column", "parent", "removed_count"]
 # set where rule i failed, so the folder ``_fk_fail_mask=0`` holds exactly the
 # clean rows (a partition value lives in the folder name, not in the files).
 FAIL_MASK = "_fk_fail_mask"
-MAX_RULES = 30
+MAX_RULES = 62  # bits of a bigint
 
 
 def fail_mask(flags: list[str]):
-    """Integer column: bit i set where boolean column ``flags[i]`` is False."""
+    """Bigint column: bit i set where boolean column ``flags[i]`` is False."""
     if len(flags) > MAX_RULES:
         raise ValueError(f"at most {MAX_RULES} foreign keys per entity, got {len(flags)}")
-    mask = F.lit(0)
+    mask = F.lit(0).cast("bigint")
     for i, f in enumerate(flags):
-        mask = mask + F.when(~F.col(f), F.lit(1 << i)).otherwise(F.lit(0))
-    return mask.cast("int")
+        mask = mask + F.when(~F.col(f), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    return mask
 
 
 def failed_rule(mask_column: str, i: int):
@@ -61,6 +61,31 @@ def check_foreign_key(
     return flagged, missing
 
 
+def missing_values(flagged: DataFrame, entity: str, failed: list[tuple]) -> DataFrame:
+    """entity, column, missing_value (text): the distinct non-null values that
+    break a rule.  ``failed`` pairs each rule with its failure condition; all
+    rules share one pass, a row giving one pair for each rule it breaks."""
+    pairs = [
+        F.when(
+            broken & F.col(fk.column).isNotNull(),
+            F.struct(
+                F.lit(fk.column).alias("column"),
+                F.col(fk.column).cast("string").alias("missing_value"),
+            ),
+        )
+        for fk, broken in failed
+    ]
+    if not pairs:
+        return flagged.sparkSession.createDataFrame(
+            [], "entity string, column string, missing_value string"
+        )
+    return (
+        flagged.select(F.explode(F.array_compact(F.array(*pairs))).alias("_pair"))
+        .select(F.lit(entity).alias("entity"), "_pair.column", "_pair.missing_value")
+        .distinct()
+    )
+
+
 def salt_columns(key: list[str], fks: list[ForeignKey]) -> list[str]:
     """Columns that tell an entity's rows apart for the null-key salt: its
     primary key and foreign-key columns."""
@@ -125,20 +150,8 @@ def validate_entity_relationships(
         report = df.sparkSession.createDataFrame(
             [], "entity string, column string, parent string, removed_count bigint"
         )
-    missing_parts = [
-        flagged.filter(~F.col(f) & F.col(fk.column).isNotNull())
-        .select(
-            F.lit(entity).alias("entity"),
-            F.lit(fk.column).alias("column"),
-            F.col(fk.column).cast("string").alias("missing_value"),
-        )
-        .distinct()
-        for fk, f in zip(fks, flags)
-    ]
-    missing = missing_parts[0]
-    for part in missing_parts[1:]:
-        missing = missing.unionByName(part)
-    return clean, report, missing
+    failed = [(fk, ~F.col(f)) for fk, f in zip(fks, flags)]
+    return clean, report, missing_values(flagged, entity, failed)
 
 
 def clean_relationships(

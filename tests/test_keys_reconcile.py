@@ -226,3 +226,64 @@ def test_checkpointed_totals_give_the_same_summary(spark):
     for key in ("total_orders_checked", "orders_passed", "orders_failed", "excluded_order_count"):
         assert lazy.summary[key] == ckpt.summary[key]
     assert [r["order_id"] for r in ckpt.quarantine.collect()] == ["o2"]
+
+
+def test_amounts_and_tolerance_below_a_ten_thousandth(spark):
+    items = _items(spark, [("o1", 10.0, 0.0), ("o2", 0.000001, 0.000002)])
+    pay = _pay(spark, [("o1", 10.00001), ("o2", 0.000003)])
+    got, _ = reconcile.reconcile_payments(items, pay, 0.000001)
+    assert {r["order_id"]: r["passed"] for r in got.collect()} == {"o1": False, "o2": True}
+    got, _ = reconcile.reconcile_payments(items, pay, 0.00001)
+    assert all(r["passed"] for r in got.collect())
+
+
+def test_nan_amount_fails_its_order(spark):
+    import math
+
+    orders = _orders(spark, ["o1", "o2"])
+    items = _items(spark, [("o1", 100.0, 10.0), ("o2", 1.0, 0.0)])
+    pay = _pay(spark, [("o1", 110.0), ("o1", float("nan")), ("o2", 1.0)])
+    out = reconcile.run_reconciliation(orders, items, pay, 0.01, "warn")
+    assert out.summary["orders_failed"] == 1
+    q = out.quarantine.collect()
+    assert [r["order_id"] for r in q] == ["o1"] and math.isnan(q[0]["difference"])
+    with pytest.raises(ReconciliationError, match="order_id=o1"):
+        reconcile.run_reconciliation(orders, items, pay, 0.01, "raise")
+
+
+def test_one_pass_forms_equal_the_two_frames(spark):
+    orders = _orders(spark, ["o1", "o2", "o3"])
+    items = _items(spark, [("o1", 100.0, 10.0), ("o2", 50.0, 5.0), (None, 1.0, 0.0)])
+    pay = _pay(spark, [("o1", 110.0), ("o2", 99.0), ("o3", 20.0), (None, 5.0)])
+    totals = reconcile.order_totals(items, pay)
+    comparison, excluded = reconcile.reconcile_payments(items, pay, 0.01)
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert rows(reconcile.quarantine_of(totals, orders, 0.01)) == rows(
+        reconcile.build_quarantine_records(comparison, excluded, orders)
+    )
+    assert rows(reconcile.summary_of(totals, 0.01)) == rows(
+        reconcile.reconciliation_summary(comparison, excluded, 0.01)
+    )
+
+
+def test_each_missing_value_once_for_each_rule(spark):
+    from strata.rules import ForeignKey
+
+    items = spark.createDataFrame([("oX", "p1"), ("oX", "pX"), (None, "pX"), ("o1", "p1")], "order_id string, product_id string")
+    parents = {
+        "orders": spark.createDataFrame([("o1",)], "order_id string"),
+        "products": spark.createDataFrame([("p1",)], "product_id string"),
+    }
+    fks = [ForeignKey("order_id", "orders", "order_id"), ForeignKey("product_id", "products", "product_id")]
+    _, _, missing = keys.validate_entity_relationships(items, "order_items", fks, parents)
+    assert sorted(map(tuple, missing.collect())) == [
+        ("order_items", "order_id", "oX"), ("order_items", "product_id", "pX")
+    ]
+
+
+def test_more_rules_than_an_int_has_bits(spark):
+    df = spark.createDataFrame([tuple([True] * 40 + [False])], [f"f{i}" for i in range(41)])
+    mask = df.select(keys.fail_mask(df.columns).alias("m"))
+    assert mask.first()["m"] == 1 << 40
+    assert mask.filter(keys.failed_rule("m", 40)).count() == 1
+    assert mask.filter(keys.failed_rule("m", 3)).count() == 0
