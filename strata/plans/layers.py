@@ -75,6 +75,11 @@ class LayerPaths:
     def quarantine(self) -> str:
         return self._p("core", "quarantine")
 
+    @property
+    def current(self) -> str:
+        """Table (entity, path) of the Core stages of the last finished run."""
+        return self._p("core", "current")
+
     def analytics(self, report: str) -> str:
         return self._p("analytics", report)
 
@@ -82,21 +87,13 @@ class LayerPaths:
         return self._p("audit", name)
 
 
-def core_stage_paths(paths: LayerPaths, entity: str) -> list[str]:
-    """Core stage paths of ``entity``, latest first."""
-    return [
-        paths.core("3_reconciled", entity),
-        paths.fk_clean(entity),
-        paths.core("1_dedup", entity),
-    ]
-
-
-def current_core(spark: SparkSession, paths: LayerPaths, entity: str) -> DataFrame:
-    """The latest Core stage written for ``entity``."""
-    for p in core_stage_paths(paths, entity):
-        if sources.files.path_exists(spark, p):
-            return spark.read.parquet(p)
-    raise FileNotFoundError(f"no core stage for {entity} under {paths.root}")
+def current_stages(spark: SparkSession, paths: LayerPaths) -> dict[str, str]:
+    """entity -> Core stage of the last run that finished.  ``run_core`` takes
+    the table away when it starts and writes it last, so stages of two runs
+    are never read together."""
+    if not sources.files.path_exists(spark, paths.current):
+        raise FileNotFoundError(f"no finished Core run under {paths.root}")
+    return {r["entity"]: r["path"] for r in spark.read.parquet(paths.current).collect()}
 
 
 # Independent per-entity jobs (ingests, cleanses, dedups, FK children of the
@@ -262,6 +259,7 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     joins; larger parents use shuffle joins."""
     ensure_defaults(spark)
     run_id = run_id or uuid.uuid4().hex
+    sources.files.delete_path(spark, paths.current)
 
     # Paths written by *this* run; later steps read only these, never a
     # stage a previous run may have left behind.
@@ -292,7 +290,7 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     # during that write, the clean rows are the ``mask=0`` folder (the next
     # stage, no second copy) and the orphan lists read only the failing
     # folders, which partition pruning keeps small.
-    def fk_one(e: str) -> tuple[str, list[tuple], list[DataFrame]]:
+    def fk_one(e: str) -> tuple[str, list[tuple], DataFrame]:
         fks = rules.foreign_keys[e]
         parents = {fk.parent: spark.read.parquet(stage[fk.parent]) for fk in fks}
         # Parents with a proven small key set are broadcast; the rest stay
@@ -324,17 +322,8 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
             F.col(keys.FAIL_MASK) != 0
         )
         report = [(e, fk.column, fk.parent, int(counts[f"rule_{i}"])) for i, fk in enumerate(fks)]
-        missing = [
-            failing.filter(keys.failed_rule(keys.FAIL_MASK, i) & F.col(fk.column).isNotNull())
-            .select(
-                F.lit(e).alias("entity"),
-                F.lit(fk.column).alias("column"),
-                F.col(fk.column).cast("string").alias("missing_value"),
-            )
-            .distinct()
-            for i, fk in enumerate(fks)
-        ]
-        return clean_path, report, missing
+        broken = [(fk, keys.failed_rule(keys.FAIL_MASK, i)) for i, fk in enumerate(fks)]
+        return clean_path, report, keys.missing_values(failing, e, broken)
 
     # Children whose parents are all done run together (items, payments and
     # reviews all wait for orders only); reports keep dependency order.
@@ -354,7 +343,7 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
             ):
                 stage[e] = clean_path
                 fk_reports.extend(report)
-                fk_missing.extend(missing)
+                fk_missing.append(missing)
     finally:
         spark.conf.set(writers, previous_writers)
     fk_report = spark.createDataFrame(
@@ -413,7 +402,23 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     sources.write_parquet(
         audit.core_quality_report(dedup_df, fk_report, recon_row), paths.audit("core_quality")
     )
+    # The rest of the reconciliation summary: mode, quarantined orders, and
+    # the excluded orders by status.
+    sources.write_parquet(
+        recon_row.select(
+            F.lit(run_id).alias("run_id"),
+            "*",
+            F.lit(outcome.summary["on_failure_mode"]).alias("on_failure_mode"),
+            F.lit(outcome.summary.get("quarantined_order_count", 0)).cast("bigint")
+            .alias("quarantined_order_count"),
+        ),
+        paths.audit("reconciliation"),
+    )
+    sources.write_parquet(outcome.breakdown, paths.audit("excluded_by_status"))
     _metrics(spark, paths, run_id, "core", {e: stage[e] for e in rules.entity_order})
+    sources.write_parquet(
+        spark.createDataFrame(sorted(stage.items()), "entity string, path string"), paths.current
+    )
     return {
         "deduplication": [{"entity": e, "removed_count": n} for e, n in dedup_rows],
         "foreign_key_validation": [
@@ -431,15 +436,15 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
 def run_analytics(spark: SparkSession, paths: LayerPaths, run_id: str | None = None,
                   stages: dict[str, str] | None = None) -> dict:
     """L4: B1-B5 written -> G8 validation -> A1, A3.  ``stages`` (from
-    ``run_core``) names the Core paths to read; without it the latest stage
-    on disk is used."""
+    ``run_core``) names the Core paths to read; without it those of the last
+    Core run that finished.  The ranges, the validation findings and the
+    overall status are written also when the validation then raises."""
     ensure_defaults(spark)
     run_id = run_id or uuid.uuid4().hex
+    stages = stages or current_stages(spark, paths)
 
     def core(e: str) -> DataFrame:
-        if stages:
-            return spark.read.parquet(stages[e])
-        return current_core(spark, paths, e)
+        return spark.read.parquet(stages[e])
 
     orders, payments = core("orders"), core("payments")
     items, reviews = core("order_items"), core("reviews")
@@ -454,13 +459,25 @@ def run_analytics(spark: SparkSession, paths: LayerPaths, run_id: str | None = N
         [partial(sources.write_parquet, df, paths.analytics(name)) for name, df in built.items()]
     )
     written = {name: spark.read.parquet(paths.analytics(name)) for name in built}
-    validation = checks.run_analytics_validation(
+    findings = checks.analytics_validation_findings(
         written["sales_performance"], written["customer_lifetime_value"], payments
     )
+    sources.write_parquet(findings, paths.audit("analytics_validation"))
+    findings = spark.read.parquet(paths.audit("analytics_validation"))
     ranges = audit.report_ranges(
         {n: (written[n], cols) for n, cols in audit.REPORT_VALUE_COLUMNS.items()}
     )
     sources.write_parquet(ranges, paths.audit("report_ranges"))
+    status = F.when(F.bool_and("passed"), F.lit("passed")).otherwise(F.lit("failed"))
+    sources.write_parquet(
+        findings.agg(status.alias("overall_status")).select(
+            F.lit(run_id).alias("run_id"), "overall_status"
+        ),
+        paths.audit("analytics_status"),
+    )
+    validation = checks.run_analytics_validation(
+        written["sales_performance"], written["customer_lifetime_value"], payments
+    )
     _metrics(spark, paths, run_id, "analytics", {n: paths.analytics(n) for n in built})
     report = audit.analytics_quality_report(
         spark.read.parquet(paths.audit("report_ranges")), validation

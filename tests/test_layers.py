@@ -315,3 +315,40 @@ def test_duplicate_counts_only_for_the_dedup_key(spark):
         "check string, entity string, column string, metric string, value double",
     )
     assert duplicate_counts(findings, RETAIL_RULES) == {"customers": 2}
+
+
+def test_analytics_refuses_an_unfinished_core_run_and_keeps_its_findings(spark):
+    from dataclasses import replace
+
+    from strata.errors import AnalyticsValidationError, ReconciliationError
+    from strata.plans.layers import current_stages, run_analytics, run_core
+
+    root = scratch("layers-marker")
+    _fixture(root)
+    paths = LayerPaths(root)
+    rules = replace(RETAIL_RULES, on_failure="warn")
+    run_layers(spark, root, rules, on_quality_failure="warn")
+    status = spark.read.parquet(paths.audit("analytics_status")).first()
+    assert status["overall_status"] == "passed"
+    assert spark.read.parquet(paths.audit("analytics_validation")).filter("passed").count() == 4
+    mode = spark.read.parquet(paths.audit("reconciliation")).first()
+    assert mode["on_failure_mode"] == "warn"
+    # Orders without a purchase time: their payments are in no month.
+    stages = current_stages(spark, paths)
+    undated = f"{root}/undated"
+    spark.read.parquet(stages["orders"]).withColumn(
+        "order_purchase_timestamp", F.lit(None).cast("timestamp_ntz")
+    ).write.parquet(undated)
+    with pytest.raises(AnalyticsValidationError):
+        run_analytics(spark, paths, stages={**stages, "orders": undated})
+    status = spark.read.parquet(paths.audit("analytics_status")).first()
+    assert status["overall_status"] == "failed"
+    assert spark.read.parquet(paths.audit("analytics_validation")).filter("NOT passed").count() == 1
+    # A Core run that fails leaves nothing that analytics would read.
+    pay = spark.read.parquet(paths.staging("payments"))
+    pay.withColumn("payment_value", F.col("payment_value") + 1000).write.parquet(f"{root}/pay")
+    spark.read.parquet(f"{root}/pay").write.mode("overwrite").parquet(paths.staging("payments"))
+    with pytest.raises(ReconciliationError):
+        run_core(spark, paths, replace(rules, on_failure="raise"))
+    with pytest.raises(FileNotFoundError, match="no finished Core run"):
+        run_analytics(spark, paths)

@@ -181,3 +181,17 @@ def test_overwrite_replaces_all_partitions_in_dynamic_mode(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert [r["p"] for r in spark.read.parquet(str(tmp_path / "d")).collect()] == [1]
+
+
+def test_schema_of_all_part_files(spark):
+    from conftest import scratch
+
+    from strata.errors import SchemaValidationError
+
+    path = scratch("parts") + "/data"
+    spark.range(3).selectExpr("id AS a").write.parquet(path)
+    spark.range(3).selectExpr("id AS a", "'x' AS b").write.mode("append").parquet(path)
+    assert sorted(sources.parquet_schema(spark, path).names) == ["a", "b"]
+    spark.range(3).selectExpr("CAST(id AS INT) AS a").write.mode("append").parquet(path)
+    with pytest.raises(SchemaValidationError, match="do not agree"):
+        sources.parquet_schema(spark, path)
