@@ -176,7 +176,7 @@ def customer_retention(
 
     ``calendar=False`` (the reference): the months are those observed in the
     data.  ``calendar=True``: every calendar month up to the last one.
-    Orders without a purchase time are left out.
+    Orders without a purchase time or a customer are left out.
 
     Plan: one linear chain, so the orders are read and shuffled once.
       1. by customer: first month and set of active months (partial
@@ -192,7 +192,8 @@ def customer_retention(
          its counts from its own map: no grid join, no cross join, and the
          cohort size is the count of the cohort's own first month.
     """
-    dated = orders.filter(F.col("order_purchase_timestamp").isNotNull()).select(
+    known = F.col("order_purchase_timestamp").isNotNull() & F.col(customer_key).isNotNull()
+    dated = orders.filter(known).select(
         F.col(customer_key).alias("_cust"),
         month_index("order_purchase_timestamp").alias("_mi"),
     )

@@ -1,8 +1,13 @@
 """Map the driver's TPC-H style tables onto the retail entities.
 
 Pure projections (plus one filter for reviews), so Catalyst prunes every
-unused column at the Parquet scan and pushes the filters down.  Keys keep the
-tables' ``bigint`` type: cheaper to hash and shuffle than text ids at scale.
+unused column at the Parquet scan and pushes the filters down.  Order and
+product keys keep the tables' ``bigint`` type; customer and seller ids, which
+some rows lack, are text.
+
+The tables have no null, unpaid or split case, so fixed key remainders make
+some: orders without customer, purchase time or payment, orders paid in two
+parts, items of unknown products or without seller, products without category.
 
 Two forms per entity:
   * ``core_*``: the cleaned, typed shape the Core and Analytics layers read;
@@ -64,7 +69,7 @@ def _null_text():
 
 def core_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"),
+        F.col("c_custkey").cast("string").alias("customer_id"),
         F.col("c_name").alias("customer_unique_id"),
         F.col("c_nationkey").cast("bigint").alias("customer_zip_code_prefix"),
         F.col("c_mktsegment").alias("customer_city"),
@@ -75,18 +80,51 @@ def core_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def core_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
+        F.when(F.col("o_orderkey") % 89 != 0, F.col("o_custkey").cast("string")).alias("customer_id"),
         F.col("o_orderstatus").alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
+        F.when(F.col("o_orderkey") % 97 != 0, F.col("o_orderdate")).alias("order_purchase_timestamp"),
+    )
+
+
+def _paid_parts(orders: DataFrame) -> DataFrame:
+    """Payment rows of the orders: every fiftieth order is unpaid, every
+    seventh paid in two parts (two fifths of the cents, then the rest)."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    first = F.floor(cents * 2 / 5).cast("bigint")
+    part = F.when(F.col("o_orderkey") % 7 == 0, F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")))
+    part = part.otherwise(F.array(F.lit(1).cast("bigint")))
+    return (
+        orders.filter(F.col("o_orderkey") % 50 != 0)
+        .select("o_orderkey", "o_totalprice", cents.alias("cents"), first.alias("first"),
+                F.explode(part).alias("part"))
+        .select(
+            "o_orderkey",
+            "part",
+            F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))
+            .when(F.col("part") == 1, F.col("first") / 100)
+            .otherwise((F.col("cents") - F.col("first")) / 100)
+            .alias("value"),
+        )
     )
 
 
+def _product_id():
+    """A product that no one knows in the first line of every 61st order."""
+    odd = (F.col("l_orderkey") % 61 == 0) & (F.col("l_linenumber") == 1)
+    return F.when(odd, F.col("l_partkey") + 10_000_000_000).otherwise(F.col("l_partkey"))
+
+
+def _seller_id():
+    """No seller in the second line of every 53rd order."""
+    return F.when(~((F.col("l_orderkey") % 53 == 0) & (F.col("l_linenumber") == 2)), F.col("l_suppkey"))
+
+
 def core_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payment per order, the order's total price."""
-    return table(spark, sf_dir, "orders").select(
+    """The order's total price, in one or two payments or none."""
+    return _paid_parts(table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").alias("order_id"),
-        F.lit(1).cast("bigint").alias("payment_sequential"),
-        F.col("o_totalprice").alias("payment_value"),
+        F.col("part").alias("payment_sequential"),
+        F.col("value").alias("payment_value"),
     )
 
 
@@ -102,8 +140,8 @@ def core_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
+        _product_id().alias("product_id"),
+        _seller_id().cast("string").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
         freight_value().alias("freight_value"),
@@ -119,7 +157,7 @@ def core_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def core_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("seller_id"),
+        F.col("s_suppkey").cast("string").alias("seller_id"),
         F.col("s_nationkey").cast("bigint").alias("seller_zip_code_prefix"),
         F.col("s_name").alias("seller_city"),
         F.col("s_nationkey").cast("string").alias("seller_state"),
@@ -184,8 +222,8 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("order_item_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_suppkey").cast("string").alias("seller_id"),
+        _product_id().cast("string").alias("product_id"),
+        _seller_id().cast("string").alias("seller_id"),
         _text_ts("l_shipdate").alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
         freight_value().alias("freight_value"),
@@ -195,7 +233,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
+        F.when(F.col("p_partkey") % 10 != 0, F.col("p_type")).alias("product_category_name"),
         F.length("p_name").cast("bigint").alias("product_name_lenght"),
         F.length("p_brand").cast("bigint").alias("product_description_lenght"),
         F.lit(1).cast("bigint").alias("product_photos_qty"),
@@ -216,12 +254,12 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    return _paid_parts(table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").cast("string").alias("order_id"),
-        F.lit(1).cast("bigint").alias("payment_sequential"),
+        F.col("part").alias("payment_sequential"),
         F.lit("credit_card").alias("payment_type"),
         F.lit(1).cast("bigint").alias("payment_installments"),
-        F.col("o_totalprice").alias("payment_value"),
+        F.col("value").alias("payment_value"),
     )
 
 

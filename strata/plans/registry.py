@@ -42,16 +42,31 @@ def register(name: str, oracle: str | None = None):
 MONEY = "DECIMAL(20,4)"
 
 SQL_ORDERS = """
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-         o_orderstatus AS order_status, o_orderdate AS order_purchase_timestamp
-  FROM orders"""
-SQL_PAYMENTS = """
-  SELECT o_orderkey AS order_id, CAST(1 AS BIGINT) AS payment_sequential,
-         o_totalprice AS payment_value
+  SELECT o_orderkey AS order_id,
+         CASE WHEN o_orderkey % 89 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+         o_orderstatus AS order_status,
+         CASE WHEN o_orderkey % 97 <> 0 THEN o_orderdate END AS order_purchase_timestamp
   FROM orders"""
-SQL_ITEMS = """
+# Some orders are unpaid, some paid in two parts (see adapters).
+SQL_PAID = """
+  SELECT o_orderkey, part,
+         CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice
+              WHEN part = 1 THEN CAST(cents * 2 // 5 AS DOUBLE) / 100
+              ELSE CAST(cents - cents * 2 // 5 AS DOUBLE) / 100 END AS value
+  FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
+               unnest(CASE WHEN o_orderkey % 7 = 0 THEN [1, 2] ELSE [1] END) AS part
+        FROM orders WHERE o_orderkey % 50 <> 0)"""
+SQL_PAYMENTS = f"""
+  SELECT o_orderkey AS order_id, CAST(part AS BIGINT) AS payment_sequential,
+         value AS payment_value
+  FROM ({SQL_PAID})"""
+SQL_PRODUCT_ID = (
+    "CASE WHEN l_orderkey % 61 = 0 AND l_linenumber = 1 THEN l_partkey + 10000000000 ELSE l_partkey END"
+)
+SQL_SELLER_ID = "CASE WHEN l_orderkey % 53 <> 0 OR l_linenumber <> 2 THEN l_suppkey END"
+SQL_ITEMS = f"""
   SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS order_item_id,
-         l_partkey AS product_id, l_suppkey AS seller_id,
+         {SQL_PRODUCT_ID} AS product_id, CAST({SQL_SELLER_ID} AS VARCHAR) AS seller_id,
          l_shipdate AS shipping_limit_date, l_extendedprice AS price,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE)
            AS freight_value
@@ -61,14 +76,14 @@ SQL_REVIEWS = """
          CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS review_score
   FROM orders WHERE o_orderstatus = 'F'"""
 SQL_CUSTOMERS = """
-  SELECT c_custkey AS customer_id, c_name AS customer_unique_id,
+  SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
          CAST(c_nationkey AS BIGINT) AS customer_zip_code_prefix,
          c_mktsegment AS customer_city, CAST(c_nationkey AS VARCHAR) AS customer_state
   FROM customer"""
 SQL_PRODUCTS = """
   SELECT p_partkey AS product_id, p_type AS product_category_name FROM part"""
 SQL_SELLERS = """
-  SELECT s_suppkey AS seller_id, CAST(s_nationkey AS BIGINT) AS seller_zip_code_prefix,
+  SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, CAST(s_nationkey AS BIGINT) AS seller_zip_code_prefix,
          s_name AS seller_city, CAST(s_nationkey AS VARCHAR) AS seller_state
   FROM supplier"""
 
@@ -246,7 +261,7 @@ def fk_entities(spark, sf):
     ents["customers"] = ents["customers"].join(
         ad.table(spark, sf, "customer")
         .filter("c_acctbal > 0")
-        .select(F.col("c_custkey").alias("customer_id")),
+        .select(F.col("c_custkey").cast("string").alias("customer_id")),
         "customer_id",
         "left_semi",
     )
@@ -254,7 +269,7 @@ def fk_entities(spark, sf):
 
 
 SQL_FK = """
-WITH c AS (SELECT cust.* FROM cust JOIN customer ON c_custkey = customer_id WHERE c_acctbal > 0),
+WITH c AS (SELECT cust.* FROM cust JOIN customer ON CAST(c_custkey AS VARCHAR) = customer_id WHERE c_acctbal > 0),
 o2 AS (SELECT * FROM o WHERE EXISTS (SELECT 1 FROM c WHERE c.customer_id = o.customer_id)),
 items2 AS (SELECT * FROM items i
            WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = i.order_id)
@@ -379,29 +394,28 @@ def recon_inputs(spark, sf):
     orders = ad.core_orders(spark, sf)
     items = ad.core_order_items(spark, sf)
     payments = ad.core_payments(spark, sf)
-    comparison, excluded = reconcile.reconcile_payments(items, payments, RECON_TOLERANCE)
-    return orders, items, payments, comparison, excluded
+    return orders, items, payments, reconcile.order_totals(items, payments)
 
 
 @register("reconcile_orders", with_entities(SQL_RECON + "SELECT * FROM cmp", *RECON_VIEWS))
 def q_reconcile_orders(spark, sf):
-    return recon_inputs(spark, sf)[3]
+    return reconcile.comparison_of(recon_inputs(spark, sf)[3], RECON_TOLERANCE)
 
 
 @register("reconcile_excluded", with_entities(SQL_RECON + "SELECT * FROM exc", *RECON_VIEWS))
 def q_reconcile_excluded(spark, sf):
-    return recon_inputs(spark, sf)[4]
+    return reconcile.excluded_of(recon_inputs(spark, sf)[3])
 
 
 @register("quarantine_orders", with_entities(SQL_RECON + "SELECT * FROM q", *RECON_VIEWS))
 def q_quarantine_orders(spark, sf):
-    orders, _, _, comparison, excluded = recon_inputs(spark, sf)
-    return reconcile.build_quarantine_records(comparison, excluded, orders)
+    orders, _, _, totals = recon_inputs(spark, sf)
+    return reconcile.quarantine_of(totals, orders, RECON_TOLERANCE)
 
 
 def _after_quarantine(spark, sf, which: int):
-    orders, items, payments, comparison, excluded = recon_inputs(spark, sf)
-    q = reconcile.build_quarantine_records(comparison, excluded, orders)
+    orders, items, payments, totals = recon_inputs(spark, sf)
+    q = reconcile.quarantine_of(totals, orders, RECON_TOLERANCE)
     return reconcile.remove_quarantined((orders, items, payments)[which], q)
 
 
@@ -448,8 +462,7 @@ SELECT (SELECT COUNT(*) FROM cmp) AS total_orders_checked,
     ),
 )
 def q_reconciliation_summary(spark, sf):
-    _, _, _, comparison, excluded = recon_inputs(spark, sf)
-    return reconcile.reconciliation_summary(comparison, excluded, RECON_TOLERANCE)
+    return reconcile.summary_of(recon_inputs(spark, sf)[3], RECON_TOLERANCE)
 
 
 @register(
@@ -464,8 +477,8 @@ GROUP BY o.order_status
     ),
 )
 def q_excluded_by_status(spark, sf):
-    orders, _, _, _, excluded = recon_inputs(spark, sf)
-    return reconcile.excluded_by_status(excluded, orders)
+    orders, _, _, totals = recon_inputs(spark, sf)
+    return reconcile.excluded_by_status(reconcile.excluded_of(totals), orders)
 
 
 @register(
@@ -478,7 +491,9 @@ def q_excluded_by_status(spark, sf):
     ),
 )
 def q_worst_order(spark, sf):
-    return reconcile.worst_order(recon_inputs(spark, sf)[3])
+    return reconcile.worst_order(
+        reconcile.comparison_of(recon_inputs(spark, sf)[3], RECON_TOLERANCE)
+    )
 
 
 # ----------------------------------------------------------------------------
@@ -501,13 +516,14 @@ RAW_SQL = {
   FROM orders""",
     "order_items": f"""
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS BIGINT) AS order_item_id,
-         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+         CAST({SQL_PRODUCT_ID} AS VARCHAR) AS product_id, CAST({SQL_SELLER_ID} AS VARCHAR) AS seller_id,
          strftime(l_shipdate, {TS_TEXT}) AS shipping_limit_date, l_extendedprice AS price,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE)
            AS freight_value
   FROM lineitem""",
     "products": """
-  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category_name,
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+         CASE WHEN p_partkey % 10 <> 0 THEN p_type END AS product_category_name,
          CAST(length(p_name) AS BIGINT) AS product_name_lenght,
          CAST(length(p_brand) AS BIGINT) AS product_description_lenght,
          CAST(1 AS BIGINT) AS product_photos_qty, CAST(p_size AS BIGINT) AS product_weight_g,
@@ -518,11 +534,11 @@ RAW_SQL = {
   SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, CAST(s_nationkey AS BIGINT) AS seller_zip_code_prefix,
          lower(s_name) AS seller_city, CAST(s_nationkey AS VARCHAR) AS seller_state
   FROM supplier""",
-    "payments": """
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(1 AS BIGINT) AS payment_sequential,
+    "payments": f"""
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(part AS BIGINT) AS payment_sequential,
          'credit_card' AS payment_type, CAST(1 AS BIGINT) AS payment_installments,
-         o_totalprice AS payment_value
-  FROM orders""",
+         value AS payment_value
+  FROM ({SQL_PAID})""",
     "reviews": f"""
   SELECT CAST(o_orderkey AS VARCHAR) AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id,
          CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS review_score,
@@ -650,8 +666,16 @@ FROM (VALUES {values}) AS x(column_name, expected_type, pos)
 LEFT JOIN (DESCRIBE raw_{e}) d USING (column_name)"""
         )
     body = "\nUNION ALL\n".join(parts)
+    # As the query writes them: a column missing, one of another type, one more.
+    odd = (
+        "WITH odd_orders AS (SELECT * EXCLUDE (order_approved_at) FROM raw_orders), "
+        "odd_payments AS (SELECT * REPLACE (CAST(payment_value AS VARCHAR) AS payment_value) FROM raw_payments), "
+        "odd_sellers AS (SELECT *, 1 AS extra FROM raw_sellers)"
+    )
+    for e in ("orders", "payments", "sellers"):
+        body = body.replace(f"DESCRIBE raw_{e})", f"DESCRIBE odd_{e})")
     return with_raw(
-        f"""
+        odd + f"""
 SELECT entity, "column", expected_type, actual_type,
        CASE WHEN actual_type IS NULL THEN 'missing_column'
             WHEN actual_type = expected_type THEN 'ok' ELSE 'type_mismatch' END AS status,
@@ -664,11 +688,20 @@ FROM ({body}) s
 
 @register("schema_findings", _schema_oracle())
 def q_schema_findings(spark, sf):
+    """Raw written as Parquet, three entities with another schema than the
+    rules have, and held against them by the footers of all part files."""
     raw = ad.raw_entities(spark, sf)
+    raw["orders"] = raw["orders"].drop("order_approved_at")
+    raw["payments"] = raw["payments"].withColumn("payment_value", F.col("payment_value").cast("string"))
+    raw["sellers"] = raw["sellers"].withColumn("extra", F.lit(1))
+    base = sources.scratch_path(spark, "schemas")
+    for e in RETAIL_RULES.schemas:
+        sources.write_parquet(raw[e], f"{base}/{e}")
     frames = [
-        checks.schema_findings(spark, e, raw[e].schema, cols)
+        checks.schema_findings(spark, e, sources.parquet_schema(spark, f"{base}/{e}"), cols)
         for e, cols in RETAIL_RULES.schemas.items()
     ]
+    sources.delete_path(spark, base)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -897,9 +930,12 @@ def q_parquet_roundtrip(spark, sf):
     return sources.read_parquet(spark, path)
 
 
-@register("source_manifest")
-def q_source_manifest(spark, sf):
-    return sources.source_manifest(spark, sf, [f"{t}.parquet" for t in ad.TABLES])
+@register("csv_separator", with_raw("SELECT * FROM raw_products", "products"))
+def q_csv_separator(spark, sf):
+    """A source whose separator is a semicolon."""
+    path = sources.scratch_path(spark, "csv-products")
+    sources.write_csv(ad.raw_products(spark, sf), path, sep=";")
+    return sources.read_csv(spark, path, RETAIL_RULES.struct_type("products"), sep=";")
 
 
 @register(

@@ -187,3 +187,12 @@ def test_orders_without_month_customer_or_key_make_no_rows(spark):
     reviews = spark.createDataFrame([("o1", 5)], "order_id string, review_score int")
     row = reports.item_performance(items, reviews, "seller_id").first()
     assert row["revenue"] == 3.0 and row["avg_review_score"] is None
+
+
+def test_retention_leaves_out_orders_without_a_customer(spark):
+    orders = spark.createDataFrame(
+        [("o1", "c1", "2017-01-05 00:00:00"), ("o2", None, "2017-01-06 00:00:00")],
+        "order_id string, customer_id string, at string",
+    ).selectExpr("order_id", "customer_id", "CAST(at AS timestamp_ntz) AS order_purchase_timestamp")
+    rows = reports.customer_retention(orders).collect()
+    assert [(r["cohort_month"], r["cohort_size"], r["active_customers"]) for r in rows] == [("2017-01", 1, 1)]
