@@ -89,9 +89,19 @@ class LineWords:
         return out
 
 
-def place(doc_id: Column) -> Column:
-    """A document's rank: its id; null comes first."""
-    return F.coalesce(doc_id.cast("long"), F.lit(-(2**63)).cast("long"))
+_DOC = "struct<id:long,t0:long,t1:long>"
+
+
+def place(doc_id: Column, text: Column) -> Column:
+    """A document's key and rank: its id, null first, then two hashes of its text,
+    so that rows of one id or of none with different texts are documents of their own."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    id_ = F.coalesce(doc_id.cast("long"), F.lit(-(2**63)).cast("long"))
+    return F.struct(id_.alias("id"), F.xxhash64(text).alias("t0"), F.xxhash64(F.lit(1), text).alias("t1"))
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    return docs.select(place(F.col("doc_id"), F.col("text")).alias("doc"), "text")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -100,13 +110,13 @@ def _lines(docs: DataFrame) -> DataFrame:
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         x = LineWords(b.column(1))
         number = np.arange(len(x.size)) - np.repeat(x.of_text[:-1], np.diff(x.of_text))
-        docs_ = np.repeat(np.asarray(b.column(0)), np.diff(x.of_text))
+        row = np.repeat(np.arange(b.num_rows), np.diff(x.of_text))
         keep = x.size >= MIN_WORDS
         lo, hi = x.at[:-1], x.at[1:]
-        cols = [docs_, number.astype("i4"), x.size.astype("i8"), mix(x.run(lo, hi) + x.size.astype("u8")).view("i8"), x.run(lo, hi, 1).view("i8"), *x.halves().view("i8").T]
-        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names=["doc", "line", "n", "h1", "h2", "k0", "k1", "k2", "k3"])
+        cols = [number.astype("i4"), x.size.astype("i8"), mix(x.run(lo, hi) + x.size.astype("u8")).view("i8"), x.run(lo, hi, 1).view("i8"), *x.halves().view("i8").T]
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[keep])), *[pa.array(c[keep]) for c in cols]], names=["doc", "line", "n", "h1", "h2", "k0", "k1", "k2", "k3"])
 
-    return map_arrow(docs.select(place(F.col("doc_id")).alias("doc"), "text"), run, "doc long, line int, n long, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long")
+    return map_arrow(_placed(docs), run, f"doc {_DOC}, line int, n long, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long")
 
 
 def _variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -116,7 +126,7 @@ def _variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         x, lines = LineWords(b.column(1)), b.column(2)
         pick = np.concatenate([first + np.array(own, "i8") for first, own in zip(x.of_text[:-1].tolist(), lines.to_pylist())] or [np.empty(0, "i8")])
-        doc = np.repeat(np.asarray(b.column(0)), np.asarray(pc.list_value_length(lines)))
+        doc = np.repeat(np.arange(b.num_rows), np.asarray(pc.list_value_length(lines)))
         number = np.asarray(lines.flatten()).astype("i4")
         n = x.size[pick]
         each = n + 1
@@ -126,11 +136,11 @@ def _variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         whole = gap < 0
         at = lo + np.maximum(gap, 0)
         key, check = (np.where(whole, x.run(lo, hi, i), x.without(lo, hi, at, i)) for i in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(key.view("i8")), pa.array(check.view("i8")), pa.array(n[row]), pa.array(gap), pa.array(doc[row]), pa.array(number[row])], names=["key", "check", "n", "gap", "doc", "line"])
+        return pa.RecordBatch.from_arrays([pa.array(key.view("i8")), pa.array(check.view("i8")), pa.array(n[row]), pa.array(gap), b.column(0).take(pa.array(doc[row])), pa.array(number[row])], names=["key", "check", "n", "gap", "doc", "line"])
 
     send = wanted.count() <= SEND_ROWS
-    chosen = docs.select(place(F.col("doc_id")).alias("doc"), "text").join(F.broadcast(wanted) if send else wanted, "doc").select("doc", "text", "lines")
-    return map_arrow(chosen, run, "key long, check long, n long, gap long, doc long, line int")
+    chosen = _placed(docs).join(F.broadcast(wanted) if send else wanted, "doc").select("doc", "text", "lines")
+    return map_arrow(chosen, run, f"key long, check long, n long, gap long, doc {_DOC}, line int")
 
 
 def _alike(variants: DataFrame) -> DataFrame:
@@ -167,13 +177,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFrame
 
     def pick(b: pa.RecordBatch) -> pa.RecordBatch:
         doc, line, words = [], [], []
-        for d, text, lines in zip(*(b.column(i).to_pylist() for i in range(3))):
+        for d, (text, lines) in enumerate(zip(*(b.column(i).to_pylist() for i in (1, 2)))):
             rows = (text or "").split("\n")
             for i in lines:
                 doc.append(d)
                 line.append(i)
                 words.append(rows[i])
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(line, pa.int32()), pa.array(words, pa.string())], names=["doc", "line", "words"])
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc, pa.int64())), pa.array(line, pa.int32()), pa.array(words, pa.string())], names=["doc", "line", "words"])
 
     def check(b: pa.RecordBatch) -> pa.RecordBatch:
         words = [[[w for w in x if w] for x in pc.ascii_split_whitespace(b.column(i)).to_pylist()] for i in (2, 3)]
@@ -181,11 +191,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFrame
         return pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["doc", "line"]).filter(pa.array(keep))
 
     send = wanted.count() <= SEND_ROWS
-    chosen = docs.select(place(F.col("doc_id")).alias("doc"), "text").join(F.broadcast(wanted) if send else wanted, "doc").select("doc", "text", "lines")
-    text = written(map_arrow(chosen, pick, "doc long, line int, words string"), "line-text").dropDuplicates(["doc", "line"])
+    chosen = _placed(docs).join(F.broadcast(wanted) if send else wanted, "doc").select("doc", "text", "lines")
+    text = written(map_arrow(chosen, pick, f"doc {_DOC}, line int, words string"), "line-text").dropDuplicates(["doc", "line"])
     other = text.select(F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("words").alias("to_words"))
     both = pairs.join(text, ["doc", "line"]).join(other, ["to_doc", "to_line"]).select("doc", "line", "words", "to_words")
-    return map_arrow(both, check, "doc long, line int").distinct()
+    return map_arrow(both, check, f"doc {_DOC}, line int").distinct()
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
@@ -210,9 +220,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """The columns of documents with alike lines removed from ``text`` (n_chars
     follows), ``n_lines`` and ``n_dropped``.
 
-    Texts that lose no line stay as they are, null included.  Rows that share a
-    doc_id and a line number share that place, so repeated rows keep the same
-    lines; null ids come before all others.  An empty table gives no rows.
+    Texts that lose no line stay as they are, null included.  Rows of the same
+    doc_id and text are one document and keep the same lines; rows of one doc_id
+    with different texts are documents of their own, and so are those without an
+    id, which come before all others.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -220,7 +231,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     going = written(dropped_lines(docs), "dropped")
     send = going.count() <= SEND_ROWS
     going = going.groupBy("doc").agg(F.collect_list("line").alias("gone"))  # a document's own lines
-    both = docs.withColumn("doc", place(F.col("doc_id"))).join(F.broadcast(going) if send else going, "doc", "left").drop("doc")
+    both = docs.withColumn("doc", place(F.col("doc_id"), F.col("text"))).join(F.broadcast(going) if send else going, "doc", "left").drop("doc")
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts, sizes, n, dropped = [], [], [], []

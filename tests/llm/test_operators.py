@@ -314,6 +314,18 @@ def test_lines_match_brute_force(spark):
         assert (r.text.split("\n") if r.n_dropped < r.n_lines else []) == kept
 
 
+def test_lines_of_documents_that_share_an_id_or_have_none(spark):
+    same, pad = "one line that both texts have", [f"filler number {i} of one long text" for i in range(6)]
+    for i in (None, 7):
+        texts = ["\n".join([same, f"only text {k} has this"] + pad * (k == 1)) for k in range(2)]
+        texts += [f"nothing else says this {k}\nnor that {k} is so" for k in range(2)]
+        rows = [(i, t, "en", "s", len(t)) for t in texts]
+        kept = [r.text.split("\n") for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOC)).collect()]
+        assert Counter(x for t in kept for x in t) == Counter({x: 1 for t in texts for x in t.split("\n")})
+    rows = [(None, "only one line and it repeats", "en", "s", 1)] * 2
+    assert [r.n_dropped for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOC)).collect()] == [0, 0]
+
+
 def test_fingerprints_next_and_edited_texts(spark):
     texts = [f"alpha beta {i} gamma delta {i % 3} epsilon zeta eta theta " * (i % 5) for i in range(40)]
     rows = {r.doc_id: r for r in fingerprint.edited_fingerprints(frame(spark, texts)).collect()}
