@@ -1,12 +1,13 @@
 """Near-duplicate line removal by a deletion-neighbourhood join.
 
 A line is a sequence of words (runs of anything but ASCII blanks).  Lines of
-``EDIT_WORDS`` words or more are alike within one word inserted, deleted or
-replaced; shorter ones only if equal; lines under ``MIN_WORDS`` words always
-stay.  A line goes if an earlier one (by doc_id, then line number, of its first
-occurrence) is alike.
+``EDIT_WORDS`` words or more are alike within ``bound`` words inserted, deleted
+or replaced: one for each ``STRETCH`` words of the shorter, at least one.
+Shorter lines are alike only if equal; lines under ``MIN_WORDS`` words and
+``MIN_CHARS`` characters always stay.  A line goes if an earlier one (by
+document, then line number, of its first occurrence) is alike.
 
-Every line emits its variants with one word left out, as hashed keys, each with
+One edit: every line emits its variants with one word left out, as hashed keys, each with
 the place of the gap, and itself.  Two lines with the same variant and the same
 gap differ in that word at most, so all lines of such a key are alike and only
 the key's earliest is needed; a variant that equals a whole line is one deletion
@@ -15,6 +16,15 @@ away.  Thus a key shared by millions of lines costs a minimum, not its pairs.
 Two exact reductions come first.  Equal lines count once.  And one edit leaves
 either the first or the second half of a line as it was, so only lines that
 share a half with another line emit variants.
+
+More edits: two alike lines of ``2 * STRETCH`` words or more share a run of
+``RUN`` words.  So they share the least hash of a window of ``WINDOW`` runs of
+``GRAM`` words, and each edit touches ``RUN`` windows at most: lines of which
+too few windows recur elsewhere are out.  Of the others, an edit touches
+``GRAM`` grams at most, so that alike lines share one of their rarest
+``GRAM * bound + 1`` grams; passages that many lines hold are rarely among them.
+A line is compared with the earliest holder of each of these grams, and only if
+that settles nothing with all earlier ones.  All pairs are verified by words.
 """
 
 from __future__ import annotations
@@ -30,13 +40,22 @@ from strata.llm.common import documents, map_arrow, small_batches, written
 from strata.llm.ngram_join import mix
 
 MIN_WORDS = 3
+MIN_CHARS = 24
 EDIT_WORDS = 8
+STRETCH = 16
+GRAM, WINDOW = 5, 6
+RUN = GRAM + WINDOW - 1  # at most (n - bound) / (bound + 1), rounded up, from 2 * STRETCH words on
 SEND_ROWS = 500_000  # rows sent to all executors at most; more are joined by a shuffle
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd
 _INVERSE = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _BASE)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
+def bound(words: int) -> int:
+    """Edits at most between two alike lines, by the words of the shorter."""
+    return max(1, words // STRETCH)
+
+
 class LineWords:
     """The lines of some texts, with hashes of any run of their words in O(1)."""
 
@@ -44,6 +63,7 @@ class LineWords:
         lines = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), "\n")
         at = np.asarray(lines.offsets).astype("i8")
         self.of_text = at - at[0]  # text i has lines of_text[i] to of_text[i + 1]
+        self.chars = np.asarray(pc.utf8_length(lines.flatten()))
         words = pc.ascii_split_whitespace(lines.flatten())
         at = np.asarray(words.offsets).astype("i8")
         coded = words.flatten().dictionary_encode()
@@ -89,6 +109,31 @@ class LineWords:
         return out
 
 
+    def grams(self) -> np.ndarray:
+        """Hashes of the runs of ``GRAM`` words from each word on, across lines too."""
+        start = np.arange(max(0, int(self.at[-1]) - GRAM + 1))
+        return mix(self.run(start, start + GRAM))
+
+    def windows(self, pick: np.ndarray) -> pa.ListArray:
+        """The least gram hashes of the windows of the lines of ``pick``, others
+        empty, each with the count of neighbouring windows that it is least in."""
+        g = self.grams()
+        least = g[: max(0, len(g) - WINDOW + 1)].copy()
+        for i in range(1, WINDOW):
+            np.minimum(least, g[i : i + len(least)], out=least)
+        each = np.where(pick, np.maximum(self.size - RUN + 1, 0), 0)
+        line = np.repeat(np.arange(len(each)), each)
+        upto = np.concatenate(([0], np.cumsum(each)))
+        key = least[self.at[:-1][line] + np.arange(len(line)) - upto[line]]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
+        first = np.flatnonzero(new)
+        weight = np.diff(np.append(first, len(key)))
+        offsets = np.searchsorted(first, upto).astype("i4")
+        values = pa.StructArray.from_arrays([pa.array(key[first].view("i8")), pa.array(weight.astype("i4"))], names=["key", "weight"])
+        return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
 _DOC = "struct<id:long,t0:long,t1:long>"
 
 
@@ -105,42 +150,101 @@ def _placed(docs: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line of ``MIN_WORDS`` words or more, with its two hashes and halves."""
+    """A row for each line that may go, with its two hashes, halves and windows."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         x = LineWords(b.column(1))
         number = np.arange(len(x.size)) - np.repeat(x.of_text[:-1], np.diff(x.of_text))
         row = np.repeat(np.arange(b.num_rows), np.diff(x.of_text))
-        keep = x.size >= MIN_WORDS
+        keep = (x.size >= MIN_WORDS) | ((x.size > 0) & (x.chars >= MIN_CHARS))
         lo, hi = x.at[:-1], x.at[1:]
         cols = [number.astype("i4"), x.size.astype("i8"), mix(x.run(lo, hi) + x.size.astype("u8")).view("i8"), x.run(lo, hi, 1).view("i8"), *x.halves().view("i8").T]
-        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[keep])), *[pa.array(c[keep]) for c in cols]], names=["doc", "line", "n", "h1", "h2", "k0", "k1", "k2", "k3"])
+        windows = x.windows(x.size >= 2 * STRETCH).filter(pa.array(keep))
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[keep])), *[pa.array(c[keep]) for c in cols], windows], names=["doc", "line", "n", "h1", "h2", "k0", "k1", "k2", "k3", "windows"])
+
+    return map_arrow(_placed(docs), run, f"doc {_DOC}, line int, n long, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long, windows array<struct<key:long,weight:int>>")
+
+
+def _text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc, line, words, near, far) of the wanted lines; ``words``: the line's text."""
+    wanted = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "near", "far")).alias("lines"))  # a document's own lines
 
-    return map_arrow(_placed(docs), run, f"doc {_DOC}, line int, n long, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long")
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        own = b.column(2).flatten()
+        row = np.repeat(np.arange(b.num_rows), np.asarray(pc.list_value_length(b.column(2))))
+        rows = [(t or "").split("\n") for t in b.column(1).to_pylist()]
+        words = [rows[i][k] for i, k in zip(row.tolist(), own.field("line").to_pylist())]
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), own.field("line"), pa.array(words, pa.string()), own.field("near"), own.field("far")], names=["doc", "line", "words", "near", "far"])
+
+    wanted = written(wanted, "wanted")
+    send = wanted.count() <= SEND_ROWS
+    chosen = _placed(docs).join(F.broadcast(wanted) if send else wanted, "doc").select("doc", "text", "lines")
+    return map_arrow(chosen, run, f"doc {_DOC}, line int, words string, near boolean, far boolean").dropDuplicates(["doc", "line"])
 
 
-def _variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The variants of the wanted lines (doc, lines): gap -1 is the whole line.
-    ``check`` is a second hash of what is left."""
+def _variants(text: DataFrame) -> DataFrame:
+    """The variants of lines: gap -1 is the whole line.  ``check`` is a second
+    hash of what is left."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        x, lines = LineWords(b.column(1)), b.column(2)
-        pick = np.concatenate([first + np.array(own, "i8") for first, own in zip(x.of_text[:-1].tolist(), lines.to_pylist())] or [np.empty(0, "i8")])
-        doc = np.repeat(np.arange(b.num_rows), np.asarray(pc.list_value_length(lines)))
-        number = np.asarray(lines.flatten()).astype("i4")
-        n = x.size[pick]
-        each = n + 1
-        row = np.repeat(np.arange(len(pick)), each)
+        x = LineWords(b.column(2))
+        each = x.size + 1
+        row = np.repeat(np.arange(len(each)), each)
         gap = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each) - 1
-        lo, hi = x.at[pick][row], x.at[pick + 1][row]
+        lo, hi = x.at[:-1][row], x.at[1:][row]
         whole = gap < 0
         at = lo + np.maximum(gap, 0)
         key, check = (np.where(whole, x.run(lo, hi, i), x.without(lo, hi, at, i)) for i in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(key.view("i8")), pa.array(check.view("i8")), pa.array(n[row]), pa.array(gap), b.column(0).take(pa.array(doc[row])), pa.array(number[row])], names=["key", "check", "n", "gap", "doc", "line"])
+        here = pa.array(row)
+        return pa.RecordBatch.from_arrays([pa.array(key.view("i8")), pa.array(check.view("i8")), pa.array(x.size[row]), pa.array(gap), b.column(0).take(here), b.column(1).take(here)], names=["key", "check", "n", "gap", "doc", "line"])
 
-    send = wanted.count() <= SEND_ROWS
-    chosen = _placed(docs).join(F.broadcast(wanted) if send else wanted, "doc").select("doc", "text", "lines")
-    return map_arrow(chosen, run, f"key long, check long, n long, gap long, doc {_DOC}, line int")
+    return map_arrow(text.where("near").select("doc", "line", "words"), run, f"key long, check long, n long, gap long, doc {_DOC}, line int")
+
+
+def _rare(text: DataFrame) -> DataFrame:
+    """(doc, line, n, gram): of the rarest ``GRAM * bound + 1`` grams of each line,
+    those that another line has."""
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        x = LineWords(b.column(2))
+        g, row, gram, of = x.grams(), [], [], []
+        for i, (lo, n) in enumerate(zip(x.at[:-1].tolist(), x.size.tolist())):
+            own = np.unique(g[lo : lo + n - GRAM + 1])
+            gram.append(own)
+            row.append(np.full(len(own), i))
+            of.append(np.full(len(own), len(own)))
+        row, gram, of = (np.concatenate(v or [np.empty(0)]) for v in (row, gram, of))
+        here = pa.array(row.astype("i8"))
+        return pa.RecordBatch.from_arrays([b.column(0).take(here), b.column(1).take(here), pa.array(x.size[row.astype("i8")]), pa.array(of.astype("i8")), pa.array(gram.astype("u8").view("i8"))], names=["doc", "line", "n", "grams", "gram"])
+
+    grams = written(map_arrow(text.where("far").select("doc", "line", "words"), run, f"doc {_DOC}, line int, n long, grams long, gram long"), "grams")
+    uses = grams.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1")
+    own = grams.join(uses, "gram").groupBy("doc", "line", "n", "grams").agg(F.sort_array(F.collect_list(F.struct("uses", "gram"))).alias("own"))  # a line's own grams
+    own = own.withColumn("take", (GRAM * F.floor(F.col("n") / STRETCH) + 1 - (F.col("grams") - F.size("own"))).cast("int")).where("take > 0")
+    return own.select("doc", "line", "n", F.explode(F.slice("own", 1, F.col("take"))).alias("own")).select("doc", "line", "n", "own.gram")
+
+
+def _close(n: str, to_n: str) -> Column:
+    """Whether lines of these lengths can be alike."""
+    return F.abs(F.col(n) - F.col(to_n)) <= F.floor(F.least(n, to_n) / STRETCH)
+
+
+def _with_earliest(rare: DataFrame) -> DataFrame:
+    """(doc, line, to_doc, to_line): lines with the earliest holder of each of their grams."""
+    least = rare.groupBy("gram").agg(F.min(F.struct("doc", "line", "n")).alias("to"))
+    pairs = rare.join(least, "gram").select("doc", "line", "n", F.col("to.doc").alias("to_doc"), F.col("to.line").alias("to_line"), F.col("to.n").alias("to_n"))
+    return _earlier(pairs)
+
+
+def _with_all(rare: DataFrame, settled: DataFrame) -> DataFrame:
+    """(doc, line, to_doc, to_line): lines not settled with all earlier holders of their grams."""
+    other = rare.select("gram", F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("n").alias("to_n"))
+    return _earlier(rare.join(settled, ["doc", "line"], "left_anti").join(other, "gram"))
+
+
+def _earlier(pairs: DataFrame) -> DataFrame:
+    before = F.struct(F.col("to_doc").alias("doc"), F.col("to_line").alias("line")) < F.struct("doc", "line")
+    return pairs.where(before & _close("n", "to_n")).select("doc", "line", "to_doc", "to_line").distinct()
 
 
 def _alike(variants: DataFrame) -> DataFrame:
@@ -172,27 +276,38 @@ def within_one_edit(a: list[str], b: list[str]) -> bool:
     return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The pairs whose lines are within one edit, by their words."""
-
-    def pick(b: pa.RecordBatch) -> pa.RecordBatch:
-        doc, line, words = [], [], []
-        for d, (text, lines) in enumerate(zip(*(b.column(i).to_pylist() for i in (1, 2)))):
-            rows = (text or "").split("\n")
-            for i in lines:
-                doc.append(d)
-                line.append(i)
-                words.append(rows[i])
-        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc, pa.int64())), pa.array(line, pa.int32()), pa.array(words, pa.string())], names=["doc", "line", "words"])
+def within_edits(a: list[str], b: list[str], most: int) -> bool:
+    """Whether ``most`` insertions, deletions and replacements turn a into b, by the
+    furthest place reached on each diagonal with so many edits."""
+    m, n = len(a), len(b)
+    if abs(n - m) > most:
+        return False
+    reach: dict[int, int] = {}
+    for e in range(most + 1):
+        now = {}
+        for d in range(max(-e, -m), min(e, n) + 1):
+            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2), reach.get(d + 1, -2) + 1) if e else 0
+            if i < 0:
+                continue
+            i = min(i, m, n - d)
+            while i < m and i + d < n and a[i] == b[i + d]:
+                i += 1
+            now[d] = i
+        if now.get(n - m) == m:
+            return True
+        reach = now
+    return False
+
+
+def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
+    """The pairs whose lines are alike, by their words."""
 
     def check(b: pa.RecordBatch) -> pa.RecordBatch:
         words = [[[w for w in x if w] for x in pc.ascii_split_whitespace(b.column(i)).to_pylist()] for i in (2, 3)]
-        keep = [within_one_edit(x, y) for x, y in zip(*words)]
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["doc", "line"]).filter(pa.array(keep))
+        keep = [within_edits(x, y, bound(min(len(x), len(y)))) for x, y in zip(*words)]
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["doc", "line"]).filter(pa.array(keep, pa.bool_()))
 
-    send = wanted.count() <= SEND_ROWS
-    chosen = _placed(docs).join(F.broadcast(wanted) if send else wanted, "doc").select("doc", "text", "lines")
-    text = written(map_arrow(chosen, pick, f"doc {_DOC}, line int, words string"), "line-text").dropDuplicates(["doc", "line"])
+    text = text.select("doc", "line", "words")
     other = text.select(F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("words").alias("to_words"))
     both = pairs.join(text, ["doc", "line"]).join(other, ["to_doc", "to_line"]).select("doc", "line", "words", "to_words")
     return map_arrow(both, check, f"doc {_DOC}, line int").distinct()
@@ -201,16 +316,22 @@ def _verified(pairs: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFrame
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc, line) of the lines that go; doc is the ``place`` of its document."""
     lines = written(_lines(docs), "lines")
-    first = lines.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"), *[F.min(k).alias(k) for k in ("k0", "k1", "k2", "k3")])
+    first = lines.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"), *[F.min(k).alias(k) for k in ("k0", "k1", "k2", "k3")], F.any_value("windows").alias("windows"))
     first = written(first, "distinct-lines")
     long_ = first.where(F.col("n") >= EDIT_WORDS).select("first", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
     shared = long_.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1").select("key")
-    wanted = long_.join(shared, "key").select("first.doc", "first.line").distinct()
-    wanted = written(wanted.groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("lines")), "wanted")  # a document's own lines
-    pairs = written(_alike(_variants(docs, wanted)), "alike")
-    named = pairs.select("doc", "line").unionAll(pairs.select("to_doc", "to_line")).distinct()
-    named = written(named.groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("lines")), "named")
-    near = written(_verified(pairs, docs, named), "near").withColumn("near", F.lit(True))
+    halved = long_.join(shared, "key").select("first.doc", "first.line", F.lit(True).alias("near"), F.lit(False).alias("far"))
+    keys = first.where(F.col("n") >= 2 * STRETCH).select("first", "n", F.explode("windows").alias("w")).select("first", "n", "w.key", "w.weight")
+    shared = keys.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1").select("key")
+    run = keys.join(shared, "key").groupBy("first", "n").agg(F.sum("weight").alias("met"))
+    run = run.where(F.col("met") >= F.col("n") - RUN + 1 - RUN * F.floor(F.col("n") / STRETCH)).select("first.doc", "first.line", F.lit(False).alias("near"), F.lit(True).alias("far"))
+    wanted = halved.unionAll(run).groupBy("doc", "line").agg(F.max("near").alias("near"), F.max("far").alias("far"))
+    text = written(_text(docs, wanted), "line-text")
+    rare = written(_rare(text), "rare")
+    pairs = written(_alike(_variants(text)).unionAll(_with_earliest(rare)).distinct(), "alike")
+    settled = written(_verified(pairs, text), "settled")
+    rest = written(_with_all(rare, settled).join(pairs, ["doc", "line", "to_doc", "to_line"], "left_anti"), "rest")
+    near = written(settled.unionAll(_verified(rest, text)), "near").withColumn("near", F.lit(True))
     going = first.select("h1", "h2", "n", "uses", "first", "first.doc", "first.line").join(near, ["doc", "line"], "left").where("uses > 1 or near")
     every = lines.select("doc", "line", "h1", "h2", "n").join(going.select("h1", "h2", "n", "first", "near"), ["h1", "h2", "n"])
     return every.where(F.coalesce("near", F.lit(False)) | (F.struct("doc", "line") != F.col("first"))).select("doc", "line").distinct()

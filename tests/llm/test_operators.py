@@ -326,6 +326,43 @@ def test_lines_of_documents_that_share_an_id_or_have_none(spark):
     assert [r.n_dropped for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOC)).collect()] == [0, 0]
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(before + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def test_long_lines_within_a_bound_that_grows(spark):
+    rng, lines = random.Random(11), []
+    passage = [f"p{i}" for i in range(25)]
+    for base in range(14):
+        own = random.Random(base)
+        w = [f"w{own.randrange(400)}" for _ in range(own.randint(28, 110))] if base % 4 else passage + [f"w{own.randrange(400)}" for _ in range(own.randint(8, 30))]
+        for _ in range(12):
+            v = list(w)
+            for _ in range(rng.randint(0, len(w) // 16 + 2)):
+                k = rng.randrange(len(v))
+                v = v[:k] + [f"e{rng.randrange(50)}"] * rng.randint(0, 1) + v[k + rng.randint(0, 1) :]
+            lines.append(v)
+    lines += [["same"] * 40, ["same"] * 42, ["same"] * 43, ["a", "b"] * 20, ["a", "b"] * 21]
+    rng.shuffle(lines)
+    distances = [min([distance(v, w) - max(1, min(len(v), len(w)) // 16) for v in lines[:i]], default=1) for i, w in enumerate(lines)]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(frame(spark, [" ".join(w) for w in lines])).collect()}
+    assert [got[i] for i in range(len(lines))] == [int(d <= 0) for d in distances]
+    for _ in range(500):
+        a, b = ([rng.choice("abc") for _ in range(rng.randint(0, 9))] for _ in "ab")
+        assert [line_dedup.within_edits(a, b, k) for k in range(10)] == [distance(a, b) <= k for k in range(10)]
+
+
+def test_equal_long_lines_without_blanks(spark):
+    texts = ["一" * 30, "short one", "一" * 30, "short one", " " * 40, " " * 40]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(6)] == [0, 0, 1, 0, 0, 0]
+
+
 def test_fingerprints_next_and_edited_texts(spark):
     texts = [f"alpha beta {i} gamma delta {i % 3} epsilon zeta eta theta " * (i % 5) for i in range(40)]
     rows = {r.doc_id: r for r in fingerprint.edited_fingerprints(frame(spark, texts)).collect()}
