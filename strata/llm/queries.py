@@ -77,8 +77,9 @@ def op8_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
-        F.size("licenses").cast("long").alias("n_licenses"),
-        F.array_join("licenses.name", ",").alias("licenses"),
+        F.size(F.array_distinct("licenses.name")).cast("long").alias("n_licenses"),
+        F.size("licenses").cast("long").alias("n_places"),
+        F.array_join(F.array_distinct("licenses.name"), ",").alias("licenses"),
         F.coalesce(F.array_max("licenses.coverage"), F.lit(0.0)).alias("best_coverage"),
     )
 

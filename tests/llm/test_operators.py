@@ -409,6 +409,24 @@ def test_licenses_twice_noisy_and_absent():
     assert scanner.scan("the license was released") == []
 
 
+def test_license_look_alikes_and_every_place(spark):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    names = lambda text: [x[0] for x in scanner.scan(text)]
+    assert names("Released under the BSD License.") == ["bsd"] and names("Released under the Foo License.") == []
+    assert names("Licensed under CC BY-SA 4.0.") == ["cc-by-sa-4.0"] and names("Licensed under CC BY 4.0.") == ["cc-by-4.0-short"]
+    assert names("Licensed under CC BY-NC 3.0.") == [] and names("Licensed under the Apache License, Version 1.1.") == []
+    assert names("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.") == ["cc-by-sa-4.0-notice"]
+    assert names("This work is licensed under the GNU Lesser General Public License, version 3.") == ["lgpl-3.0"]
+    assert names("This work is licensed under the GNU General Public License, version 2.") == ["gpl-2.0"]
+    for name, text in license_scan.TEMPLATES.items():
+        found = dict((x[0], x[1]) for x in scanner.scan(f"some words {text} and more"))
+        assert found[name] == 1.0 and all(n in (name, "apache-2.0", "mit-notice", "bsd-notice") for n in found), (name, found)
+    line = "x y Released under the MIT License. z\n"
+    rows = license_scan.scan_licenses(frame(spark, [line * 3, license_scan.TEMPLATES["bsd-3-clause-text"]])).orderBy("doc_id").collect()
+    assert [(x.name, x.first, x.stop) for x in rows[0].licenses] == [("mit", 2, 7), ("mit", 10, 15), ("mit", 18, 23)]
+    assert {x.name for x in rows[1].licenses} == {"bsd-3-clause-text", "bsd-notice"}
+
+
 @pytest.mark.parametrize("name,label,limit", [("op1_convolution", "toxic", 0.5), ("op10_line_crf", "quality", 0.3)])
 def test_classifiers_on_held_out_rows(spark, name, label, limit):
     sf = "/root/testdata/sf0.1"
