@@ -22,6 +22,11 @@ BLANK = "\t-\r\x1c-\x20\x85\xa0  -     　"
 _NEXT_TO_SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 SPACE_RUN = f" {_NEXT_TO_SPACE}|{_NEXT_TO_SPACE} "
 _CUT = re.compile(f"(?<=[^{BLANK}])(?=[ \\n\\t\\r])")
+# A word that starts with a blank, has no other space and ends in no blank.
+_SPACED = re.compile(f" [^{BLANK}](?:[^ ]*[^{BLANK}])?")
+# One run of letters that no normal form joins or splits, and a mark: two pieces at most.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-į]+[,.;:!?]?")
+_AT_ONCE = 2000  # words encoded together
 
 
 class WordEncoder:
@@ -33,18 +38,47 @@ class WordEncoder:
     time but changes no result.
     """
 
-    def __init__(self, path: str, byte_level: bool, memo: int = 150_000):
+    def __init__(self, path: str, byte_level: bool, memo: int = 150_000, special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = not special
         self.byte_level, self.limit, self.memo, self.older = byte_level, memo, {}, {}
+        names = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(names.values()) + 1, bool)  # ids that start a word, or that end a piece
+        for name, i in names.items():
+            self.edge[i] = name.startswith("\u0120") if byte_level else name.endswith("</w>")
 
     def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 2000):
-            part = words[i : i + 2000]
+        """Ids of new words.  Words whose ids can be told apart in a text of many
+        words are encoded as one text, which is the library's fastest way; the
+        others, and any text where the count of words does not come out, apart."""
+        apart = []
+        whole = (_SPACED if self.byte_level else _LETTERS).fullmatch
+        joined = [w for w in words if whole(w) or apart.append(w)]
+        for i in range(0, len(joined), _AT_ONCE):
+            part = joined[i : i + _AT_ONCE]
+            text = ("" if self.byte_level else " ").join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.edge[ids])
+            if self.byte_level:
+                ends, found = np.append(at[1:], len(ids)), len(at)
+            else:  # a mark is a piece of its own
+                pieces = np.cumsum([1 if w[-1].isalpha() else 2 for w in part])
+                found = len(part) if len(at) == pieces[-1] else -1
+                ends = at[pieces - 1] + 1 if found > 0 else at
+            if found != len(part):
+                apart += part
+                continue
+            raw, lo = ids.tobytes(), 0
+            for w, hi in zip(part, (4 * ends).tolist()):
+                self.memo[w] = raw[lo:hi]
+                lo = hi
+        for i in range(0, len(apart), _AT_ONCE):
+            part = apart[i : i + _AT_ONCE]
             got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
             ids, at = np.array(got.ids, "<u4"), np.array(got.word_ids, "i8")
             ends = np.searchsorted(at, np.arange(1, len(part) + 1))
@@ -119,8 +153,10 @@ class WordEncoder:
 _ENCODERS: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str, byte_level: bool) -> WordEncoder:
-    """One encoder for each file and worker process, kept between tasks."""
-    if (path, byte_level) not in _ENCODERS:
-        _ENCODERS[path, byte_level] = WordEncoder(path, byte_level)
-    return _ENCODERS[path, byte_level]
+def encoder(path: str, byte_level: bool, special: bool = True) -> WordEncoder:
+    """One encoder for each file and worker process, kept between tasks.  Without
+    ``special``, strings of special tokens inside texts are ordinary text."""
+    key = path, byte_level, special
+    if key not in _ENCODERS:
+        _ENCODERS[key] = WordEncoder(path, byte_level, special=special)
+    return _ENCODERS[key]
