@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Default row bound under which a key set is shipped to every executor.
@@ -40,6 +40,30 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 # spread over this many partitions by a salt taken from the row's own values.
 NULL_KEY_SALTS = 64
 
+# A non-null key held by this share of a child's rows or more is hot: its rows
+# are spread likewise, and only its parent key is repeated for every salt.
+HOT_SHARE = 1 / 256
+HOT_KEYS = 255  # as many keys as can reach the share
+HOT_TRACKED = 8192  # counters of the sketch; a hot key is never pushed out
+HOT_KEY_SALTS = 64
+
+
+def heavy_keys(child: DataFrame, column: str, share: float = HOT_SHARE) -> list:
+    """The non-null values of ``column`` that ``share`` of the rows or more hold,
+    from one scan of that column with a frequent-items sketch that is merged
+    per task (no shuffle by key).  At most ``1 / share`` values reach the driver.
+    A sketch may name a key that is a little below the share; that costs a few
+    more copies of one parent key and changes no result."""
+    found = child.agg(
+        F.expr(f"approx_top_k(`{column}`, {HOT_KEYS}, {HOT_TRACKED})").alias("top"),
+        F.count(F.lit(1)).alias("rows"),
+    ).first()
+    return [r["item"] for r in found["top"] or [] if r["item"] is not None and r["count"] >= share * found["rows"]]
+
+
+def _among(column: str, values: list) -> Column:
+    return F.col(column).isin(values) if values else F.lit(False)
+
 
 def flag_membership(
     child: DataFrame,
@@ -49,6 +73,7 @@ def flag_membership(
     flag: str,
     broadcast_keys: bool = False,
     salt_columns: list[str] | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Add boolean ``flag``: True where ``child[column]`` is among the keys.
 
@@ -56,6 +81,8 @@ def flag_membership(
     child's row count (no fan-out) and makes per-rule counts a single pass.
     A null child value never matches, so its flag is False; those rows get a
     deterministic salt in the join key so they do not pile into one task.
+    So do rows of a ``hot`` key (see ``heavy_keys``), whose parent key is
+    repeated once for every salt; all other parent keys are sent once.
     ``broadcast_keys`` ships the key set to every executor; set it only after
     bounding its size (see ``bounded_broadcast``).  ``salt_columns`` are the
     columns the salt hashes (default: all of them).  Pass the entity's key
@@ -64,28 +91,29 @@ def flag_membership(
     """
     marker = f"__{flag}_hit"
     salt = f"__{flag}_salt"
+    hot = [] if broadcast_keys else list(hot or [])
+    # The parent salt is always 0 but for hot keys, written as an expression of
+    # the key so Catalyst keeps it a join key (a literal 0 is folded into a join
+    # filter, and the null rows would again share one partition).  It is
+    # there before the distinct, whose partitioning the join then reuses.
+    salts = F.pmod(F.xxhash64(column), F.lit(1)).cast("int")
+    if hot:
+        every = F.sequence(F.lit(0), F.lit(HOT_KEY_SALTS - 1))
+        salts = F.explode(F.when(_among(column, hot), every).otherwise(F.array(salts)))
     k = (
         keys.select(F.col(key_column).alias(column))
         .filter(F.col(column).isNotNull())
-        # The parent salt is always 0, written as an expression of the key
-        # so Catalyst keeps it a join key (a literal 0 is folded into a join
-        # filter, and the null rows would again share one partition).  It is
-        # there before the distinct, whose partitioning the join then reuses.
-        .select(column, F.pmod(F.xxhash64(column), F.lit(1)).cast("int").alias(salt))
+        .select(column, salts.alias(salt))
         .distinct()
         .withColumn(marker, F.lit(True))
     )
     if broadcast_keys:
         k = F.broadcast(k)
-    salted = child.withColumn(
-        salt,
-        F.when(
-            F.col(column).isNull(),
-            F.pmod(F.xxhash64(*(salt_columns or child.columns)), F.lit(NULL_KEY_SALTS)),
-        )
-        .otherwise(F.lit(0))
-        .cast("int"),
-    )
+    own = F.xxhash64(*(salt_columns or child.columns))
+    spread = F.when(F.col(column).isNull(), F.pmod(own, F.lit(NULL_KEY_SALTS)))
+    if hot:
+        spread = spread.when(_among(column, hot), F.pmod(own, F.lit(HOT_KEY_SALTS)))
+    salted = child.withColumn(salt, spread.otherwise(F.lit(0)).cast("int"))
     return salted.join(k, on=[column, salt], how="left").select(
         *child.columns, F.coalesce(F.col(marker), F.lit(False)).alias(flag)
     )

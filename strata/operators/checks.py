@@ -10,8 +10,10 @@ names the first failing one in rule order.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,62 +62,84 @@ def raise_on_failure(findings: DataFrame, error: type[Exception], describe=None)
 # ------------------------------------------------------------------ G1
 
 
-def payment_count_columns() -> list:
-    """The G1 counts as aggregate expressions, usable in ``agg`` or in an
-    ``Observation`` on the write that ingests the payments."""
-    v = F.col("payment_value")
-    return [
-        F.count_if(v < 0).alias("negative_count"),
-        F.count_if(v == 0).alias("zero_count"),
-        F.count_if(v.isNull()).alias("null_count"),
-        F.count_if(F.isnan(v)).alias("nan_count"),
-    ]
+@dataclass(frozen=True)
+class ValueRule:
+    """A count of rows that break a rule on a value: ``fail`` stops the gate and
+    fails the finding where any row does, ``warn`` is logged, ``record`` only
+    counted.  The gate and the findings table are both made from the rules."""
 
+    metric: str
+    broken: Callable[[Column], Column]
+    on_break: str
+    message: str = ""
 
-def check_payment_counts(counts: dict) -> dict:
-    """G1 on counted values: raise on negative and NaN payments, log zero ones.
 
-    NaN would turn every sum it enters into NaN, so it never passes as money."""
-    negative, zero = int(counts["negative_count"]), int(counts["zero_count"])
-    if zero > 0:
-        logger.warning("%d payments of exactly zero were read.", zero)
-    if negative > 0:
-        raise PaymentValidationError(f"Negative payments: {negative} rows have payment_value < 0.")
-    if int(counts["nan_count"]) > 0:
-        raise PaymentValidationError(f"Payments that are no number: {int(counts['nan_count'])} rows hold NaN.")
-    return {m: int(counts[m]) for m in ("negative_count", "zero_count", "null_count", "nan_count")}
+PAYMENT_RULES = (
+    ValueRule("negative_count", lambda v: v < 0, "fail", "Negative payments: {n} rows have payment_value < 0."),
+    ValueRule("zero_count", lambda v: v == 0, "warn", "{n} payments of exactly zero were read."),
+    ValueRule("null_count", lambda v: v.isNull(), "record"),
+    # NaN would turn every sum it enters into NaN, so it never passes as money.
+    ValueRule("nan_count", lambda v: F.isnan(v), "fail", "Payments that are no number: {n} rows hold NaN."),
+)
 
 
-def payment_value_checks(payments: DataFrame, entity: str = "payments") -> DataFrame:
-    """G1: negative values fail (count), zero values are a warning (count,
-    passed), nulls and NaNs are counted for the record.  One aggregate."""
-    counts = payments.agg(*payment_count_columns())
+def value_count_columns(column: str, rules: tuple[ValueRule, ...]) -> list[Column]:
+    """One count for each rule, usable in ``agg`` or in an ``Observation``."""
+    return [F.count_if(r.broken(F.col(column))).alias(r.metric) for r in rules]
+
+
+def check_value_counts(counts: dict, rules: tuple[ValueRule, ...], error: type[Exception]) -> dict:
+    """The rules as a gate on counted values: log the warnings, raise the first
+    failure in rule order, else return the counts."""
+    found = {r.metric: int(counts[r.metric]) for r in rules}
+    for r in rules:
+        if r.on_break == "warn" and found[r.metric]:
+            logger.warning("%s", r.message.format(n=found[r.metric]))
+    for r in rules:
+        if r.on_break == "fail" and found[r.metric]:
+            raise error(r.message.format(n=found[r.metric]))
+    return found
+
+
+def value_findings(df: DataFrame, check: str, entity: str, column: str, rules: tuple[ValueRule, ...]) -> DataFrame:
+    """The rules as a findings table, one row a rule, from one aggregate."""
+
+    def finding(r: ValueRule) -> Column:
+        fails = r.on_break == "fail"
+        return F.struct(
+            F.lit(r.metric).alias("metric"),
+            F.col(r.metric).cast("double").alias("value"),
+            F.lit(0.0 if fails else None).cast("double").alias("limit"),
+            (F.col(r.metric) == 0 if fails else F.lit(True)).alias("passed"),
+        )
+
+    counts = df.agg(*value_count_columns(column, rules))
     return counts.select(
-        F.lit("payment_value").alias("check"),
+        F.lit(check).alias("check"),
         F.lit(entity).alias("entity"),
-        F.lit("payment_value").alias("column"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(m).alias("metric"),
-                        F.col(m).cast("double").alias("value"),
-                        F.lit(0.0 if m == "negative_count" else None).cast("double").alias(
-                            "limit"
-                        ),
-                        (F.col(m) == 0 if m == "negative_count" else F.lit(True)).alias(
-                            "passed"
-                        ),
-                    )
-                    for m in ("negative_count", "zero_count", "null_count", "nan_count")
-                ]
-            )
-        ).alias("f"),
+        F.lit(column).alias("column"),
+        F.explode(F.array(*[finding(r) for r in rules])).alias("f"),
     ).select("check", "entity", "column", "f.*")
 
 
+def payment_count_columns() -> list[Column]:
+    """The G1 counts, e.g. for the ``Observation`` on the write of the ingest."""
+    return value_count_columns("payment_value", PAYMENT_RULES)
+
+
+def check_payment_counts(counts: dict) -> dict:
+    """G1 on counted values: raise on negative and NaN payments, log zero ones."""
+    return check_value_counts(counts, PAYMENT_RULES, PaymentValidationError)
+
+
+def payment_value_checks(payments: DataFrame, entity: str = "payments") -> DataFrame:
+    """G1 as a table: negative values and NaNs fail, zero values are a warning
+    (passed), nulls are counted for the record."""
+    return value_findings(payments, "payment_value", entity, "payment_value", PAYMENT_RULES)
+
+
 def validate_payments(payments: DataFrame) -> dict:
-    """G1 as a gate: raise on negative payment values, return the counts."""
+    """G1 as a gate: raise where a finding fails, return the counts."""
     return check_payment_counts(payments.agg(*payment_count_columns()).first().asDict())
 
 

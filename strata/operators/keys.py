@@ -47,14 +47,19 @@ def failed_rule(mask_column: str, i: int):
 
 
 def check_foreign_key(
-    child: DataFrame, column: str, parent: DataFrame, parent_column: str, flag: str = "_fk_ok"
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    flag: str = "_fk_ok",
+    hot: list | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(child with boolean ``flag``, distinct missing values).
 
     ``missing`` has one column, ``column``: the non-null child values absent
-    from the parent.
+    from the parent.  ``hot`` are key values to spread (``joins.heavy_keys``).
     """
-    flagged = flag_membership(child, column, parent, parent_column, flag)
+    flagged = flag_membership(child, column, parent, parent_column, flag, hot=hot)
     missing = (
         flagged.filter(~F.col(flag) & F.col(column).isNotNull()).select(column).distinct()
     )
@@ -98,6 +103,7 @@ def _flag_all(
     parents: dict[str, DataFrame],
     broadcast_parents: frozenset[str] = frozenset(),
     salt: list[str] | None = None,
+    hot: dict[str, list] | None = None,
 ) -> DataFrame:
     flagged = df
     for i, fk in enumerate(fks):
@@ -109,6 +115,7 @@ def _flag_all(
             f"_fk_ok_{i}",
             broadcast_keys=fk.parent in broadcast_parents,
             salt_columns=salt,
+            hot=(hot or {}).get(fk.column),
         )
     return flagged
 
@@ -119,6 +126,7 @@ def validate_entity_relationships(
     fks: list[ForeignKey],
     parents: dict[str, DataFrame],
     key: list[str] | None = None,
+    hot: dict[str, list] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(clean rows, per-rule report, missing values).
 
@@ -128,10 +136,12 @@ def validate_entity_relationships(
     write or ``checkpoint``) when more than one of them is consumed at scale.
     ``key`` (the entity's primary key) narrows the null-key salt to the key
     and FK columns, so a plan that needs only the counts reads only those.
+    ``hot`` maps a foreign-key column to its hot values (``joins.heavy_keys``),
+    whose rows are spread over many tasks.
     """
     # Narrow the salt only when the frame carries the whole key.
     salt = salt_columns(key, fks) if key and all(k in df.columns for k in key) else None
-    flagged = _flag_all(df, fks, parents, salt=salt)
+    flagged = _flag_all(df, fks, parents, salt=salt, hot=hot)
     flags = [f"_fk_ok_{i}" for i in range(len(fks))]
     clean = flagged.filter(F.expr(" AND ".join(flags)) if flags else F.lit(True)).select(
         *df.columns

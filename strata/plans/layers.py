@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from strata import sources
 from strata.functions.columns import to_snake_case
-from strata.functions.joins import bounded_broadcast, fits_broadcast
+from strata.functions.joins import bounded_broadcast, fits_broadcast, heavy_keys
 from strata.operators import audit, checks, clean, dedupe, keys, reconcile, reports
 from strata.errors import QualityCheckError
 from strata.rules import RETAIL_RULES, Rules
@@ -299,8 +299,10 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
             name for name, df in parents.items() if fits_broadcast(df, broadcast_max_rows)
         )
         child = spark.read.parquet(stage[e])
+        # Of a parent that is shuffled, a key that many rows hold is spread.
+        hot = {fk.column: heavy_keys(child, fk.column) for fk in fks if fk.parent not in small}
         flagged = keys._flag_all(
-            child, fks, parents, small, keys.salt_columns(rules.primary_keys[e], fks)
+            child, fks, parents, small, keys.salt_columns(rules.primary_keys[e], fks), hot
         )
         flags = [f"_fk_ok_{i}" for i in range(len(fks))]
         masked = flagged.select(*child.columns, keys.fail_mask(flags).alias(keys.FAIL_MASK))

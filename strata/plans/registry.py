@@ -246,7 +246,8 @@ WHERE rn = 1
     ),
 )
 def q_dedup_items(spark, sf):
-    return dedupe.keep_latest(ad.core_order_items(spark, sf), ITEM_KEY, ITEM_TIEBREAKER)
+    items = ad.core_order_items(spark, sf)
+    return dedupe.dedup_entity(items, "order_items", ITEM_KEY, ITEM_TIEBREAKER)[0]
 
 
 # ----------------------------------------------------------------------------
@@ -629,29 +630,43 @@ def q_unparsable_dates(spark, sf):
 # ----------------------------------------------------------------------------
 
 
+def _payment_findings(table: str) -> str:
+    """The four payment rules over ``table``: negative and NaN values fail."""
+    rows = []
+    for metric, fails in (("negative_count", True), ("zero_count", False), ("null_count", False), ("nan_count", True)):
+        limit, passed = ("CAST(0 AS DOUBLE)", f"{metric} = 0") if fails else ("CAST(NULL AS DOUBLE)", "TRUE")
+        rows.append(
+            f"""SELECT 'payment_value' AS "check", 'payments' AS entity, 'payment_value' AS "column",
+       '{metric}' AS metric, CAST({metric} AS DOUBLE) AS value, {limit} AS "limit", {passed} AS passed FROM c"""
+        )
+    return f"""c AS (SELECT COUNT(*) FILTER (WHERE payment_value < 0) AS negative_count,
+                  COUNT(*) FILTER (WHERE payment_value = 0) AS zero_count,
+                  COUNT(*) FILTER (WHERE payment_value IS NULL) AS null_count,
+                  COUNT(*) FILTER (WHERE isnan(payment_value)) AS nan_count FROM {table})
+""" + "\nUNION ALL ".join(rows)
+
+
+@register("payment_value_checks", with_entities("WITH " + _payment_findings("pay"), "pay"))
+def q_payment_value_checks(spark, sf):
+    return checks.payment_value_checks(ad.core_payments(spark, sf))
+
+
 @register(
-    "payment_value_checks",
+    "payment_value_failures",
     with_entities(
         """
-WITH c AS (SELECT COUNT(*) FILTER (WHERE payment_value < 0) AS negative_count,
-                  COUNT(*) FILTER (WHERE payment_value = 0) AS zero_count,
-                  COUNT(*) FILTER (WHERE payment_value IS NULL) AS null_count,
-                  COUNT(*) FILTER (WHERE isnan(payment_value)) AS nan_count FROM pay)
-SELECT 'payment_value' AS "check", 'payments' AS entity, 'payment_value' AS "column",
-       'negative_count' AS metric, CAST(negative_count AS DOUBLE) AS value,
-       CAST(0 AS DOUBLE) AS "limit", negative_count = 0 AS passed FROM c
-UNION ALL SELECT 'payment_value', 'payments', 'payment_value', 'zero_count',
-       CAST(zero_count AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM c
-UNION ALL SELECT 'payment_value', 'payments', 'payment_value', 'null_count',
-       CAST(null_count AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM c
-UNION ALL SELECT 'payment_value', 'payments', 'payment_value', 'nan_count',
-       CAST(nan_count AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM c
-""",
+WITH odd AS (SELECT CASE WHEN order_id % 41 = 0 THEN CAST('nan' AS DOUBLE) WHEN order_id % 43 = 0 THEN -payment_value
+                         WHEN order_id % 47 = 0 THEN 0 WHEN order_id % 53 = 0 THEN NULL ELSE payment_value END AS payment_value FROM pay),
+"""
+        + _payment_findings("odd"),
         "pay",
     ),
 )
-def q_payment_value_checks(spark, sf):
-    return checks.payment_value_checks(ad.core_payments(spark, sf))
+def q_payment_value_failures(spark, sf):
+    """G1 on payments of which some are NaN, negative, zero or missing."""
+    value, order = F.col("payment_value"), F.col("order_id")
+    odd = F.when(order % 41 == 0, F.lit(float("nan"))).when(order % 43 == 0, -value).when(order % 47 == 0, F.lit(0.0)).when(order % 53 != 0, value)
+    return checks.payment_value_checks(ad.core_payments(spark, sf).withColumn("payment_value", odd))
 
 
 def _schema_oracle() -> str:

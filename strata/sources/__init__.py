@@ -6,6 +6,7 @@ from strata.sources.files import (  # noqa: F401
     parquet_schema,
     raw_completeness,
     read_csv,
+    read_split_csv,
     read_parquet,
     scratch_path,
     source_manifest,

@@ -6,9 +6,14 @@ and object stores alike); data always goes through Spark readers and writers.
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,9 +134,8 @@ def read_csv(
 
     FAILFAST raises on a value that does not fit its type (PERMISSIVE would
     null it silently); ``enforceSchema=False`` checks the header names against
-    the schema; quoted newlines and doubled quotes are honoured.  A
-    multi-line CSV file cannot be split, so large sources should arrive as
-    many files (one task each) and are read once, into Raw Parquet.
+    the schema; quoted newlines and doubled quotes are honoured.  Spark reads a
+    multi-line CSV file in one task; ``read_split_csv`` splits large ones.
     """
     return (
         spark.read.schema(schema)
@@ -145,6 +149,152 @@ def read_csv(
     )
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """The size of a scan split, ``spark.sql.files.maxPartitionBytes``."""
+    jvm = spark.sparkContext._jvm
+    return int(jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+
+
+def read_split_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """S2-S4 for large files whose quoted fields hold line breaks: the rows of
+    ``read_csv(multiline=True)``, with a file's byte ranges read by many tasks.
+
+    A line break ends a record only where an even number of quotes precedes
+    it (doubled quotes keep the count even).  A range does not know whether it
+    begins inside quotes, so a first scan reports, for each range, its quotes'
+    parity and how many records end in it for either state; a running sum over
+    a file's ranges (one small row each) settles every range's state and the
+    number of its first record.  The second scan cuts the records: whole ones
+    at once, while the pieces of a record that crosses ranges are put together
+    by record number, however many ranges it spans.  Both scans read physical
+    lines, which Spark's text reader splits at any byte range.
+
+    The header of every file is checked against the schema.  A file that ends
+    inside quotes raises (a quote inside an unquoted field is not counted as
+    plain text here; such files need ``read_csv``).  Column pruning and errors
+    are those of ``from_csv`` in FAILFAST mode.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value")
+    )
+    ranges = lines.mapInArrow(_range_facts, "file string, start long, quotes long, ends0 long, ends1 long, crlf boolean")
+    ranges = ranges.groupBy("file", "start").agg(F.sum("quotes").alias("quotes"), F.sum("ends0").alias("ends0"), F.sum("ends1").alias("ends1"), F.bool_or("crlf").alias("crlf"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    state = F.pmod(F.coalesce(F.sum("quotes").over(before), F.lit(0)), F.lit(2))
+    placed = ranges.withColumn("state", state).withColumn("ends", F.when(F.col("state") == 0, F.col("ends0")).otherwise(F.col("ends1")))
+    placed = placed.withColumn("first", F.coalesce(F.sum("ends").over(before), F.lit(0)))
+    # Lines end as the file's first line does.
+    placed = placed.withColumn("crlf", F.bool_or("crlf").over(Window.partitionBy("file")))
+    # One row for each byte range of the files.
+    facts = {(r["file"], r["start"]): (r["state"], r["first"], r["crlf"]) for r in placed.select("file", "start", "state", "first", "crlf").collect()}
+    known = spark.sparkContext.broadcast(facts)
+
+    def cut(batches):
+        yield from _cut_records(batches, known.value)
+
+    pieces = lines.mapInArrow(cut, "file string, record long, start long, whole boolean, text string")
+    whole = pieces.filter("whole").select("file", "record", "text")
+    crossing = pieces.filter("not whole").groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("start", "text"))).alias("parts"))
+    crossing = crossing.select("file", "record", F.array_join("parts.text", "\n").alias("text"))
+    records = whole.unionByName(crossing)
+    checked = F.when(
+        F.col("record") == 0,
+        F.when(_header_names(F.col("text"), sep) == F.array(*[F.lit(n) for n in schema.names]), F.lit(False)).otherwise(
+            F.raise_error(F.concat(F.lit("The CSV header does not match the schema in "), F.col("file"))).cast("boolean")
+        ),
+    ).otherwise(F.col("text") != "")
+    complete = F.when(F.pmod(F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit(""))), F.lit(2)) == 0, checked).otherwise(
+        F.raise_error(F.concat(F.lit("The CSV ends inside quotes: "), F.col("file"))).cast("boolean")
+    )
+    options = {"sep": sep, "escape": '"', "mode": "FAILFAST"}
+    parsed = records.filter(complete).select(F.from_csv("text", _ddl(schema), options).alias("row"))
+    return parsed.select("row.*")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+def _header_names(text: Column, sep: str) -> Column:
+    """The names of a header line: unquoted or quoted, without a separator in them."""
+    return F.transform(F.split(F.regexp_replace(text, "^\\ufeff", ""), re.escape(sep)), lambda c: F.regexp_replace(c, '^"|"$', ""))
+
+
+def _stretches(b: pa.RecordBatch) -> Iterator[tuple[str, int, pa.Array]]:
+    """A batch's lines, range by range."""
+    file, start = b.column(0).to_pylist(), b.column(1).to_pylist()
+    lo = 0
+    for i in range(1, len(file) + 1):
+        if i == len(file) or (file[i], start[i]) != (file[lo], start[lo]):
+            yield file[lo], start[lo], b.column(2).slice(lo, i - lo)
+            lo = i
+
+
+def _quotes(lines: pa.Array) -> np.ndarray:
+    return np.asarray(pc.fill_null(pc.count_substring(lines, '"'), 0)).astype("i8")
+
+
+def _range_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each range, in stretches of lines: quotes, and the line breaks that end
+    a record if the range begins outside (``ends0``) or inside (``ends1``) quotes.
+
+    Lines of a range come in order, from one task; the parity so far carries on
+    from one stretch to the next."""
+    at, parity = None, 0
+    for b in batches:
+        rows = []
+        for file, start, lines in _stretches(b):
+            crlf = False
+            if (file, start) != at:
+                at, parity = (file, start), 0
+                crlf = start == 0 and lines[0].as_py().endswith("\r")
+            upto = parity + np.cumsum(_quotes(lines))
+            even = int((upto % 2 == 0).sum())
+            rows.append((file, start, int(upto[-1]) - parity, even, len(upto) - even, crlf))
+            parity = int(upto[-1]) % 2
+        cols = list(zip(*rows)) or [()] * 6
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["file", "start", "quotes", "ends0", "ends1", "crlf"])
+
+
+def _cut_records(batches: Iterator[pa.RecordBatch], known: dict) -> Iterator[pa.RecordBatch]:
+    """(file, record, start, whole, text): records within a range, and the pieces
+    at its ends of those that cross into others."""
+    at, parity, record, crlf, open_, head = None, 0, 0, False, [], False
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) or [()] * 5
+        types = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["file", "record", "start", "whole", "text"])
+
+    for b in batches:
+        rows = []
+        for file, start, lines in _stretches(b):
+            if (file, start) != at:
+                if open_:
+                    rows.append((*at[:1], record, at[1], False, "\n".join(open_)))
+                at = (file, start)
+                parity, record, crlf = known[at]
+                open_, head = [], parity == 1  # the first record began in an earlier range
+            upto = parity + np.cumsum(_quotes(lines))
+            if crlf:
+                lines = pc.replace_substring_regex(lines, "\r$", "")
+            for text, total in zip(lines.to_pylist(), upto.tolist()):
+                if total % 2:
+                    open_.append(text)
+                    continue
+                if open_:
+                    open_.append(text)
+                    text, open_ = "\n".join(open_), []
+                rows.append((file, record, start, not head, text))
+                record, head = record + 1, False
+            parity = int(upto[-1]) % 2
+        if rows:
+            yield made(rows)
+    if open_:
+        yield made([(at[0], record, at[1], False, "\n".join(open_))])
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan (pruned and filtered at the scan by Catalyst)."""
     return spark.read.parquet(path)
@@ -221,11 +371,15 @@ def ingest_file(
     so Raw never keeps it.  The metrics sit in the writing (result) stage,
     where Spark applies each task's update once even under retries.
     ``multiline=False`` makes large files splittable when the source has no
-    quoted line breaks.
+    quoted line breaks; with them, a source larger than one scan split is read
+    by ``read_split_csv``, with the same rows.
     """
     name = entity or source_path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
     out = f"{raw_dir.rstrip('/')}/{name}"
-    df = read_csv(spark, source_path, schema, sep=sep, multiline=multiline)
+    if multiline and path_size(spark, source_path) > split_bytes(spark):
+        df = read_split_csv(spark, source_path, schema, sep=sep)
+    else:
+        df = read_csv(spark, source_path, schema, sep=sep, multiline=multiline)
     metrics = [F.count(F.lit(1)).alias("rows")]
     if name == "payments":
         metrics += payment_count_columns()

@@ -23,6 +23,21 @@ def test_zero_payment_is_only_a_warning(spark):
     assert got["zero_count"] == 1 and got["negative_count"] == 0 and got["null_count"] == 1
 
 
+def test_payment_table_and_gate_follow_the_same_rules(spark):
+    """A rule that fails the finding raises at the gate, and only such a rule."""
+    for value, metric in ((-1.0, "negative_count"), (0.0, "zero_count"), (None, "null_count"), (float("nan"), "nan_count"), (2.0, None)):
+        df = spark.createDataFrame([(value,), (5.0,)], "payment_value double")
+        rows = {r["metric"]: r for r in checks.payment_value_checks(df).collect()}
+        assert {m for m, r in rows.items() if r["value"]} == ({metric} if metric else set())
+        failing = [m for m, r in rows.items() if not r["passed"]]
+        assert failing == ([metric] if metric in ("negative_count", "nan_count") else [])
+        if failing:
+            with pytest.raises(PaymentValidationError):
+                checks.validate_payments(df)
+        else:
+            assert checks.validate_payments(df)["nan_count"] == 0
+
+
 def _schema_rules(schema):
     return Rules(schemas={"customers": schema}, primary_keys={}, null_thresholds={},
                  tiebreakers={}, foreign_keys={})
