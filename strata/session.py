@@ -46,7 +46,9 @@ def build_session(
         }
     )
     conf.update(extra_conf or {})
-    if "spark.checkpoint.dir" not in conf and _active_checkpoint_dir() is None:
+    # Only a local session gets a folder of this machine; a submitted one names
+    # its own, or ``ensure_checkpoint_dir`` raises.
+    if (master or "").startswith("local") and "spark.checkpoint.dir" not in conf and _active_checkpoint_dir() is None:
         conf["spark.checkpoint.dir"] = _scratch_dir("strata-ckpt-")
     for key, value in conf.items():
         builder = builder.config(key, value)
