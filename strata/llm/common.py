@@ -44,17 +44,29 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here."""
+    """Write ``df`` to the shared folder and read it back: lineage ends here, so
+    the shuffle files of the write go once it is done."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path, compression=codec)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=codec)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def forget(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` after their last reader has run."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -166,7 +178,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     Only rows whose ``crc_fold`` is not 0 are used.  Of each class, the
     ``per_class`` documents least by a hash of doc_id; those longer than
     ``max_chars`` are not learned from.  A doc_id with several labels counts
-    once, with the larger.  Columns: doc_id, text, lang, y.
+    once, with the larger; of rows that share a doc_id one is learned from, that
+    of the least text hash.  Columns: doc_id, text, lang, y.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (crc_fold(F.col("doc_id")) != 0))
     usable = usable.groupBy("doc_id").agg(F.max(F.col(label)).cast("int").alias("y"))
@@ -179,7 +192,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     ids = F.broadcast(docs.sparkSession.createDataFrame(rows, "doc_id long, y int"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.col("lang").cast("string")).join(ids, "doc_id")
-    return found.where(F.char_length("text") <= max_chars), counts
+    one = F.min_by(F.struct("text", "lang", "y"), F.struct(F.xxhash64("text"), "text", "lang"))
+    found = found.where(F.char_length("text") <= max_chars).groupBy("doc_id").agg(one.alias("row"))
+    return found.select("doc_id", "row.text", "row.lang", "row.y"), counts
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents, map_arrow, small_batches
+from strata.llm.common import documents, forget, map_arrow, small_batches, written
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({c: c + 32 for c in range(65, 91)})
@@ -179,11 +179,19 @@ def joined(spans: list[tuple]) -> list[tuple]:
 
 
 def _scanned(docs: DataFrame, items: DataFrame, window: int, block_words: int) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with n_words, spans and items; a pass for each block."""
+    """``docs`` (doc_id, text, ...) with n_words, spans and items; a pass for each block,
+    written before the next, so that however many items there are no task holds
+    more than one automaton."""
     small_batches(docs.sparkSession)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
     width = len(docs.columns)
-    for block in item_blocks(items, block_words):
+    before = None
+    for i, block in enumerate(item_blocks(items, block_words)):
+        if i:  # a task holds one block's automaton at a time
+            docs, last = written(docs, "spans"), before
+            if last is not None:
+                forget(last)
+            before = docs
         shared = docs.sparkSession.sparkContext.broadcast(SuffixAutomaton.build(block, window))
 
         def scan(b: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
@@ -194,7 +202,7 @@ def _scanned(docs: DataFrame, items: DataFrame, window: int, block_words: int) -
                 own, now = automaton.scan(words)
                 if spans:
                     own = joined(own + [(s["first"], s["stop"], s["longest"]) for s in spans])
-                now = {*map(str, now), *(found or ())}
+                now = {*(str(x) for x in now if x is not None), *(found or ())}
                 out.append((len(words), [{"first": a, "stop": z, "longest": n} for a, z, n in own], sorted(now)))
             n, spans, found = zip(*out)
             return pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(n, pa.int64()), pa.array(spans, _SPANS), pa.array(found, pa.list_(pa.string()))], names=[*b.schema.names[:width], "n_words", "spans", "items"])
@@ -211,6 +219,8 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_wo
     doc_id, n_words, n_hit (words inside any occurrence), items (sorted ids as
     strings) and spans (first, stop: word positions; longest: longest match in
     it).  Null and empty texts have no words; an empty item table hits nothing.
+    An item without an id hits like others but is not listed; rows of ``docs``
+    without an id come back without one; no documents, no rows.
     """
     found = _scanned(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), items, window, block_words)
     return found.select("doc_id", "n_words", F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.first)").alias("n_hit"), "items", "spans")

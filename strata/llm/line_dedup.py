@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents, map_arrow, small_batches, written
+from strata.llm.common import documents, forget, map_arrow, small_batches, written
 from strata.llm.ngram_join import mix
 
 MIN_WORDS = 3
@@ -313,28 +313,48 @@ def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
     return map_arrow(both, check, f"doc {_DOC}, line int").distinct()
 
 
+def _met_elsewhere(keys: DataFrame) -> DataFrame:
+    """The keys (key, h1, ...) that different lines have; equal lines count once."""
+    apart = keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi")
+    return written(apart.select("key"), "shared")
+
+
+def _candidates(lines: DataFrame, first: DataFrame) -> DataFrame:
+    """(doc, line, near, far) of the distinct lines that may be alike to another,
+    near: within one edit, far: within more."""
+    halves = lines.where(F.col("n") >= EDIT_WORDS).select("lid", "h1", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
+    in_halves = _met_elsewhere(halves)
+    near = written(halves.select("lid", "key").join(in_halves, "key").select("lid").distinct(), "near-lines")
+    windows = lines.where(F.col("n") >= 2 * STRETCH).select("lid", "h1", F.col("n").cast("int").alias("n"), F.explode("windows").alias("w")).select("lid", "h1", "n", "w.key", "w.weight")
+    in_windows = _met_elsewhere(windows)
+    met = windows.select("lid", "n", "key", "weight").join(in_windows, "key").groupBy("lid", "n").agg(F.sum("weight").alias("met"))
+    far = written(met.where(F.col("met") >= F.col("n") - RUN + 1 - RUN * F.floor(F.col("n") / STRETCH)).select("lid"), "far-lines")
+    both = near.select("lid", F.lit(True).alias("near"), F.lit(False).alias("far")).unionAll(far.select("lid", F.lit(False).alias("near"), F.lit(True).alias("far")))
+    named = lines.select("lid", "h1", "h2", "n").join(both, "lid").groupBy("h1", "h2", "n").agg(F.max("near").alias("near"), F.max("far").alias("far"))
+    wanted = written(named.join(first, ["h1", "h2", "n"]).select("first.doc", "first.line", "near", "far"), "candidates")
+    forget(in_halves, in_windows, near, far)
+    return wanted
+
+
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc, line) of the lines that go; doc is the ``place`` of its document."""
-    lines = written(_lines(docs), "lines")
-    first = lines.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"), *[F.min(k).alias(k) for k in ("k0", "k1", "k2", "k3")], F.any_value("windows").alias("windows"))
+    lines = written(_lines(docs).withColumn("lid", F.monotonically_increasing_id()), "lines")
+    first = lines.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"))
     first = written(first, "distinct-lines")
-    long_ = first.where(F.col("n") >= EDIT_WORDS).select("first", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
-    shared = long_.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1").select("key")
-    halved = long_.join(shared, "key").select("first.doc", "first.line", F.lit(True).alias("near"), F.lit(False).alias("far"))
-    keys = first.where(F.col("n") >= 2 * STRETCH).select("first", "n", F.explode("windows").alias("w")).select("first", "n", "w.key", "w.weight")
-    shared = keys.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1").select("key")
-    run = keys.join(shared, "key").groupBy("first", "n").agg(F.sum("weight").alias("met"))
-    run = run.where(F.col("met") >= F.col("n") - RUN + 1 - RUN * F.floor(F.col("n") / STRETCH)).select("first.doc", "first.line", F.lit(False).alias("near"), F.lit(True).alias("far"))
-    wanted = halved.unionAll(run).groupBy("doc", "line").agg(F.max("near").alias("near"), F.max("far").alias("far"))
+    wanted = _candidates(lines, first)
     text = written(_text(docs, wanted), "line-text")
     rare = written(_rare(text), "rare")
     pairs = written(_alike(_variants(text)).unionAll(_with_earliest(rare)).distinct(), "alike")
     settled = written(_verified(pairs, text), "settled")
     rest = written(_with_all(rare, settled).join(pairs, ["doc", "line", "to_doc", "to_line"], "left_anti"), "rest")
-    near = written(settled.unionAll(_verified(rest, text)), "near").withColumn("near", F.lit(True))
-    going = first.select("h1", "h2", "n", "uses", "first", "first.doc", "first.line").join(near, ["doc", "line"], "left").where("uses > 1 or near")
+    near = written(settled.unionAll(_verified(rest, text)), "near")
+    forget(wanted, text, rare, pairs, settled, rest)
+    marked = near.withColumn("near", F.lit(True))
+    going = first.select("h1", "h2", "n", "uses", "first", "first.doc", "first.line").join(marked, ["doc", "line"], "left").where("uses > 1 or near")
     every = lines.select("doc", "line", "h1", "h2", "n").join(going.select("h1", "h2", "n", "first", "near"), ["h1", "h2", "n"])
-    return every.where(F.coalesce("near", F.lit(False)) | (F.struct("doc", "line") != F.col("first"))).select("doc", "line").distinct()
+    gone = written(every.where(F.coalesce("near", F.lit(False)) | (F.struct("doc", "line") != F.col("first"))).select("doc", "line").distinct(), "dropped")
+    forget(lines, first, near)
+    return gone
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -349,7 +369,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     docs = documents(docs)
-    going = written(dropped_lines(docs), "dropped")
+    going = dropped_lines(docs)
     send = going.count() <= SEND_ROWS
     going = going.groupBy("doc").agg(F.collect_list("line").alias("gone"))  # a document's own lines
     both = docs.withColumn("doc", place(F.col("doc_id"), F.col("text"))).join(F.broadcast(going) if send else going, "doc", "left").drop("doc")

@@ -121,6 +121,16 @@ def test_window_memo_forgets_without_changing_results():
     assert len(fresh.text) < sum(len(t.split()) for t in texts)
 
 
+def test_long_groups_are_counted_by_distinct_ids(monkeypatch):
+    v = align.Vocabularies(BYTE, PIECE)
+    texts = ["日本語漢字仮名交 aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa word, word", "plain words and 日本語"]
+    want = align.aligned(texts, align.Windows(v))
+    monkeypatch.setattr(align, "WIDE", 1)
+    got = align.aligned(texts, align.Windows(v))
+    key = lambda r: (*r[:5], r[5].tolist(), r[6].tolist())
+    assert [key(r) for r in got] == [key(r) for r in want]
+
+
 def test_a_long_text_in_parts_has_the_ids_of_the_whole():
     v = align.Vocabularies(BYTE, PIECE)
     text = "wörd  two\n three, " * 60_000  # over a million characters

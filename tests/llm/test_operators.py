@@ -468,6 +468,27 @@ def test_decontamination_query_against_brute_force(spark):
         assert r.items_sha256 == hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
 
 
+def test_items_without_an_id_hit_but_are_not_listed(spark):
+    docs = spark.createDataFrame([(1, "x a b c y"), (2, "d e f"), (None, "a b c"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b c"), (5, "d e f"), (6, "a b c y"), (7, None), (8, "")], "item_id long, text string")
+    for block_words in (3, 1000):  # several blocks, each written, and one
+        got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.find_items(docs, items, block_words=block_words).collect()}
+        assert got == {1: (5, 4, ["6"]), 2: (3, 3, ["5"]), None: (3, 3, []), 3: (0, 0, [])}
+    assert decontaminate.find_items(docs.limit(0), items).collect() == []
+
+
+def test_sample_takes_one_row_of_an_id(spark):
+    from strata.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(1, f"text {i}", "en") for i in range(500)] + [(i, "t", "en") for i in range(2, 60)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)] * 2, "doc_id long, toxic int")
+    sample, counts = labelled_sample(docs, labels, "toxic", 10, 1000)
+    rows = sample.collect()
+    assert len(rows) == len({r.doc_id for r in rows}) == 20 and sum(counts.values()) > 20
+    again, _ = labelled_sample(docs.repartition(7), labels, "toxic", 10, 1000)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows))
+
+
 def test_pipeline_end_to_end(spark):
     import corpus_pipeline
 
