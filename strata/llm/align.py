@@ -18,10 +18,11 @@ hold are sent to all executors, the others are joined by a shuffle.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from array import array
-from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from strata.llm.common import map_arrow, small_batches, written
 from strata.llm.vocab import BLANK, encoder
 
 HEAVY = 500_000  # pairs sent to all executors, at most
-MEMO = 250_000  # windows kept by a task; past it all are forgotten, which costs time only
+MEMO = 300_000  # windows kept by a task; past it all are forgotten, which costs time only
 PART = 1 << 18  # characters that B encodes at a time, cut before words
+WIDE = 4096  # pairs of a group beyond which they are counted by distinct ids
+BETWEEN = 0xFFFFFFFF  # no id
 _WORD = re.compile(f"(?<=[^{BLANK}]) (?=[^{BLANK}])")
 
 
@@ -45,6 +48,29 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: How byte-level vocabularies of this kind cut a text before merging (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LONG_BLANK = re.compile(r"\s{10000}")
+
+
+def ranked_encoder(byte_path: str):
+    """An encoder with the vocabulary of ``byte_path`` and the same ids as the
+    ``tokenizers`` library at a fraction of its time; None if the file's ids are
+    not the ranks of its merges or it normalizes texts."""
+    import tiktoken
+
+    with open(byte_path, encoding="utf-8") as f:
+        file = json.load(f)
+    names, of = file["model"]["vocab"], byte_of()
+    merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in file["model"]["merges"]]
+    step, special = file.get("pre_tokenizer") or {}, {t["content"] for t in file["added_tokens"]}
+    plain = file.get("normalizer") is None and step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space")
+    if not plain or any(names.get(m) != 256 + i for i, m in enumerate(merges)):
+        return None
+    ranks = {bytes(of[c] for c in name): i for name, i in names.items() if name not in special}
+    return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Vocabularies:
     """Both tokenizers, and the bytes of their tokens."""
 
@@ -52,6 +78,7 @@ class Vocabularies:
         import sentencepiece
 
         self.a = encoder(byte_path, True, special=False)
+        self.ranked = ranked_encoder(byte_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         of, names = byte_of(), self.a.tokenizer.get_vocab()
         special = {t.content for t in self.a.tokenizer.get_added_tokens_decoder().values()}
@@ -67,6 +94,13 @@ class Vocabularies:
         self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
 
     def encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        if self.ranked is not None:
+            fits = [_LONG_BLANK.search(t) is None for t in texts]  # its pattern steps back over a run of blanks
+            rest = iter(self._by_library([t for t, ok in zip(texts, fits) if not ok]))
+            return [self.ranked.encode_to_numpy(" " + t, disallowed_special=()) if ok else next(rest) for t, ok in zip(texts, fits)]
+        return self._by_library(texts)
+
+    def _by_library(self, texts: list[str]) -> list[np.ndarray]:
         ids, at = self.a.encode(pa.array([" " + t for t in texts], pa.large_string()))
         return [ids[lo:hi] for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]
 
@@ -87,58 +121,80 @@ class Vocabularies:
 
 
 class Windows:
-    """Alignments of windows, by their id tuples."""
+    """Alignments of windows, by their id tuples (A's ids, ``BETWEEN``, B's ids)."""
 
     def __init__(self, vocabularies: Vocabularies):
         self.v = vocabularies
-        self.sizes = (vocabularies.size_a.tolist(), vocabularies.size_b.tolist())
         self.width = len(vocabularies.bytes_b)
+        a, b = range(len(vocabularies.bytes_a)), range(self.width)
+        self.shown = [f"{i}," for i in a] + [f"{i}|" for i in a] + [f"{i}," for i in b] + [f"{i};" for i in b] + [str(i) for i in b]
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
+        self.number: dict[bytes, int] = {}
         self.text: list[str] = []
         self.groups, self.links = array("q"), array("q")
         self.pairs, self.times, self.at = array("q"), array("q"), array("q", [0])
 
-    def learn(self, key: tuple[bytes, bytes]) -> int:
-        """Cut a window at its shared ends; pairs with how often each is linked."""
-        a, b = (np.frombuffer(k, "<u4").tolist() for k in key)
-        (sizes_a, sizes_b), i, j, shown, links, count = self.sizes, 0, 0, [], 0, Counter()
-        while i < len(a):
-            lo, to = i, j
-            end_a, end_b = sizes_a[a[i]], sizes_b[b[j]]
-            i, j = i + 1, j + 1
-            while end_a != end_b:
-                if end_a < end_b:
-                    end_a += sizes_a[a[i]]
-                    i += 1
-                else:
-                    end_b += sizes_b[b[j]]
-                    j += 1
-            shown.append(",".join(map(str, a[lo:i])) + "|" + ",".join(map(str, b[to:j])))
-            links += (i - lo) * (j - to)
-            if i - lo == 1 and j - to == 1:
-                count[a[lo] * self.width + b[to]] += 1
-            else:
-                others = Counter(b[to:j]).items()
-                for x, n in Counter(a[lo:i]).items():
-                    for y, m in others:
-                        count[x * self.width + y] += n * m
-        self.text.append(";".join(shown))
-        self.groups.append(len(shown))
-        self.links.append(links)
-        self.pairs.extend(count)
-        self.times.extend(count.values())
-        self.at.append(len(self.pairs))
-        self.number[key] = len(self.text) - 1
-        return len(self.text) - 1
+    def learn(self, ids_a: np.ndarray, ids_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, groups: np.ndarray) -> None:
+        """Keep the alignments of new windows.  Window i has ``groups[i]`` groups;
+        group j has the next ``n_a[j]`` and ``n_b[j]`` tokens of either side."""
+        window = np.repeat(np.arange(len(groups)), groups)
+        first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        pair, times, row = [], [], []
+        wide = n_a * n_b > WIDE
+        for j in np.flatnonzero(wide).tolist():  # pairs by distinct ids, however long the group
+            a, b = (np.unique(ids[lo : lo + n], return_counts=True) for ids, lo, n in ((ids_a, first_a[j], n_a[j]), (ids_b, first_b[j], n_b[j])))
+            pair.append((a[0].astype("i8")[:, None] * self.width + b[0][None, :]).ravel())
+            times.append((a[1][:, None] * b[1][None, :]).ravel())
+            row.append(np.full(len(pair[-1]), window[j]))
+        each = np.where(wide, 0, n_a * n_b)
+        group = np.repeat(np.arange(len(each)), each)
+        place = np.arange(len(group)) - np.repeat(np.cumsum(each) - each, each)
+        of_b = n_b[group]
+        pair.append(ids_a[first_a[group] + place // of_b].astype("i8") * self.width + ids_b[first_b[group] + place % of_b])
+        times.append(np.ones(len(group), "i8"))
+        row.append(window[group])
+        pair, times, row = summed_pairs(*(np.concatenate(x) for x in (pair, times, row)))
+        upto = np.searchsorted(row, np.arange(1, len(groups) + 1)) + self.at[-1]
+        self.pairs.frombytes(pair.astype("i8").tobytes())
+        self.times.frombytes(times.astype("i8").tobytes())
+        self.at.frombytes(upto.astype("i8").tobytes())
+        last = np.cumsum(groups)
+        self.groups.frombytes(groups.astype("i8").tobytes())
+        self.links.frombytes(np.add.reduceat((n_a * n_b).astype("i8"), last - groups).tobytes())
+        # Written out: each group's A ids, then its B ids, each with the mark that follows.
+        size_a, size_b = len(self.v.bytes_a), self.width
+        base = np.cumsum(n_a + n_b) - n_a - n_b
+        at = np.empty(len(ids_a) + len(ids_b), "i8")
+        end_a, end_b = np.zeros(len(ids_a), "i8"), np.zeros(len(ids_b), "i8")
+        end_a[first_a + n_a - 1] = size_a
+        end_b[first_b + n_b - 1] = size_b
+        end_b[(first_b + n_b - 1)[last - 1]] = 2 * size_b
+        at[np.repeat(base - first_a, n_a) + np.arange(len(ids_a))] = ids_a + end_a
+        at[np.repeat(base + n_a - first_b, n_b) + np.arange(len(ids_b))] = ids_b + end_b + 2 * size_a
+        marks = list(map(self.shown.__getitem__, at.tolist()))
+        ends = (base + n_a + n_b)[last - 1].tolist()
+        self.text += ["".join(marks[lo:hi]) for lo, hi in zip([0, *ends], ends)]
+
+
+def summed_pairs(pair: np.ndarray, times: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of each row, ascending, with their summed times."""
+    order = np.lexsort((pair, row))
+    pair, times, row = pair[order], times[order], row[order]
+    first = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]) | (row[1:] != row[:-1]))))
+    return pair[first], np.add.reduceat(times, first), row[first]
 
 
 def _bytes(table: list[bytes], ids: np.ndarray) -> bytes:
     return b"".join(map(table.__getitem__, ids.tolist()))
 
 
+def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """lo[0], lo[0] + 1, ... of ``n[0]`` numbers, then those from lo[1] on, ..."""
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 def aligned(texts: list[str | None], windows: Windows) -> list[tuple]:
     """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text; ``groups``
     is written out, ``pairs`` are the distinct linked ones, ascending, each
@@ -167,29 +223,40 @@ def aligned(texts: list[str | None], windows: Windows) -> list[tuple]:
     upto = np.cumsum(na)
     marked = np.append(v.space_a[flat_a], True)[in_a + 1] & np.append(v.space_b[flat_b], True)[in_b + 1]
     marked[np.searchsorted(in_a, upto - 1)] = True  # a document's end
-    stop_a, stop_b = in_a[marked] + 1, in_b[marked] + 1
-    raw_a, raw_b = flat_a.tobytes(), flat_b.tobytes()
-    stops = zip([0, *(4 * stop_a[:-1]).tolist()], (4 * stop_a).tolist(), [0, *(4 * stop_b[:-1]).tolist()], (4 * stop_b).tolist())
-    number, learn = windows.number, windows.learn
-    keys = [(raw_a[p:q], raw_b[r:s]) for p, q, r, s in stops]
-    code = np.array([n if (n := number.get(k)) is not None else learn(k) for k in keys], "i8")
+    stop = np.flatnonzero(marked)  # windows end there
+    stop_a, stop_b = in_a[stop] + 1, in_b[stop] + 1
+    of_a, of_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)  # a window's tokens
+    # Each window's id tuples in a row are its key.
+    ends = np.cumsum(of_a + of_b + 1)
+    ids = np.full(int(ends[-1]), BETWEEN, "<u4")
+    ids[_ranges(ends - of_a - of_b - 1, of_a)] = flat_a
+    ids[_ranges(ends - of_b, of_b)] = flat_b
+    raw, ends = ids.tobytes(), (4 * ends).tolist()
+    number = windows.number
+    keys = [raw[lo:hi] for lo, hi in zip([0, *ends], ends)]
+    code = np.array(list(map(number.get, keys, repeat(-1))), "i8")
+    new = []
+    for i in np.flatnonzero(code < 0).tolist():
+        n = number.setdefault(keys[i], len(number))
+        if n == len(number) - 1 and n == len(windows.text) + len(new):
+            new.append(i)
+        code[i] = n
+    if new:
+        new = np.array(new)
+        groups = np.diff(stop, prepend=-1)[new]
+        group = _ranges(stop[new] + 1 - groups, groups)
+        n_a, n_b = np.diff(in_a, prepend=-1)[group], np.diff(in_b, prepend=-1)[group]
+        windows.learn(flat_a[_ranges(in_a[group] + 1 - n_a, n_a)], flat_b[_ranges(in_b[group] + 1 - n_b, n_b)], n_a, n_b, groups)
     of = np.searchsorted(upto, stop_a - 1, "right")  # the document of each window
     at = np.frombuffer(windows.at, "i8")
     each = (at[1:] - at[:-1])[code]
-    place = np.repeat(at[code] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-    pair, times, row = np.frombuffer(windows.pairs, "i8")[place], np.frombuffer(windows.times, "i8")[place], np.repeat(of, each)
-    order = np.lexsort((pair, row))
-    pair, times, row = pair[order], times[order], row[order]
-    first = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]) | (row[1:] != row[:-1]))))
-    pair, times, row = pair[first], np.add.reduceat(times, first), row[first]
+    place = _ranges(at[code], each)
+    pair, times, row = summed_pairs(np.frombuffer(windows.pairs, "i8")[place], np.frombuffer(windows.times, "i8")[place], np.repeat(of, each))
     edge, cut = np.searchsorted(row, np.arange(len(full) + 1)), np.searchsorted(of, np.arange(len(full) + 1))
     groups, links = (np.add.reduceat(np.frombuffer(x, "i8")[code], cut[:-1]) for x in (windows.groups, windows.links))
-    codes, text = code.tolist(), windows.text
+    shown = list(map(windows.text.__getitem__, code.tolist()))
     for k, i in enumerate(full):
-        shown = ";".join([text[c] for c in codes[cut[k] : cut[k + 1]]])
-        out[i] = (int(na[k]), int(nb[k]), int(groups[k]), int(links[k]), shown, pair[edge[k] : edge[k + 1]], times[edge[k] : edge[k + 1]])
-    # Views of the growing arrays must end before they grow again.
-    del at
+        out[i] = (int(na[k]), int(nb[k]), int(groups[k]), int(links[k]), ";".join(shown[cut[k] : cut[k + 1]]), pair[edge[k] : edge[k + 1]], times[edge[k] : edge[k + 1]])
     return out
 
 

@@ -121,6 +121,17 @@ def test_window_memo_forgets_without_changing_results():
     assert len(fresh.text) < sum(len(t.split()) for t in texts)
 
 
+def test_ranked_encoder_has_the_library_ids_at_every_code_point():
+    """Every code point beside letters, digits, quotes, blanks and itself, and long runs."""
+    v = align.Vocabularies(BYTE, PIECE)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c} {c}1{c}{c}'{c}  {c}x" for c in points[i : i + 400]) for i in range(0, len(points), 400)]
+    texts += [" " * 30_000 + "x", "\n" * 9_000 + "y", "a" * 50_000, "<|endoftext|> it's <|endoftext|>", "x \n\n  y\t "]
+    library = v.a.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    for mine, theirs in zip(v.encode_a(texts), library):
+        assert mine.tolist() == theirs.ids
+
+
 def test_long_groups_are_counted_by_distinct_ids(monkeypatch):
     v = align.Vocabularies(BYTE, PIECE)
     texts = ["日本語漢字仮名交 aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa word, word", "plain words and 日本語"]
