@@ -18,7 +18,6 @@ hold are sent to all executors, the others are joined by a shuffle.
 from __future__ import annotations
 
 import hashlib
-import json
 import os
 import re
 from array import array
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_arrow, small_batches, written
-from strata.llm.vocab import BLANK, encoder
+from strata.llm.vocab import BLANK, byte_encoder, byte_of
 
 HEAVY = 500_000  # pairs sent to all executors, at most
 MEMO = 300_000  # windows kept by a task; past it all are forgotten, which costs time only
@@ -40,45 +39,13 @@ BETWEEN = 0xFFFFFFFF  # no id
 _WORD = re.compile(f"(?<=[^{BLANK}]) (?=[^{BLANK}])")
 
 
-def byte_of() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: itself
-    if printable, otherwise 256 and on, in the bytes' order."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
-#: How byte-level vocabularies of this kind cut a text before merging (fixed value).
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_LONG_BLANK = re.compile(r"\s{10000}")
-
-
-def ranked_encoder(byte_path: str):
-    """An encoder with the vocabulary of ``byte_path`` and the same ids as the
-    ``tokenizers`` library at a fraction of its time; None if the file's ids are
-    not the ranks of its merges or it normalizes texts."""
-    import tiktoken
-
-    with open(byte_path, encoding="utf-8") as f:
-        file = json.load(f)
-    names, of = file["model"]["vocab"], byte_of()
-    merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in file["model"]["merges"]]
-    step, special = file.get("pre_tokenizer") or {}, {t["content"] for t in file["added_tokens"]}
-    plain = file.get("normalizer") is None and step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space")
-    if not plain or any(names.get(m) != 256 + i for i, m in enumerate(merges)):
-        return None
-    ranks = {bytes(of[c] for c in name): i for name, i in names.items() if name not in special}
-    return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 class Vocabularies:
     """Both tokenizers, and the bytes of their tokens."""
 
     def __init__(self, byte_path: str, piece_path: str):
         import sentencepiece
 
-        self.a = encoder(byte_path, True, special=False)
-        self.ranked = ranked_encoder(byte_path)
+        self.a = byte_encoder(byte_path, special=False)
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         of, names = byte_of(), self.a.tokenizer.get_vocab()
         special = {t.content for t in self.a.tokenizer.get_added_tokens_decoder().values()}
@@ -94,13 +61,6 @@ class Vocabularies:
         self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
 
     def encode_a(self, texts: list[str]) -> list[np.ndarray]:
-        if self.ranked is not None:
-            fits = [_LONG_BLANK.search(t) is None for t in texts]  # its pattern steps back over a run of blanks
-            rest = iter(self._by_library([t for t, ok in zip(texts, fits) if not ok]))
-            return [self.ranked.encode_to_numpy(" " + t, disallowed_special=()) if ok else next(rest) for t, ok in zip(texts, fits)]
-        return self._by_library(texts)
-
-    def _by_library(self, texts: list[str]) -> list[np.ndarray]:
         ids, at = self.a.encode(pa.array([" " + t for t in texts], pa.large_string()))
         return [ids[lo:hi] for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]
 

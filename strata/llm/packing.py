@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import crc_of, map_arrow, partitions, small_batches, written
-from strata.llm.vocab import encoder
+from strata.llm.vocab import byte_encoder
 
 CAPACITY = 2048
 
@@ -150,7 +150,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> Da
     longer ones cut into pieces of ``capacity``, the first taking the remainder."""
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch:
-        ids, at = encoder(tokenizer, True).encode(b.column(1))
+        ids, at = byte_encoder(tokenizer).encode(b.column(1))
         rows: list[tuple] = []
         end = np.array([end_id], "<u4")
         for doc_id, lo, hi in zip(b.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist()):

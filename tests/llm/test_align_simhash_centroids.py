@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from strata.llm import align, centroids, queries, simhash
-from strata.llm.vocab import WordEncoder
+from strata.llm.vocab import RankedEncoder, WordEncoder, byte_encoder, byte_of
 
 SF = "/root/testdata/sf0.001"
 BYTE, PIECE = queries.vocabulary("byte_bpe_50k.json"), queries.vocabulary("piece_bpe_32k.model")
@@ -34,7 +36,7 @@ def align_brute(rows):
 
     a_tokens, b_tokens = Tokenizer.from_file(BYTE), sentencepiece.SentencePieceProcessor(model_file=PIECE)
     a_tokens.encode_special_tokens = True
-    of, names = align.byte_of(), {i: n for n, i in a_tokens.get_vocab().items()}
+    of, names = byte_of(), {i: n for n, i in a_tokens.get_vocab().items()}
 
     def bytes_a(i):
         return names[i].encode() if i == 50256 else bytes(of[c] for c in names[i])
@@ -121,15 +123,24 @@ def test_window_memo_forgets_without_changing_results():
     assert len(fresh.text) < sum(len(t.split()) for t in texts)
 
 
-def test_ranked_encoder_has_the_library_ids_at_every_code_point():
+@pytest.mark.parametrize("special", [True, False])
+def test_ranked_encoder_has_the_library_ids_at_every_code_point(special):
     """Every code point beside letters, digits, quotes, blanks and itself, and long runs."""
-    v = align.Vocabularies(BYTE, PIECE)
+    encoder = byte_encoder(BYTE, special)
+    assert isinstance(encoder, RankedEncoder)
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     texts = ["".join(f"a{c} {c}1{c}{c}'{c}  {c}x" for c in points[i : i + 400]) for i in range(0, len(points), 400)]
-    texts += [" " * 30_000 + "x", "\n" * 9_000 + "y", "a" * 50_000, "<|endoftext|> it's <|endoftext|>", "x \n\n  y\t "]
-    library = v.a.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-    for mine, theirs in zip(v.encode_a(texts), library):
-        assert mine.tolist() == theirs.ids
+    texts += [" " * 30_000 + "x", "\n" * 9_000 + "y", "a" * 50_000, "<|endoftext|> it's <|endoftext|>x", "x \n\n  y\t ", "a <|endoftext|><|endoftext|>", "", None]
+    library = encoder.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+    ids, at = encoder.encode(pa.array(texts))
+    for i, theirs in enumerate(library):
+        assert ids[at[i] : at[i + 1]].tolist() == theirs.ids
+
+
+def test_other_files_are_left_to_the_library():
+    assert isinstance(byte_encoder(queries.vocabulary("byte_bpe_50k.json")), RankedEncoder)
+    with open(queries.vocabulary("word_bpe_49k.json"), encoding="utf-8") as f:
+        assert not RankedEncoder.fits(json.load(f))
 
 
 def test_long_groups_are_counted_by_distinct_ids(monkeypatch):
@@ -153,8 +164,6 @@ def test_a_long_text_in_parts_has_the_ids_of_the_whole():
 @pytest.mark.parametrize("name,byte_level", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 @pytest.mark.parametrize("special", [True, False])
 def test_words_encoded_together_have_the_library_ids(spark, name, byte_level, special):
-    import pyarrow as pa
-
     texts = [r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
     texts += ["x <|endoftext|>y <|endoftext|> z", "a\n b  c\td \n", "", " ", " x", "y ", "İstanbul ǅ naïve é don't 3.5 Ä, I'll", "  a  b　c", "a\nb c\nd \x1c e\x1c f", "<|startoftext|>q w<|endoftext|>"]
     encoder = WordEncoder(queries.vocabulary(name), byte_level, special=special)
