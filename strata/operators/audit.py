@@ -6,6 +6,8 @@ result rows ever reach the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,9 +51,11 @@ def layer_metrics(
     )
 
 
-def append_layer_metrics(metrics: DataFrame, path: str) -> None:
-    """Append A1 rows to the run log, one folder per layer."""
-    metrics.write.mode("append").partitionBy("layer").parquet(path)
+def append_layer_metrics(metrics: DataFrame, path: str, layer: str) -> None:
+    """Append A1 rows of one layer to the run log.  Every call has a folder of
+    its own (``layer=…/batch=…``): runs that end at the same time do not share
+    a committer's work folder, so neither removes the other's files."""
+    metrics.drop("layer").write.parquet(f"{path}/layer={layer}/batch=b{uuid.uuid4().hex}")
 
 
 def core_quality_report(

@@ -7,12 +7,18 @@ cuts the lineage (a lost executor recomputes from the last stage, not from
 the sources):
 
     raw/{e}  staging/{e}
-    core/1_dedup/{e}
-    core/2_keys/{e}/_fk_fail_mask={m}   (m = 0: clean rows; bit i: rule i failed)
-    core/order_totals  core/quarantine  core/3_reconciled/{e}
+    core/runs/{snapshot}/1_dedup/{e}
+    core/runs/{snapshot}/2_keys/{e}/_fk_fail_mask={m}   (m = 0: clean rows; bit i: rule i failed)
+    core/runs/{snapshot}/order_totals  .../quarantine  .../3_reconciled/{e}
+    core/runs/{snapshot}/audit/fk_report  .../fk_missing  .../core_quality
+                        .../reconciliation  .../excluded_by_status
+    core/finished/{time}_{snapshot}   (entity, path) of a run that finished
     analytics/{report}
-    audit/layer_metrics (append, by layer)  audit/fk_report  audit/fk_missing
-    audit/core_quality  audit/report_ranges
+    audit/layer_metrics (append, by layer)  audit/report_ranges
+
+A Core run is a snapshot: it writes only folders of its own and is published
+last, by moving one small table into ``core/finished``.  A run that fails, or
+two at a time, never change what the last finished one left.
 
 Only small results reach the driver: one-row summaries, per-rule counts and
 failing findings.  Orphan key lists and the quarantine are written as tables.
@@ -20,10 +26,13 @@ failing findings.  Orphan key lists and the quarantine are written as tables.
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,7 +49,11 @@ from strata.session import ensure_defaults
 
 @dataclass(frozen=True)
 class LayerPaths:
+    """Paths under ``root``; the Core ones belong to one ``snapshot``
+    (``current_core`` gives the last finished one)."""
+
     root: str
+    snapshot: str | None = None
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -59,26 +72,40 @@ class LayerPaths:
     def staging(self, e: str) -> str:
         return self._p("staging", e)
 
+    def _run(self, *parts: str) -> str:
+        if self.snapshot is None:
+            raise ValueError("Core paths need a snapshot: see current_core")
+        return self._p("core", "runs", self.snapshot, *parts)
+
+    @property
+    def core_run(self) -> str:
+        """Everything one Core run wrote."""
+        return self._run()
+
     def core(self, stage: str, e: str) -> str:
-        return self._p("core", stage, e)
+        return self._run(stage, e)
 
     def fk_clean(self, e: str) -> str:
         """Rows of ``e`` that pass every foreign key: the ``mask=0`` folder
         of the flagged stage."""
-        return self._p("core", "2_keys", e, f"{keys.FAIL_MASK}=0")
+        return self._run("2_keys", e, f"{keys.FAIL_MASK}=0")
 
     @property
     def order_totals(self) -> str:
-        return self._p("core", "order_totals")
+        return self._run("order_totals")
 
     @property
     def quarantine(self) -> str:
-        return self._p("core", "quarantine")
+        return self._run("quarantine")
+
+    def core_audit(self, name: str) -> str:
+        return self._run("audit", name)
 
     @property
-    def current(self) -> str:
-        """Table (entity, path) of the Core stages of the last finished run."""
-        return self._p("core", "current")
+    def finished(self) -> str:
+        """Folder of one (entity, path) table per finished Core run, named by
+        the time it finished and its snapshot."""
+        return self._p("core", "finished")
 
     def analytics(self, report: str) -> str:
         return self._p("analytics", report)
@@ -87,13 +114,56 @@ class LayerPaths:
         return self._p("audit", name)
 
 
+# Finished Core runs that stay: the last one, and the one before it for readers
+# that started on it.
+KEEP_RUNS = 2
+
+
+def finished_runs(spark: SparkSession, paths: LayerPaths) -> list[str]:
+    """Pointer names of the finished Core runs, the latest first (a listing; ties
+    in time go by snapshot name)."""
+    return sources.files.child_names(spark, paths.finished)[::-1]
+
+
+def _snapshot_of(pointer: str) -> str:
+    return pointer.split("_", 1)[1]
+
+
+def current_core(spark: SparkSession, paths: LayerPaths) -> LayerPaths:
+    """``paths`` with the snapshot of the last Core run that finished."""
+    runs = finished_runs(spark, paths)
+    if not runs:
+        raise FileNotFoundError(f"no finished Core run under {paths.root}")
+    return replace(paths, snapshot=_snapshot_of(runs[0]))
+
+
 def current_stages(spark: SparkSession, paths: LayerPaths) -> dict[str, str]:
-    """entity -> Core stage of the last run that finished.  ``run_core`` takes
-    the table away when it starts and writes it last, so stages of two runs
-    are never read together."""
-    if not sources.files.path_exists(spark, paths.current):
+    """entity -> Core stage of the last run that finished, all of one run."""
+    runs = finished_runs(spark, paths)
+    if not runs:
         raise FileNotFoundError(f"no finished Core run under {paths.root}")
-    return {r["entity"]: r["path"] for r in spark.read.parquet(paths.current).collect()}
+    table = spark.read.parquet(f"{paths.finished}/{runs[0]}")
+    return {r["entity"]: r["path"] for r in table.collect()}
+
+
+def _publish(spark: SparkSession, paths: LayerPaths, stage: dict[str, str],
+             keep_runs: int) -> None:
+    """Make a Core run the current one: its pointer table is written among its
+    own files and moved into ``core/finished`` in one rename.  Of the other
+    finished runs the last ``keep_runs - 1`` stay; a pointer goes before the files
+    it names.  Runs still under way are not listed there and are left alone."""
+    pending = paths.core_audit("stages")
+    sources.write_parquet(
+        spark.createDataFrame(sorted(stage.items()), "entity string, path string").coalesce(1),
+        pending,
+    )
+    pointer = f"{time.time_ns():020d}_{paths.snapshot}"
+    sources.files.move_path(spark, pending, f"{paths.finished}/{pointer}")
+    for old in finished_runs(spark, paths)[max(keep_runs, 1):]:
+        sources.files.delete_path(spark, f"{paths.finished}/{old}")
+        sources.files.delete_path(
+            spark, replace(paths, snapshot=_snapshot_of(old)).core_run
+        )
 
 
 # Independent per-entity jobs (ingests, cleanses, dedups, FK children of the
@@ -108,6 +178,28 @@ JOB_THREADS = 4
 MAX_MASK_WRITERS = 16
 
 
+_writers_lock = threading.Lock()
+_writers_held: list[str] = []  # the setting before the first holder, once per holder
+
+
+@contextmanager
+def _mask_writers(spark: SparkSession, n: int) -> Iterator[None]:
+    """Let a task keep ``n`` Parquet writers open.  The setting is the
+    session's: runs at the same time hold it together, and the last one
+    puts the value back that was there before the first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    with _writers_lock:
+        _writers_held.append(_writers_held[0] if _writers_held else spark.conf.get(key))
+        spark.conf.set(key, str(max(n, int(spark.conf.get(key)))))
+    try:
+        yield
+    finally:
+        with _writers_lock:
+            before = _writers_held.pop()
+            if not _writers_held:
+                spark.conf.set(key, before)
+
+
 def run_in_order(tasks: list[Callable[[], object]], threads: int = JOB_THREADS) -> list:
     """Run independent Spark jobs from driver threads; results in task order.
 
@@ -127,6 +219,7 @@ def _metrics(spark, paths: LayerPaths, run_id: str, layer: str, written: dict[st
     audit.append_layer_metrics(
         audit.layer_metrics(run_id, layer, frames, validation_passed=validation_passed),
         paths.audit("layer_metrics"),
+        layer,
     )
 
 
@@ -247,9 +340,14 @@ def fk_levels(rules: Rules) -> list[list[str]]:
 
 def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES,
              run_id: str | None = None, broadcast_max_rows: int = 1_000_000,
-             known_duplicates: dict[str, int] | None = None) -> dict:
+             known_duplicates: dict[str, int] | None = None,
+             keep_runs: int = KEEP_RUNS) -> dict:
     """L3: D1 per entity -> F3 cascade -> R4 reconciliation -> A1, A2.
 
+    Writes a snapshot of its own and publishes it at the end; the last
+    ``keep_runs`` finished ones stay.  A run that fails takes only its own
+    folder away, so the last good Core stays what ``current_core`` reads.
+
     ``known_duplicates``: entity -> duplicate count of the staged data for
     the rules' key, when the caller has just computed it (see
     ``duplicate_counts``); entities without one are counted here.
@@ -259,8 +357,20 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     joins; larger parents use shuffle joins."""
     ensure_defaults(spark)
     run_id = run_id or uuid.uuid4().hex
-    sources.files.delete_path(spark, paths.current)
+    # A name of its own even when a run id is used again.
+    paths = replace(paths, snapshot=f"{run_id}-{uuid.uuid4().hex[:12]}")
+    try:
+        out = _run_core(spark, paths, rules, run_id, broadcast_max_rows, known_duplicates)
+    except BaseException:
+        sources.files.delete_path(spark, paths.core_run)
+        raise
+    _publish(spark, paths, out["stages"], keep_runs)
+    _metrics(spark, paths, run_id, "core", {e: out["stages"][e] for e in rules.entity_order})
+    return {**out, "snapshot": paths.snapshot}
+
 
+def _run_core(spark: SparkSession, paths: LayerPaths, rules: Rules, run_id: str,
+              broadcast_max_rows: int, known_duplicates: dict[str, int] | None) -> dict:
     # Paths written by *this* run; later steps read only these, never a
     # stage a previous run may have left behind.
     stage: dict[str, str] = {}
@@ -333,12 +443,9 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     # column.  A child has at most 2^rules mask values, so for this phase each
     # task keeps one open writer per value instead and the largest child is
     # never sorted just to be split (beyond the cap Spark sorts the rest).
-    writers = "spark.sql.maxConcurrentOutputFileWriters"
-    previous_writers = spark.conf.get(writers)
     most_rules = max((len(fks) for fks in rules.foreign_keys.values()), default=0)
-    spark.conf.set(writers, str(min(2 ** most_rules, MAX_MASK_WRITERS)))
     fk_reports, fk_missing = [], []
-    try:
+    with _mask_writers(spark, min(2 ** most_rules, MAX_MASK_WRITERS)):
         for level in fk_levels(rules):
             for e, (clean_path, report, missing) in zip(
                 level, run_in_order([partial(fk_one, e) for e in level])
@@ -346,14 +453,12 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
                 stage[e] = clean_path
                 fk_reports.extend(report)
                 fk_missing.append(missing)
-    finally:
-        spark.conf.set(writers, previous_writers)
     fk_report = spark.createDataFrame(
         fk_reports, "entity string, column string, parent string, removed_count bigint"
     )
-    sources.write_parquet(fk_report, paths.audit("fk_report"))
+    sources.write_parquet(fk_report, paths.core_audit("fk_report"))
     if fk_missing:
-        sources.write_parquet(audit._union(fk_missing), paths.audit("fk_missing"))
+        sources.write_parquet(audit._union(fk_missing), paths.core_audit("fk_missing"))
 
     # Reconcile the current orders/items/payments.  The per-order totals
     # are written once and every output (summary, breakdown, quarantine)
@@ -402,7 +507,7 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
     )
     dedup_df = spark.createDataFrame(dedup_rows, "entity string, removed_count bigint")
     sources.write_parquet(
-        audit.core_quality_report(dedup_df, fk_report, recon_row), paths.audit("core_quality")
+        audit.core_quality_report(dedup_df, fk_report, recon_row), paths.core_audit("core_quality")
     )
     # The rest of the reconciliation summary: mode, quarantined orders, and
     # the excluded orders by status.
@@ -414,13 +519,9 @@ def run_core(spark: SparkSession, paths: LayerPaths, rules: Rules = RETAIL_RULES
             F.lit(outcome.summary.get("quarantined_order_count", 0)).cast("bigint")
             .alias("quarantined_order_count"),
         ),
-        paths.audit("reconciliation"),
-    )
-    sources.write_parquet(outcome.breakdown, paths.audit("excluded_by_status"))
-    _metrics(spark, paths, run_id, "core", {e: stage[e] for e in rules.entity_order})
-    sources.write_parquet(
-        spark.createDataFrame(sorted(stage.items()), "entity string, path string"), paths.current
+        paths.core_audit("reconciliation"),
     )
+    sources.write_parquet(outcome.breakdown, paths.core_audit("excluded_by_status"))
     return {
         "deduplication": [{"entity": e, "removed_count": n} for e, n in dedup_rows],
         "foreign_key_validation": [

@@ -129,29 +129,24 @@ def q_sales_performance(spark, sf):
     return reports.sales_performance(ad.core_orders(spark, sf), ad.core_payments(spark, sf))
 
 
-@register(
-    "customer_lifetime_value",
-    with_entities(
-        f"""
+CLV_BODY = f"""
 WITH clv AS (SELECT o.customer_id, CAST(SUM(CAST(pay.payment_value AS {MONEY})) AS DOUBLE) AS clv
              FROM pay JOIN o USING (order_id) GROUP BY o.customer_id),
 cnt AS (SELECT customer_id, COUNT(DISTINCT order_id) AS order_count FROM o GROUP BY customer_id)
 SELECT customer_id, clv, order_count, clv / order_count AS avg_order_value
 FROM clv JOIN cnt USING (customer_id)
-""",
-        "o",
-        "pay",
-    ),
-)
+"""
+
+
+@register("customer_lifetime_value", with_entities(CLV_BODY, "o", "pay"))
 def q_customer_lifetime_value(spark, sf):
     return reports.customer_lifetime_value(
         ad.core_orders(spark, sf), ad.core_payments(spark, sf)
     )
 
 
-def _item_perf_sql(key: str) -> str:
-    return with_entities(
-        f"""
+def _item_perf_body(key: str) -> str:
+    return f"""
 WITH r AS (SELECT {key}, CAST(SUM(CAST(price AS {MONEY})) AS DOUBLE) AS revenue,
                   COUNT(DISTINCT order_id) AS order_count
            FROM items GROUP BY {key}),
@@ -161,10 +156,11 @@ s AS (SELECT pairs.{key}, CAST(SUM(rev.review_score) AS DOUBLE) / COUNT(rev.revi
       FROM rev JOIN pairs USING (order_id) GROUP BY pairs.{key})
 SELECT r.{key}, r.revenue, r.order_count, s.avg_review_score
 FROM r LEFT JOIN s USING ({key})
-""",
-        "items",
-        "rev",
-    )
+"""
+
+
+def _item_perf_sql(key: str) -> str:
+    return with_entities(_item_perf_body(key), "items", "rev")
 
 
 @register("seller_performance", _item_perf_sql("seller_id"))
@@ -1159,6 +1155,42 @@ LAYER_RULES = RETAIL_RULES.__class__(
 )
 
 
+# The Core tables of a layered run over the staged ones: deduplicated items,
+# foreign keys, order totals (cmp), orders without items (exc), and the tables
+# without the quarantined orders under the names the report SQL reads.
+SQL_LAYERS = f"""
+WITH d_items AS (
+  SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
+  FROM (SELECT *, ROW_NUMBER() OVER (
+          PARTITION BY order_id, order_item_id
+          ORDER BY shipping_limit_date DESC NULLS LAST, product_id DESC NULLS LAST,
+                   seller_id DESC NULLS LAST, price DESC NULLS LAST,
+                   freight_value DESC NULLS LAST) AS rn
+        FROM stg_order_items) r
+  WHERE rn = 1),
+o2 AS (SELECT * FROM stg_orders o
+       WHERE EXISTS (SELECT 1 FROM stg_customers c WHERE c.customer_id = o.customer_id)),
+items2 AS (SELECT * FROM d_items i
+           WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = i.order_id)
+             AND EXISTS (SELECT 1 FROM stg_products p WHERE p.product_id = i.product_id)
+             AND EXISTS (SELECT 1 FROM stg_sellers s WHERE s.seller_id = i.seller_id)),
+pay2 AS (SELECT * FROM stg_payments p WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = p.order_id)),
+e AS (SELECT order_id, SUM(CAST(price AS {MONEY}) + CAST(freight_value AS {MONEY})) AS e
+      FROM items2 GROUP BY order_id),
+a AS (SELECT order_id, SUM(CAST(payment_value AS {MONEY})) AS a FROM pay2 GROUP BY order_id),
+cmp AS (SELECT order_id, abs(COALESCE(e, 0) - COALESCE(a, 0)) AS d
+        FROM e LEFT JOIN a USING (order_id)),
+exc AS (SELECT order_id FROM a
+        WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM e WHERE order_id IS NOT NULL)),
+bad AS (SELECT order_id FROM cmp WHERE d > CAST({RECON_TOLERANCE!r} AS {MONEY})
+        UNION ALL SELECT order_id FROM exc),
+o AS (SELECT * FROM o2 WHERE order_id NOT IN (SELECT order_id FROM bad)),
+items AS (SELECT * FROM items2 WHERE order_id NOT IN (SELECT order_id FROM bad)),
+pay AS (SELECT * FROM pay2 WHERE order_id NOT IN (SELECT order_id FROM bad)),
+rev AS (SELECT * FROM stg_reviews r WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = r.order_id))
+"""
+
+
 def _layered_core_quality_oracle() -> str:
     keys_of = LAYER_RULES.primary_keys
     dedup = "\nUNION ALL\n".join(
@@ -1196,45 +1228,70 @@ FROM {children[e]} c"""
         f"CAST({v} AS DOUBLE)"
         for m, v in metrics.items()
     )
-    body = f"""
-WITH d_items AS (
-  SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
-  FROM (SELECT *, ROW_NUMBER() OVER (
-          PARTITION BY order_id, order_item_id
-          ORDER BY shipping_limit_date DESC NULLS LAST, product_id DESC NULLS LAST,
-                   seller_id DESC NULLS LAST, price DESC NULLS LAST,
-                   freight_value DESC NULLS LAST) AS rn
-        FROM stg_order_items) r
-  WHERE rn = 1),
-o2 AS (SELECT * FROM stg_orders o
-       WHERE EXISTS (SELECT 1 FROM stg_customers c WHERE c.customer_id = o.customer_id)),
-items2 AS (SELECT * FROM d_items i
-           WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = i.order_id)
-             AND EXISTS (SELECT 1 FROM stg_products p WHERE p.product_id = i.product_id)
-             AND EXISTS (SELECT 1 FROM stg_sellers s WHERE s.seller_id = i.seller_id)),
-pay2 AS (SELECT * FROM stg_payments p WHERE EXISTS (SELECT 1 FROM o2 WHERE o2.order_id = p.order_id)),
-e AS (SELECT order_id, SUM(CAST(price AS {MONEY}) + CAST(freight_value AS {MONEY})) AS e
-      FROM items2 GROUP BY order_id),
-a AS (SELECT order_id, SUM(CAST(payment_value AS {MONEY})) AS a FROM pay2 GROUP BY order_id),
-cmp AS (SELECT order_id, abs(COALESCE(e, 0) - COALESCE(a, 0)) AS d
-        FROM e LEFT JOIN a USING (order_id)),
-exc AS (SELECT order_id FROM a
-        WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM e WHERE order_id IS NOT NULL))
-{dedup}
-UNION ALL
-{fk}
-UNION ALL
-{recon}
-"""
-    return with_raw(body, *LAYER_RULES.entity_order, staged=True)
+    return with_raw(
+        f"{SQL_LAYERS}\n{dedup}\nUNION ALL\n{fk}\nUNION ALL\n{recon}",
+        *LAYER_RULES.entity_order, staged=True,
+    )
 
 
-@register("layered_core_quality", _layered_core_quality_oracle())
-def q_layered_core_quality(spark, sf):
-    from strata.plans.layers import LayerPaths, run_layers
+def _layered_report_oracle(body: str) -> str:
+    """A report's SQL (``WITH …``) over the Core tables of a layered run."""
+    return with_raw(
+        f"{SQL_LAYERS.rstrip()},\n{body.strip()[5:]}", *LAYER_RULES.entity_order, staged=True
+    )
 
+
+def _write_sources(spark, sf) -> str:
+    """The seven source CSVs under a fresh root."""
     root = sources.scratch_path(spark, "layers")
     for e, fn in ad.RAW.items():
         sources.write_csv(fn(spark, sf), f"{root}/source/{e}.csv")
+    return root
+
+
+def _layered_root(spark, sf) -> str:
+    """A root all four layers have run over."""
+    from strata.plans.layers import run_layers
+
+    root = _write_sources(spark, sf)
     run_layers(spark, root, LAYER_RULES, on_quality_failure="warn")
-    return sources.read_parquet(spark, LayerPaths(root).audit("core_quality"))
+    return root
+
+
+@register("layered_core_quality", _layered_core_quality_oracle())
+def q_layered_core_quality(spark, sf):
+    """L3: the report that the last finished Core run wrote."""
+    from strata.plans.layers import LayerPaths, current_core
+
+    paths = current_core(spark, LayerPaths(_layered_root(spark, sf)))
+    return sources.read_parquet(spark, paths.core_audit("core_quality"))
+
+
+@register("layered_quality_findings", _quality_oracle())
+def q_layered_quality_findings(spark, sf):
+    """L2: the findings table that the staging layer wrote."""
+    from strata.plans.layers import LayerPaths, run_raw, run_staging
+
+    paths = LayerPaths(_write_sources(spark, sf))
+    run_raw(spark, paths, LAYER_RULES)
+    run_staging(spark, paths, LAYER_RULES, on_quality_failure="warn")
+    return sources.read_parquet(spark, paths.audit("quality_findings")).drop("_order")
+
+
+@register("layered_customer_lifetime_value", _layered_report_oracle(CLV_BODY))
+def q_layered_customer_lifetime_value(spark, sf):
+    """L4: B2 as the analytics layer wrote it, from reconciled orders and payments."""
+    from strata.plans.layers import LayerPaths
+
+    paths = LayerPaths(_layered_root(spark, sf))
+    return sources.read_parquet(spark, paths.analytics("customer_lifetime_value"))
+
+
+@register("layered_seller_performance", _layered_report_oracle(_item_perf_body("seller_id")))
+def q_layered_seller_performance(spark, sf):
+    """L4: B3 as the analytics layer wrote it, from reconciled items and the reviews
+    that passed their foreign key."""
+    from strata.plans.layers import LayerPaths
+
+    paths = LayerPaths(_layered_root(spark, sf))
+    return sources.read_parquet(spark, paths.analytics("seller_performance"))

@@ -47,6 +47,14 @@ def delete_path(spark: SparkSession, path: str, prune_empty_parent: bool = False
             fs.delete(parent, True)
 
 
+def child_names(spark: SparkSession, directory: str) -> list[str]:
+    """Names of a folder's direct entries, sorted; none where it is missing."""
+    fs, p = _fs_path(spark, directory)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
 def replace_path(spark: SparkSession, source: str, target: str) -> None:
     """Move a dataset folder over another one."""
     fs, to = _fs_path(spark, target)
@@ -55,6 +63,15 @@ def replace_path(spark: SparkSession, source: str, target: str) -> None:
         raise SourceError(f"could not move {source} to {target}")
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a dataset folder to a name that nothing has yet; missing parent
+    folders are made."""
+    fs, to = _fs_path(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(_fs_path(spark, source)[1], to):
+        raise SourceError(f"could not move {source} to {target}")
+
+
 def path_size(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` (a file, or a dataset directory of part files)."""
     fs, p = _fs_path(spark, path)

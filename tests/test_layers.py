@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from strata import sources
 from strata.plans import adapters as ad
-from strata.plans.layers import LayerPaths, run_layers
+from strata.plans.layers import LayerPaths, current_core, run_layers
 from strata.rules import RETAIL_RULES
 
 from conftest import SF_SMALL, scratch
@@ -51,7 +51,7 @@ def test_full_run_warn_mode(spark):
     root = scratch("layers")
     _fixture(root)
     out = run_layers(spark, root)
-    paths = LayerPaths(root)
+    paths = current_core(spark, LayerPaths(root))
     core = out["core"]
     fk = {(r["entity"], r["column"]): r["removed_count"] for r in core["foreign_key_validation"]}
     assert fk[("orders", "customer_id")] == 1
@@ -97,7 +97,7 @@ def test_full_run_on_driver_tables(spark):
     assert out["analytics"]["validation"]["passed"]
     removed = {r["entity"]: r["removed_count"] for r in out["core"]["deduplication"]}
     assert removed["order_items"] > 0
-    paths = LayerPaths(root)
+    paths = current_core(spark, LayerPaths(root))
     n_items = spark.read.parquet(paths.core("1_dedup", "order_items")).count()
     key_count = ad.core_order_items(spark, SF_SMALL).select("order_id", "order_item_id").distinct().count()
     assert n_items == key_count
@@ -112,7 +112,7 @@ def test_fk_stage_is_one_write_partitioned_by_failure_mask(spark):
     root = scratch("layers-mask")
     _fixture(root)
     out = run_layers(spark, root)
-    paths = LayerPaths(root)
+    paths = current_core(spark, LayerPaths(root))
     clean_orders = spark.read.parquet(paths.fk_clean("orders"))
     staged = spark.read.parquet(paths.core("1_dedup", "orders"))
     assert clean_orders.columns == staged.columns
@@ -122,7 +122,7 @@ def test_fk_stage_is_one_write_partitioned_by_failure_mask(spark):
     assert masks == {"o1": 0, "o2": 0, "o3": 1, "o4": 0}
     missing = {
         (r["entity"], r["column"], r["missing_value"])
-        for r in spark.read.parquet(paths.audit("fk_missing")).collect()
+        for r in spark.read.parquet(paths.core_audit("fk_missing")).collect()
     }
     # o3's items, payment and review cascade as orphans of the dropped order
     assert missing == {
@@ -140,7 +140,7 @@ def test_every_order_orphaned_leaves_typed_empty_stages(spark):
     # No known customer: every order, and by cascade every child row, fails.
     _csv(os.path.join(root, "source"), "customers", [("c9", "u9", 1009, "x", "y")])
     out = run_layers(spark, root)
-    paths = LayerPaths(root)
+    paths = current_core(spark, LayerPaths(root))
     for e in ("orders", "order_items", "payments", "reviews"):
         df = spark.read.parquet(out["core"]["stages"][e])
         assert df.count() == 0
@@ -272,7 +272,7 @@ def test_core_dedup_reuses_the_staging_count_for_the_same_key_only(spark):
     out = run_core(spark, paths, rules)
     removed = {r["entity"]: r["removed_count"] for r in out["deduplication"]}
     assert removed["customers"] == 1 and removed["orders"] == 0
-    kept = spark.read.parquet(paths.core("1_dedup", "customers")).collect()
+    kept = spark.read.parquet(current_core(spark, paths).core("1_dedup", "customers")).collect()
     assert sorted((r["customer_id"], r["customer_unique_id"]) for r in kept) == [
         ("c1", "u1b"), ("c2", "u2")]
     # another key than the one staging checked: counted afresh, not reused
@@ -317,7 +317,7 @@ def test_duplicate_counts_only_for_the_dedup_key(spark):
     assert duplicate_counts(findings, RETAIL_RULES) == {"customers": 2}
 
 
-def test_analytics_refuses_an_unfinished_core_run_and_keeps_its_findings(spark):
+def test_analytics_keeps_its_findings_and_reads_the_last_finished_core(spark):
     from dataclasses import replace
 
     from strata.errors import AnalyticsValidationError, ReconciliationError
@@ -331,7 +331,7 @@ def test_analytics_refuses_an_unfinished_core_run_and_keeps_its_findings(spark):
     status = spark.read.parquet(paths.audit("analytics_status")).first()
     assert status["overall_status"] == "passed"
     assert spark.read.parquet(paths.audit("analytics_validation")).filter("passed").count() == 4
-    mode = spark.read.parquet(paths.audit("reconciliation")).first()
+    mode = spark.read.parquet(current_core(spark, paths).core_audit("reconciliation")).first()
     assert mode["on_failure_mode"] == "warn"
     # Orders without a purchase time: their payments are in no month.
     stages = current_stages(spark, paths)
@@ -344,11 +344,81 @@ def test_analytics_refuses_an_unfinished_core_run_and_keeps_its_findings(spark):
     status = spark.read.parquet(paths.audit("analytics_status")).first()
     assert status["overall_status"] == "failed"
     assert spark.read.parquet(paths.audit("analytics_validation")).filter("NOT passed").count() == 1
-    # A Core run that fails leaves nothing that analytics would read.
+    # A Core run that fails takes its own files away, and only those.
+    good = current_core(spark, paths)
+    before = spark.read.parquet(stages["payments"]).collect()
     pay = spark.read.parquet(paths.staging("payments"))
     pay.withColumn("payment_value", F.col("payment_value") + 1000).write.parquet(f"{root}/pay")
     spark.read.parquet(f"{root}/pay").write.mode("overwrite").parquet(paths.staging("payments"))
     with pytest.raises(ReconciliationError):
         run_core(spark, paths, replace(rules, on_failure="raise"))
+    assert current_core(spark, paths) == good
+    assert os.listdir(f"{root}/core/runs") == [good.snapshot]
+    assert current_stages(spark, paths) == stages
+    assert spark.read.parquet(stages["payments"]).collect() == before
+    assert run_analytics(spark, paths)["overall_status"] == "passed"
+
+
+def test_no_finished_core_run(spark):
+    from strata.plans.layers import run_analytics
+
+    paths = LayerPaths(scratch("layers-none"))
     with pytest.raises(FileNotFoundError, match="no finished Core run"):
         run_analytics(spark, paths)
+    with pytest.raises(ValueError, match="snapshot"):
+        paths.core("1_dedup", "orders")
+
+
+def test_finished_core_runs_are_kept_then_pruned(spark):
+    from strata.plans.layers import finished_runs, run_core, run_raw, run_staging
+
+    root = scratch("layers-keep")
+    _fixture(root)
+    paths = LayerPaths(root)
+    run_raw(spark, paths)
+    run_staging(spark, paths)
+    # the same run id twice: two snapshots
+    made = [run_core(spark, paths, run_id="r")["snapshot"] for _ in range(3)]
+    assert len(set(made)) == 3
+    assert [p.split("_", 1)[1] for p in finished_runs(spark, paths)] == [made[2], made[1]]
+    assert sorted(os.listdir(f"{root}/core/runs")) == sorted(made[1:])
+    assert current_core(spark, paths).snapshot == made[2]
+    last = run_core(spark, paths, keep_runs=1)["snapshot"]
+    assert os.listdir(f"{root}/core/runs") == [last]
+
+
+def test_two_core_runs_at_a_time(spark):
+    """Both finish whole, each in its own snapshot, a failing third beside them
+    disturbs neither, and the writer setting comes back."""
+    from concurrent.futures import ThreadPoolExecutor
+    from dataclasses import replace
+
+    from strata.errors import ReconciliationError
+    from strata.plans.layers import current_stages, finished_runs, run_core, run_raw, run_staging
+
+    root = scratch("layers-two")
+    _fixture(root)
+    paths = LayerPaths(root)
+    run_raw(spark, paths)
+    run_staging(spark, paths)
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.set(key, "0")
+    raising = replace(RETAIL_RULES, on_failure="raise")
+    with ThreadPoolExecutor(3) as pool:
+        jobs = [pool.submit(run_core, spark, paths, r, f"r{i}")
+                for i, r in enumerate([RETAIL_RULES, raising, RETAIL_RULES])]
+        first, second = jobs[0].result(), jobs[2].result()
+        with pytest.raises(ReconciliationError):
+            jobs[1].result()
+    assert spark.conf.get(key) == "0"
+    snapshots = {first["snapshot"], second["snapshot"]}
+    assert {p.split("_", 1)[1] for p in finished_runs(spark, paths)} == snapshots
+    assert set(os.listdir(f"{root}/core/runs")) == snapshots
+    for out in (first, second):
+        kept = {e: spark.read.parquet(p).count() for e, p in out["stages"].items()}
+        assert kept == {"customers": 2, "orders": 1, "order_items": 1, "products": 1,
+                        "sellers": 1, "payments": 1, "reviews": 1}
+        assert all(out["snapshot"] in out["stages"][e] for e in kept)
+    assert current_stages(spark, paths) in (first["stages"], second["stages"])
+    log = spark.read.parquet(paths.audit("layer_metrics")).filter("layer = 'core'")
+    assert sorted(r["run_id"] for r in log.select("run_id").distinct().collect()) == ["r0", "r2"]
