@@ -2,7 +2,8 @@
 
 One file row is one shard: consecutive documents in ascending id order.  Its
 grammar is built by rounds: count the pairs of neighbouring symbols, give the
-most frequent ones nonterminals, replace them from left to right, repeat.  The
+most frequent ones nonterminals, replace them from left to right, and repeat
+until no pair is used ``LEAST_USES`` times.  The
 shard stores the rules, each nonterminal's expansion length, and the running
 length at every ``BLOCK`` symbols, so a range of ids is found by binary search
 and only the symbols that cover it are expanded.
@@ -28,21 +29,21 @@ from strata.llm.vocab import encoder
 MAGIC = b"RPG1"
 BLOCK = 1024
 SHARD_IDS = 1_000_000
-ROUNDS = 6
 RULES_A_ROUND = 2048
 LEAST_USES = 8
 SCHEMA = "bucket int, seq int, n_docs long, n_ids long, payload binary"
 
 
-def repair(ids: np.ndarray, rounds: int = ROUNDS, per_round: int = RULES_A_ROUND, least: int = LEAST_USES):
+def repair(ids: np.ndarray, per_round: int = RULES_A_ROUND, least: int = LEAST_USES):
     """(base, rules, starts, sequence): symbols from ``base`` on are nonterminals;
-    rule r expands to ``rules[r]``; round i's first symbol is ``starts[i]``."""
+    rule r expands to ``rules[r]``; round i's first symbol is ``starts[i]``.
+
+    It ends when no pair is used ``least`` times, or when overlaps leave no frequent
+    pair enough uses to be worth a rule; every other round makes a rule."""
     seq = ids.astype("i8")
     base = int(seq.max()) + 1 if len(seq) else 1
     rules, starts, symbol = [], [], base
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         code = (seq[:-1] << 32) | seq[1:]
         ordered = np.sort(code)
         edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True])))
@@ -63,6 +64,8 @@ def repair(ids: np.ndarray, rounds: int = ROUNDS, per_round: int = RULES_A_ROUND
         rule = which[hit]
         used = np.bincount(rule, minlength=len(pairs))
         keep = used >= 3  # else the rule costs more than it saves
+        if not keep.any():
+            break
         hit, rule = hit[keep[rule]], rule[keep[rule]]
         number = np.cumsum(keep) - 1
         seq[hit] = symbol + number[rule]

@@ -30,6 +30,66 @@ _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-į]+[,.;:!?]?")
 _AT_ONCE = 2000  # words encoded together
 
 
+# Letters whose lower case has one UTF-8 byte, or two that start with C3.
+_SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[,.;:!?]?")
+
+
+class LetterRanks:
+    """Ids of lower-case words of ``_SIMPLE`` letters by tiktoken, for files that end
+    a word with ``</w>`` and whose ids go up in the order of their merges.
+
+    tiktoken merges bytes, and a letter that ends a word is another symbol than
+    the same one inside it.  So each symbol is written as one ASCII character:
+    a to z as they are, at an end as A to Z, the bytes of the other letters as
+    characters that are no letters.  A word ends where an end symbol stands.
+    """
+
+    def __init__(self, file: dict):
+        import tiktoken
+
+        char = {b: c for c, b in byte_of().items()}
+        spare = iter([c for c in map(chr, range(128)) if not c.isalpha()])
+        letters = [chr(b) for b in range(ord("a"), ord("z") + 1)]
+        inner = {c: c for c in letters} | {char[0xC3]: next(spare)}
+        ends = {c: c.upper() for c in letters}
+        others = [chr(c) for c in range(0xDF, 0x100) if chr(c).isalpha()]
+        for c in others:
+            second = char[c.encode()[1]]
+            inner[second], ends[second] = next(spare), next(spare)
+        self.ends = [(c + " ", ends[c]) for c in letters]
+        self.others = [(c + " ", inner[char[0xC3]] + ends[char[c.encode()[1]]]) for c in others]
+        self.inner = [(c, inner[char[0xC3]] + inner[char[c.encode()[1]]]) for c in others]
+        ranks, last = {}, []
+        for name, i in file["model"]["vocab"].items():
+            whole = name.endswith("</w>")
+            body, tail = (name[:-5], name[-5:-4]) if whole else (name, "")
+            if all(c in inner for c in body) and (not whole or tail in ends):
+                ranks["".join(inner[c] for c in body).encode() + (ends[tail].encode() if whole else b"")] = i
+                last += [i] * whole
+        close = "".join(f"\\x{{{ord(c):02x}}}" for c in ends.values())
+        self.ranked = tiktoken.Encoding("letters", pat_str=f"[^{close}]*[{close}]", mergeable_ranks=ranks, special_tokens={})
+        self.edge = np.zeros(max(ranks.values()) + 1, bool)
+        self.edge[last] = True
+
+    @staticmethod
+    def fits(file: dict) -> bool:
+        """Whether the merges' ids follow their order, after 512 single symbols."""
+        model = file["model"]
+        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+        return model.get("end_of_word_suffix") == "</w>" and not model.get("ignore_merges") and all(model["vocab"].get(m) == 512 + i for i, m in enumerate(merges))
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the ids of all words, and where each word's end."""
+        text = " ".join(words).lower() + " "
+        for c, symbol in self.ends:
+            text = text.replace(c, symbol)
+        if not text.isascii():
+            for c, symbol in self.others + self.inner:
+                text = text.replace(c, symbol)
+        ids = np.array(self.ranked.encode_ordinary(text), "<u4")
+        return ids, np.flatnonzero(self.edge[ids]) + 1
+
+
 class WordEncoder:
     """Ids of whole texts by a ``tokenizers`` file, without special tokens added.
 
@@ -52,12 +112,31 @@ class WordEncoder:
         self.edge = np.zeros(max(names.values()) + 1, bool)  # ids that start a word, or that end a piece
         for name, i in names.items():
             self.edge[i] = name.startswith("\u0120") if byte_level else name.endswith("</w>")
+        self.letters = None
+        if not byte_level:
+            with open(path, encoding="utf-8") as f:
+                file = json.load(f)
+            if LetterRanks.fits(file):
+                self.letters = LetterRanks(file)
+                self.mark = {c: np.array([names[c + "</w>"]], "<u4").tobytes() for c in ",.;:!?"}
 
     def _learn(self, words: list[str]) -> None:
-        """Ids of new words.  Words whose ids can be told apart in a text of many
+        """Ids of new words.  Words of simple letters come by merge ranks where the
+        file allows.  Words whose ids can be told apart in a text of many
         words are encoded as one text, which is the library's fastest way; the
         others, and any text where the count of words does not come out, apart."""
         apart = []
+        if self.letters is not None:
+            rest = []
+            simple = [w for w in words if _SIMPLE.fullmatch(w) or rest.append(w)]
+            words = rest
+            for i in range(0, len(simple), _AT_ONCE):
+                part = simple[i : i + _AT_ONCE]
+                ids, ends = self.letters.encode([w if w[-1].isalpha() else w[:-1] for w in part])
+                raw, lo = ids.tobytes(), 0
+                for w, hi in zip(part, (4 * ends).tolist()):
+                    self.memo[w] = raw[lo:hi] + self.mark.get(w[-1], b"")
+                    lo = hi
         whole = (_SPACED if self.byte_level else _LETTERS).fullmatch
         joined = [w for w in words if whole(w) or apart.append(w)]
         for i in range(0, len(joined), _AT_ONCE):
@@ -104,6 +183,8 @@ class WordEncoder:
         return np.frombuffer(b"".join(got), "<u4"), np.fromiter(map(len, got), "i8", len(got)) // 4
 
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not self.byte_level:  # white space of any kind parts words and is dropped
+            texts = pc.replace_substring(texts, "\n", " ")
         pieces = pc.split_pattern(texts, " ")
         pieces = pieces.combine_chunks() if isinstance(pieces, pa.ChunkedArray) else pieces
         ends = np.asarray(pieces.offsets).astype("i8")

@@ -503,3 +503,35 @@ def test_pipeline_end_to_end(spark):
     ids = {r.doc_id for r in docs.collect()}
     assert 0.5 * 200 < len(ids) < 200
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()} == ids
+
+
+def test_letter_words_by_ranks_equal_the_library():
+    """Words of simple letters, upper case, accents, marks, single letters and long
+    words: the ids that the library gives each; other words go the other way."""
+    import random
+
+    encoder = WordEncoder(vocabulary("word_bpe_49k.json"), False)
+    assert encoder.letters is not None
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZ" + "".join(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())
+    words = list(letters) + ["a" * 3000, "ßß", "Ärger!", "ÿ", "naïve,", "I", "x;", "ĂĐ", "it's", "a1", "end.\nNext", "don't.", "<|endoftext|>", "é", "é"]
+    words += ["".join(rng.choices(letters, k=rng.randint(1, 20))) + rng.choice(["", ",", ".", "?", "!!"]) for _ in range(3000)]
+    words += ["".join(rng.choices(["th", "he", "ing", "ion", "é", "ü", "s"], k=rng.randint(1, 8))) for _ in range(3000)]
+    ids, at = encoder.encode(pa.array(words))
+    for i, w in enumerate(words):
+        assert ids[at[i] : at[i + 1]].tolist() == encoder.tokenizer.encode(w, add_special_tokens=False).ids, w
+    lines = ["one\ntwo  three\n\nFour", "\n", "tab\tand\r\nbreak", " \n lead"]
+    ids, at = encoder.encode(pa.array(lines))
+    for i, t in enumerate(lines):
+        assert ids[at[i] : at[i + 1]].tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_repair_ends_only_when_no_pair_is_frequent():
+    rng = np.random.default_rng(5)
+    ids = np.concatenate([rng.integers(0, 40, 3000), np.tile(np.arange(40), 900), np.zeros(5000, "i8")])
+    base, rules, starts, seq = tokenfile.repair(ids, per_round=3)
+    assert len(starts) > 6
+    assert (tokenfile.expand(seq, base, rules, starts) == ids).all()
+    pairs, uses = np.unique((seq[:-1] << 32) | seq[1:], return_counts=True)
+    apart = uses[(pairs >> 32) != (pairs & 0xFFFFFFFF)]  # runs of one symbol overlap
+    assert apart.max(initial=0) < tokenfile.LEAST_USES
