@@ -16,10 +16,12 @@ missing value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.joins import flag_membership
+from strata.operators.dedupe import TEXT_KEYS
 from strata.rules import ForeignKey, Rules
 
 REPORT_COLUMNS = ["entity", "column", "parent", "removed_count"]
@@ -164,6 +166,91 @@ def validate_entity_relationships(
     return clean, report, missing_values(flagged, entity, failed)
 
 
+_EVENT = "struct<_g:int,_key:string,_known:boolean,_rule:int>"
+
+
+def _same_as_text(a: T.DataType, b: T.DataType) -> bool:
+    whole = T.IntegralType
+    return isinstance(a, TEXT_KEYS) and (a == b or isinstance(a, whole) and isinstance(b, whole))
+
+
+def _event(group: int, key: Column | None, known: Column | bool, rule: int) -> Column:
+    """One row of the counting pass: a key that a parent holds (``known``), or
+    a key that a child's rule ``rule`` looks for among the keys of ``group``."""
+    return F.struct(
+        F.lit(group).alias("_g"),
+        (F.lit(None) if key is None else key).cast("string").alias("_key"),
+        (known if isinstance(known, Column) else F.lit(known)).alias("_known"),
+        F.lit(rule).alias("_rule"),
+    ).cast(_EVENT)
+
+
+def relationship_counts(entities: dict[str, DataFrame], rules: Rules) -> DataFrame:
+    """F3's report alone: entity, column, parent, removed_count, the same rows as
+    ``clean_relationships`` reports, for callers that need no cleaned frames.
+
+    A count needs no row-level join.  Every parent key and every child key
+    becomes one row of one union, and a single aggregate by (parent, key) says
+    whether the parent holds the key and how many rows of each rule name it.  It
+    combines on the map side, so a key (or the null key) held by a third of all
+    rows leaves each task as one row; each entity is scanned once and whole rows
+    are never shuffled.  Only an entity that is a child *and* a parent is
+    joined to its own parents, since its clean rows decide which keys it holds;
+    so is a child whose key type differs from its parent's.
+    """
+    order = rules.fk_order()
+    numbered = [(e, fk) for e in order for fk in rules.foreign_keys[e]]
+    number = {pair: i for i, pair in enumerate(numbered)}
+    if not numbered:
+        return SparkSession.getActiveSession().createDataFrame(
+            [], "entity string, column string, parent string, removed_count bigint"
+        )
+    parent_entities = {fk.parent for _, fk in numbered}
+    groups: dict[tuple[str, str], int] = {}
+    events: dict[str, list[Column]] = {}
+    frames, clean = dict(entities), dict(entities)
+    whole: dict[str, Column] = {}
+    for e in order:
+        fks, types = rules.foreign_keys[e], {f.name: f.dataType for f in entities[e].schema}
+        joined = []
+        for fk in fks:
+            held = entities[fk.parent].schema[fk.parent_column].dataType
+            if e in parent_entities or not _same_as_text(types[fk.column], held):
+                joined.append(fk)
+            else:
+                group = groups.setdefault((fk.parent, fk.parent_column), len(groups))
+                events.setdefault(e, []).append(_event(group, F.col(fk.column), False, number[e, fk]))
+        if not joined:
+            continue
+        salt = salt_columns(rules.primary_keys.get(e) or [], fks)
+        salt = salt if all(c in types for c in salt) else None
+        parents = {fk.parent: clean[fk.parent] for fk in joined}
+        frames[e] = _flag_all(entities[e], joined, parents, salt=salt)
+        ok = [F.col(f"_fk_ok_{i}") for i in range(len(joined))]
+        for flag, fk in zip(ok, joined):
+            # Group -1 holds no key, so these rows count as failed.
+            events.setdefault(e, []).append(F.when(~flag, _event(-1, None, False, number[e, fk])))
+        if e in parent_entities:
+            whole[e] = F.expr(" AND ".join(f"_fk_ok_{i}" for i in range(len(joined))))
+            clean[e] = frames[e].filter(whole[e]).select(*entities[e].columns)
+    for (parent, column), group in groups.items():
+        holds = F.col(column).isNotNull() & whole.get(parent, F.lit(True))
+        events.setdefault(parent, []).append(F.when(holds, _event(group, F.col(column), True, -1)))
+    rows = None
+    for e, own in events.items():
+        one = F.array_compact(F.array(*own))
+        part = frames[e].select(F.explode(one).alias("_e")).select("_e.*")
+        rows = part if rows is None else rows.unionAll(part)
+    names = [f"_n{i}" for i in range(len(numbered))]
+    per_key = rows.groupBy("_g", "_key").agg(
+        F.max("_known").alias("_known"),
+        *[F.count_if(F.col("_rule") == i).alias(n) for i, n in enumerate(names)],
+    )
+    counts = per_key.filter(~F.col("_known")).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    stack = ", ".join(f"'{e}', '{fk.column}', '{fk.parent}', {n}" for (e, fk), n in zip(numbered, names))
+    return counts.selectExpr(f"stack({len(names)}, {stack}) AS ({', '.join(REPORT_COLUMNS)})")
+
+
 def clean_relationships(
     entities: dict[str, DataFrame], rules: Rules, checkpoint_parents: bool = False
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:

@@ -342,7 +342,7 @@ FROM rev
     ),
 )
 def q_fk_report(spark, sf):
-    return keys.clean_relationships(fk_entities(spark, sf), RETAIL_RULES)[1]
+    return keys.relationship_counts(fk_entities(spark, sf), RETAIL_RULES)
 
 
 @register("fk_cascade", with_entities(SQL_FK + "SELECT * FROM items2", *FK_VIEWS))
@@ -1020,14 +1020,7 @@ def _core_quality_oracle() -> str:
 @register("core_quality", _core_quality_oracle())
 def q_core_quality(spark, sf):
     ents = ad.core_entities(spark, sf)
-    dedup = audit._union(
-        [
-            dedupe.duplicate_summary(ents[e], key).select(
-                F.lit(e).alias("entity"), F.col("surplus_rows").alias("removed_count")
-            )
-            for e, key in RETAIL_RULES.primary_keys.items()
-        ]
-    )
+    dedup = dedupe.surplus_by_entity(ents, RETAIL_RULES.primary_keys)
     fk_report = q_fk_report(spark, sf)
     summary = q_reconciliation_summary(spark, sf)
     return audit.core_quality_report(dedup, fk_report, summary)

@@ -4,6 +4,8 @@ from strata.errors import ReconciliationError
 from strata.operators import keys, reconcile
 from strata.rules import RETAIL_RULES
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def test_fk_mask_and_missing(spark):
     child = spark.createDataFrame([("o1",), ("o2",), ("o3",), (None,)], "order_id string")
@@ -287,3 +289,87 @@ def test_more_rules_than_an_int_has_bits(spark):
     assert mask.first()["m"] == 1 << 40
     assert mask.filter(keys.failed_rule("m", 40)).count() == 1
     assert mask.filter(keys.failed_rule("m", 3)).count() == 0
+
+
+# ------------------------------------------------ counts without row joins
+
+
+def _same_report(spark, ents, rules):
+    rows = lambda df: sorted((r["entity"], r["column"], r["parent"], r["removed_count"]) for r in df.collect())
+    got = rows(keys.relationship_counts(ents, rules))
+    assert got == rows(keys.clean_relationships(ents, rules)[1])
+    return got
+
+
+def test_relationship_counts_equal_the_cascade_report(spark):
+    """Null keys, a hot key, parents with repeated and null keys, rows that break
+    several rules, orders dropped for their customer, and an empty child."""
+    df = spark.createDataFrame
+    ents = {
+        "customers": df([("c1",), ("c1",), (None,), ("c2",)], "customer_id string"),
+        "orders": df([(1, "c1"), (2, "c9"), (3, None), (4, "c2"), (None, "c1")], "order_id bigint, customer_id string"),
+        "products": df([(10,), (11,), (11,), (None,)], "product_id int"),
+        "sellers": df([("1",), ("s2",)], "seller_id string"),
+        "order_items": df(
+            [(1, 1, 10, "1")] * 500 + [(2, 1, 99, "s9"), (None, 2, None, None), (4, 3, 11, "s2"), (77, 4, 10, "")],
+            "order_id bigint, order_item_id bigint, product_id bigint, seller_id string",
+        ),
+        "payments": df([], "order_id bigint, payment_sequential bigint"),
+        "reviews": df([("r1", 3), ("r2", 1), ("r3", None)], "review_id string, order_id bigint"),
+    }
+    got = _same_report(spark, ents, RETAIL_RULES)
+    assert ("orders", "customer_id", "customers", 2) in got
+    assert ("order_items", "order_id", "orders", 3) in got
+    assert ("payments", "order_id", "orders", 0) in got
+    empty = {e: d.limit(0) for e, d in ents.items()}
+    assert {n for *_, n in _same_report(spark, empty, RETAIL_RULES)} == {0}
+
+
+def test_relationship_counts_with_keys_of_other_types_and_chains(spark):
+    """Money keys (joined, not compared as text), an entity that points at
+    itself, and a chain of three."""
+    from dataclasses import replace
+    from strata.rules import ForeignKey
+
+    df = spark.createDataFrame
+    ents = {
+        "a": df([(1, None), (2, 1), (3, 9)], "id bigint, up bigint"),
+        "b": df([(1, 1), (2, 3), (3, None), (4, 2)], "id bigint, a bigint"),
+        "c": df([("1", 1), ("4", 4), ("7", 2)], "x string, b bigint").selectExpr("cast(x as decimal(9,1)) x", "b"),
+        "d": df([("1.00",), ("4",), ("5",)], "x string").selectExpr("cast(x as decimal(9,2)) x"),
+    }
+    rules = replace(RETAIL_RULES, primary_keys={}, foreign_keys={
+        "a": [ForeignKey("up", "a", "id")],
+        "b": [ForeignKey("a", "a", "id")],
+        "c": [ForeignKey("b", "b", "id")],
+        "d": [ForeignKey("x", "c", "x")],
+    })
+    assert _same_report(spark, ents, rules) == [("a", "up", "a", 2), ("b", "a", "a", 3), ("c", "b", "b", 2), ("d", "x", "c", 2)]
+    assert keys.relationship_counts(ents, replace(rules, foreign_keys={})).collect() == []
+
+
+def test_surplus_by_entity_equals_the_count_of_each(spark):
+    from strata.operators import dedupe
+
+    df = spark.createDataFrame
+    ents = {
+        "a": df([(1, "x"), (1, "x"), (1, None), (1, None), (None, None)], "k bigint, t string"),
+        "b": df([("x",), ("",), (None,), (None,), (None,)], "k string"),
+        "c": df([], "k bigint"),
+        "d": df([(1.0,), (1.0,), (float("nan"),)], "k double"),
+    }
+    by = {"a": ["k", "t"], "b": ["k"], "c": ["k"], "d": ["k"]}
+    got = {r["entity"]: r["removed_count"] for r in dedupe.surplus_by_entity(ents, by).collect()}
+    assert got == {e: dedupe.duplicate_summary(ents[e], k).first()["surplus_rows"] for e, k in by.items()}
+    assert got == {"a": 2, "b": 2, "c": 0, "d": 1}
+
+
+def test_audit_counts_shuffle_little(spark):
+    """The plans stay within 12 and 20 exchanges of every kind."""
+    import __spark_entry__ as entry
+
+    for name, most in (("fk_report", 12), ("core_quality", 20)):
+        df = entry.queries()[name](spark, SF_SMALL)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert 0 < plan.count("Exchange ") + plan.count("BroadcastExchange") <= most, name
