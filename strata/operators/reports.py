@@ -165,6 +165,34 @@ def product_performance(order_items: DataFrame, reviews: DataFrame) -> DataFrame
 
 # ------------------------------------------------------------------ B5
 
+# Months are kept as bits, 64 to a bigint column, while the data spans no more
+# than this many columns (85 years); a longer span keeps a set of months.
+MONTH_WORDS = 16
+
+
+def _months_by_customer(dated: DataFrame) -> DataFrame:
+    """_cust, _cohort (first month), _months (the active months) of rows
+    (_cust, _mi).  The first and last month of the data come from one scan of
+    the month alone and fix the number of bit columns; the months are the same
+    whichever form holds them."""
+    ends = dated.agg(F.min("_mi").alias("low"), F.max("_mi").alias("high")).first()
+    low, high = ends["low"] or 0, ends["high"] or 0
+    words = (high - low) // 64 + 1
+    if words > MONTH_WORDS:
+        return dated.groupBy("_cust").agg(F.min("_mi").alias("_cohort"), F.collect_set("_mi").alias("_months"))
+    place = F.col("_mi") - low
+    bit = F.expr(f"shiftleft(1L, (_mi - {low}) % 64)")
+    held = [F.bit_or(F.when(F.floor(place / 64) == i, bit)).alias(f"_w{i}") for i in range(words)]
+    per_customer = dated.groupBy("_cust").agg(F.min("_mi").alias("_cohort"), F.max("_mi").alias("_last"), *held)
+    word = F.array(*[F.coalesce(F.col(f"_w{i}"), F.lit(0).cast("long")) for i in range(words)])
+
+    def active(m):
+        return F.getbit(F.get("_bits", F.floor((m - low) / 64).cast("int")), F.pmod(m - low, F.lit(64)).cast("int")) == 1
+
+    return per_customer.select("_cust", "_cohort", "_last", word.alias("_bits")).select(
+        "_cust", "_cohort", F.filter(F.sequence("_cohort", "_last"), active).alias("_months")
+    )
+
 
 def customer_retention(
     orders: DataFrame,
@@ -179,10 +207,10 @@ def customer_retention(
     Orders without a purchase time or a customer are left out.
 
     Plan: one linear chain, so the orders are read and shuffled once.
-      1. by customer: first month and set of active months (partial
-         aggregation; the set is bounded by the months the data spans, not
-         by the row count, so a customer holding a third of all orders is
-         still one small row);
+      1. by customer: first and last month and a bit for each active month
+         (``_months_by_customer``), all of fixed width, so that the aggregate
+         stays a hash aggregate and a customer holding a third of all orders
+         is still one small row;
       2. by (cohort, month): active customers;
       3. by cohort: a map month -> active customers.  From here on there is
          one row per cohort, so at most one row per month of the data;
@@ -197,10 +225,7 @@ def customer_retention(
         F.col(customer_key).alias("_cust"),
         month_index("order_purchase_timestamp").alias("_mi"),
     )
-    per_customer = dated.groupBy("_cust").agg(
-        F.min("_mi").alias("_cohort"),
-        F.collect_set("_mi").alias("_months"),
-    )
+    per_customer = _months_by_customer(dated)
     activity = (
         per_customer.select("_cohort", F.explode("_months").alias("_active"))
         .groupBy("_cohort", "_active")
