@@ -196,19 +196,3 @@ def test_retention_leaves_out_orders_without_a_customer(spark):
     ).selectExpr("order_id", "customer_id", "CAST(at AS timestamp_ntz) AS order_purchase_timestamp")
     rows = reports.customer_retention(orders).collect()
     assert [(r["cohort_month"], r["cohort_size"], r["active_customers"]) for r in rows] == [("2017-01", 1, 1)]
-
-
-@pytest.mark.parametrize("words", [16, 0])
-def test_retention_months_as_bits_or_as_a_set(spark, monkeypatch, words):
-    """Both forms give the months of each customer, across the 64-bit borders."""
-    monkeypatch.setattr(reports, "MONTH_WORDS", words)
-    data = [("a", m) for m in (24000, 24000, 24063, 24064, 24127, 24128, 24500)] + [("b", 24063), ("c", 24500), ("c", 24000)]
-    got = {r["_cust"]: (r["_cohort"], sorted(r["_months"])) for r in reports._months_by_customer(spark.createDataFrame(data, "_cust string, _mi int")).collect()}
-    assert got == {c: (min(m for k, m in data if k == c), sorted({m for k, m in data if k == c})) for c in "abc"}
-    assert reports._months_by_customer(spark.createDataFrame([], "_cust string, _mi int")).collect() == []
-
-
-def test_retention_by_customer_is_a_hash_aggregate(spark):
-    months = spark.createDataFrame([("a", 24000), ("a", 24070)], "_cust string, _mi int")
-    plan = reports._months_by_customer(months)._jdf.queryExecution().executedPlan().toString()
-    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "HashAggregate" in plan
