@@ -185,11 +185,12 @@ def _event(group: int, key: Column | None, known: Column | bool, rule: int) -> C
     ).cast(_EVENT)
 
 
-def relationship_counts(entities: dict[str, DataFrame], rules: Rules) -> DataFrame:
-    """F3's report alone: entity, column, parent, removed_count, the same rows as
-    ``clean_relationships`` reports, for callers that need no cleaned frames.
+def _unmatched(entities: dict[str, DataFrame], rules: Rules) -> tuple[DataFrame, list[tuple[str, ForeignKey]]]:
+    """(unmatched keys, rules): a row for each child key that its parent does
+    not hold, with ``_key`` as text (null for null keys) and ``_n0``, ``_n1``, ...: the
+    rows that break each rule, in the order of the list.
 
-    A count needs no row-level join.  Every parent key and every child key
+    It needs no row-level join.  Every parent key and every child key
     becomes one row of one union, and a single aggregate by (parent, key) says
     whether the parent holds the key and how many rows of each rule name it.  It
     combines on the map side, so a key (or the null key) held by a third of all
@@ -201,10 +202,6 @@ def relationship_counts(entities: dict[str, DataFrame], rules: Rules) -> DataFra
     order = rules.fk_order()
     numbered = [(e, fk) for e in order for fk in rules.foreign_keys[e]]
     number = {pair: i for i, pair in enumerate(numbered)}
-    if not numbered:
-        return SparkSession.getActiveSession().createDataFrame(
-            [], "entity string, column string, parent string, removed_count bigint"
-        )
     parent_entities = {fk.parent for _, fk in numbered}
     groups: dict[tuple[str, str], int] = {}
     events: dict[str, list[Column]] = {}
@@ -228,8 +225,8 @@ def relationship_counts(entities: dict[str, DataFrame], rules: Rules) -> DataFra
         frames[e] = _flag_all(entities[e], joined, parents, salt=salt)
         ok = [F.col(f"_fk_ok_{i}") for i in range(len(joined))]
         for flag, fk in zip(ok, joined):
-            # Group -1 holds no key, so these rows count as failed.
-            events.setdefault(e, []).append(F.when(~flag, _event(-1, None, False, number[e, fk])))
+            # No parent is in group -1, so these rows count as failed.
+            events.setdefault(e, []).append(F.when(~flag, _event(-1, F.col(fk.column), False, number[e, fk])))
         if e in parent_entities:
             whole[e] = F.expr(" AND ".join(f"_fk_ok_{i}" for i in range(len(joined))))
             clean[e] = frames[e].filter(whole[e]).select(*entities[e].columns)
@@ -246,11 +243,46 @@ def relationship_counts(entities: dict[str, DataFrame], rules: Rules) -> DataFra
         F.max("_known").alias("_known"),
         *[F.count_if(F.col("_rule") == i).alias(n) for i, n in enumerate(names)],
     )
-    counts = per_key.filter(~F.col("_known")).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    return per_key.filter(~F.col("_known")), numbered
+
+
+def relationship_counts(entities: dict[str, DataFrame], rules: Rules) -> DataFrame:
+    """F3's report alone: entity, column, parent, removed_count, the same rows as
+    ``clean_relationships`` reports, for callers that need no cleaned frames;
+    see ``_unmatched``."""
+    if not any(rules.foreign_keys.values()):
+        return SparkSession.getActiveSession().createDataFrame(
+            [], "entity string, column string, parent string, removed_count bigint"
+        )
+    keys, numbered = _unmatched(entities, rules)
+    names = [f"_n{i}" for i in range(len(numbered))]
+    counts = keys.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
     stack = ", ".join(f"'{e}', '{fk.column}', '{fk.parent}', {n}" for (e, fk), n in zip(numbered, names))
     return counts.selectExpr(f"stack({len(names)}, {stack}) AS ({', '.join(REPORT_COLUMNS)})")
 
 
+def relationship_missing(entities: dict[str, DataFrame], rules: Rules) -> DataFrame:
+    """F1's missing values of all rules: entity, column, missing_value (text), the
+    same rows as ``clean_relationships`` lists.  The unmatched keys are distinct
+    already, so the list costs no further shuffle (but where two rules of an
+    entity share a column)."""
+    if not any(rules.foreign_keys.values()):
+        return SparkSession.getActiveSession().createDataFrame(
+            [], "entity string, column string, missing_value string"
+        )
+    keys, numbered = _unmatched(entities, rules)
+    broken = [
+        F.when(F.col(f"_n{i}") > 0, F.struct(F.lit(e).alias("entity"), F.lit(fk.column).alias("column")))
+        for i, (e, fk) in enumerate(numbered)
+    ]
+    found = (
+        keys.filter(F.col("_key").isNotNull())
+        .select(F.explode(F.array_compact(F.array(*broken))).alias("_r"), "_key")
+        .select("_r.entity", "_r.column", F.col("_key").alias("missing_value"))
+    )
+    return found.distinct() if len({(e, fk.column) for e, fk in numbered}) < len(numbered) else found
+
+
 def clean_relationships(
     entities: dict[str, DataFrame], rules: Rules, checkpoint_parents: bool = False
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:

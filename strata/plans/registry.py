@@ -306,7 +306,7 @@ FROM rev WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM o2
     ),
 )
 def q_fk_orphans(spark, sf):
-    return keys.clean_relationships(fk_entities(spark, sf), RETAIL_RULES)[2]
+    return keys.relationship_missing(fk_entities(spark, sf), RETAIL_RULES)
 
 
 @register(

@@ -297,7 +297,11 @@ def test_more_rules_than_an_int_has_bits(spark):
 def _same_report(spark, ents, rules):
     rows = lambda df: sorted((r["entity"], r["column"], r["parent"], r["removed_count"]) for r in df.collect())
     got = rows(keys.relationship_counts(ents, rules))
-    assert got == rows(keys.clean_relationships(ents, rules)[1])
+    _, report, missing = keys.clean_relationships(ents, rules)
+    assert got == rows(report)
+    listed = keys.relationship_missing(ents, rules)
+    assert listed.columns == missing.columns
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, missing.collect()))
     return got
 
 
@@ -346,6 +350,9 @@ def test_relationship_counts_with_keys_of_other_types_and_chains(spark):
     })
     assert _same_report(spark, ents, rules) == [("a", "up", "a", 2), ("b", "a", "a", 3), ("c", "b", "b", 2), ("d", "x", "c", 2)]
     assert keys.relationship_counts(ents, replace(rules, foreign_keys={})).collect() == []
+    assert keys.relationship_missing(ents, replace(rules, foreign_keys={})).collect() == []
+    twice = replace(rules, foreign_keys={"b": [ForeignKey("a", "a", "id"), ForeignKey("a", "a", "up")]})
+    assert _same_report(spark, ents, twice) == [("b", "a", "a", 1), ("b", "a", "a", 3)]
 
 
 def test_surplus_by_entity_equals_the_count_of_each(spark):
