@@ -375,7 +375,7 @@ def test_audit_counts_shuffle_little(spark):
     """The plans stay within 12 and 20 exchanges of every kind."""
     import __spark_entry__ as entry
 
-    for name, most in (("fk_report", 12), ("core_quality", 20)):
+    for name, most in (("fk_report_by_key", 12), ("core_quality_by_key", 20)):
         df = entry.queries()[name](spark, SF_SMALL)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
