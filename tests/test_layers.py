@@ -422,3 +422,32 @@ def test_two_core_runs_at_a_time(spark):
     assert current_stages(spark, paths) in (first["stages"], second["stages"])
     log = spark.read.parquet(paths.audit("layer_metrics")).filter("layer = 'core'")
     assert sorted(r["run_id"] for r in log.select("run_id").distinct().collect()) == ["r0", "r2"]
+
+
+@pytest.mark.parametrize("most", [0, 1])
+def test_keys_that_large_parents_lack_decide_the_flags(spark, most):
+    """With few missing keys (at most 1) those are sent instead of shuffling the
+    child; with more (0) the rows are shuffled.  The flags are the same."""
+    from strata.plans.layers import run_core, run_raw, run_staging
+
+    root = scratch("layers")
+    _fixture(root)
+    paths = LayerPaths(root)
+    run_raw(spark, paths)
+    run_staging(spark, paths, on_quality_failure="warn")
+
+    def flagged():
+        now = current_core(spark, paths)
+        read = {e: spark.read.parquet(now.core("2_keys", e)) for e in RETAIL_RULES.fk_order()}
+        kept = {e: spark.read.parquet(now.core("3_reconciled", e)) for e in ("orders", "order_items", "payments")}
+        return now, [{e: sorted(map(str, df.collect())) for e, df in d.items()} for d in (read, kept)]
+
+    plain = run_core(spark, paths)
+    _, want = flagged()
+    large = run_core(spark, paths, broadcast_max_rows=most)
+    now, got = flagged()
+    assert got == want
+    assert large["foreign_key_validation"] == plain["foreign_key_validation"]
+    lost = {(e, i): [r[0] for r in spark.read.parquet(now.core("2_absent", f"{e}-{i}")).collect()]
+            for e, i in (("orders", 0), ("order_items", 0), ("payments", 0), ("reviews", 0))}
+    assert lost == {("orders", 0): ["cX"], ("order_items", 0): ["o3"], ("payments", 0): ["o3"], ("reviews", 0): ["o3"]}

@@ -64,6 +64,20 @@ def test_hot_keys_absent_from_the_parent_and_text_keys(shuffled):
     assert joins.heavy_keys(child.limit(0), "k") == []
 
 
+def test_few_absent_keys_flag_the_child_without_a_shuffle(shuffled):
+    spark = shuffled
+    key = F.when(F.col("id") % 7 == 0, F.lit(None)).when(F.col("id") % 11 == 0, F.lit("gone")).otherwise(F.concat(F.lit("k"), F.col("id") % 300))
+    child = spark.range(5000).select(F.col("id").alias("item"), key.alias("k"))
+    parents = spark.range(280).select(F.concat(F.lit("k"), F.col("id")).alias("pk")).unionAll(spark.createDataFrame([(None,), ("k1",)], "pk string"))
+    absent = joins.absent_keys(child, "k", parents, "pk")
+    assert sorted(r["k"] for r in absent.collect()) == sorted(["gone", *[f"k{i}" for i in range(280, 300)]])
+    absent = spark.createDataFrame(absent.collect(), "k string")
+    got = joins.flag_present(child, "k", absent, "_fk_ok")
+    want = joins.flag_membership(child, "k", parents, "pk", "_fk_ok")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert "hashpartitioning" in _plan(want) and "hashpartitioning" not in _plan(got)
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -169,3 +183,17 @@ def test_ingest_splits_a_large_multiline_file(spark, small_splits):
     assert split["source_row_count"] == whole["source_row_count"] == 120
     rows = [sorted(map(tuple, spark.read.parquet(r["output_file_path"]).collect())) for r in (whole, split)]
     assert rows[0] == rows[1]
+
+
+def test_ingest_reads_many_small_files_whole(spark, small_splits, monkeypatch):
+    """A folder larger than a split, but of files that are not: one task a file."""
+    folder = scratch("parts")
+    os.makedirs(folder, exist_ok=True)
+    text = open(_write("reviews.csv", _review_lines(60)), "rb").read()
+    for i in range(4):
+        with open(os.path.join(folder, f"part-{i}.csv"), "wb") as f:
+            f.write(text)
+    small_splits(len(text) + 1)
+    monkeypatch.setattr(sources.files, "read_split_csv", None)
+    out = sources.ingest_file(spark, folder, scratch("raw"), REVIEW, entity="reviews")
+    assert out["source_row_count"] == 4 * 60
