@@ -299,12 +299,22 @@ def within_edits(a: list[str], b: list[str], most: int) -> bool:
     return False
 
 
+def may_be_within(a: list[str], b: list[str], most: int) -> bool:
+    """False only where more than ``most`` edits are sure: a word that the other
+    line does not have at all takes an edit of its own."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    a_words, b_words = set(a), set(b)
+    return len(a_words - b_words) <= most and len(b_words - a_words) <= most
+
+
 def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
     """The pairs whose lines are alike, by their words."""
 
     def check(b: pa.RecordBatch) -> pa.RecordBatch:
         words = [[[w for w in x if w] for x in pc.ascii_split_whitespace(b.column(i)).to_pylist()] for i in (2, 3)]
-        keep = [within_edits(x, y, bound(min(len(x), len(y)))) for x, y in zip(*words)]
+        most = [bound(min(len(x), len(y))) for x, y in zip(*words)]
+        keep = [may_be_within(x, y, m) and within_edits(x, y, m) for x, y, m in zip(*words, most)]
         return pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["doc", "line"]).filter(pa.array(keep, pa.bool_()))
 
     text = text.select("doc", "line", "words")

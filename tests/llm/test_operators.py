@@ -535,3 +535,19 @@ def test_repair_ends_only_when_no_pair_is_frequent():
     pairs, uses = np.unique((seq[:-1] << 32) | seq[1:], return_counts=True)
     apart = uses[(pairs >> 32) != (pairs & 0xFFFFFFFF)]  # runs of one symbol overlap
     assert apart.max(initial=0) < tokenfile.LEAST_USES
+
+
+def test_unshared_words_rule_out_only_lines_that_are_too_far_apart():
+    rng = random.Random(5)
+    ruled_out = 0
+    for _ in range(3000):
+        a = [rng.choice("abcdefgh") for _ in range(rng.randint(0, 9))]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            b[(i := rng.randint(0, len(b))) : i + rng.randint(0, 1)] = [rng.choice("abcdxyz")] * rng.randint(0, 2)
+        most = rng.randint(0, 3)
+        if not line_dedup.may_be_within(a, b, most):
+            ruled_out += 1
+            assert not line_dedup.within_edits(a, b, most)
+    assert ruled_out
+    assert not line_dedup.may_be_within(["a", "b", "c"], ["a", "x", "y"], 1)
