@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,37 +32,66 @@ BLOCK = 1024
 SHARD_IDS = 1_000_000
 RULES_A_ROUND = 2048
 LEAST_USES = 8
+ENCODE_BYTES = 8 << 20  # of text encoded at a time: the more, the fewer distinct words in all
+_BITS = 18
 SCHEMA = "bucket int, seq int, n_docs long, n_ids long, payload binary"
 
 
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    """The place of each pair of symbols in a table of ``2 ** _BITS``."""
+    wide = 8 * pairs.itemsize
+    return (pairs * pairs.dtype.type(0x9E3779B97F4A7C15 >> (64 - wide) | 1)) >> pairs.dtype.type(wide - _BITS)
+
+
+def _joined(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches as one, up to the first that reaches ``limit`` bytes."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def repair(ids: np.ndarray, per_round: int = RULES_A_ROUND, least: int = LEAST_USES):
     """(base, rules, starts, sequence): symbols from ``base`` on are nonterminals;
     rule r expands to ``rules[r]``; round i's first symbol is ``starts[i]``.
 
     It ends when no pair is used ``least`` times, or when overlaps leave no frequent
     pair enough uses to be worth a rule; every other round makes a rule."""
-    seq = ids.astype("i8")
+    seq = ids.astype("u4")
     base = int(seq.max()) + 1 if len(seq) else 1
     rules, starts, symbol = [], [], base
     while len(seq) > 1:
-        code = (seq[:-1] << 32) | seq[1:]
+        # Half the bytes to sort as long as two symbols fit.
+        kind, shift = ("u4", 16) if symbol <= 1 << 16 else ("u8", 32)
+        code = (seq[:-1].astype(kind) << shift) | seq[1:]
         ordered = np.sort(code)
-        edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True])))
-        uses = np.diff(edge)
-        often = np.flatnonzero(uses >= least)
+        # A pair of u uses is equal to that ``least - 1`` places on at u - least + 1 places.
+        ordered = ordered[least - 1 :][ordered[least - 1 :] == ordered[: max(0, len(ordered) - least + 1)]]
+        edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [len(ordered) > 0])))
+        uses = np.diff(edge) + least - 1
+        often = np.arange(len(uses))
         if not len(often):
             break
         if len(often) > per_round:
             often = often[np.argsort(-uses[often], kind="stable")[:per_round]]
         pairs = np.sort(ordered[edge[often]])
-        which = np.searchsorted(pairs, code)
-        which[which == len(pairs)] = 0
-        hit = np.flatnonzero(pairs[which] == code)
+        # Nearly all places that hold no such pair are out by one bit of a table.
+        bits = np.zeros(1 << _BITS, bool)
+        bits[_slot(pairs)] = True
+        hit = np.flatnonzero(bits[_slot(code)])
+        which = np.minimum(np.searchsorted(pairs, code[hit]), len(pairs) - 1)
+        real = pairs[which] == code[hit]
+        hit, which = hit[real], which[real]
         # Overlaps: in a run of neighbouring hits take every second one.
         fresh = np.concatenate(([True], np.diff(hit) != 1))
         head = hit[np.maximum.accumulate(np.where(fresh, np.arange(len(hit)), 0))]
-        hit = hit[(hit - head) % 2 == 0]
-        rule = which[hit]
+        second = (hit - head) % 2 == 0
+        hit, rule = hit[second], which[second]
         used = np.bincount(rule, minlength=len(pairs))
         keep = used >= 3  # else the rule costs more than it saves
         if not keep.any():
@@ -69,26 +99,27 @@ def repair(ids: np.ndarray, per_round: int = RULES_A_ROUND, least: int = LEAST_U
         hit, rule = hit[keep[rule]], rule[keep[rule]]
         number = np.cumsum(keep) - 1
         seq[hit] = symbol + number[rule]
-        seq = np.delete(seq, hit + 1)
-        kept = pairs[keep]
+        stay = np.ones(len(seq), bool)
+        stay[hit + 1] = False
+        seq = seq[stay]
+        kept = pairs[keep].astype("i8")
         starts.append(symbol)
-        rules.append(np.stack((kept >> 32, kept & 0xFFFFFFFF), 1))
+        rules.append(np.stack((kept >> shift, kept & ((1 << shift) - 1)), 1))
         symbol += len(kept)
-    return base, np.concatenate(rules) if rules else np.empty((0, 2), "i8"), np.array(starts, "i8"), seq
+    return base, np.concatenate(rules) if rules else np.empty((0, 2), "i8"), np.array(starts, "i8"), seq.astype("i8")
 
 
 def expand(seq: np.ndarray, base: int, rules: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The ids of ``seq``, undoing the rounds from the last to the first."""
-    seq = seq.astype("i8")
+    seq, rules = seq.astype("u4"), rules.astype("u4")
     for start in starts[::-1].tolist():
         pair = seq >= start
-        at = np.cumsum(pair) - pair + np.arange(len(seq))
-        out = np.empty(len(seq) + int(pair.sum()), "i8")
-        out[at[~pair]] = seq[~pair]
-        both = rules[seq[pair] - base]
-        out[at[pair]], out[at[pair] + 1] = both[:, 0], both[:, 1]
-        seq = out
-    return seq
+        place = np.flatnonzero(pair)
+        both = rules[seq[place] - base]
+        seq = np.repeat(seq, 1 + pair.view("i1"))
+        place += np.arange(len(place))
+        seq[place], seq[place + 1] = both[:, 0], both[:, 1]
+    return seq.astype("i8")
 
 
 def expansion_lengths(base: int, rules: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -182,7 +213,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             raw = Shard.build(names, np.concatenate([h[1] for h in held]), ids).to_bytes()
             return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(names)]), pa.array([len(ids)]), pa.array([raw], pa.binary())], names=["bucket", "seq", "n_docs", "n_ids", "payload"])
 
-        for b in (part for batch in batches for part in slices(batch)):
+        for b in (part for batch in _joined(batches, ENCODE_BYTES) for part in slices(batch, 2 * ENCODE_BYTES)):
             ids, at = encoder(tokenizer, False).encode(b.column(1))
             counts = np.diff(at) + 1
             ids = np.insert(ids, at[1:], end_id)

@@ -30,8 +30,10 @@ _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-į]+[,.;:!?]?")
 _AT_ONCE = 2000  # words encoded together
 
 
-# Letters whose lower case has one UTF-8 byte, or two that start with C3.
-_SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[,.;:!?]?")
+# Letters whose lower case has one UTF-8 byte, or two that start with C3, and signs
+# after them: a piece of its own, whatever the signs are.
+_SIMPLE = r"\A[A-Za-zÀ-ÖØ-öø-ÿ]+[!-/:-@\[-`{-~]*\z"
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 class LetterRanks:
@@ -56,9 +58,13 @@ class LetterRanks:
         for c in others:
             second = char[c.encode()[1]]
             inner[second], ends[second] = next(spare), next(spare)
-        self.ends = [(c + " ", ends[c]) for c in letters]
-        self.others = [(c + " ", inner[char[0xC3]] + ends[char[c.encode()[1]]]) for c in others]
-        self.inner = [(c, inner[char[0xC3]] + inner[char[c.encode()[1]]]) for c in others]
+        # Byte by byte, inside a word and at its end.
+        self.inside, self.final = np.zeros(256, "u1"), np.zeros(256, "u1")
+        for c in letters:
+            self.inside[ord(c)], self.final[ord(c)] = ord(c), ord(ends[c])
+        self.inside[0xC3] = ord(inner[char[0xC3]])
+        for second in (c.encode()[1] for c in others):
+            self.inside[second], self.final[second] = ord(inner[char[second]]), ord(ends[char[second]])
         ranks, last = {}, []
         for name, i in file["model"]["vocab"].items():
             whole = name.endswith("</w>")
@@ -78,15 +84,15 @@ class LetterRanks:
         merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
         return model.get("end_of_word_suffix") == "</w>" and not model.get("ignore_merges") and all(model["vocab"].get(m) == 512 + i for i, m in enumerate(merges))
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ends): the ids of all words, and where each word's end."""
-        text = " ".join(words).lower() + " "
-        for c, symbol in self.ends:
-            text = text.replace(c, symbol)
-        if not text.isascii():
-            for c, symbol in self.others + self.inner:
-                text = text.replace(c, symbol)
-        ids = np.array(self.ranked.encode_ordinary(text), "<u4")
+    def encode(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the ids of all words, one letter or more each, and where each word's end."""
+        words = pa.concat_arrays([pc.utf8_lower(words)])
+        at = np.frombuffer(words.buffers()[1], "i8")[words.offset : words.offset + len(words) + 1]
+        raw = np.frombuffer(words.buffers()[2] or b"", "u1")[at[0] : at[-1]]
+        last = at[1:] - at[0] - 1
+        text = self.inside[raw]
+        text[last] = self.final[raw[last]]
+        ids = np.array(self.ranked.encode_ordinary(text.tobytes().decode("ascii")), "<u4")
         return ids, np.flatnonzero(self.edge[ids]) + 1
 
 
@@ -118,25 +124,12 @@ class WordEncoder:
                 file = json.load(f)
             if LetterRanks.fits(file):
                 self.letters = LetterRanks(file)
-                self.mark = {c: np.array([names[c + "</w>"]], "<u4").tobytes() for c in ",.;:!?"}
 
     def _learn(self, words: list[str]) -> None:
-        """Ids of new words.  Words of simple letters come by merge ranks where the
-        file allows.  Words whose ids can be told apart in a text of many
+        """Ids of new words.  Words whose ids can be told apart in a text of many
         words are encoded as one text, which is the library's fastest way; the
         others, and any text where the count of words does not come out, apart."""
         apart = []
-        if self.letters is not None:
-            rest = []
-            simple = [w for w in words if _SIMPLE.fullmatch(w) or rest.append(w)]
-            words = rest
-            for i in range(0, len(simple), _AT_ONCE):
-                part = simple[i : i + _AT_ONCE]
-                ids, ends = self.letters.encode([w if w[-1].isalpha() else w[:-1] for w in part])
-                raw, lo = ids.tobytes(), 0
-                for w, hi in zip(part, (4 * ends).tolist()):
-                    self.memo[w] = raw[lo:hi] + self.mark.get(w[-1], b"")
-                    lo = hi
         whole = (_SPACED if self.byte_level else _LETTERS).fullmatch
         joined = [w for w in words if whole(w) or apart.append(w)]
         for i in range(0, len(joined), _AT_ONCE):
@@ -182,6 +175,36 @@ class WordEncoder:
         got = [memo[k] for k in keys]
         return np.frombuffer(b"".join(got), "<u4"), np.fromiter(map(len, got), "i8", len(got)) // 4
 
+    def _distinct(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, counts): word i has ``counts[i]`` ids from ``ids[starts[i]]`` on.
+        Words of simple letters, and signs after them, come by merge ranks where the
+        file allows: nothing is kept of them, and no step is taken word by word."""
+        simple = np.zeros(len(words), bool)
+        if self.letters is not None and len(words):
+            simple = pc.match_substring_regex(words, _SIMPLE).to_numpy(zero_copy_only=False)
+        rest, n = self._ids(words.filter(pa.array(~simple)).to_pylist())
+        if not simple.any():
+            return rest, np.cumsum(n) - n, n
+        part = words.filter(pa.array(simple))
+        stems = pc.utf8_rtrim(part, characters=_SIGNS)
+        ids, ends = self.letters.encode(stems)
+        count = np.diff(ends, prepend=0)
+        # What follows the letters is one of few runs of signs.
+        length = pc.binary_length(stems).to_numpy(zero_copy_only=False)
+        signed = np.flatnonzero(pc.binary_length(part).to_numpy(zero_copy_only=False) > length)
+        tails = pc.replace_substring_regex(part.take(pa.array(signed)), r"\A[^!-/:-@\[-`{-~]+", "").dictionary_encode()
+        more, size = self._ids(tails.dictionary.to_pylist())
+        code = np.array(tails.indices, "i8")
+        each, at = size[code], (np.cumsum(size) - size)[code]
+        upto = np.cumsum(each)
+        take = np.repeat(at - (upto - each), each) + np.arange(len(code) and upto[-1])
+        ids = np.insert(ids, np.repeat(ends[signed], each), more[take])
+        count[signed] += each
+        starts, counts = np.empty(len(words), "i8"), np.empty(len(words), "i8")
+        starts[simple], counts[simple] = np.cumsum(count) - count, count
+        starts[~simple], counts[~simple] = len(ids) + np.cumsum(n) - n, n
+        return np.concatenate((ids, rest)), starts, counts
+
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.byte_level:  # white space of any kind parts words and is dropped
             texts = pc.replace_substring(texts, "\n", " ")
@@ -190,14 +213,17 @@ class WordEncoder:
         ends = np.asarray(pieces.offsets).astype("i8")
         ends -= ends[0]
         coded = pieces.flatten().dictionary_encode()
-        words, code = coded.dictionary.to_pylist(), np.array(coded.indices, "i8")
+        code = np.array(coded.indices, "i8")
         if self.byte_level:
+            words = coded.dictionary.to_pylist()
             first = ends[:-1]
             heads = [words[c] for c in code[first].tolist()]
             words = [" " + w for w in words] + heads
             code[first] = np.arange(len(words) - len(heads), len(words))
-        ids, n = self._ids(words)
-        at = np.cumsum(n) - n
+            ids, n = self._ids(words)
+            at = np.cumsum(n) - n
+        else:
+            ids, at, n = self._distinct(coded.dictionary)
         each = n[code]
         upto = np.concatenate(([0], np.cumsum(each)))
         out = ids[np.repeat(at[code] - upto[:-1], each) + np.arange(upto[-1])]

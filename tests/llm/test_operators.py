@@ -551,3 +551,28 @@ def test_unshared_words_rule_out_only_lines_that_are_too_far_apart():
             assert not line_dedup.within_edits(a, b, most)
     assert ruled_out
     assert not line_dedup.may_be_within(["a", "b", "c"], ["a", "x", "y"], 1)
+
+
+def test_letter_words_with_signs_are_not_learned_one_by_one():
+    rng = random.Random(7)
+    encoder = WordEncoder(vocabulary("word_bpe_49k.json"), False)
+    stems = ["".join(rng.choices("abcdefgéàÉ", k=rng.randint(1, 9))) for _ in range(900)]
+    words = [w + s for w, s in zip(stems, ["", ".", "***", "&&&", "'", "'\"", "_", "...)", "$"] * 100)]
+    words += ["a*b", "***", "a***é", "l'an***", "x'", "'s", "a's'"]
+    ids, at = encoder.encode(pa.array(words))
+    for i, w in enumerate(words):
+        assert ids[at[i] : at[i + 1]].tolist() == encoder.tokenizer.encode(w, add_special_tokens=False).ids, w
+    assert len(encoder.memo) < 20
+    ids, at = encoder.encode(pa.array(["", None, "a", " ", "b!!"]))
+    assert np.diff(at).tolist() == [0, 0, 1, 0, 2]
+
+
+def test_repair_with_symbols_past_two_bytes():
+    rng = np.random.default_rng(6)
+    for low in (65_400, 70_000):  # the first passes two bytes as rules are added
+        ids = low + rng.integers(0, 30, 40_000)
+        base, rules, starts, seq = tokenfile.repair(ids, per_round=300)
+        assert base + len(rules) > 1 << 16 and len(seq) < len(ids)
+        assert (tokenfile.expand(seq, base, rules, starts) == ids).all()
+        pairs, uses = np.unique((seq[:-1] << 32) | seq[1:], return_counts=True)
+        assert uses[(pairs >> 32) != (pairs & 0xFFFFFFFF)].max(initial=0) < tokenfile.LEAST_USES
