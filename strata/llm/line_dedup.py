@@ -13,18 +13,23 @@ gap differ in that word at most, so all lines of such a key are alike and only
 the key's earliest is needed; a variant that equals a whole line is one deletion
 away.  Thus a key shared by millions of lines costs a minimum, not its pairs.
 
-Two exact reductions come first.  Equal lines count once.  And one edit leaves
+Three exact reductions come first.  Equal lines count once.  One edit leaves
 either the first or the second half of a line as it was, so only lines that
-share a half with another line emit variants.
+share a half with another line go on.  Likewise it leaves all of a line but one of
+``PIECES`` pieces, so variants are only emitted of the pieces, in which a line may differ
+from one that shares the rest.
 
 More edits: two alike lines of ``2 * STRETCH`` words or more share a run of
 ``RUN`` words.  So they share the least hash of a window of ``WINDOW`` runs of
 ``GRAM`` words, and each edit touches ``RUN`` windows at most: lines of which
 too few windows recur elsewhere are out.  Of the others, an edit touches
 ``GRAM`` grams at most, so that alike lines share one of their rarest
-``GRAM * bound + 1`` grams; passages that many lines hold are rarely among them.
+``GRAM * bound + 1`` grams, at places no further apart than the edits; passages that
+many lines hold are rarely among them.
 A line is compared with the earliest holder of each of these grams, and only if
 that settles nothing with all earlier ones.  All pairs are verified by words.
+
+Lines that are candidates go by one number, in the order of document and line.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents, forget, map_arrow, small_batches, written
+from strata.llm.common import SLICE_BYTES, documents, forget, map_arrow, small_batches, written
 from strata.llm.ngram_join import mix
 
 MIN_WORDS = 3
@@ -45,6 +50,7 @@ EDIT_WORDS = 8
 STRETCH = 16
 GRAM, WINDOW = 5, 6
 RUN = GRAM + WINDOW - 1  # at most (n - bound) / (bound + 1), rounded up, from 2 * STRETCH words on
+PIECES = 4
 SEND_ROWS = 500_000  # rows sent to all executors at most; more are joined by a shuffle
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd
 _INVERSE = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _BASE)
@@ -56,6 +62,11 @@ def bound(words: int) -> int:
     return max(1, words // STRETCH)
 
 
+def _cuts(size: np.ndarray) -> list[np.ndarray]:
+    """Where the pieces of lines of these sizes start, and where the last ends."""
+    return [np.maximum(size, 0) * k // PIECES for k in range(PIECES + 1)]
+
+
 class LineWords:
     """The lines of some texts, with hashes of any run of their words in O(1)."""
 
@@ -108,6 +119,17 @@ class LineWords:
             out[:, 2 * i + 1] = mix(self.run(hi - (np.maximum(shorter, 0) - half), hi) + tag + np.uint64(1))
         return out
 
+    def rests(self) -> np.ndarray:
+        """Keys of a line without one of its ``PIECES`` pieces, as one of two lines of
+        its length or the shorter of two, and as the longer of two."""
+        out = np.zeros((len(self.size), 2 * PIECES), "u8")
+        lo, hi = self.at[:-1], self.at[1:]
+        for i, shorter in enumerate((self.size, self.size - 1)):
+            cuts = _cuts(shorter)
+            for k in range(PIECES):
+                tail = mix(self.run(hi - (cuts[PIECES] - cuts[k + 1]), hi) ^ _SALT)
+                out[:, i * PIECES + k] = mix(self.run(lo, lo + cuts[k]) + tail + cuts[PIECES].astype("u8") * _SALT + np.uint64(k))
+        return out
 
     def grams(self) -> np.ndarray:
         """Hashes of the runs of ``GRAM`` words from each word on, across lines too."""
@@ -162,106 +184,130 @@ def _lines(docs: DataFrame) -> DataFrame:
         windows = x.windows(x.size >= 2 * STRETCH).filter(pa.array(keep))
         return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[keep])), *[pa.array(c[keep]) for c in cols], windows], names=["doc", "line", "n", "h1", "h2", "k0", "k1", "k2", "k3", "windows"])
 
-    return map_arrow(_placed(docs), run, f"doc {_DOC}, line int, n long, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long, windows array<struct<key:long,weight:int>>")
+    # Half a slice: there are a dozen arrays of eight bytes a word.
+    return map_arrow(_placed(docs), run, f"doc {_DOC}, line int, n long, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long, windows array<struct<key:long,weight:int>>", SLICE_BYTES // 2)
 
 
 def _text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, line, words, near, far) of the wanted lines; ``words``: the line's text."""
-    wanted = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "near", "far")).alias("lines"))  # a document's own lines
+    """(at, words, near, far) of the wanted lines; ``words``: the line's text."""
+    wanted = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "at", "near", "far")).alias("lines"))  # a document's own lines
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         own = b.column(2).flatten()
         row = np.repeat(np.arange(b.num_rows), np.asarray(pc.list_value_length(b.column(2))))
         rows = [(t or "").split("\n") for t in b.column(1).to_pylist()]
         words = [rows[i][k] for i, k in zip(row.tolist(), own.field("line").to_pylist())]
-        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), own.field("line"), pa.array(words, pa.string()), own.field("near"), own.field("far")], names=["doc", "line", "words", "near", "far"])
+        return pa.RecordBatch.from_arrays([own.field("at"), pa.array(words, pa.string()), own.field("near"), own.field("far")], names=["at", "words", "near", "far"])
 
     wanted = written(wanted, "wanted")
     send = wanted.count() <= SEND_ROWS
     chosen = _placed(docs).join(F.broadcast(wanted) if send else wanted, "doc").select("doc", "text", "lines")
-    return map_arrow(chosen, run, f"doc {_DOC}, line int, words string, near boolean, far boolean").dropDuplicates(["doc", "line"])
+    return map_arrow(chosen, run, "at long, words string, near boolean, far boolean").dropDuplicates(["at"])
+
 
+def _apart(text: DataFrame) -> DataFrame:
+    """(at, words, bits) of the near lines that share with another line all but one of
+    their pieces; ``bits``: which, as of ``LineWords.rests``."""
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        keys = LineWords(b.column(1)).rests()
+        each = np.repeat(np.arange(b.num_rows), 2 * PIECES)
+        bit = np.tile((1 << np.arange(2 * PIECES)).astype("i4"), b.num_rows)
+        return pa.RecordBatch.from_arrays([pa.array(keys.ravel().view("i8")), pa.array(bit), b.column(0).take(pa.array(each))], names=["key", "bit", "at"])
 
-def _variants(text: DataFrame) -> DataFrame:
+    near = text.where("near").select("at", "words")
+    keys = map_arrow(near, run, "key long, bit int, at long")
+    shared = keys.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).where("lo <> hi").select("key")
+    return near.join(keys.join(shared, "key").groupBy("at").agg(F.bit_or("bit").alias("bits")), "at").select("at", "words", "bits")
+
+
+def _variants(lines: DataFrame) -> DataFrame:
     """The variants of lines: gap -1 is the whole line.  ``check`` is a second
     hash of what is left."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        x = LineWords(b.column(2))
+        x = LineWords(b.column(1))
         each = x.size + 1
         row = np.repeat(np.arange(len(each)), each)
         gap = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each) - 1
+        bits = np.asarray(b.column(2))
+        use = (gap < 0) & ((bits & ((1 << PIECES) - 1)) != 0)[row]
+        for i, shorter in enumerate((x.size, x.size - 1)):  # the longer's gap may be just behind the piece
+            cuts = _cuts(shorter)
+            for k in range(PIECES):
+                use |= ((bits >> (i * PIECES + k)) & 1).astype(bool)[row] & (gap >= cuts[k][row]) & (gap < cuts[k + 1][row] + i)
+        row, gap = row[use], gap[use]
         lo, hi = x.at[:-1][row], x.at[1:][row]
         whole = gap < 0
         at = lo + np.maximum(gap, 0)
         key, check = (np.where(whole, x.run(lo, hi, i), x.without(lo, hi, at, i)) for i in (0, 1))
-        here = pa.array(row)
-        return pa.RecordBatch.from_arrays([pa.array(key.view("i8")), pa.array(check.view("i8")), pa.array(x.size[row]), pa.array(gap), b.column(0).take(here), b.column(1).take(here)], names=["key", "check", "n", "gap", "doc", "line"])
+        return pa.RecordBatch.from_arrays([pa.array(key.view("i8")), pa.array(check.view("i8")), pa.array(x.size[row]), pa.array(gap), b.column(0).take(pa.array(row))], names=["key", "check", "n", "gap", "at"])
 
-    return map_arrow(text.where("near").select("doc", "line", "words"), run, f"key long, check long, n long, gap long, doc {_DOC}, line int")
+    return map_arrow(lines, run, "key long, check long, n long, gap long, at long")
 
 
 def _rare(text: DataFrame) -> DataFrame:
-    """(doc, line, n, gram): of the rarest ``GRAM * bound + 1`` grams of each line,
-    those that another line has."""
+    """(at, n, gram, lo, hi): of the rarest ``GRAM * bound + 1`` grams of each line,
+    those that another line has, with the first and the last place in the line."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        x = LineWords(b.column(2))
-        g, row, gram, of = x.grams(), [], [], []
+        x = LineWords(b.column(1))
+        g, row, gram, of, lows, highs = x.grams(), [], [], [], [], []
         for i, (lo, n) in enumerate(zip(x.at[:-1].tolist(), x.size.tolist())):
-            own = np.unique(g[lo : lo + n - GRAM + 1])
-            gram.append(own)
-            row.append(np.full(len(own), i))
-            of.append(np.full(len(own), len(own)))
-        row, gram, of = (np.concatenate(v or [np.empty(0)]) for v in (row, gram, of))
-        here = pa.array(row.astype("i8"))
-        return pa.RecordBatch.from_arrays([b.column(0).take(here), b.column(1).take(here), pa.array(x.size[row.astype("i8")]), pa.array(of.astype("i8")), pa.array(gram.astype("u8").view("i8"))], names=["doc", "line", "n", "grams", "gram"])
-
-    grams = written(map_arrow(text.where("far").select("doc", "line", "words"), run, f"doc {_DOC}, line int, n long, grams long, gram long"), "grams")
+            own = g[lo : lo + n - GRAM + 1]
+            order = np.argsort(own, kind="stable")
+            own = own[order]
+            new = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            gram.append(own[new])
+            lows.append(order[new])
+            highs.append(order[np.append(new[1:], len(own)) - 1])
+            row.append(np.full(len(new), i))
+            of.append(np.full(len(new), len(new)))
+        row, gram, of, lows, highs = (np.concatenate(v or [np.empty(0)]) for v in (row, gram, of, lows, highs))
+        row = row.astype("i8")
+        cols = [x.size[row].astype("i4"), of.astype("i4"), gram.astype("u8").view("i8"), lows.astype("i4"), highs.astype("i4")]
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), *map(pa.array, cols)], names=["at", "n", "grams", "gram", "lo", "hi"])
+
+    grams = written(map_arrow(text.where("far").select("at", "words"), run, "at long, n int, grams int, gram long, lo int, hi int"), "grams")
     uses = grams.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1")
-    own = grams.join(uses, "gram").groupBy("doc", "line", "n", "grams").agg(F.sort_array(F.collect_list(F.struct("uses", "gram"))).alias("own"))  # a line's own grams
+    own = grams.join(uses, "gram").groupBy("at", "n", "grams").agg(F.sort_array(F.collect_list(F.struct("uses", "gram", "lo", "hi"))).alias("own"))  # a line's own grams
     own = own.withColumn("take", (GRAM * F.floor(F.col("n") / STRETCH) + 1 - (F.col("grams") - F.size("own"))).cast("int")).where("take > 0")
-    return own.select("doc", "line", "n", F.explode(F.slice("own", 1, F.col("take"))).alias("own")).select("doc", "line", "n", "own.gram")
-
-
-def _close(n: str, to_n: str) -> Column:
-    """Whether lines of these lengths can be alike."""
-    return F.abs(F.col(n) - F.col(to_n)) <= F.floor(F.least(n, to_n) / STRETCH)
+    return own.select("at", "n", F.explode(F.slice("own", 1, F.col("take"))).alias("own")).select("at", "n", "own.gram", "own.lo", "own.hi")
 
 
 def _with_earliest(rare: DataFrame) -> DataFrame:
-    """(doc, line, to_doc, to_line): lines with the earliest holder of each of their grams."""
-    least = rare.groupBy("gram").agg(F.min(F.struct("doc", "line", "n")).alias("to"))
-    pairs = rare.join(least, "gram").select("doc", "line", "n", F.col("to.doc").alias("to_doc"), F.col("to.line").alias("to_line"), F.col("to.n").alias("to_n"))
-    return _earlier(pairs)
+    """(at, to): lines with the earliest holder of each of their grams."""
+    least = rare.groupBy("gram").agg(F.min(F.struct("at", "n", "lo", "hi")).alias("first"), F.count("*").alias("uses")).where("uses > 1")
+    least = least.select("gram", F.col("first.at").alias("to"), F.col("first.n").alias("to_n"), F.col("first.lo").alias("to_lo"), F.col("first.hi").alias("to_hi"))
+    return _earlier(rare.join(least, "gram"))
 
 
 def _with_all(rare: DataFrame, settled: DataFrame) -> DataFrame:
-    """(doc, line, to_doc, to_line): lines not settled with all earlier holders of their grams."""
-    other = rare.select("gram", F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("n").alias("to_n"))
-    return _earlier(rare.join(settled, ["doc", "line"], "left_anti").join(other, "gram"))
+    """(at, to): lines not settled with all earlier holders of their grams."""
+    other = rare.select("gram", F.col("at").alias("to"), F.col("n").alias("to_n"), F.col("lo").alias("to_lo"), F.col("hi").alias("to_hi"))
+    return _earlier(rare.join(settled, "at", "left_anti").join(other, "gram"))
 
 
 def _earlier(pairs: DataFrame) -> DataFrame:
-    before = F.struct(F.col("to_doc").alias("doc"), F.col("to_line").alias("line")) < F.struct("doc", "line")
-    return pairs.where(before & _close("n", "to_n")).select("doc", "line", "to_doc", "to_line").distinct()
+    """Pairs whose lengths and places of the gram the edits allow: what comes before
+    the gram and what comes after it differ in length by no more than those."""
+    most = F.floor(F.least("n", "to_n") / STRETCH)
+    near = (F.abs(F.col("n") - F.col("to_n")) <= most) & (F.col("to_lo") <= F.col("hi") + most) & (F.col("to_hi") >= F.col("lo") - most)
+    return pairs.where((F.col("to") < F.col("at")) & near).select("at", "to").distinct()
 
 
 def _alike(variants: DataFrame) -> DataFrame:
-    """(doc, line, to_doc, to_line): lines with the earliest line of each of their keys
-    that comes before them."""
-    at = F.struct("doc", "line")
+    """(at, to): lines with the earliest line of each of their keys that comes before them."""
     keys = ["key", "check"]
     gaps = variants.where("gap >= 0")
-    first = gaps.groupBy(*keys, "n", "gap").agg(F.min(at).alias("to"), F.count("*").alias("uses")).where("uses > 1")
-    replaced = gaps.join(first, [*keys, "n", "gap"]).where(at > F.col("to")).select("doc", "line", "to")
-    whole = variants.where("gap < 0").select(*keys, F.col("n"), at.alias("whole"))
-    longer = gaps.select(*keys, (F.col("n") - 1).alias("n"), "doc", "line")
-    inserted = longer.join(whole, [*keys, "n"]).where(at > F.col("whole")).select("doc", "line", F.col("whole").alias("to"))
-    least = longer.groupBy(*keys, "n").agg(F.min(at).alias("to"))
-    deleted = whole.join(least, [*keys, "n"]).where("whole > to").select("whole.doc", "whole.line", "to")
-    pairs = replaced.unionAll(inserted).unionAll(deleted).groupBy("doc", "line", "to").count()
-    return pairs.select("doc", "line", F.col("to.doc").alias("to_doc"), F.col("to.line").alias("to_line"))
+    first = gaps.groupBy(*keys, "n", "gap").agg(F.min("at").alias("to"), F.count("*").alias("uses")).where("uses > 1")
+    replaced = gaps.join(first, [*keys, "n", "gap"]).where("at > to").select("at", "to")
+    whole = variants.where("gap < 0").select(*keys, "n", F.col("at").alias("whole"))
+    longer = gaps.select(*keys, (F.col("n") - 1).alias("n"), "at")
+    inserted = longer.join(whole, [*keys, "n"]).where("at > whole").select("at", F.col("whole").alias("to"))
+    least = longer.groupBy(*keys, "n").agg(F.min("at").alias("to"))
+    deleted = whole.join(least, [*keys, "n"]).where("whole > to").select(F.col("whole").alias("at"), "to")
+    return replaced.unionAll(inserted).unionAll(deleted).distinct()
 
 
 def within_one_edit(a: list[str], b: list[str]) -> bool:
@@ -308,19 +354,43 @@ def may_be_within(a: list[str], b: list[str], most: int) -> bool:
     return len(a_words - b_words) <= most and len(b_words - a_words) <= most
 
 
+def may_be_within_each(a: pa.Array, b: pa.Array) -> tuple[tuple, tuple, np.ndarray]:
+    """``may_be_within`` of each line of ``a`` with that of ``b`` and their bound, by
+    array operations, and the words of both as (numbers, offsets)."""
+    split = [pc.ascii_split_whitespace(x) for x in (a, b)]
+    coded = pa.concat_arrays([x.flatten() for x in split]).dictionary_encode()
+    numbers, lo, sides, sizes = np.array(coded.indices, "i8"), 0, [], []
+    blank = pc.index(coded.dictionary, "").as_py()
+    for x in split:
+        row = np.repeat(np.arange(len(x)), np.asarray(pc.list_value_length(x)))
+        code, lo = numbers[lo : lo + len(row)], lo + len(row)
+        row, code = row[code != blank], code[code != blank]
+        sizes.append(np.bincount(row, minlength=len(x)))
+        sides.append((row, code))
+    most = np.maximum(1, np.minimum(*sizes) // STRETCH)
+    may = np.abs(sizes[0] - sizes[1]) <= most
+    words = [np.unique((row << 32) | code) for row, code in sides]
+    for own, other in (words, words[::-1]):
+        alone = own[~np.isin(own, other, assume_unique=True)] >> 32
+        may &= np.bincount(alone, minlength=len(a)) <= most
+    out = [(code, np.concatenate(([0], np.cumsum(n)))) for (_, code), n in zip(sides, sizes)]
+    return *out, may
+
+
 def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
     """The pairs whose lines are alike, by their words."""
 
     def check(b: pa.RecordBatch) -> pa.RecordBatch:
-        words = [[[w for w in x if w] for x in pc.ascii_split_whitespace(b.column(i)).to_pylist()] for i in (2, 3)]
-        most = [bound(min(len(x), len(y))) for x, y in zip(*words)]
-        keep = [may_be_within(x, y, m) and within_edits(x, y, m) for x, y, m in zip(*words, most)]
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["doc", "line"]).filter(pa.array(keep, pa.bool_()))
+        (x, x_at), (y, y_at), may = may_be_within_each(b.column(1), b.column(2))
+        keep = np.zeros(b.num_rows, bool)
+        for i in np.flatnonzero(may).tolist():
+            one, other = x[x_at[i] : x_at[i + 1]].tolist(), y[y_at[i] : y_at[i + 1]].tolist()
+            keep[i] = within_edits(one, other, bound(min(len(one), len(other))))
+        return pa.RecordBatch.from_arrays([b.column(0)], names=["at"]).filter(pa.array(keep))
 
-    text = text.select("doc", "line", "words")
-    other = text.select(F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("words").alias("to_words"))
-    both = pairs.join(text, ["doc", "line"]).join(other, ["to_doc", "to_line"]).select("doc", "line", "words", "to_words")
-    return map_arrow(both, check, f"doc {_DOC}, line int").distinct()
+    text = text.select("at", "words")
+    other = text.select(F.col("at").alias("to"), F.col("words").alias("to_words"))
+    return map_arrow(pairs.join(text, "at").join(other, "to").select("at", "words", "to_words"), check, "at long").distinct()
 
 
 def _met_elsewhere(keys: DataFrame) -> DataFrame:
@@ -330,8 +400,8 @@ def _met_elsewhere(keys: DataFrame) -> DataFrame:
 
 
 def _candidates(lines: DataFrame, first: DataFrame) -> DataFrame:
-    """(doc, line, near, far) of the distinct lines that may be alike to another,
-    near: within one edit, far: within more."""
+    """(doc, line, at, near, far) of the distinct lines that may be alike to another,
+    near: within one edit, far: within more; ``at`` goes up with document and line."""
     halves = lines.where(F.col("n") >= EDIT_WORDS).select("lid", "h1", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
     in_halves = _met_elsewhere(halves)
     near = written(halves.select("lid", "key").join(in_halves, "key").select("lid").distinct(), "near-lines")
@@ -341,8 +411,9 @@ def _candidates(lines: DataFrame, first: DataFrame) -> DataFrame:
     far = written(met.where(F.col("met") >= F.col("n") - RUN + 1 - RUN * F.floor(F.col("n") / STRETCH)).select("lid"), "far-lines")
     both = near.select("lid", F.lit(True).alias("near"), F.lit(False).alias("far")).unionAll(far.select("lid", F.lit(False).alias("near"), F.lit(True).alias("far")))
     named = lines.select("lid", "h1", "h2", "n").join(both, "lid").groupBy("h1", "h2", "n").agg(F.max("near").alias("near"), F.max("far").alias("far"))
-    wanted = written(named.join(first, ["h1", "h2", "n"]).select("first.doc", "first.line", "near", "far"), "candidates")
-    forget(in_halves, in_windows, near, far)
+    found = written(named.join(first, ["h1", "h2", "n"]).select("first.doc", "first.line", "near", "far"), "candidates")
+    wanted = written(found.orderBy("doc", "line").withColumn("at", F.monotonically_increasing_id()), "ranked")
+    forget(in_halves, in_windows, near, far, found)
     return wanted
 
 
@@ -354,11 +425,13 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     wanted = _candidates(lines, first)
     text = written(_text(docs, wanted), "line-text")
     rare = written(_rare(text), "rare")
-    pairs = written(_alike(_variants(text)).unionAll(_with_earliest(rare)).distinct(), "alike")
+    apart = written(_apart(text), "apart")
+    variants = written(_variants(apart), "variants")
+    pairs = written(_alike(variants).unionAll(_with_earliest(rare)).distinct(), "alike")
     settled = written(_verified(pairs, text), "settled")
-    rest = written(_with_all(rare, settled).join(pairs, ["doc", "line", "to_doc", "to_line"], "left_anti"), "rest")
-    near = written(settled.unionAll(_verified(rest, text)), "near")
-    forget(wanted, text, rare, pairs, settled, rest)
+    rest = written(_with_all(rare, settled).join(pairs, ["at", "to"], "left_anti"), "rest")
+    near = written(settled.unionAll(_verified(rest, text)).distinct().join(wanted, "at").select("doc", "line"), "near")
+    forget(wanted, text, rare, apart, variants, pairs, settled, rest)
     marked = near.withColumn("near", F.lit(True))
     going = first.select("h1", "h2", "n", "uses", "first", "first.doc", "first.line").join(marked, ["doc", "line"], "left").where("uses > 1 or near")
     every = lines.select("doc", "line", "h1", "h2", "n").join(going.select("h1", "h2", "n", "first", "near"), ["h1", "h2", "n"])

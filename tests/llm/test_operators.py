@@ -576,3 +576,39 @@ def test_repair_with_symbols_past_two_bytes():
         assert (tokenfile.expand(seq, base, rules, starts) == ids).all()
         pairs, uses = np.unique((seq[:-1] << 32) | seq[1:], return_counts=True)
         assert uses[(pairs >> 32) != (pairs & 0xFFFFFFFF)].max(initial=0) < tokenfile.LEAST_USES
+
+
+def test_lines_ruled_out_by_arrays_are_those_ruled_out_one_by_one():
+    rng = random.Random(8)
+    pairs = [("", ""), ("  ", "a"), ("a b", "a b")]
+    for _ in range(1500):
+        a = [rng.choice("abcdefghijklmnop") * rng.randint(1, 2) for _ in range(rng.randint(1, 50))]
+        b = list(a)
+        for _ in range(rng.randint(0, 5)):
+            b[(i := rng.randint(0, len(b))) : i + rng.randint(0, 1)] = [rng.choice("qrstabc")] * rng.randint(0, 2)
+        pairs.append((rng.choice(["", " "]) + "  ".join(a), " ".join(b) + rng.choice(["", "\t"])))
+    (x, x_at), (y, y_at), may = line_dedup.may_be_within_each(pa.array([a for a, _ in pairs]), pa.array([b for _, b in pairs]))
+    for i, (a, b) in enumerate(pairs):
+        a, b = a.split(), b.split()
+        most = line_dedup.bound(min(len(a), len(b)))
+        assert bool(may[i]) == line_dedup.may_be_within(a, b, most)
+        one, other = x[x_at[i] : x_at[i + 1]].tolist(), y[y_at[i] : y_at[i + 1]].tolist()
+        assert line_dedup.within_edits(one, other, most) == line_dedup.within_edits(a, b, most)
+    assert 0 < may.sum() < len(may)
+
+
+def test_variants_are_emitted_only_of_pieces_in_which_lines_differ(spark):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(40)]
+    lines = [base]
+    for k in range(0, 40, 3):  # replaced, deleted and inserted, at any place
+        lines += [[*base[:k], f"x{k}", *base[k + 1 :]], [*base[:k], *base[k + 1 :]], [*base[:k], f"y{k}", *base[k:]]]
+    lines += [base[:20] + [f"z{rng.random()}" for _ in range(20)] for _ in range(50)]  # share a half only
+    text = spark.createDataFrame([(i, " ".join(w), True, False) for i, w in enumerate(lines)], "at long, words string, near boolean, far boolean")
+    variants = line_dedup._variants(line_dedup._apart(text))
+    got = {(r.at, r.to) for r in line_dedup._alike(variants).collect()}
+    near = {a for a, w in enumerate(lines) if any(line_dedup.within_one_edit(lines[b], w) for b in range(a))}
+    assert {a for a, _ in got} == near and all(line_dedup.within_one_edit(lines[a], lines[b]) for a, b in got)
+    assert variants.where("at >= 43").count() == 0
+    halves = [base, base[:5] + ["x"] + base[5:20] + ["y"] + base[20:]]
+    assert line_dedup._apart(spark.createDataFrame([(i, " ".join(w), True, False) for i, w in enumerate(halves)], text.schema)).count() == 0
