@@ -612,3 +612,19 @@ def test_variants_are_emitted_only_of_pieces_in_which_lines_differ(spark):
     assert variants.where("at >= 43").count() == 0
     halves = [base, base[:5] + ["x"] + base[5:20] + ["y"] + base[20:]]
     assert line_dedup._apart(spark.createDataFrame([(i, " ".join(w), True, False) for i, w in enumerate(halves)], text.schema)).count() == 0
+
+
+def test_toxicity_learns_in_a_task_not_in_the_driver(spark, monkeypatch):
+    docs = frame(spark, [f"{'vile nasty' if i % 2 else 'kind nice'} word{i} and more" for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], LABELS)
+
+    def here(*args, **kwargs):
+        raise AssertionError("trained in the driver")
+
+    monkeypatch.setattr(toxicity, "train", here)
+    model = toxicity.fit(docs, labels, least=2)
+    assert len(model.rows) > 0
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert min(scores[i] for i in scores if i % 2) > max(scores[i] for i in scores if i % 2 == 0)
+    empty = toxicity.fit(docs.limit(0), labels)
+    assert not empty.rows and not toxicity.fit(docs, labels.limit(0)).rows
