@@ -51,6 +51,8 @@ STRETCH = 16
 GRAM, WINDOW = 5, 6
 RUN = GRAM + WINDOW - 1  # at most (n - bound) / (bound + 1), rounded up, from 2 * STRETCH words on
 PIECES = 4
+PART_WORDS = 2_000_000  # of all lines, for each part that their keys are dealt into
+PACK_KEYS = 1_000_000  # keys that a task holds before it sends them on
 SEND_ROWS = 500_000  # rows sent to all executors at most; more are joined by a shuffle
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd
 _INVERSE = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _BASE)
@@ -78,7 +80,7 @@ class LineWords:
         words = pc.ascii_split_whitespace(lines.flatten())
         at = np.asarray(words.offsets).astype("i8")
         coded = words.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes ten times as long
         code = np.array(coded.indices, "i8")
         at = at - at[0]
         if "" in names:  # around leading and trailing blanks
@@ -88,7 +90,7 @@ class LineWords:
         of = np.array([xxhash.xxh64_intdigest(w) for w in names] or [0], "u8")
         self.at = at  # line j has words at[j] to at[j + 1]
         self.size = np.diff(at)
-        h = of[code]
+        h = self.word = of[code]
         self.sums, self.power, self.back = [], [], []
         for i, (base, inverse) in enumerate(zip(_BASE, _INVERSE)):
             steps = np.full(len(h) + 1, base, "u8")
@@ -136,6 +138,18 @@ class LineWords:
         start = np.arange(max(0, int(self.at[-1]) - GRAM + 1))
         return mix(self.run(start, start + GRAM))
 
+    def parities(self) -> np.ndarray:
+        """128 bits a line, as two numbers: whether it has an odd number of words of
+        each of 128 hash values.  A word put in or taken out turns one of them."""
+        bit = self.word >> np.uint64(57)
+        one = np.uint64(1) << (bit & np.uint64(63))
+        out = np.zeros((len(self.size), 2), "u8")
+        some = np.flatnonzero(self.size)
+        for k in range(2):
+            if len(some):
+                out[some, k] = np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == k, one, np.uint64(0)), self.at[:-1][some])
+        return out
+
     def windows(self, pick: np.ndarray) -> pa.ListArray:
         """The least gram hashes of the windows of the lines of ``pick``, others
         empty, each with the count of neighbouring windows that it is least in."""
@@ -246,54 +260,70 @@ def _variants(lines: DataFrame) -> DataFrame:
     return map_arrow(lines, run, "key long, check long, n long, gap long, at long")
 
 
-def _rare(text: DataFrame) -> DataFrame:
-    """(at, n, gram, lo, hi): of the rarest ``GRAM * bound + 1`` grams of each line,
-    those that another line has, with the first and the last place in the line."""
+def _grams(text: DataFrame) -> DataFrame:
+    """(at, n, s0, s1, grams) of the far lines: the ``parities`` and the different grams,
+    each with the first and the last place in the line as one number."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         x = LineWords(b.column(1))
-        g, row, gram, of, lows, highs = x.grams(), [], [], [], [], []
-        for i, (lo, n) in enumerate(zip(x.at[:-1].tolist(), x.size.tolist())):
-            own = g[lo : lo + n - GRAM + 1]
-            order = np.argsort(own, kind="stable")
-            own = own[order]
-            new = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            gram.append(own[new])
-            lows.append(order[new])
-            highs.append(order[np.append(new[1:], len(own)) - 1])
-            row.append(np.full(len(new), i))
-            of.append(np.full(len(new), len(new)))
-        row, gram, of, lows, highs = (np.concatenate(v or [np.empty(0)]) for v in (row, gram, of, lows, highs))
-        row = row.astype("i8")
-        cols = [x.size[row].astype("i4"), of.astype("i4"), gram.astype("u8").view("i8"), lows.astype("i4"), highs.astype("i4")]
-        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), *map(pa.array, cols)], names=["at", "n", "grams", "gram", "lo", "hi"])
-
-    grams = written(map_arrow(text.where("far").select("at", "words"), run, "at long, n int, grams int, gram long, lo int, hi int"), "grams")
-    uses = grams.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1")
-    own = grams.join(uses, "gram").groupBy("at", "n", "grams").agg(F.sort_array(F.collect_list(F.struct("uses", "gram", "lo", "hi"))).alias("own"))  # a line's own grams
+        g, start = x.grams(), x.at[:-1]
+        each = np.maximum(x.size - GRAM + 1, 0)
+        line = np.repeat(np.arange(len(each)), each)
+        place = np.arange(len(line)) - np.repeat(np.cumsum(each) - each, each)
+        gram = g[start[line] + place]
+        order = np.lexsort((gram, line))
+        gram, line, place = gram[order], line[order], place[order]
+        new = np.ones(len(gram), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (line[1:] != line[:-1])
+        new = np.flatnonzero(new)
+        places = place[new] << 32 | place[np.append(new[1:], len(gram))[: len(new)] - 1]
+        own = pa.StructArray.from_arrays([pa.array(gram[new].view("i8")), pa.array(places.astype("i8"))], names=["gram", "places"])
+        offsets = np.searchsorted(line[new], np.arange(len(each) + 1)).astype("i4")
+        cols = [b.column(0), pa.array(x.size.astype("i4")), *[pa.array(c) for c in x.parities().view("i8").T.copy()], pa.ListArray.from_arrays(pa.array(offsets), own)]
+        return pa.RecordBatch.from_arrays(cols, names=["at", "n", "s0", "s1", "grams"])
+
+    return map_arrow(text.where("far").select("at", "words"), run, "at long, n int, s0 long, s1 long, grams array<struct<gram:long,places:long>>")
+
+
+def _rare(text: DataFrame) -> DataFrame:
+    """(at, n, s0, s1, gram, lo, hi): of the rarest ``GRAM * bound + 1`` grams of each line,
+    those that another line has, with the first and the last place in the line."""
+    lines = written(_grams(text), "grams")
+    each = lines.select("at", F.explode("grams").alias("g")).select("at", "g.gram", "g.places")
+    uses = each.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1")
+    own = each.join(uses, "gram").groupBy("at").agg(F.sort_array(F.collect_list(F.struct("uses", "gram", "places"))).alias("own"))  # a line's own grams
+    own = own.join(lines.select("at", "n", "s0", "s1", F.size("grams").alias("grams")), "at")
     own = own.withColumn("take", (GRAM * F.floor(F.col("n") / STRETCH) + 1 - (F.col("grams") - F.size("own"))).cast("int")).where("take > 0")
-    return own.select("at", "n", F.explode(F.slice("own", 1, F.col("take"))).alias("own")).select("at", "n", "own.gram", "own.lo", "own.hi")
+    own = own.select("at", "n", "s0", "s1", F.explode(F.slice("own", 1, F.col("take"))).alias("own"))
+    lo, hi = F.shiftright("own.places", 32).cast("int"), F.col("own.places").bitwiseAND(F.lit(2**31 - 1)).cast("int")
+    found = written(own.select("at", "n", "s0", "s1", "own.gram", lo.alias("lo"), hi.alias("hi")), "rare")
+    forget(lines)
+    return found
+
+
+_HELD = ("at", "n", "s0", "s1", "lo", "hi")  # of a holder of a gram
 
 
 def _with_earliest(rare: DataFrame) -> DataFrame:
     """(at, to): lines with the earliest holder of each of their grams."""
-    least = rare.groupBy("gram").agg(F.min(F.struct("at", "n", "lo", "hi")).alias("first"), F.count("*").alias("uses")).where("uses > 1")
-    least = least.select("gram", F.col("first.at").alias("to"), F.col("first.n").alias("to_n"), F.col("first.lo").alias("to_lo"), F.col("first.hi").alias("to_hi"))
-    return _earlier(rare.join(least, "gram"))
+    least = rare.groupBy("gram").agg(F.min(F.struct(*_HELD)).alias("first"), F.count("*").alias("uses")).where("uses > 1")
+    return _earlier(rare.join(least.select("gram", *[F.col(f"first.{c}").alias(f"to_{c}") for c in _HELD]), "gram"))
 
 
 def _with_all(rare: DataFrame, settled: DataFrame) -> DataFrame:
     """(at, to): lines not settled with all earlier holders of their grams."""
-    other = rare.select("gram", F.col("at").alias("to"), F.col("n").alias("to_n"), F.col("lo").alias("to_lo"), F.col("hi").alias("to_hi"))
+    other = rare.select("gram", *[F.col(c).alias(f"to_{c}") for c in _HELD])
     return _earlier(rare.join(settled, "at", "left_anti").join(other, "gram"))
 
 
 def _earlier(pairs: DataFrame) -> DataFrame:
-    """Pairs whose lengths and places of the gram the edits allow: what comes before
-    the gram and what comes after it differ in length by no more than those."""
-    most = F.floor(F.least("n", "to_n") / STRETCH)
-    near = (F.abs(F.col("n") - F.col("to_n")) <= most) & (F.col("to_lo") <= F.col("hi") + most) & (F.col("to_hi") >= F.col("lo") - most)
-    return pairs.where((F.col("to") < F.col("at")) & near).select("at", "to").distinct()
+    """Pairs whose lengths, parities and places of the gram the edits allow: what comes
+    before the gram and what comes after it differ in length by no more than those; a word
+    replaced turns two parities, and one for each word of difference in length is only put in."""
+    most, apart = F.floor(F.least("n", "to_n") / STRETCH), F.abs(F.col("n") - F.col("to_n"))
+    near = (apart <= most) & (F.col("to_lo") <= F.col("hi") + most) & (F.col("to_hi") >= F.col("lo") - most)
+    turned = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"to_{c}"))) for c in ("s0", "s1"))
+    return pairs.where((F.col("to_at") < F.col("at")) & near & (turned <= 2 * most - apart)).select("at", F.col("to_at").alias("to")).distinct()
 
 
 def _alike(variants: DataFrame) -> DataFrame:
@@ -393,38 +423,87 @@ def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
     return map_arrow(pairs.join(text, "at").join(other, "to").select("at", "words", "to_words"), check, "at long").distinct()
 
 
-def _met_elsewhere(keys: DataFrame) -> DataFrame:
-    """The keys (key, h1, ...) that different lines have; equal lines count once."""
-    apart = keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi")
-    return written(apart.select("key"), "shared")
+def _met_elsewhere(keys: DataFrame, parts: int) -> DataFrame:
+    """(h1, met) of lines (h1, keys): the summed weights of their keys that a line with
+    another h1 has too; equal lines count once.
 
+    Keys are dealt into ``parts`` by hash and travel as arrays.  In a part 32 bits of a
+    key do: keys taken for one another only add candidates.
+    """
 
-def _candidates(lines: DataFrame, first: DataFrame) -> DataFrame:
+    def pack(held: list) -> pa.RecordBatch:
+        key, h1, weight, row = (np.concatenate(v) for v in zip(*held))
+        key = mix(key)
+        code = ((key >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32) | (key & np.uint64(2**32 - 1))
+        order = np.argsort(code, kind="stable")
+        code, row = code[order], row[order]
+        new = np.flatnonzero(np.concatenate(([True], (code[1:] != code[:-1]) | (row[1:] != row[:-1]))))
+        weight = np.add.reduceat(weight[order], new).astype("<i4")
+        code, h1 = code[new], h1[order][new]
+        part, key = (code >> np.uint64(32)).astype("i4"), code.astype("<u4")
+        cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+        cols = [pa.array([x[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary()) for x in (key, h1, weight)]
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), *cols], names=["part", "key", "h1", "weight"])
+
+    def deal(batches):
+        held, total, rows = [], 0, 0
+        for b in batches:
+            own, each = b.column(1).flatten(), np.asarray(pc.list_value_length(b.column(1)))
+            if not len(own):
+                continue
+            h1, row = np.asarray(b.column(0)), np.repeat(np.arange(b.num_rows), each)
+            held.append((np.asarray(own.field("key")).view("u8"), h1[row], np.asarray(own.field("weight")), row + rows))
+            total, rows = total + len(own), rows + b.num_rows
+            if total >= PACK_KEYS:
+                yield pack(held)
+                held, total = [], 0
+        if held:
+            yield pack(held)
+
+    def meet(t: pa.Table) -> pa.Table:
+        key, h1, weight = (np.frombuffer(b"".join(t[c].to_pylist()), d) for c, d in (("key", "<u4"), ("h1", "<i8"), ("weight", "<i4")))
+        order = np.lexsort((h1, key))
+        key, h1 = key[order], h1[order]
+        new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (h1[1:] != h1[:-1]))))
+        key, h1, weight = key[new], h1[new], weight[order][new]  # equal lines have equal weights
+        same = key[1:] == key[:-1]
+        met = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+        lines, at = np.unique(h1[met], return_inverse=True)
+        sums = np.bincount(at, weight[met], len(lines)).astype("i8")
+        return pa.table({"h1": pa.array(lines, pa.int64()), "met": pa.array(sums)})
+
+    packed = keys.mapInArrow(deal, "part int, key binary, h1 binary, weight binary")
+    return packed.groupBy("part").applyInArrow(meet, "h1 long, met long").groupBy("h1").agg(F.sum("met").alias("met"))
+
+
+def _candidates(keyed: DataFrame, first: DataFrame) -> DataFrame:
     """(doc, line, at, near, far) of the distinct lines that may be alike to another,
     near: within one edit, far: within more; ``at`` goes up with document and line."""
-    halves = lines.where(F.col("n") >= EDIT_WORDS).select("lid", "h1", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
-    in_halves = _met_elsewhere(halves)
-    near = written(halves.select("lid", "key").join(in_halves, "key").select("lid").distinct(), "near-lines")
-    windows = lines.where(F.col("n") >= 2 * STRETCH).select("lid", "h1", F.col("n").cast("int").alias("n"), F.explode("windows").alias("w")).select("lid", "h1", "n", "w.key", "w.weight")
-    in_windows = _met_elsewhere(windows)
-    met = windows.select("lid", "n", "key", "weight").join(in_windows, "key").groupBy("lid", "n").agg(F.sum("weight").alias("met"))
-    far = written(met.where(F.col("met") >= F.col("n") - RUN + 1 - RUN * F.floor(F.col("n") / STRETCH)).select("lid"), "far-lines")
-    both = near.select("lid", F.lit(True).alias("near"), F.lit(False).alias("far")).unionAll(far.select("lid", F.lit(False).alias("near"), F.lit(True).alias("far")))
-    named = lines.select("lid", "h1", "h2", "n").join(both, "lid").groupBy("h1", "h2", "n").agg(F.max("near").alias("near"), F.max("far").alias("far"))
-    found = written(named.join(first, ["h1", "h2", "n"]).select("first.doc", "first.line", "near", "far"), "candidates")
+    words = keyed.agg(F.sum("n").alias("n")).first()["n"] or 0
+    parts = 1 + words // PART_WORDS
+    halves = F.array(*[F.struct(F.col(k).alias("key"), F.lit(1).alias("weight")) for k in ("k0", "k1", "k2", "k3")])
+    near = written(_met_elsewhere(keyed.where(F.col("n") >= EDIT_WORDS).select("h1", halves.alias("keys")), parts), "near-lines")
+    far = written(_met_elsewhere(keyed.where(F.col("n") >= 2 * STRETCH).select("h1", F.col("windows").alias("keys")), parts), "far-lines")
+    both = near.select("h1", F.lit(True).alias("near"), F.lit(0).cast("long").alias("met")).unionAll(far.select("h1", F.lit(False).alias("near"), "met"))
+    met = both.groupBy("h1").agg(F.max("near").alias("near"), F.max("met").alias("met"))
+    is_far = (F.col("n") >= 2 * STRETCH) & (F.col("met") >= F.col("n") - RUN + 1 - RUN * F.floor(F.col("n") / STRETCH))
+    found = first.select("h1", "n", "first").join(met, "h1").select("first.doc", "first.line", "near", is_far.alias("far")).where("near or far")
+    found = written(found, "candidates")
     wanted = written(found.orderBy("doc", "line").withColumn("at", F.monotonically_increasing_id()), "ranked")
-    forget(in_halves, in_windows, near, far, found)
+    forget(near, far, found)
     return wanted
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc, line) of the lines that go; doc is the ``place`` of its document."""
-    lines = written(_lines(docs).withColumn("lid", F.monotonically_increasing_id()), "lines")
+    keyed = written(_lines(docs), "keyed-lines")
+    lines = written(keyed.select("doc", "line", "n", "h1", "h2"), "lines")
     first = lines.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"))
     first = written(first, "distinct-lines")
-    wanted = _candidates(lines, first)
+    wanted = _candidates(keyed, first)
+    forget(keyed)
     text = written(_text(docs, wanted), "line-text")
-    rare = written(_rare(text), "rare")
+    rare = _rare(text)
     apart = written(_apart(text), "apart")
     variants = written(_variants(apart), "variants")
     pairs = written(_alike(variants).unionAll(_with_earliest(rare)).distinct(), "alike")

@@ -628,3 +628,40 @@ def test_toxicity_learns_in_a_task_not_in_the_driver(spark, monkeypatch):
     assert min(scores[i] for i in scores if i % 2) > max(scores[i] for i in scores if i % 2 == 0)
     empty = toxicity.fit(docs.limit(0), labels)
     assert not empty.rows and not toxicity.fit(docs, labels.limit(0)).rows
+
+
+def test_line_keys_met_elsewhere(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PACK_KEYS", 7)
+    rng = random.Random(11)
+    lines = [(h, [(rng.randrange(-(2**62), 2**62, 2**57), rng.randint(1, 3)) for _ in range(rng.randint(0, 5))]) for h in range(-20, 20)]
+    lines += lines[:9]  # equal lines count once
+    frame_ = spark.createDataFrame(lines, "h1 long, keys array<struct<key:long,weight:int>>").repartition(3)
+    holders = {}
+    for h, keys in lines:
+        for key, _ in keys:
+            holders.setdefault(key, set()).add(h)
+    want = {h: sum(w for k, w in keys if len(holders[k]) > 1) for h, keys in lines}
+    for parts in (1, 3, 50):
+        assert {r.h1: r.met for r in line_dedup._met_elsewhere(frame_, parts).collect()} == {h: n for h, n in want.items() if n}
+    assert line_dedup._met_elsewhere(frame_.limit(0), 2).count() == 0
+
+
+def test_lines_of_one_passage_are_compared_only_where_their_words_allow(spark):
+    base = [f"w{i}" for i in range(48)]
+    lines = [base[:]]
+    for i in range(40):  # three words replaced: six apart from each other, more than three edits
+        lines.append([f"x{i}y{k}" if k in (5 + i % 5, 20 + i % 7, 38 + i % 6) else w for k, w in enumerate(base)])
+    lines += [lines[k][:9] + ["new"] + lines[k][9:] for k in (3, 8)] + [lines[k][1:] for k in (5, 7)]
+    lines = lines[1:] + lines[:1]
+    text = spark.createDataFrame([(i, " ".join(w), False, True) for i, w in enumerate(lines)], "at long, words string, near boolean, far boolean")
+    rare = line_dedup._rare(text)
+    none = spark.createDataFrame([], "at long")
+    got = {(r.at, r.to) for r in line_dedup._with_all(rare, none).collect()}
+    every = [(i, k) for i in range(len(lines)) for k in range(i)]
+    alike = {(i, k) for i, k in every if line_dedup.within_edits(lines[i], lines[k], line_dedup.bound(min(len(lines[i]), len(lines[k]))))}
+    assert alike and alike <= got and len(got) < len(every) / 4
+    x = line_dedup.LineWords(pa.array([" ".join(w) for w in lines]))
+    bits = [int(a) | int(b) << 64 for a, b in x.parities()]
+    for i, k in alike:
+        apart = abs(len(lines[i]) - len(lines[k]))
+        assert (bits[i] ^ bits[k]).bit_count() <= 2 * line_dedup.bound(min(len(lines[i]), len(lines[k]))) - apart
