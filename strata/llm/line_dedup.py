@@ -361,7 +361,8 @@ def within_edits(a: list[str], b: list[str], most: int) -> bool:
     reach: dict[int, int] = {}
     for e in range(most + 1):
         now = {}
-        for d in range(max(-e, -m), min(e, n) + 1):
+        left = most - e  # diagonals further from the last one are of no more use
+        for d in range(max(-e, -m, n - m - left), min(e, n, n - m + left) + 1):
             i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2), reach.get(d + 1, -2) + 1) if e else 0
             if i < 0:
                 continue
