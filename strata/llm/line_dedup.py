@@ -38,10 +38,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import SLICE_BYTES, documents, forget, map_arrow, small_batches, written
+from strata.llm.common import SLICE_BYTES, documents, forget, map_arrow, slices, small_batches, written
 from strata.llm.ngram_join import mix
 
 MIN_WORDS = 3
@@ -52,6 +52,8 @@ GRAM, WINDOW = 5, 6
 RUN = GRAM + WINDOW - 1  # at most (n - bound) / (bound + 1), rounded up, from 2 * STRETCH words on
 PIECES = 4
 PART_WORDS = 2_000_000  # of all lines, for each part that their keys are dealt into
+LONG_WORD = 64  # bytes
+PART_BYTES = 6_000_000  # of lines that share windows, for each part that their grams are dealt into
 PACK_KEYS = 1_000_000  # keys that a task holds before it sends them on
 SEND_ROWS = 500_000  # rows sent to all executors at most; more are joined by a shuffle
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd
@@ -69,6 +71,29 @@ def _cuts(size: np.ndarray) -> list[np.ndarray]:
     return [np.maximum(size, 0) * k // PIECES for k in range(PIECES + 1)]
 
 
+def word_hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of words, eight bytes of all of them at a time (those of more than
+    ``LONG_WORD`` bytes by XXH64), and their sizes in bytes."""
+    lo = np.frombuffer(words.buffers()[1], "i8" if pa.types.is_large_string(words.type) else "i4")[words.offset : words.offset + len(words) + 1].astype("i8")
+    size = np.diff(lo)
+    data = np.zeros((int(lo[-1]) if len(words) else 0) + 8, "u1")
+    if len(data) > 8:
+        data[:-8] = np.frombuffer(words.buffers()[2], "u1", len(data) - 8)
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # from any byte on
+    h = size.astype("u8") * _SALT
+    of, start, left = slice(None), lo[:-1], size
+    for k in range(0, LONG_WORD, 8):
+        unused = (8 * np.clip(8 - left, 0, 7)).astype("u8")  # bits of the next words
+        h[of] = mix((h[of] ^ ((eight[start] << unused) >> unused)) * _BASE[0] + _BASE[1])
+        of = np.flatnonzero(size > k + 8)
+        if not len(of):
+            break
+        start, left = lo[:-1][of] + k + 8, size[of] - k - 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[lo[i] : lo[i + 1]].tobytes())
+    return h, size
+
+
 class LineWords:
     """The lines of some texts, with hashes of any run of their words in O(1)."""
 
@@ -79,18 +104,13 @@ class LineWords:
         self.chars = np.asarray(pc.utf8_length(lines.flatten()))
         words = pc.ascii_split_whitespace(lines.flatten())
         at = np.asarray(words.offsets).astype("i8")
-        coded = words.flatten().dictionary_encode()
-        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes ten times as long
-        code = np.array(coded.indices, "i8")
-        at = at - at[0]
-        if "" in names:  # around leading and trailing blanks
-            real = code != names.index("")
-            at = np.concatenate(([0], np.cumsum(real)))[at]
-            code = code[real]
-        of = np.array([xxhash.xxh64_intdigest(w) for w in names] or [0], "u8")
+        h, size = word_hashes(words.flatten())
+        real = size > 0  # the others are around leading and trailing blanks
+        at = np.concatenate(([0], np.cumsum(real)))[at - at[0]]
+        h = h[real]
         self.at = at  # line j has words at[j] to at[j + 1]
         self.size = np.diff(at)
-        h = self.word = of[code]
+        self.word = h
         self.sums, self.power, self.back = [], [], []
         for i, (base, inverse) in enumerate(zip(_BASE, _INVERSE)):
             steps = np.full(len(h) + 1, base, "u8")
@@ -150,9 +170,9 @@ class LineWords:
                 out[some, k] = np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == k, one, np.uint64(0)), self.at[:-1][some])
         return out
 
-    def windows(self, pick: np.ndarray) -> pa.ListArray:
-        """The least gram hashes of the windows of the lines of ``pick``, others
-        empty, each with the count of neighbouring windows that it is least in."""
+    def windows(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The least gram hashes of the windows of the lines of ``pick``, each with the
+        count of neighbouring windows that it is least in, and their number by line."""
         g = self.grams()
         least = g[: max(0, len(g) - WINDOW + 1)].copy()
         for i in range(1, WINDOW):
@@ -165,12 +185,12 @@ class LineWords:
         new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
         first = np.flatnonzero(new)
         weight = np.diff(np.append(first, len(key)))
-        offsets = np.searchsorted(first, upto).astype("i4")
-        values = pa.StructArray.from_arrays([pa.array(key[first].view("i8")), pa.array(weight.astype("i4"))], names=["key", "weight"])
-        return pa.ListArray.from_arrays(pa.array(offsets), values)
+        return key[first], weight.astype("<i4"), np.diff(np.searchsorted(first, upto))[pick]
 
 
 _DOC = "struct<id:long,t0:long,t1:long>"
+#: Keys of a stretch's lines as arrays: hashes of the lines, how many keys each has, keys, weights.
+_NEAR, _FAR = (tuple(f"{kind}_{c}" for c in ("lines", "each", "keys", "weights")) for kind in ("near", "far"))
 
 
 def place(doc_id: Column, text: Column) -> Column:
@@ -186,20 +206,28 @@ def _placed(docs: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line that may go, with its two hashes, halves and windows."""
+    """A row for each line that may go, with its two hashes, and one for each stretch of
+    text, which holds the halves and the windows of all its lines as arrays."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         x = LineWords(b.column(1))
         number = np.arange(len(x.size)) - np.repeat(x.of_text[:-1], np.diff(x.of_text))
         row = np.repeat(np.arange(b.num_rows), np.diff(x.of_text))
-        keep = (x.size >= MIN_WORDS) | ((x.size > 0) & (x.chars >= MIN_CHARS))
+        keep = np.flatnonzero((x.size >= MIN_WORDS) | ((x.size > 0) & (x.chars >= MIN_CHARS)))
         lo, hi = x.at[:-1], x.at[1:]
-        cols = [number.astype("i4"), x.size.astype("i8"), mix(x.run(lo, hi) + x.size.astype("u8")).view("i8"), x.run(lo, hi, 1).view("i8"), *x.halves().view("i8").T]
-        windows = x.windows(x.size >= 2 * STRETCH).filter(pa.array(keep))
-        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[keep])), *[pa.array(c[keep]) for c in cols], windows], names=["doc", "line", "n", "h1", "h2", "k0", "k1", "k2", "k3", "windows"])
+        h1 = mix(x.run(lo, hi) + x.size.astype("u8"))
+        near, far = x.size >= EDIT_WORDS, x.size >= 2 * STRETCH
+        halves = x.halves()[near].ravel()
+        window, weight, each = x.windows(far)
+        arrays = [h1[near], np.full(int(near.sum()), 4, "<i4"), halves, np.ones(len(halves), "<i4"), h1[far], each.astype("<i4"), window, weight]
+        last = np.arange(len(keep) + 1) == len(keep)
+        cols = [np.append(c[keep], c.dtype.type(0)) for c in (number.astype("i4"), x.size.astype("i8"), h1.view("i8"), x.run(lo, hi, 1).view("i8"))]
+        doc = b.column(0).take(pa.array(np.append(row[keep], 0), mask=last))
+        packed = [pa.array([None] * len(keep) + [a.tobytes()], pa.binary()) for a in arrays]
+        return pa.RecordBatch.from_arrays([doc, *[pa.array(c, mask=last) for c in cols], *packed], names=["doc", "line", "n", "h1", "h2", *_NEAR, *_FAR])
 
     # Half a slice: there are a dozen arrays of eight bytes a word.
-    return map_arrow(_placed(docs), run, f"doc {_DOC}, line int, n long, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long, windows array<struct<key:long,weight:int>>", SLICE_BYTES // 2)
+    return map_arrow(_placed(docs), run, f"doc {_DOC}, line int, n long, h1 long, h2 long, {', '.join(f'{c} binary' for c in (*_NEAR, *_FAR))}", SLICE_BYTES // 2)
 
 
 def _text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -260,45 +288,119 @@ def _variants(lines: DataFrame) -> DataFrame:
     return map_arrow(lines, run, "key long, check long, n long, gap long, at long")
 
 
-def _grams(text: DataFrame) -> DataFrame:
-    """(at, n, s0, s1, grams) of the far lines: the ``parities`` and the different grams,
-    each with the first and the last place in the line as one number."""
+#: Grams as arrays: lines, how many grams each has, then for each gram its name, uses, first
+#: and last place; ``part``: where the name holds.  Rows with ``n`` hold figures of lines.
+_CELLS = "to int, part int, at binary, each binary, key binary, uses binary, lo binary, hi binary, n binary, s0 binary, s1 binary, grams binary"
+_EMPTY = np.zeros(0, "<u4")
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        x = LineWords(b.column(1))
-        g, start = x.grams(), x.at[:-1]
-        each = np.maximum(x.size - GRAM + 1, 0)
-        line = np.repeat(np.arange(len(each)), each)
-        place = np.arange(len(line)) - np.repeat(np.cumsum(each) - each, each)
-        gram = g[start[line] + place]
-        order = np.lexsort((gram, line))
-        gram, line, place = gram[order], line[order], place[order]
-        new = np.ones(len(gram), bool)
-        new[1:] = (gram[1:] != gram[:-1]) | (line[1:] != line[:-1])
-        new = np.flatnonzero(new)
-        places = place[new] << 32 | place[np.append(new[1:], len(gram))[: len(new)] - 1]
-        own = pa.StructArray.from_arrays([pa.array(gram[new].view("i8")), pa.array(places.astype("i8"))], names=["gram", "places"])
-        offsets = np.searchsorted(line[new], np.arange(len(each) + 1)).astype("i4")
-        cols = [b.column(0), pa.array(x.size.astype("i4")), *[pa.array(c) for c in x.parities().view("i8").T.copy()], pa.ListArray.from_arrays(pa.array(offsets), own)]
-        return pa.RecordBatch.from_arrays(cols, names=["at", "n", "s0", "s1", "grams"])
-
-    return map_arrow(text.where("far").select("at", "words"), run, "at long, n int, s0 long, s1 long, grams array<struct<gram:long,places:long>>")
+
+def _cells(to: np.ndarray, at: np.ndarray, part: int | None, *values: np.ndarray) -> list[dict]:
+    """Rows of ``_CELLS`` for key, uses, lo and hi of grams, by ``to`` and line."""
+    order = np.argsort(to.astype("u2"), kind="stable") if part is None and to.max(initial=0) < 1 << 16 else np.lexsort((at, to))  # the former takes no comparisons
+    to, at, values = to[order], at[order], [v[order] if len(v) else v for v in values]
+    cuts = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1]))) if len(to) else _EMPTY
+    rows = []
+    for lo, hi in zip(cuts, [*cuts[1:], len(to)]):
+        new = lo + np.flatnonzero(np.concatenate(([True], at[lo + 1 : hi] != at[lo : hi - 1])))
+        row = {"to": int(to[lo]), "part": part, "at": at[new].tobytes(), "each": np.diff(np.append(new, hi)).astype("<u4").tobytes()}
+        rows.append(row | {c: v[lo:hi].tobytes() for c, v in zip(("key", "uses", "lo", "hi"), values)})
+    return rows
+
+
+def _cell_table(rows: list[dict]) -> pa.Table:
+    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    names = [c.split() for c in _CELLS.split(", ")]
+    return pa.table({c: pa.array([r.get(c) for r in rows], kinds[k]) for c, k in names})
+
+
+def _joined(t: pa.Table, **kinds: str) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(x for x in t[c].to_pylist() if x), d) for c, d in kinds.items()]
 
 
 def _rare(text: DataFrame) -> DataFrame:
     """(at, n, s0, s1, gram, lo, hi): of the rarest ``GRAM * bound + 1`` grams of each line,
-    those that another line has, with the first and the last place in the line."""
-    lines = written(_grams(text), "grams")
-    each = lines.select("at", F.explode("grams").alias("g")).select("at", "g.gram", "g.places")
-    uses = each.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1")
-    own = each.join(uses, "gram").groupBy("at").agg(F.sort_array(F.collect_list(F.struct("uses", "gram", "places"))).alias("own"))  # a line's own grams
-    own = own.join(lines.select("at", "n", "s0", "s1", F.size("grams").alias("grams")), "at")
-    own = own.withColumn("take", (GRAM * F.floor(F.col("n") / STRETCH) + 1 - (F.col("grams") - F.size("own"))).cast("int")).where("take > 0")
-    own = own.select("at", "n", "s0", "s1", F.explode(F.slice("own", 1, F.col("take"))).alias("own"))
-    lo, hi = F.shiftright("own.places", 32).cast("int"), F.col("own.places").bitwiseAND(F.lit(2**31 - 1)).cast("int")
-    found = written(own.select("at", "n", "s0", "s1", "own.gram", lo.alias("lo"), hi.alias("hi")), "rare")
-    forget(lines)
-    return found
+    those that another line has, with the first and the last place in the line.
+
+    Grams are dealt into parts by hash and travel as arrays; in a part 32 bits name a gram
+    (those taken for one another are one, for all lines).  There their uses are counted, and
+    those with several go to the block of their line, where it picks its rarest.
+    """
+    far = text.where("far").select("at", "words")
+    parts = 1 + (far.agg(F.sum(F.octet_length("words")).alias("n")).first()["n"] or 0) // PART_BYTES
+
+    def block(at: np.ndarray) -> np.ndarray:
+        return (mix(at.view("u8") * _BASE[0]) >> np.uint64(32)).astype("i8") % parts
+
+    def own(b: pa.RecordBatch) -> tuple[tuple, tuple]:
+        x = LineWords(b.column(1))
+        at, n = np.array(b.column(0), "<i8"), np.maximum(x.size - GRAM + 1, 0)
+        line = np.repeat(np.arange(len(n)), n)
+        place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
+        gram = mix(x.grams()[x.at[:-1][line] + place])
+        code = ((gram >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32) | (gram & np.uint64(2**32 - 1))
+        order = np.lexsort((code, line))
+        code, line, place = code[order], line[order], place[order]
+        new = np.flatnonzero(np.concatenate(([True], (code[1:] != code[:-1]) | (line[1:] != line[:-1])))[: len(code)])
+        last = np.append(new[1:], len(code))[: len(new)] - 1
+        of, code = line[new], code[new]
+        grams = np.bincount(of, minlength=len(n)).astype("<u4")
+        each = (code >> np.uint64(32)).astype("i8"), at[of], code.astype("<u4"), place[new].astype("<u4"), place[last].astype("<u4")
+        return each, (at, x.size.astype("<u4"), *x.parities().view("<i8").T, grams)
+
+    def sent(held: list) -> pa.RecordBatch:
+        each, lines = ([np.concatenate(v) for v in zip(*half)] for half in zip(*held))
+        to, at, key, lo, hi = each
+        rows = _cells(to, at, None, key, _EMPTY, lo, hi)
+        to = block(lines[0])
+        for k in np.unique(to).tolist():
+            rows.append({"to": parts + k} | {c: v[to == k].tobytes() for c, v in zip(("at", "n", "s0", "s1", "grams"), lines)})
+        return _cell_table(rows).to_batches()[0]
+
+    def deal(batches):
+        held, total = [], 0
+        for b in (part for whole in batches for part in slices(whole) if whole.num_rows):
+            held.append(own(b))
+            total += len(held[-1][0][0])
+            if total >= PACK_KEYS:
+                yield sent(held)
+                held, total = [], 0
+        if held:
+            yield sent(held)
+
+    def meet(t: pa.Table) -> pa.Table:
+        part = t["to"][0].as_py()
+        if part >= parts:  # figures of lines go on to their block
+            return t.set_column(0, "to", pa.array([part - parts] * t.num_rows, pa.int32()))
+        at, each, key, lo, hi = _joined(t, at="<i8", each="<u4", key="<u4", lo="<u4", hi="<u4")
+        at, order = np.repeat(at, each), np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.append(new, len(key)))
+        uses = np.repeat(count, count)
+        order, key, uses = (v[uses > 1] for v in (order, key, uses))
+        at = at[order]
+        return _cell_table(_cells(block(at), at, part, key, uses.astype("<u4"), lo[order], hi[order]))
+
+    def pick(t: pa.Table) -> pa.Table:
+        lines, n, s0, s1, grams = _joined(t.filter(pc.is_valid(t["n"])), at="<i8", n="<u4", s0="<i8", s1="<i8", grams="<u4")
+        t = t.filter(pc.is_null(t["n"]))
+        at, each, key, uses, lo, hi = _joined(t, at="<i8", each="<u4", key="<u4", uses="<u4", lo="<u4", hi="<u4")
+        size = np.asarray(pc.binary_length(t["key"])).astype("i8") // 4
+        gram = np.repeat(np.asarray(t["part"]).astype("i8"), size) << 32 | key.astype("i8")
+        order = np.argsort(lines)
+        lines, n, s0, s1, grams = (v[order] for v in (lines, n, s0, s1, grams))
+        line = np.searchsorted(lines, np.repeat(at, each))
+        order = np.lexsort((gram, uses, line))
+        line = line[order]
+        several = np.bincount(line, minlength=len(lines))
+        take = GRAM * (n.astype("i8") // STRETCH) + 1 - (grams.astype("i8") - several)
+        rank = np.arange(len(line)) - (np.cumsum(several) - several)[line]
+        order, line = (v[rank < take[line]] for v in (order, line))
+        cols = [pa.array(lines[line]), pa.array(n[line].astype("i4")), pa.array(s0[line]), pa.array(s1[line]), pa.array(gram[order]), *[pa.array(v[order].astype("i4")) for v in (lo, hi)]]
+        return pa.Table.from_arrays(cols, names=["at", "n", "s0", "s1", "gram", "lo", "hi"])
+
+    met = far.mapInArrow(deal, _CELLS).groupBy("to").applyInArrow(meet, _CELLS)
+    return written(met.groupBy("to").applyInArrow(pick, "at long, n int, s0 long, s1 long, gram long, lo int, hi int"), "rare")
 
 
 _HELD = ("at", "n", "s0", "s1", "lo", "hi")  # of a holder of a gram
@@ -306,8 +408,8 @@ _HELD = ("at", "n", "s0", "s1", "lo", "hi")  # of a holder of a gram
 
 def _with_earliest(rare: DataFrame) -> DataFrame:
     """(at, to): lines with the earliest holder of each of their grams."""
-    least = rare.groupBy("gram").agg(F.min(F.struct(*_HELD)).alias("first"), F.count("*").alias("uses")).where("uses > 1")
-    return _earlier(rare.join(least.select("gram", *[F.col(f"first.{c}").alias(f"to_{c}") for c in _HELD]), "gram"))
+    first = F.min(F.struct(*_HELD)).over(Window.partitionBy("gram"))
+    return _earlier(rare.select("gram", *_HELD, first.alias("first")).where("at > first.at").select(*_HELD, *[F.col(f"first.{c}").alias(f"to_{c}") for c in _HELD]))
 
 
 def _with_all(rare: DataFrame, settled: DataFrame) -> DataFrame:
@@ -328,16 +430,14 @@ def _earlier(pairs: DataFrame) -> DataFrame:
 
 def _alike(variants: DataFrame) -> DataFrame:
     """(at, to): lines with the earliest line of each of their keys that comes before them."""
-    keys = ["key", "check"]
-    gaps = variants.where("gap >= 0")
-    first = gaps.groupBy(*keys, "n", "gap").agg(F.min("at").alias("to"), F.count("*").alias("uses")).where("uses > 1")
-    replaced = gaps.join(first, [*keys, "n", "gap"]).where("at > to").select("at", "to")
-    whole = variants.where("gap < 0").select(*keys, "n", F.col("at").alias("whole"))
-    longer = gaps.select(*keys, (F.col("n") - 1).alias("n"), "at")
-    inserted = longer.join(whole, [*keys, "n"]).where("at > whole").select("at", F.col("whole").alias("to"))
-    least = longer.groupBy(*keys, "n").agg(F.min("at").alias("to"))
-    deleted = whole.join(least, [*keys, "n"]).where("whole > to").select(F.col("whole").alias("at"), "to")
-    return replaced.unionAll(inserted).unionAll(deleted).distinct()
+    # Dealt once: rows of a key are together for both windows.
+    gap, shorter = F.col("gap") >= 0, F.col("n") - (F.col("gap") >= 0).cast("int")
+    dealt = variants.repartition("key", "check").withColumn("shorter", shorter)
+    same, one = Window.partitionBy("key", "check", "n", "gap"), Window.partitionBy("key", "check", "shorter")
+    least = lambda which, over: F.min(F.when(which, F.col("at"))).over(over)
+    met = dealt.select("at", least(gap, same).alias("replaced"), F.when(gap, least(~gap, one)).otherwise(least(gap, one)).alias("other"))
+    met = met.where("replaced < at or other < at")  # other: whole, where one word more, or the other way round
+    return met.select("at", F.explode(F.array("replaced", "other")).alias("to")).where("to < at").distinct()
 
 
 def within_one_edit(a: list[str], b: list[str]) -> bool:
@@ -400,10 +500,13 @@ def may_be_within_each(a: pa.Array, b: pa.Array) -> tuple[tuple, tuple, np.ndarr
         sides.append((row, code))
     most = np.maximum(1, np.minimum(*sizes) // STRETCH)
     may = np.abs(sizes[0] - sizes[1]) <= most
-    words = [np.unique((row << 32) | code) for row, code in sides]
-    for own, other in (words, words[::-1]):
-        alone = own[~np.isin(own, other, assume_unique=True)] >> 32
-        may &= np.bincount(alone, minlength=len(a)) <= most
+    words = np.concatenate([((row << 32) | code) << 1 | k for k, (row, code) in enumerate(sides)])
+    words.sort()  # np.unique takes ten times as long
+    words = words[np.concatenate(([True], words[1:] != words[:-1]))[: len(words)]]
+    same = words[1:] >> 1 == words[:-1] >> 1
+    alone = words[~(np.concatenate((same, [False])) | np.concatenate(([False], same)))[: len(words)]]
+    for k in range(2):
+        may &= np.bincount(alone[(alone & 1) == k] >> 33, minlength=len(a)) <= most
     out = [(code, np.concatenate(([0], np.cumsum(n)))) for (_, code), n in zip(sides, sizes)]
     return *out, may
 
@@ -425,8 +528,8 @@ def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
 
 
 def _met_elsewhere(keys: DataFrame, parts: int) -> DataFrame:
-    """(h1, met) of lines (h1, keys): the summed weights of their keys that a line with
-    another h1 has too; equal lines count once.
+    """(h1, met) of lines (h1, keys), or of stretches of lines (``_NEAR``, ``_FAR``): the
+    summed weights of their keys that a line with another h1 has too; equal lines count once.
 
     Keys are dealt into ``parts`` by hash and travel as arrays.  In a part 32 bits of a
     key do: keys taken for one another only add candidates.
@@ -446,15 +549,22 @@ def _met_elsewhere(keys: DataFrame, parts: int) -> DataFrame:
         cols = [pa.array([x[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary()) for x in (key, h1, weight)]
         return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), *cols], names=["part", "key", "h1", "weight"])
 
+    def arrays(b: pa.RecordBatch):
+        if b.num_columns == 4:
+            for i in range(b.num_rows):
+                yield tuple(np.frombuffer(c[i].as_buffer(), d) for c, d in zip(b.columns, ("<i8", "<i4", "<u8", "<i4")))
+        else:
+            own = b.column(1).flatten()
+            yield np.asarray(b.column(0)), np.asarray(pc.list_value_length(b.column(1))), np.asarray(own.field("key")).view("u8"), np.asarray(own.field("weight"))
+
     def deal(batches):
         held, total, rows = [], 0, 0
-        for b in batches:
-            own, each = b.column(1).flatten(), np.asarray(pc.list_value_length(b.column(1)))
-            if not len(own):
+        for h1, each, key, weight in (x for b in batches for x in arrays(b)):
+            if not len(key):
                 continue
-            h1, row = np.asarray(b.column(0)), np.repeat(np.arange(b.num_rows), each)
-            held.append((np.asarray(own.field("key")).view("u8"), h1[row], np.asarray(own.field("weight")), row + rows))
-            total, rows = total + len(own), rows + b.num_rows
+            row = np.repeat(np.arange(len(h1)), each)
+            held.append((key, h1[row], weight, row + rows))
+            total, rows = total + len(key), rows + len(h1)
             if total >= PACK_KEYS:
                 yield pack(held)
                 held, total = [], 0
@@ -463,28 +573,31 @@ def _met_elsewhere(keys: DataFrame, parts: int) -> DataFrame:
 
     def meet(t: pa.Table) -> pa.Table:
         key, h1, weight = (np.frombuffer(b"".join(t[c].to_pylist()), d) for c, d in (("key", "<u4"), ("h1", "<i8"), ("weight", "<i4")))
-        order = np.lexsort((h1, key))
+        order = np.argsort(key)
+        key, h1 = key[order], h1[order]
+        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        met = np.repeat(np.minimum.reduceat(h1, new) != np.maximum.reduceat(h1, new), np.diff(np.append(new, len(key))))
+        key, h1, weight = key[met], h1[met], weight[order[met]]
+        order = np.lexsort((key, h1))
         key, h1 = key[order], h1[order]
-        new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (h1[1:] != h1[:-1]))))
-        key, h1, weight = key[new], h1[new], weight[order][new]  # equal lines have equal weights
-        same = key[1:] == key[:-1]
-        met = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-        lines, at = np.unique(h1[met], return_inverse=True)
-        sums = np.bincount(at, weight[met], len(lines)).astype("i8")
+        new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (h1[1:] != h1[:-1])))[: len(key)])
+        h1, weight = h1[new], weight[order][new]  # equal lines have equal weights
+        lines = np.flatnonzero(np.concatenate(([True], h1[1:] != h1[:-1]))[: len(h1)])
+        lines, sums = h1[lines], np.add.reduceat(weight.astype("i8"), lines) if len(lines) else np.zeros(0, "i8")
         return pa.table({"h1": pa.array(lines, pa.int64()), "met": pa.array(sums)})
 
     packed = keys.mapInArrow(deal, "part int, key binary, h1 binary, weight binary")
     return packed.groupBy("part").applyInArrow(meet, "h1 long, met long").groupBy("h1").agg(F.sum("met").alias("met"))
 
 
-def _candidates(keyed: DataFrame, first: DataFrame) -> DataFrame:
+def _candidates(keyed: DataFrame, lines: DataFrame, first: DataFrame) -> DataFrame:
     """(doc, line, at, near, far) of the distinct lines that may be alike to another,
     near: within one edit, far: within more; ``at`` goes up with document and line."""
-    words = keyed.agg(F.sum("n").alias("n")).first()["n"] or 0
+    words = lines.agg(F.sum("n").alias("n")).first()["n"] or 0
     parts = 1 + words // PART_WORDS
-    halves = F.array(*[F.struct(F.col(k).alias("key"), F.lit(1).alias("weight")) for k in ("k0", "k1", "k2", "k3")])
-    near = written(_met_elsewhere(keyed.where(F.col("n") >= EDIT_WORDS).select("h1", halves.alias("keys")), parts), "near-lines")
-    far = written(_met_elsewhere(keyed.where(F.col("n") >= 2 * STRETCH).select("h1", F.col("windows").alias("keys")), parts), "far-lines")
+    packed = keyed.where("near_lines is not null")
+    near = written(_met_elsewhere(packed.select(*_NEAR), parts), "near-lines")
+    far = written(_met_elsewhere(packed.select(*_FAR), parts), "far-lines")
     both = near.select("h1", F.lit(True).alias("near"), F.lit(0).cast("long").alias("met")).unionAll(far.select("h1", F.lit(False).alias("near"), "met"))
     met = both.groupBy("h1").agg(F.max("near").alias("near"), F.max("met").alias("met"))
     is_far = (F.col("n") >= 2 * STRETCH) & (F.col("met") >= F.col("n") - RUN + 1 - RUN * F.floor(F.col("n") / STRETCH))
@@ -498,10 +611,10 @@ def _candidates(keyed: DataFrame, first: DataFrame) -> DataFrame:
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc, line) of the lines that go; doc is the ``place`` of its document."""
     keyed = written(_lines(docs), "keyed-lines")
-    lines = written(keyed.select("doc", "line", "n", "h1", "h2"), "lines")
+    lines = written(keyed.where("n is not null").select("doc", "line", "n", "h1", "h2"), "lines")
     first = lines.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"))
     first = written(first, "distinct-lines")
-    wanted = _candidates(keyed, first)
+    wanted = _candidates(keyed, lines, first)
     forget(keyed)
     text = written(_text(docs, wanted), "line-text")
     rare = _rare(text)
@@ -512,10 +625,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     rest = written(_with_all(rare, settled).join(pairs, ["at", "to"], "left_anti"), "rest")
     near = written(settled.unionAll(_verified(rest, text)).distinct().join(wanted, "at").select("doc", "line"), "near")
     forget(wanted, text, rare, apart, variants, pairs, settled, rest)
-    marked = near.withColumn("near", F.lit(True))
-    going = first.select("h1", "h2", "n", "uses", "first", "first.doc", "first.line").join(marked, ["doc", "line"], "left").where("uses > 1 or near")
-    every = lines.select("doc", "line", "h1", "h2", "n").join(going.select("h1", "h2", "n", "first", "near"), ["h1", "h2", "n"])
-    gone = written(every.where(F.coalesce("near", F.lit(False)) | (F.struct("doc", "line") != F.col("first"))).select("doc", "line").distinct(), "dropped")
+    # Of equal lines all but the first go in any case, so only those that repeat are looked up.
+    again = lines.join(first.where("uses > 1").select("h1", "h2", "n", "first"), ["h1", "h2", "n"])
+    again = again.where(F.struct("doc", "line") != F.col("first")).select("doc", "line")
+    gone = written(again.unionAll(near).distinct(), "dropped")
     forget(lines, first, near)
     return gone
 
@@ -532,10 +645,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     docs = documents(docs)
-    going = dropped_lines(docs)
-    send = going.count() <= SEND_ROWS
-    going = going.groupBy("doc").agg(F.collect_list("line").alias("gone"))  # a document's own lines
-    both = docs.withColumn("doc", place(F.col("doc_id"), F.col("text"))).join(F.broadcast(going) if send else going, "doc", "left").drop("doc")
+    going = dropped_lines(docs).groupBy("doc").agg(F.collect_list("line").alias("gone"))  # a document's own lines
+    # Most documents may lose a line, so this grows with them: Spark's threshold decides on a broadcast.
+    both = docs.withColumn("doc", place(F.col("doc_id"), F.col("text"))).join(going.hint("shuffle_hash"), "doc", "left").drop("doc")
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts, sizes, n, dropped = [], [], [], []

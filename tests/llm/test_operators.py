@@ -665,3 +665,74 @@ def test_lines_of_one_passage_are_compared_only_where_their_words_allow(spark):
     for i, k in alike:
         apart = abs(len(lines[i]) - len(lines[k]))
         assert (bits[i] ^ bits[k]).bit_count() <= 2 * line_dedup.bound(min(len(lines[i]), len(lines[k]))) - apart
+
+
+def test_word_hashes_tell_words_apart():
+    words = ["", "a", "b", "aa", "é", "abcdefgh", "abcdefghi", "bcdefghi", "abcdefgh" * 8, "abcdefgh" * 8 + "i", "bcdefgh" * 40, "", "a"]
+    hashes, sizes = line_dedup.word_hashes(pa.array(words, pa.large_string()))
+    assert sizes.tolist() == [len(w.encode()) for w in words] and len(set(hashes.tolist())) == len(set(words))
+    assert hashes[0] == hashes[11] and hashes[1] == hashes[12]
+    assert (line_dedup.word_hashes(pa.array(["x", *words]).slice(3))[0] == hashes[2:]).all()  # what stands around a word has no part
+    assert not len(line_dedup.word_hashes(pa.array([], pa.string()))[0])
+
+
+def test_keys_of_stretches_of_lines_met_elsewhere(spark):
+    rng = random.Random(12)
+    lines = [(h, [(rng.randrange(2**62), rng.randint(1, 3)) for _ in range(rng.randint(0, 3))]) for h in range(30)]
+    lines = [(h, keys + ([lines[h % 7][1][0]] if h > 6 and lines[h % 7][1] else [])) for h, keys in lines]
+    lines += lines[-5:]  # equal lines count once
+    flat = [(h, key, weight) for h, keys in lines for key, weight in keys]
+    holders = {}
+    for h, key, _ in flat:
+        holders.setdefault(key, set()).add(h)
+    want = {h: n for h, keys in lines if (n := sum(w for k, w in keys if len(holders[k]) > 1))}
+    rows = []
+    for lo in range(0, len(lines), 8):
+        some = lines[lo : lo + 8]
+        arrays = ([h for h, _ in some], "<i8"), ([len(k) for _, k in some], "<i4"), ([k for _, own in some for k, _ in own], "<u8"), ([w for _, own in some for _, w in own], "<i4")
+        rows.append(tuple(bytearray(np.array(v, d).tobytes()) for v, d in arrays))
+    packed = spark.createDataFrame(rows, "lines binary, each binary, keys binary, weights binary").repartition(2)
+    for parts in (1, 5):
+        assert {r.h1: r.met for r in line_dedup._met_elsewhere(packed, parts).collect()} == want
+
+
+def test_rarest_grams_whatever_parts_and_blocks_they_are_dealt_into(spark, monkeypatch):
+    rng = random.Random(13)
+    passage = [f"p{i}" for i in range(20)]
+    lines = [passage[rng.randrange(9) :] + [f"w{rng.randrange(60)}" for _ in range(rng.randint(20, 45))] for _ in range(40)] + [["same"] * 40, ["same"] * 43]
+    lines += [w[:9] + ["new"] + w[9:] for w in lines[:12]]
+    text = spark.createDataFrame([(i, " ".join(w), False, True) for i, w in enumerate(lines)], "at long, words string, near boolean, far boolean").repartition(3)
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in lines]
+    uses = Counter(g for own in grams for g in own)
+    want = {}
+    for i, (w, own) in enumerate(zip(lines, grams)):
+        several = sorted(uses[g] for g in own if uses[g] > 1)
+        want[i] = several[: max(0, 5 * (len(w) // 16) + 1 - (len(own) - len(several)))]
+    none = spark.createDataFrame([], "at long")
+    for part_bytes, pack_keys in ((line_dedup.PART_BYTES, line_dedup.PACK_KEYS), (1500, 300)):
+        monkeypatch.setattr(line_dedup, "PART_BYTES", part_bytes)
+        monkeypatch.setattr(line_dedup, "PACK_KEYS", pack_keys)
+        rare = line_dedup._rare(text)
+        got = rare.collect()
+        assert Counter(r.at for r in got) == Counter({i: len(v) for i, v in want.items() if v})
+        assert all(r.n == len(lines[r.at]) and 0 <= r.lo <= r.hi <= r.n - 5 for r in got)
+        assert all(lines[r.at][r.lo : r.lo + 5] == lines[r.at][r.hi : r.hi + 5] for r in got)
+        assert len({(r.gram, tuple(lines[r.at][r.lo : r.lo + 5])) for r in got}) == len({r.gram for r in got})
+        alike = {(i, k) for i, w in enumerate(lines) for k in range(i) if line_dedup.within_edits(w, lines[k], line_dedup.bound(min(len(w), len(lines[k]))))}
+        assert alike and alike <= {(r.at, r.to) for r in line_dedup._with_all(rare, none).collect()}
+    assert line_dedup._rare(text.limit(0)).count() == 0
+
+
+def test_line_keys_are_dealt_once(spark):
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    variants = spark.createDataFrame([(i % 2, 0, 9, i % 3, i) for i in range(9)], "key long, check long, n long, gap long, at long")
+    assert exchanges(line_dedup._alike(variants)) == 2  # by key, and equal pairs
+    rare = spark.createDataFrame([(i, 40, i, i, i % 2, i, i) for i in range(9)], "at long, n int, s0 long, s1 long, gram long, lo int, hi int")
+    assert exchanges(line_dedup._with_earliest(rare)) == 2
+
+
+def test_only_lines_that_repeat_are_looked_up_again(spark):
+    texts = ["one line that two texts hold\nand one of its own here", "one line that two texts hold\none line that two texts hold", "a line that nobody else has at all"]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(1, texts[1], "en", "s", 5)]
+    got = sorted((r.doc_id, r.n_dropped, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOC)).collect())
+    assert got == [(0, 0, texts[0]), (1, 2, ""), (1, 2, ""), (2, 0, texts[2])]
