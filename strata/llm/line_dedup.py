@@ -34,6 +34,8 @@ Lines that are candidates go by one number, in the order of document and line.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,6 +55,8 @@ RUN = GRAM + WINDOW - 1  # at most (n - bound) / (bound + 1), rounded up, from 2
 PIECES = 4
 PART_WORDS = 2_000_000  # of all lines, for each part that their keys are dealt into
 LONG_WORD = 64  # bytes
+LONG_LINE = 16 * STRETCH  # words; 128 parities tell few of those apart
+MORE_BITS = 512
 PART_BYTES = 6_000_000  # of lines that share windows, for each part that their grams are dealt into
 PACK_KEYS = 1_000_000  # keys that a task holds before it sends them on
 SEND_ROWS = 500_000  # rows sent to all executors at most; more are joined by a shuffle
@@ -170,6 +174,16 @@ class LineWords:
                 out[some, k] = np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == k, one, np.uint64(0)), self.at[:-1][some])
         return out
 
+    def more_parities(self, pick: np.ndarray) -> np.ndarray:
+        """As ``parities``, ``MORE_BITS`` bits for each of some lines, by other hash bits."""
+        out = np.zeros((len(pick), MORE_BITS // 64), "u8")
+        line = np.repeat(np.arange(len(pick)), self.size[pick])
+        first = np.cumsum(self.size[pick]) - self.size[pick]
+        word = self.word[self.at[pick][line] + np.arange(len(line)) - first[line]]
+        bit = (word >> np.uint64(24)) % np.uint64(MORE_BITS)
+        np.bitwise_xor.at(out, (line, (bit >> np.uint64(6)).astype("i8")), np.uint64(1) << (bit & np.uint64(63)))
+        return out
+
     def windows(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The least gram hashes of the windows of the lines of ``pick``, each with the
         count of neighbouring windows that it is least in, and their number by line."""
@@ -259,8 +273,9 @@ def _apart(text: DataFrame) -> DataFrame:
 
     near = text.where("near").select("at", "words")
     keys = map_arrow(near, run, "key long, bit int, at long")
-    shared = keys.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).where("lo <> hi").select("key")
-    return near.join(keys.join(shared, "key").groupBy("at").agg(F.bit_or("bit").alias("bits")), "at").select("at", "words", "bits")
+    same = Window.partitionBy("key")
+    shared = keys.select("at", "bit", F.min("at").over(same).alias("lo"), F.max("at").over(same).alias("hi")).where("lo <> hi")
+    return near.join(shared.groupBy("at").agg(F.bit_or("bit").alias("bits")), "at").select("at", "words", "bits")
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -290,7 +305,7 @@ def _variants(lines: DataFrame) -> DataFrame:
 
 #: Grams as arrays: lines, how many grams each has, then for each gram its name, uses, first
 #: and last place; ``part``: where the name holds.  Rows with ``n`` hold figures of lines.
-_CELLS = "to int, part int, at binary, each binary, key binary, uses binary, lo binary, hi binary, n binary, s0 binary, s1 binary, grams binary"
+_CELLS = "to int, part int, at binary, each binary, key binary, uses binary, lo binary, hi binary, n binary, s0 binary, s1 binary, grams binary, more binary"
 _EMPTY = np.zeros(0, "<u4")
 
 
@@ -318,8 +333,9 @@ def _joined(t: pa.Table, **kinds: str) -> list[np.ndarray]:
 
 
 def _rare(text: DataFrame) -> DataFrame:
-    """(at, n, s0, s1, gram, lo, hi): of the rarest ``GRAM * bound + 1`` grams of each line,
-    those that another line has, with the first and the last place in the line.
+    """(at, n, s0, s1, gram, lo, hi, more): of the rarest ``GRAM * bound + 1`` grams of each line,
+    those that another line has, with the first and the last place in the line; ``more``:
+    ``more_parities`` of lines of ``LONG_LINE`` words or more, empty for others.
 
     Grams are dealt into parts by hash and travel as arrays; in a part 32 bits name a gram
     (those taken for one another are one, for all lines).  There their uses are counted, and
@@ -345,7 +361,10 @@ def _rare(text: DataFrame) -> DataFrame:
         of, code = line[new], code[new]
         grams = np.bincount(of, minlength=len(n)).astype("<u4")
         each = (code >> np.uint64(32)).astype("i8"), at[of], code.astype("<u4"), place[new].astype("<u4"), place[last].astype("<u4")
-        return each, (at, x.size.astype("<u4"), *x.parities().view("<i8").T, grams)
+        more = np.zeros((len(n), MORE_BITS // 64), "<i8")
+        long = np.flatnonzero(x.size >= LONG_LINE)
+        more[long] = x.more_parities(long).view("<i8")
+        return each, (at, x.size.astype("<u4"), *x.parities().view("<i8").T, grams, more)
 
     def sent(held: list) -> pa.RecordBatch:
         each, lines = ([np.concatenate(v) for v in zip(*half)] for half in zip(*held))
@@ -353,7 +372,8 @@ def _rare(text: DataFrame) -> DataFrame:
         rows = _cells(to, at, None, key, _EMPTY, lo, hi)
         to = block(lines[0])
         for k in np.unique(to).tolist():
-            rows.append({"to": parts + k} | {c: v[to == k].tobytes() for c, v in zip(("at", "n", "s0", "s1", "grams"), lines)})
+            n = lines[1][to == k]
+            rows.append({"to": parts + k} | {c: v[to == k].tobytes() for c, v in zip(("at", "n", "s0", "s1", "grams"), lines)} | {"more": lines[5][to == k][n >= LONG_LINE].tobytes()})
         return _cell_table(rows).to_batches()[0]
 
     def deal(batches):
@@ -382,13 +402,15 @@ def _rare(text: DataFrame) -> DataFrame:
         return _cell_table(_cells(block(at), at, part, key, uses.astype("<u4"), lo[order], hi[order]))
 
     def pick(t: pa.Table) -> pa.Table:
-        lines, n, s0, s1, grams = _joined(t.filter(pc.is_valid(t["n"])), at="<i8", n="<u4", s0="<i8", s1="<i8", grams="<u4")
+        lines, n, s0, s1, grams, long = _joined(t.filter(pc.is_valid(t["n"])), at="<i8", n="<u4", s0="<i8", s1="<i8", grams="<u4", more="<i8")
+        more = np.zeros((len(lines), MORE_BITS // 64), "i8")
+        more[n >= LONG_LINE] = long.reshape(-1, MORE_BITS // 64)
         t = t.filter(pc.is_null(t["n"]))
         at, each, key, uses, lo, hi = _joined(t, at="<i8", each="<u4", key="<u4", uses="<u4", lo="<u4", hi="<u4")
         size = np.asarray(pc.binary_length(t["key"])).astype("i8") // 4
         gram = np.repeat(np.asarray(t["part"]).astype("i8"), size) << 32 | key.astype("i8")
         order = np.argsort(lines)
-        lines, n, s0, s1, grams = (v[order] for v in (lines, n, s0, s1, grams))
+        lines, n, s0, s1, grams, more = (v[order] for v in (lines, n, s0, s1, grams, more))
         line = np.searchsorted(lines, np.repeat(at, each))
         order = np.lexsort((gram, uses, line))
         line = line[order]
@@ -397,13 +419,16 @@ def _rare(text: DataFrame) -> DataFrame:
         rank = np.arange(len(line)) - (np.cumsum(several) - several)[line]
         order, line = (v[rank < take[line]] for v in (order, line))
         cols = [pa.array(lines[line]), pa.array(n[line].astype("i4")), pa.array(s0[line]), pa.array(s1[line]), pa.array(gram[order]), *[pa.array(v[order].astype("i4")) for v in (lo, hi)]]
-        return pa.Table.from_arrays(cols, names=["at", "n", "s0", "s1", "gram", "lo", "hi"])
+        each = np.where(n[line] >= LONG_LINE, MORE_BITS // 64, 0)
+        values = more[line[each > 0]].ravel()
+        cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))).astype("i4")), pa.array(values)))
+        return pa.Table.from_arrays(cols, names=["at", "n", "s0", "s1", "gram", "lo", "hi", "more"])
 
     met = far.mapInArrow(deal, _CELLS).groupBy("to").applyInArrow(meet, _CELLS)
-    return written(met.groupBy("to").applyInArrow(pick, "at long, n int, s0 long, s1 long, gram long, lo int, hi int"), "rare")
+    return written(met.groupBy("to").applyInArrow(pick, "at long, n int, s0 long, s1 long, gram long, lo int, hi int, more array<long>"), "rare")
 
 
-_HELD = ("at", "n", "s0", "s1", "lo", "hi")  # of a holder of a gram
+_HELD = ("at", "n", "s0", "s1", "lo", "hi", "more")  # of a holder of a gram
 
 
 def _with_earliest(rare: DataFrame) -> DataFrame:
@@ -425,7 +450,10 @@ def _earlier(pairs: DataFrame) -> DataFrame:
     most, apart = F.floor(F.least("n", "to_n") / STRETCH), F.abs(F.col("n") - F.col("to_n"))
     near = (apart <= most) & (F.col("to_lo") <= F.col("hi") + most) & (F.col("to_hi") >= F.col("lo") - most)
     turned = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"to_{c}"))) for c in ("s0", "s1"))
-    return pairs.where((F.col("to_at") < F.col("at")) & near & (turned <= 2 * most - apart)).select("at", F.col("to_at").alias("to")).distinct()
+    # Of lines without further parities zip_with makes nothing.
+    further = F.aggregate(F.zip_with("more", "to_more", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
+    both = (F.least("n", "to_n") < LONG_LINE) | (further <= 2 * most - apart)
+    return pairs.where((F.col("to_at") < F.col("at")) & near & (turned <= 2 * most - apart) & both).select("at", F.col("to_at").alias("to")).distinct()
 
 
 def _alike(variants: DataFrame) -> DataFrame:
@@ -477,12 +505,12 @@ def within_edits(a: list[str], b: list[str], most: int) -> bool:
 
 
 def may_be_within(a: list[str], b: list[str], most: int) -> bool:
-    """False only where more than ``most`` edits are sure: a word that the other
-    line does not have at all takes an edit of its own."""
+    """False only where more than ``most`` edits are sure: each use of a word beyond
+    those in the other line takes an edit of its own."""
     if abs(len(a) - len(b)) > most:
         return False
-    a_words, b_words = set(a), set(b)
-    return len(a_words - b_words) <= most and len(b_words - a_words) <= most
+    a_words, b_words = Counter(a), Counter(b)
+    return (a_words - b_words).total() <= most and (b_words - a_words).total() <= most
 
 
 def may_be_within_each(a: pa.Array, b: pa.Array) -> tuple[tuple, tuple, np.ndarray]:
@@ -502,11 +530,10 @@ def may_be_within_each(a: pa.Array, b: pa.Array) -> tuple[tuple, tuple, np.ndarr
     may = np.abs(sizes[0] - sizes[1]) <= most
     words = np.concatenate([((row << 32) | code) << 1 | k for k, (row, code) in enumerate(sides)])
     words.sort()  # np.unique takes ten times as long
-    words = words[np.concatenate(([True], words[1:] != words[:-1]))[: len(words)]]
-    same = words[1:] >> 1 == words[:-1] >> 1
-    alone = words[~(np.concatenate((same, [False])) | np.concatenate(([False], same)))[: len(words)]]
-    for k in range(2):
-        may &= np.bincount(alone[(alone & 1) == k] >> 33, minlength=len(a)) <= most
+    new = np.flatnonzero(np.concatenate(([True], words[1:] >> 1 != words[:-1] >> 1))[: len(words)])
+    more = np.add.reduceat(1 - 2 * (words & 1), new) if len(new) else new  # uses in a less those in b
+    for sign in (1, -1):
+        may &= np.bincount(words[new] >> 33, np.maximum(sign * more, 0), len(a)) <= most
     out = [(code, np.concatenate(([0], np.cumsum(n)))) for (_, code), n in zip(sides, sizes)]
     return *out, may
 

@@ -727,7 +727,7 @@ def test_line_keys_are_dealt_once(spark):
     exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     variants = spark.createDataFrame([(i % 2, 0, 9, i % 3, i) for i in range(9)], "key long, check long, n long, gap long, at long")
     assert exchanges(line_dedup._alike(variants)) == 2  # by key, and equal pairs
-    rare = spark.createDataFrame([(i, 40, i, i, i % 2, i, i) for i in range(9)], "at long, n int, s0 long, s1 long, gram long, lo int, hi int")
+    rare = spark.createDataFrame([(i, 40, i, i, i % 2, i, i, []) for i in range(9)], "at long, n int, s0 long, s1 long, gram long, lo int, hi int, more array<long>")
     assert exchanges(line_dedup._with_earliest(rare)) == 2
 
 
@@ -736,3 +736,24 @@ def test_only_lines_that_repeat_are_looked_up_again(spark):
     rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(1, texts[1], "en", "s", 5)]
     got = sorted((r.doc_id, r.n_dropped, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOC)).collect())
     assert got == [(0, 0, texts[0]), (1, 2, ""), (1, 2, ""), (2, 0, texts[2])]
+
+
+def test_long_lines_of_one_passage_are_told_apart_by_more_parities(spark):
+    rng = random.Random(14)
+    base = [f"w{rng.randrange(300)}" for _ in range(640)]
+    lines = [base]
+    for i in range(30):  # 30 words replaced: 60 apart from each other, more than 40 edits
+        w = list(base)
+        for k in rng.sample(range(640), 30):
+            w[k] = f"x{rng.randrange(200)}"
+        lines.append(w)
+    lines += [lines[3][:200] + lines[3][220:], lines[4][:50] + ["new"] * 12 + lines[4][50:], base[:250], base[:262]]
+    lines = lines[1:] + lines[:1]
+    text = spark.createDataFrame([(i, " ".join(w), False, True) for i, w in enumerate(lines)], "at long, words string, near boolean, far boolean")
+    got = {(r.at, r.to) for r in line_dedup._with_all(line_dedup._rare(text), spark.createDataFrame([], "at long")).collect()}
+    every = [(i, k) for i in range(len(lines)) for k in range(i)]
+    alike = {(i, k) for i, k in every if line_dedup.within_edits(lines[i], lines[k], line_dedup.bound(min(len(lines[i]), len(lines[k]))))}
+    assert len(alike) > 30 and alike <= got and len(got) < len(every) / 4
+    a, b = (["a"] * 3 + ["b"] * 3 + [f"c{i}" for i in range(9)] for _ in "ab")
+    b[:6] = ["a"] + ["b"] * 5  # no word is alone, but two uses are
+    assert not line_dedup.may_be_within(a, b, 1) and line_dedup.may_be_within(a, b, 2)
