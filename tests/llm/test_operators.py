@@ -740,12 +740,12 @@ def test_only_lines_that_repeat_are_looked_up_again(spark):
 
 def test_long_lines_of_one_passage_are_told_apart_by_more_parities(spark):
     rng = random.Random(14)
-    base = [f"w{rng.randrange(300)}" for _ in range(640)]
+    base = [f"w{i}" for i in range(640)]
     lines = [base]
-    for i in range(30):  # 30 words replaced: 60 apart from each other, more than 40 edits
+    for i in range(30):  # 36 words replaced: about 70 apart from each other, more than 40 edits
         w = list(base)
-        for k in rng.sample(range(640), 30):
-            w[k] = f"x{rng.randrange(200)}"
+        for k in rng.sample(range(640), 36):
+            w[k] = f"x{i}y{k}"
         lines.append(w)
     lines += [lines[3][:200] + lines[3][220:], lines[4][:50] + ["new"] * 12 + lines[4][50:], base[:250], base[:262]]
     lines = lines[1:] + lines[:1]
